@@ -71,13 +71,17 @@ def contract_frame(spark: SparkSession, contracts: dict[str, dict[str, str]]) ->
 
 
 def observed_schema(df: DataFrame, table_name: str) -> DataFrame:
-    """One row per column: name, type and number of nulls, from one pass over the data."""
-    nulls = df.agg(*[F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)])
+    """One row per column: name, type, rows and null rows, from one pass over the data."""
+    nulls = df.agg(
+        F.count(F.lit(1)).alias("total"),
+        *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)],
+    )
     rows = [
         F.struct(
             F.lit(table_name).alias("table_name"),
             F.lit(name).alias("column_name"),
             F.lit(kind.upper()).alias("data_type"),
+            F.col("total").alias("total_rows"),
             F.col(f"n{i}").alias("null_rows"),
         )
         for i, (name, kind) in enumerate(df.dtypes)
@@ -85,6 +89,11 @@ def observed_schema(df: DataFrame, table_name: str) -> DataFrame:
     return nulls.select(F.inline(F.array(*rows)))
 
 
+def delivered(observed: DataFrame) -> DataFrame:
+    """Columns of `observed_schema` that hold at least one value."""
+    return observed.filter(F.col("null_rows") < F.col("total_rows"))
+
+
 def drift(current: DataFrame, contract: DataFrame, with_size: bool = False) -> DataFrame:
     """New, removed and retyped columns. Names compare in any case.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.functions.sizing import is_small, setting
@@ -12,17 +12,19 @@ from roadpulse.functions.sizing import is_small, setting
 _BINS = 2048
 
 
-def exact_quantiles(df: DataFrame, column: str, probabilities: list[float]) -> list[Column]:
-    """One scalar column per probability.
+def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]]) -> dict[str, list[float | None]]:
+    """Quantiles of each column; a column without values has none.
 
-    Small input goes through the built-in exact `percentile` as a scalar
-    subquery. That aggregate keeps every distinct value in one task, so larger
-    input is narrowed instead: each pass counts rows per bin (map-side combined)
-    and only the bins that hold a wanted rank are looked at again.
+    They are computed at once, because as subqueries they would be copied into
+    every later plan. Small input goes through the built-in exact `percentile`. That
+    aggregate keeps every distinct value in one task, so larger input is narrowed
+    instead: each pass counts rows per bin (map-side combined) and only the bins
+    that hold a wanted rank are looked at again.
     """
-    if is_small(df):
-        return [df.agg(F.percentile(column, p)).scalar() for p in probabilities]
-    return [F.lit(value) for value in narrowed_quantiles(df, column, probabilities)]
+    if not is_small(df):
+        return {c: narrowed_quantiles(df, c, ps) for c, ps in wanted.items()}
+    row = df.agg(*[F.percentile(c, F.array(*map(F.lit, ps))).alias(c) for c, ps in wanted.items()]).first()
+    return {c: row[c] or [None] * len(ps) for c, ps in wanted.items()}
 
 
 def narrowed_quantiles(df: DataFrame, column: str, probabilities: list[float]) -> list[float | None]:

@@ -20,11 +20,10 @@ def setting(df: DataFrame, name: str, default: int) -> int:
 
 
 def plan_bytes(df: DataFrame) -> int:
-    """Optimizer's size estimate; without one the input counts as large."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-    except Exception:
+    """Optimizer's size estimate; where a session has none, the input counts as large."""
+    if not hasattr(df, "_jdf"):
         return sys.maxsize
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
 def is_small(df: DataFrame) -> bool:

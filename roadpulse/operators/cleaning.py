@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.functions.ordered import carry_forward, keep_first
 from roadpulse.functions.quantiles import exact_quantiles
+from roadpulse.functions.sizing import is_small
+from roadpulse.session import cut_lineage
 
 
 def dedup(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -23,15 +25,18 @@ def fill_missing(df: DataFrame, columns: list[str], key: str, ts_col: str, tiebr
     )
     filled = around.withColumns({c: F.coalesce(F.col(f"__last_{c}"), F.col(f"__next_{c}")) for c in columns})
     filled = filled.select(*df.columns)
+    if not is_small(df):
+        # Read several times below; without a cut every pass would fill the gaps again.
+        filled = cut_lineage(filled)
     # The median is taken after both fills. It matters only for keys without any value.
-    for c in columns:
-        filled = filled.withColumn(c, F.coalesce(F.col(c), exact_quantiles(filled, c, [0.5])[0]))
-    return filled
+    medians = exact_quantiles(filled, {c: [0.5] for c in columns})
+    return filled.withColumns({c: F.coalesce(F.col(c), F.lit(medians[c][0]).cast("double")) for c in columns})
 
 
-def iqr_bounds(df: DataFrame, column: str, k: float = 1.5) -> tuple[Column, Column]:
-    q1, q3 = exact_quantiles(df, column, [0.25, 0.75])
-    return q1 - (q3 - q1) * k, q3 + (q3 - q1) * k
+def iqr_bounds(df: DataFrame, column: str, k: float = 1.5) -> tuple[float, float] | None:
+    """Limits of the accepted values; None for a column without values."""
+    q1, q3 = exact_quantiles(df, {column: [0.25, 0.75]})[column]
+    return None if q1 is None else (q1 - (q3 - q1) * k, q3 + (q3 - q1) * k)
 
 
 def iqr_filter(df: DataFrame, columns: list[str], k: float = 1.5) -> DataFrame:
@@ -40,8 +45,8 @@ def iqr_filter(df: DataFrame, columns: list[str], k: float = 1.5) -> DataFrame:
     The quartiles of a later column come from the rows the earlier ones left.
     """
     for c in columns:
-        low, high = iqr_bounds(df, c, k)
-        df = df.filter((F.col(c) >= low) & (F.col(c) <= high))
+        bounds = iqr_bounds(df, c, k)
+        df = df.filter(F.col(c).between(*bounds) if bounds else F.lit(False))
     return df
 
 

@@ -14,6 +14,8 @@ TIME = "reading_timestamp"
 TOLERANCE_MIN = 60
 # A lookup of this many minutes (about four years) is still small enough to send to every task.
 BROADCAST_MINUTES = 2_000_000
+# Slots of the minute line; a day keeps them few.
+SLOT_MINUTES = 1440
 # Columns an observation adds to a reading.
 WEATHER_COLUMNS = [
     "temp_fahrenheit",
@@ -38,24 +40,23 @@ def weather_by_minute(wx: DataFrame, columns: list[str], tolerance_min: int = TO
     per_minute = wx.groupBy(epoch_minute("weather_timestamp").alias("minute")).agg(
         F.min_by(F.struct(*payload), F.struct("weather_timestamp", "event_id")).alias("seen")
     )
-    # Slots as long as the tolerance: an observation reaches its own slot and both
-    # neighbours, so a slot never holds more than three tolerances of minutes.
-    slot = F.floor(F.col("minute") / tolerance_min)
-    slots = (
-        per_minute.withColumn("slot", F.explode(F.array(slot - 1, slot, slot + 1)))
-        .groupBy("slot")
-        .agg(F.collect_list(F.struct("minute", "seen")).alias("reach"))
+    # An observation owns the minutes that are nearer to it than to its neighbours. A
+    # neighbour further off than two tolerances changes nothing, so the line of
+    # minutes is cut into slots, each with a margin from the slots beside it.
+    margin, length = 2 * tolerance_min, max(SLOT_MINUTES, 2 * tolerance_min)
+    minute, slot, place = F.col("minute"), F.floor(F.col("minute") / length), F.pmod("minute", F.lit(length))
+    copies = F.array_compact(
+        F.array(slot, F.when(place < margin, slot - 1), F.when(place >= length - margin, slot + 1))
     )
-    first = F.col("slot") * tolerance_min
-    grid = slots.select(F.explode(F.sequence(first, first + tolerance_min - 1)).alias("weather_minute"), "reach")
-    ranked = F.transform(
-        "reach", lambda o: F.struct(F.abs(F.col("weather_minute") - o["minute"]).alias("gap"), o["minute"], o["seen"].alias("seen"))
-    )
-    return (
-        grid.withColumn("best", F.array_min(ranked))
-        .filter(F.col("best.gap") <= tolerance_min)
-        .select("weather_minute", "best.seen.*")
+    window = Window.partitionBy("slot").orderBy("minute")
+    cells = (
+        per_minute.withColumn("slot", F.explode(copies))
+        .withColumns({"previous": F.lag("minute").over(window), "next": F.lead("minute").over(window)})
+        .filter(slot == F.col("slot"))
     )
+    first = F.greatest(minute - tolerance_min, F.floor((F.col("previous") + minute) / 2) + 1)
+    last = F.least(minute + tolerance_min, F.floor((minute + F.col("next")) / 2))
+    return cells.select(F.explode(F.sequence(first, last)).alias("weather_minute"), "seen.*")
 
 
 def nearest_join(

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import VarianceThresholdSelector, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.functions.quantiles import exact_quantiles
 
+LINEAR = ("ridge", "lasso", "linear")
 # Settings of the models.
 SEED = 42
 ALPHA = 1.0
@@ -24,7 +25,7 @@ def split(df: DataFrame, test_size: float = 0.2, mode: str = "random", key: list
     """(train, test). Random rows by a hash of the key, or `mode='time'` with the latest rows as test."""
     if mode == "time":
         seconds = F.unix_timestamp(F.col(ts_col).cast("timestamp"))
-        cut = exact_quantiles(df.withColumn("__t", seconds), "__t", [1 - test_size])[0]
+        cut = exact_quantiles(df.withColumn("__t", seconds), {"__t": [1 - test_size]})["__t"][0]
         return df.filter(seconds <= cut), df.filter(seconds > cut)
     place = F.pmod(F.xxhash64(F.lit(SEED), *(key or ["sensor_id", ts_col])), F.lit(10_000))
     edge = round((1 - test_size) * 10_000)
@@ -34,11 +35,10 @@ def split(df: DataFrame, test_size: float = 0.2, mode: str = "random", key: list
 def estimator(kind: str, rows: int, label: str, features: str = "features", **params):
     """Model by name. Ridge divides its penalty by the rows, because Spark averages the loss."""
     common = {"featuresCol": features, "labelCol": label, "predictionCol": "prediction"}
-    if kind in ("ridge", "lasso", "linear"):
-        penalty = {"ridge": (ALPHA / rows, 0.0), "lasso": (ALPHA, 1.0), "linear": (0.0, 0.0)}[kind]
-        return LinearRegression(
-            regParam=penalty[0], elasticNetParam=penalty[1], standardization=False, **{**common, **params}
-        )
+    if kind in LINEAR:
+        penalty = {"ridge": ALPHA / max(rows, 1), "lasso": ALPHA, "linear": 0.0}[kind]
+        l1_share = 1.0 if kind == "lasso" else 0.0
+        return LinearRegression(regParam=penalty, elasticNetParam=l1_share, standardization=False, **{**common, **params})
     if kind == "forest":
         forest = {"numTrees": TREES, "maxDepth": TREE_DEPTH, "featureSubsetStrategy": "all", "seed": SEED}
         return RandomForestRegressor(**{**common, **forest, **params})
@@ -49,10 +49,17 @@ def estimator(kind: str, rows: int, label: str, features: str = "features", **pa
 
 
 def fit(df: DataFrame, kind: str, features: list[str], label: str = "traffic_volume", **params) -> PipelineModel:
-    """Fitted pipeline; the feature list is kept inside it by the assembler."""
+    """Fitted pipeline; the feature list is kept inside it by the assembler.
+
+    Constant features are dropped before a linear fit: they carry nothing and make
+    the normal equations singular.
+    """
     rows = df.count() if kind == "ridge" else 0
     assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip")
-    return Pipeline(stages=[assembler, estimator(kind, rows, label, **params)]).fit(df)
+    if kind not in LINEAR:
+        return Pipeline(stages=[assembler, estimator(kind, rows, label, **params)]).fit(df)
+    varying = VarianceThresholdSelector(featuresCol="features", outputCol="varying", varianceThreshold=0.0)
+    return Pipeline(stages=[assembler, varying, estimator(kind, rows, label, "varying", **params)]).fit(df)
 
 
 def predict(model: PipelineModel, df: DataFrame, name: str, keys: list[str], label: str = "traffic_volume") -> DataFrame:

@@ -67,10 +67,10 @@ def _first(column: str) -> str:
     return r(value, column) if column in ("latitude", "longitude") else f"{value} AS {column}"
 
 
-_TUMBLING = f"""SELECT sensor_id, time_bucket(INTERVAL 1 HOUR, reading_timestamp) AS window_start,
+TUMBLING_SQL = f"""SELECT sensor_id, time_bucket(INTERVAL 1 HOUR, reading_timestamp) AS window_start,
     time_bucket(INTERVAL 1 HOUR, reading_timestamp) + INTERVAL 1 HOUR AS window_end, avg({_V}) AS avg_volume, max({_V}) AS max_volume,
     count(*) AS reading_count, avg(speed_mph) AS avg_speed, {', '.join(_first(c) for c in _FIRSTS)} FROM readings GROUP BY ALL"""
-_TREND = f""", win AS ({_TUMBLING}),
+TREND_SQL = f""", win AS ({TUMBLING_SQL}),
 trend AS (SELECT c.*, p.avg_volume AS previous_avg_volume, c.avg_volume - p.avg_volume AS volume_trend,
     CASE WHEN c.avg_volume > p.avg_volume THEN 'increasing' WHEN c.avg_volume < p.avg_volume THEN 'decreasing' ELSE 'stable' END
         AS trend_indicator,
@@ -109,17 +109,17 @@ ORACLES = {
     "sequence_windows": sql(f"""SELECT {_ID}, array_to_string(s, ',') AS sequence, CAST({_V} AS INTEGER) AS next_value FROM (
         SELECT *, list({_V}) OVER ({_W} ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING) AS s FROM staged) WHERE len(s) = 24"""),
     "label_encode": sql(f"""SELECT {_ID}, {_V}, CAST(dense_rank() OVER (ORDER BY sensor_id) - 1 AS INTEGER) AS sensor_id_encoded FROM staged"""),
-    "stream_tumbling": sql(f"""SELECT * REPLACE ({r('avg_volume', 'avg_volume')}, {r('avg_speed', 'avg_speed')}) FROM ({_TUMBLING})"""),
+    "stream_tumbling": sql(f"""SELECT * REPLACE ({r('avg_volume', 'avg_volume')}, {r('avg_speed', 'avg_speed')}) FROM ({TUMBLING_SQL})"""),
     "stream_sliding": sql(f"""SELECT sensor_id, window_start, window_start + INTERVAL 3 HOUR AS window_end,
         {r(f'avg({_V})', 'avg_volume')}, {r('avg(speed_mph)', 'avg_speed')}, count(*) AS reading_count,
         {', '.join(_first(c) for c in _FIRSTS[:2])}
         FROM (SELECT *, time_bucket(INTERVAL 1 HOUR, reading_timestamp) - to_hours(unnest([0, 1, 2])) AS window_start FROM readings)
         GROUP BY ALL"""),
-    "stream_trend": sql(_TREND + f" SELECT {_TREND_COLUMNS} FROM trend"),
-    "stream_metrics": sql(_TREND + f" SELECT {_TREND_COLUMNS}, {_FLAGS} FROM trend"),
-    "stream_anomaly": sql(_TREND + f""" SELECT {_TREND_COLUMNS}, {_FLAGS}, anomaly_type
+    "stream_trend": sql(TREND_SQL + f" SELECT {_TREND_COLUMNS} FROM trend"),
+    "stream_metrics": sql(TREND_SQL + f" SELECT {_TREND_COLUMNS}, {_FLAGS} FROM trend"),
+    "stream_anomaly": sql(TREND_SQL + f""" SELECT {_TREND_COLUMNS}, {_FLAGS}, anomaly_type
         FROM (SELECT *, {KIND_SQL} AS anomaly_type FROM trend) WHERE anomaly_type IS NOT NULL"""),
-    "anomaly_timeline": sql(_TREND + f""" SELECT date_trunc('hour', window_start) AS hour, count(*) AS anomalies
+    "anomaly_timeline": sql(TREND_SQL + f""" SELECT date_trunc('hour', window_start) AS hour, count(*) AS anomalies
         FROM (SELECT *, {KIND_SQL} AS anomaly_type FROM trend)
         WHERE anomaly_type IS NOT NULL AND window_start > TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 168 HOUR GROUP BY ALL"""),
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -42,3 +43,8 @@ def cut_lineage(df):
     """Reliable checkpoint: the rows survive the loss of executors."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def work_folder(spark: SparkSession) -> str:
+    """New folder name beside the checkpoints, reachable from every executor."""
+    return f"{ensure_checkpoint_dir(spark)}/work-{uuid.uuid4().hex}"

@@ -13,9 +13,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def readings(spark: SparkSession, folder: str) -> DataFrame:
+def readings_from(events: DataFrame) -> DataFrame:
+    """Events, as a table or a stream, read as sensor readings."""
     user, event = F.col("user_id"), F.col("event_id")
-    return table(spark, folder, "events").select(
+    return events.select(
         F.concat(F.lit("sensor_"), user.cast("string")).alias("sensor_id"),
         F.col("ts").alias("reading_timestamp"),
         F.floor(F.col("value") * 20).cast("int").alias("traffic_volume"),
@@ -29,6 +30,18 @@ def readings(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def readings(spark: SparkSession, folder: str) -> DataFrame:
+    return readings_from(table(spark, folder, "events"))
+
+
+def reading_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The events file as a stream of readings; `timestamp` is a TIMESTAMP, as watermarks need it."""
+    schema = table(spark, folder, "events").schema
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
+    stream = readings_from(events).withColumnRenamed("reading_timestamp", "timestamp")
+    return stream.withColumn("timestamp", F.col("timestamp").cast("timestamp"))
+
+
 def weather(spark: SparkSession, folder: str) -> DataFrame:
     """One observation per ten events."""
     nth = F.expr("event_id DIV 10")
@@ -51,7 +64,9 @@ def weather(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def holidays(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.createDataFrame(HOLIDAYS, "date string, name string").withColumn("date", F.to_date("date"))
+    """A literal table: Spark knows its size and broadcasts it."""
+    rows = ", ".join(f"(DATE'{day}', '{name}')" for day, name in HOLIDAYS)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(date, name)")
 
 
 def sensor_history(spark: SparkSession, folder: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -26,8 +26,30 @@ def read_topic(spark: SparkSession, servers: str, topic: str, max_offsets: int =
     )
 
 
+def _times_as_text(schema: T.StructType) -> T.StructType:
+    return T.StructType(
+        [T.StructField(f.name, T.StringType() if f.dataType == T.TimestampType() else f.dataType) for f in schema]
+    )
+
+
+def _to_time(text: Column) -> Column:
+    """Time from ISO text or from milliseconds since 1970; null if it is neither."""
+    millis = F.timestamp_millis(text.try_cast("long"))
+    return F.when(text.rlike("^-?[0-9]{1,15}$"), millis).otherwise(text.try_cast("timestamp"))
+
+
 def _parsed(raw: DataFrame, schema: T.StructType) -> DataFrame:
-    return raw.select(F.col("value"), F.from_json(F.col("value").cast("string"), schema).alias("data"))
+    """Times are read as text and cast, which is several times faster than parsing them inside `from_json`."""
+    parsed = raw.select(F.col("value"), F.from_json(F.col("value").cast("string"), _times_as_text(schema)).alias("data"))
+    times = [f.name for f in schema if f.dataType == T.TimestampType()]
+    return parsed.withColumn("data", F.when(F.col("data").isNotNull(), _with_times(times)))
+
+
+def _with_times(times: list[str]) -> Column:
+    data = F.col("data")
+    for name in times:
+        data = data.withField(name, _to_time(F.col(f"data.{name}")))
+    return data
 
 
 def _unreadable(schema: T.StructType, required: list[str]):

@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-OUTPUT = "sensor_id string, last_reading timestamp, previous_reading timestamp, gap_minutes double, status string"
+OUTPUT = "sensor_id string, last_reading timestamp, previous_reading timestamp, gap_seconds double, status string"
 STATE = "last_reading timestamp"
 
 
@@ -37,18 +37,19 @@ def sensor_state(stream: DataFrame, gap_minutes: int = 120, key: str = "sensor_i
         last = pd.Timestamp(state.get[0]) if state.exists else None
         rows = []
         if state.hasTimedOut:
-            rows.append((sensor[0], last, None, float(gap_minutes), "silent"))
+            rows.append((sensor[0], last, None, gap_minutes * 60.0, "silent"))
             state.remove()
         else:
             for now in _edges_per_minute(batch[ts_col] for batch in batches):
                 if last is not None and now - last > limit:
-                    rows.append((sensor[0], now, last, (now - last).total_seconds() / 60, "resumed"))
+                    rows.append((sensor[0], now, last, (now - last).total_seconds(), "resumed"))
                 last = now if last is None else max(last, now)
             if last is not None:
                 state.update((last.to_pydatetime(),))
                 due = int(last.tz_localize("UTC").timestamp() * 1000) + gap_minutes * 60_000
                 state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame(rows, columns=["sensor_id", "last_reading", "previous_reading", "gap_minutes", "status"])
+        if rows:
+            yield pd.DataFrame(rows, columns=["sensor_id", "last_reading", "previous_reading", "gap_seconds", "status"])
 
     return (
         stream.select(key, ts_col)

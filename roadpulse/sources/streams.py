@@ -78,18 +78,42 @@ def with_watermark(stream: DataFrame, ts_col: str = "timestamp", delay: str = WA
     return stream.withColumn(ts_col, F.col(ts_col).cast("timestamp")).withWatermark(ts_col, delay)
 
 
+def _from_text(text: Column, kind: T.DataType) -> Column:
+    return _to_time(text) if kind == T.TimestampType() else text.try_cast(kind)
+
+
+def parse_json_rows(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """Columns of a schema from JSON text lines (`value`); names match in any case.
+
+    A line that is no JSON object, or has a value of the wrong type, keeps its text
+    in `_corrupt_record`.
+    """
+    entries = F.map_entries(F.from_json("value", "map<string,string>"))
+    listed = lines.select("value", entries.alias("entries"))
+
+    def text_of(name: str) -> Column:
+        found = F.filter("entries", lambda e: F.lower(e["key"]) == name.lower())
+        return F.get(found, F.lit(0))["value"]
+
+    texts = listed.select("value", F.col("entries").isNull().alias("bad"), *[text_of(f.name).alias(f.name) for f in schema])
+    typed = {f.name: _from_text(F.col(f.name), f.dataType) for f in schema}
+    bad = F.col("bad")
+    for name, value in typed.items():
+        bad = bad | (F.col(name).isNotNull() & value.isNull())
+    return texts.select(*[v.alias(n) for n, v in typed.items()], F.when(bad, F.col("value")).alias("_corrupt_record"))
+
+
 def read_feed(
     spark: SparkSession, path: str, fmt: str, schema: T.StructType, purge: bool = False, max_files: int | None = None
 ) -> DataFrame:
     """File stream under a fixed schema; names match in any case, bad rows go to `_corrupt_record`."""
-    reader = spark.readStream.format(fmt)
-    if fmt == "json":
-        schema = T.StructType(list(schema) + [T.StructField("_corrupt_record", T.StringType(), True)])
-        reader = reader.option("columnNameOfCorruptRecord", "_corrupt_record").option("mode", "PERMISSIVE")
+    reader = spark.readStream.format("text" if fmt == "json" else fmt)
     if purge:
         reader = reader.option("cleanSource", "delete")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if fmt == "json":
+        return parse_json_rows(reader.load(path).filter("trim(value) <> ''"), schema)
     return reader.schema(schema).load(path)
 
 
@@ -108,13 +132,11 @@ def auto_ingest(
         if fmt != "json":
             batch.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
             return
-        batch.persist()
         good, bad = F.col("_corrupt_record").isNull(), F.col("_corrupt_record").isNotNull()
         batch.filter(good).drop("_corrupt_record").write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
         batch.filter(bad).select("_corrupt_record").write.mode("overwrite").parquet(
             f"{target}_rejected/batch_id={batch_id}"
         )
-        batch.unpersist()
 
     return (
         stream.writeStream.foreachBatch(load)

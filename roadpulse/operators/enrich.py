@@ -12,8 +12,8 @@ from roadpulse.operators.windows import pct_change, rolling_rows
 
 TIME = "reading_timestamp"
 TOLERANCE_MIN = 60
-# A lookup of this many minutes (about four years) is still small enough to send to every task.
-BROADCAST_MINUTES = 2_000_000
+# A lookup of this many minutes (over a year, some 100 MB) is still small enough to send to every task.
+BROADCAST_MINUTES = 600_000
 # Slots of the minute line; a day keeps them few.
 SLOT_MINUTES = 1440
 # Columns an observation adds to a reading.

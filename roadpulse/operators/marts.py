@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roadpulse.operators.tables import compact
+
 VOLUME = "traffic_volume"
 
 
@@ -72,3 +74,19 @@ def mart_sensor_performance(hourly: DataFrame, ts_col: str = "reading_timestamp"
         _avg_if(F.col("is_weekend")).alias("avg_weekend_volume"),
         _avg_if(~F.col("is_weekend")).alias("avg_weekday_volume"),
     )
+
+
+def write_marts(hourly: DataFrame, folder: str, n_files: int, min_n: int = 30) -> None:
+    """Write the hourly table once, clustered by sensor and time, and the three marts from it.
+
+    The marts read the written table, so the joins and windows before it run once.
+    """
+    compact(hourly, ["sensor_id", "reading_timestamp"], n_files).write.mode("overwrite").parquet(f"{folder}/mart_hourly")
+    table = hourly.sparkSession.read.parquet(f"{folder}/mart_hourly")
+    marts = {
+        "mart_daily_summary": mart_daily_summary(table),
+        "mart_congestion": mart_congestion(table, min_n),
+        "mart_sensor_performance": mart_sensor_performance(table),
+    }
+    for name, mart in marts.items():
+        mart.write.mode("overwrite").parquet(f"{folder}/{name}")

@@ -10,32 +10,63 @@ from pyspark.sql import functions as F
 from roadpulse.functions.columns import as_time, before, latest
 
 
-def _rows(df: DataFrame, check: str, violations: dict[str, Column]) -> DataFrame:
-    """All columns of a check in one pass over the data."""
-    flat = df.agg(*[F.count_if(bad).alias(f"v{i}") for i, bad in enumerate(violations.values())])
+Rule = tuple[str, str, Column]
+
+
+def check_rows(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    """All rules (check, column, condition of a violation) in one pass over the data."""
+    flat = df.agg(*[F.count_if(bad).alias(f"v{i}") for i, (_, _, bad) in enumerate(rules)])
     rows = [
-        F.struct(F.lit(check).alias("check"), F.lit(name).alias("column"), F.col(f"v{i}").alias("violations"))
-        for i, name in enumerate(violations)
+        F.struct(F.lit(check).alias("check"), F.lit(column).alias("column"), F.col(f"v{i}").alias("violations"))
+        for i, (check, column, _) in enumerate(rules)
     ]
     return flat.select(F.inline(F.array(*rows))).withColumn("passed", F.col("violations") == 0)
 
 
+def not_null(columns: list[str]) -> list[Rule]:
+    return [("not_null", c, F.col(c).isNull()) for c in columns]
+
+
+def accepted_range(bounds: dict[str, tuple[float, float]]) -> list[Rule]:
+    """Inclusive bounds; nulls pass."""
+    return [("accepted_range", c, ~F.col(c).between(low, high)) for c, (low, high) in bounds.items()]
+
+
+def accepted_values(allowed: dict[str, list]) -> list[Rule]:
+    """Nulls pass."""
+    return [("accepted_values", c, ~F.col(c).isin(values)) for c, values in allowed.items()]
+
+
+def not_in_future(ts_col: str, as_of) -> list[Rule]:
+    return [("future_time", ts_col, F.col(ts_col) > as_time(as_of))]
+
+
+def level_consistent(volume: int = 5000) -> list[Rule]:
+    """A high volume must not be classed as low."""
+    return [("level_consistency", "traffic_level", (F.col("traffic_volume") > volume) & (F.col("traffic_level") == "low"))]
+
+
+def severity_consistent(severity: float = 5) -> list[Rule]:
+    """Severe weather without precipitation; high wind alone can cause it."""
+    return [("severity_consistency", "weather_severity", (F.col("weather_severity") > severity) & ~F.col("is_precipitation"))]
+
+
 def check_not_null(df: DataFrame, columns: list[str]) -> DataFrame:
-    return _rows(df, "not_null", {c: F.col(c).isNull() for c in columns})
+    return check_rows(df, not_null(columns))
 
 
 def check_unique(df: DataFrame, keys: list[str]) -> DataFrame:
     """Key values that occur more than once; keys with a null do not count."""
     counted = df.dropna(subset=keys).groupBy(*keys).count()
-    return _rows(counted, "unique", {",".join(keys): F.col("count") > 1})
+    return check_rows(counted, [("unique", ",".join(keys), F.col("count") > 1)])
 
 
 def check_accepted_range(df: DataFrame, bounds: dict[str, tuple[float, float]]) -> DataFrame:
-    return _rows(df, "accepted_range", {c: ~F.col(c).between(low, high) for c, (low, high) in bounds.items()})
+    return check_rows(df, accepted_range(bounds))
 
 
 def check_accepted_values(df: DataFrame, allowed: dict[str, list]) -> DataFrame:
-    return _rows(df, "accepted_values", {c: ~F.col(c).isin(values) for c, values in allowed.items()})
+    return check_rows(df, accepted_values(allowed))
 
 
 def orphans(df: DataFrame, parent: DataFrame, key: str, parent_key: str | None = None) -> DataFrame:
@@ -58,17 +89,15 @@ def check_relationship(df: DataFrame, parent: DataFrame, key: str, parent_key: s
 
 
 def check_future_time(df: DataFrame, ts_col: str, as_of) -> DataFrame:
-    return _rows(df, "future_time", {ts_col: F.col(ts_col) > as_time(as_of)})
+    return check_rows(df, not_in_future(ts_col, as_of))
 
 
 def check_level_consistency(df: DataFrame, volume: int = 5000) -> DataFrame:
-    """A high volume must not be classed as low."""
-    return _rows(df, "level_consistency", {"traffic_level": (F.col("traffic_volume") > volume) & (F.col("traffic_level") == "low")})
+    return check_rows(df, level_consistent(volume))
 
 
 def check_severity_consistency(wx: DataFrame, severity: float = 5) -> DataFrame:
-    """Severe weather without precipitation; high wind alone can cause it."""
-    return _rows(wx, "severity_consistency", {"weather_severity": (F.col("weather_severity") > severity) & ~F.col("is_precipitation")})
+    return check_rows(wx, severity_consistent(severity))
 
 
 def run_checks(checks: list[DataFrame]) -> DataFrame:

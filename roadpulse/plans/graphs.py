@@ -26,18 +26,21 @@ def _parents(spark, d):
 
 
 def suite(spark, d):
+    """Rules over the same table share one pass."""
     df, wx = staged(spark, d), staged_weather(spark, d)
     mart = hourly(spark, d).select("surrogate_key", "traffic_volume", "traffic_level")
+    row_rules = [
+        *quality.not_null(["sensor_id", "reading_timestamp", "traffic_volume", "speed_mph"]),
+        *quality.accepted_range(RANGES),
+        *quality.accepted_values({"hour_of_day": list(range(24)), "day_of_week": [1, 2, 3, 4, 5]}),
+        *quality.not_in_future("reading_timestamp", AS_OF),
+    ]
     return quality.run_checks(
         [
-            quality.check_not_null(df, ["sensor_id", "reading_timestamp", "traffic_volume", "speed_mph"]),
-            quality.check_accepted_range(df, RANGES),
-            quality.check_accepted_values(df, {"hour_of_day": list(range(24)), "day_of_week": [1, 2, 3, 4, 5]}),
-            quality.check_future_time(df, "reading_timestamp", AS_OF),
-            quality.check_severity_consistency(wx),
-            quality.check_not_null(mart, ["surrogate_key"]),
+            quality.check_rows(df, row_rules),
+            quality.check_rows(wx, quality.severity_consistent()),
+            quality.check_rows(mart, [*quality.not_null(["surrogate_key"]), *quality.level_consistent()]),
             quality.check_unique(mart, ["surrogate_key"]),
-            quality.check_level_consistency(mart),
             quality.check_relationship(df, _parents(spark, d), "sensor_id"),
         ]
     )

@@ -83,7 +83,7 @@ def late_merged(spark, d):
         .select(*columns)
     )
     late.late_merge(stream, f"{folder}/table", f"{folder}/checkpoint", LATE_AS_OF).awaitTermination()
-    return late.read_current(spark, f"{folder}/table").select(*columns, "is_late_arrival", "updated_at")
+    return late.read_current(spark, f"{folder}/table", LATE_AS_OF).select(*columns, "is_late_arrival", "updated_at")
 
 
 def sensor_gaps(spark, d):

@@ -1,4 +1,9 @@
-"""Late rows of a stream, merged batch by batch into a Parquet table."""
+"""Late rows of a stream, kept as changes beside a Parquet table and merged when it is read.
+
+A table folder holds `version=K` (a snapshot with the changes of all batches below K)
+and `changes/batch_id=N` (the late rows of batch N). A micro-batch writes only its own
+rows, whatever the size of the table; `fold` makes a new snapshot from time to time.
+"""
 
 from __future__ import annotations
 
@@ -8,66 +13,67 @@ from pyspark.sql.streaming import StreamingQuery
 from roadpulse.operators.late import late_arrivals
 from roadpulse.operators.tables import merge
 
+KEYS = ("sensor_id", "reading_timestamp")
 
 
-def _snapshot(table: str, version: int) -> str:
-    return f"{table}/version={version}"
-
-
-def _filesystem(spark: SparkSession, path: str):
-    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return jpath, jpath.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def versions(spark: SparkSession, table: str) -> list[int]:
-    """Complete snapshots of a table, oldest first."""
-    path, fs = _filesystem(spark, table)
+def _complete(spark: SparkSession, folder: str, prefix: str) -> list[int]:
+    """Numbers of the finished sub-folders `prefix=N`, in ascending order."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(path):
         return []
-    found = []
-    for status in fs.listStatus(path):
-        name = status.getPath().getName()
-        done = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
-        if name.startswith("version=") and fs.exists(done):
-            found.append(int(name.split("=")[1]))
-    return sorted(found)
+    names = [status.getPath().getName() for status in fs.listStatus(path)]
+    found = [n for n in names if n.startswith(f"{prefix}=") and fs.exists(hadoop.Path(f"{folder}/{n}/_SUCCESS"))]
+    return sorted(int(n.split("=")[1]) for n in found)
 
 
-def write_snapshot(df: DataFrame, table: str, version: int) -> None:
-    df.write.mode("overwrite").parquet(_snapshot(table, version))
+def versions(spark: SparkSession, table: str) -> list[int]:
+    return _complete(spark, table, "version")
 
 
-def read_current(spark: SparkSession, table: str, below: int | None = None) -> DataFrame:
-    """Newest complete snapshot (below a version, if given)."""
-    known = [v for v in versions(spark, table) if below is None or v < below]
-    return spark.read.parquet(_snapshot(table, known[-1]))
+def write_snapshot(df: DataFrame, table: str, version: int) -> None:
+    df.write.mode("overwrite").parquet(f"{table}/version={version}")
 
 
 def late_merge(
-    stream: DataFrame,
-    table: str,
-    checkpoint: str,
-    as_of,
-    hours: int = 24,
-    keys: tuple[str, ...] = ("sensor_id", "reading_timestamp"),
-    order: tuple[str, ...] = ("event_id",),
-    trigger: str | None = None,
+    stream: DataFrame, table: str, checkpoint: str, as_of, hours: int = 24, ts_col: str = KEYS[1], trigger: str | None = None
 ) -> StreamingQuery:
     """Upsert the late rows of each micro-batch.
 
-    No watermark is set, because it would drop the very rows meant here. The
-    snapshot a batch writes is named after the batch and built from the snapshot
-    before it, so a batch that runs again after a failure gives the same table.
+    No watermark is set, because it would drop the very rows meant here. A batch
+    that runs again after a failure overwrites what it wrote before.
     """
 
-    def merge_batch(batch: DataFrame, batch_id: int) -> None:
-        version = batch_id + 1
-        target = read_current(batch.sparkSession, table, below=version)
-        late = late_arrivals(batch, as_of, hours, keys[1])
-        write_snapshot(merge(target, late, list(keys), list(order), as_of), table, version)
+    def store(batch: DataFrame, batch_id: int) -> None:
+        late_arrivals(batch, as_of, hours, ts_col).write.mode("overwrite").parquet(f"{table}/changes/batch_id={batch_id}")
 
-    writer = stream.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
+    writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
     return writer.start()
 
 
+def read_current(
+    spark: SparkSession, table: str, as_of, keys: tuple[str, ...] = KEYS, order: tuple[str, ...] = ("event_id",)
+) -> DataFrame:
+    """Newest snapshot with the later changes merged in; the later batch wins."""
+    version = versions(spark, table)[-1]
+    snapshot = spark.read.parquet(f"{table}/version={version}")
+    batches = [n for n in _complete(spark, f"{table}/changes", "batch_id") if n >= version]
+    if not batches:
+        return snapshot
+    paths = [f"{table}/changes/batch_id={n}" for n in batches]
+    changes = spark.read.option("basePath", f"{table}/changes").parquet(*paths)
+    merged = merge(snapshot, changes, list(keys), ["batch_id", *order], as_of)
+    return merged.drop("batch_id")
+
+
+def fold(spark: SparkSession, table: str, as_of, keys: tuple[str, ...] = KEYS, order: tuple[str, ...] = ("event_id",)) -> int:
+    """Write a snapshot with all finished changes; returns its version."""
+    batches = _complete(spark, f"{table}/changes", "batch_id")
+    version = max([batches[-1] + 1 if batches else 0, versions(spark, table)[-1]])
+    if version not in versions(spark, table):
+        write_snapshot(read_current(spark, table, as_of, keys, order), table, version)
+    return version
+
+

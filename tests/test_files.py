@@ -116,3 +116,15 @@ def test_nested_round_trip(spark, rows):
     df = readings(spark).withColumnRenamed("timestamp", "reading_timestamp").withColumn("event_id", F.col("traffic_volume"))
     flat = readers.flatten_reading(readers.nest_reading(df))
     assert rows(flat) == rows(df, *flat.columns)
+
+
+def test_marts_from_one_written_table(spark, data, rows, tmp_path):
+    from roadpulse.operators import marts
+    from roadpulse.plans.base import hourly
+
+    df = hourly(spark, data)
+    marts.write_marts(df, str(tmp_path), 3, min_n=1)
+    written = spark.read.parquet(str(tmp_path / "mart_daily_summary"))
+    assert rows(written) == rows(marts.mart_daily_summary(df), *written.columns)
+    assert len(spark.read.parquet(str(tmp_path / "mart_hourly")).inputFiles()) <= 3
+    assert spark.read.parquet(str(tmp_path / "mart_congestion")).count() > 0

@@ -138,22 +138,32 @@ def test_late_rows_merge_batch_by_batch(spark, tmp_path):
     as_of = str(T0 + timedelta(hours=30))
     land(spark, source, [reading("a", 0, 10, 3), reading("c", 0, 20, 4), reading("fresh", 25 * 60, 1, 5)])
     late.late_merge(late_stream(spark, source), table, check, as_of).awaitTermination()
-    land(spark, source, [reading("a", 0, 11, 6), reading("d", 0, 30, 7)])
+    land(spark, source, [reading("a", 0, 11, 1), reading("d", 0, 30, 7)])
     late.late_merge(late_stream(spark, source), table, check, as_of).awaitTermination()
-    got = {r["sensor_id"]: (r["traffic_volume"], r["is_late_arrival"]) for r in late.read_current(spark, table).collect()}
-    assert got == {"a": (11, True), "b": (2, None), "c": (20, True), "d": (30, True)}
-    assert late.versions(spark, table) == [0, 1, 2]
+    expected = {"a": (11, True), "b": (2, None), "c": (20, True), "d": (30, True)}
 
+    def current():
+        return {r["sensor_id"]: (r["traffic_volume"], r["is_late_arrival"]) for r in late.read_current(spark, table, as_of).collect()}
 
-def test_late_merge_repeats_a_failed_batch(spark, tmp_path):
-    """A snapshot without its success mark is not read and is written again."""
+    assert current() == expected
+    assert late.fold(spark, table, as_of) == 2 == late.fold(spark, table, as_of)
+    assert late.versions(spark, table) == [0, 2] and current() == expected
+    land(spark, source, [reading("b", 0, 12, 8)])
+    late.late_merge(late_stream(spark, source), table, check, as_of).awaitTermination()
+    assert current() == {**expected, "b": (12, True)}
+
+
+def test_unfinished_changes_are_not_read_and_written_again(spark, tmp_path):
     source, table, check = tmp_path / "in", str(tmp_path / "table"), str(tmp_path / "check")
     late.write_snapshot(late_base(spark), table, 0)
-    (tmp_path / "table" / "version=1").mkdir()
-    (tmp_path / "table" / "version=1" / "part-0.parquet").write_text("half written")
+    half = tmp_path / "table" / "changes" / "batch_id=0"
+    half.mkdir(parents=True)
+    (half / "part-0.parquet").write_text("half written")
+    as_of = str(T0 + timedelta(hours=30))
+    assert late.read_current(spark, table, as_of).first()["traffic_volume"] == 1
     land(spark, source, [reading("a", 0, 10, 3)])
-    late.late_merge(late_stream(spark, source), table, check, str(T0 + timedelta(hours=30))).awaitTermination()
-    assert late.read_current(spark, table).first()["traffic_volume"] == 10
+    late.late_merge(late_stream(spark, source), table, check, as_of).awaitTermination()
+    assert late.read_current(spark, table, as_of).first()["traffic_volume"] == 10
 
 
 def late_base(spark):

@@ -17,6 +17,7 @@ from roadpulse.functions.sizing import BLOCK_ROWS, has_hot_group, setting
 from roadpulse.session import cut_lineage
 
 _INDEX, _BLOCK, _PLACE, _PART = "__index", "__block", "__place", "__part"
+_SO_FAR = (Window.unboundedPreceding, Window.currentRow)
 
 
 def number_rows(df: DataFrame, order: list[Column]) -> DataFrame:
@@ -82,43 +83,66 @@ def with_windows(
     return spread.withColumns(build(window)).filter(F.col(_BLOCK) == own).drop(_BLOCK, _INDEX)
 
 
-def carry_forward(
-    df: DataFrame, keys: list[str], order: list[Column], columns: dict[str, Column]
+def carry(
+    df: DataFrame,
+    keys: list[str],
+    order: list[Column],
+    forward: dict[str, Column],
+    backward: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Add, for each named column, its last non-null value up to the current row."""
-    reach = (Window.unboundedPreceding, Window.currentRow)
+    """Add last and next non-null values per key.
+
+    A column of `forward` holds the last non-null value up to the current row, one
+    of `backward` the next one from the current row on. The order must be total.
+    """
+    backward = backward or {}
     if not has_hot_group(df, keys):
-        window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*reach)
-        return df.withColumns({name: F.last(value, True).over(window) for name, value in columns.items()})
+        out = {}
+        for values, by in ((forward, order), (backward, [c.desc() for c in order])):
+            window = Window.partitionBy(*keys).orderBy(*by).rowsBetween(*_SO_FAR)
+            out.update({name: F.last(value, True).over(window) for name, value in values.items()})
+        return df.withColumns(out)
     size = setting(df, "blockRows", BLOCK_ROWS)
-    held = {name: f"__held_{name}" for name in columns}
+    values = {**forward, **backward}
     numbered = (
         number_rows(df, _total_order(keys, order))
         .withColumn(_BLOCK, F.floor(F.col(_INDEX) / size))
-        .withColumns({held[name]: value for name, value in columns.items()})
+        .withColumns({f"__held_{name}": value for name, value in values.items()})
     )
-    window = Window.partitionBy(_BLOCK, *keys).orderBy(_INDEX).rowsBetween(*reach)
-    local = numbered.withColumns({name: F.last(held[name], True).over(window) for name in columns})
-    # Last value of each (key, block), then the last value of earlier blocks. A key
-    # has as many rows here as it spans blocks.
+    filled = numbered
+    if forward:
+        filled = _carry_blocks(filled, numbered, keys, list(forward), reverse=False)
+    if backward:
+        filled = _carry_blocks(filled, numbered, keys, list(backward), reverse=True)
+    return filled.drop(_INDEX, _BLOCK, *[f"__held_{name}" for name in values])
+
+
+def _carry_blocks(filled: DataFrame, numbered: DataFrame, keys: list[str], names: list[str], reverse: bool) -> DataFrame:
+    """Carry inside each (key, block), then into it what the blocks before it end with."""
+
+    def along(column: str) -> Column:
+        return F.col(column).desc() if reverse else F.col(column).asc()
+
+    window = Window.partitionBy(_BLOCK, *keys).orderBy(along(_INDEX)).rowsBetween(*_SO_FAR)
+    local = filled.withColumns({name: F.last(f"__held_{name}", True).over(window) for name in names})
+    pick = F.min_by if reverse else F.max_by
     closing = numbered.groupBy(*keys, _BLOCK).agg(
-        *[F.max_by(held[name], F.when(F.col(held[name]).isNotNull(), F.col(_INDEX))).alias(held[name]) for name in columns]
+        *[pick(f"__held_{n}", F.when(F.col(f"__held_{n}").isNotNull(), F.col(_INDEX))).alias(f"__held_{n}") for n in names]
     )
-    earlier = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    # A key has as many rows here as it spans blocks.
+    before = Window.partitionBy(*keys).orderBy(along(_BLOCK)).rowsBetween(Window.unboundedPreceding, -1)
     opening = closing.select(
         *[F.col(key).alias(f"__key_{key}") for key in keys],
         F.col(_BLOCK).alias("__opening"),
-        F.count(F.lit(1)).over(earlier).alias("__seen"),
-        *[F.last(held[name], True).over(earlier).alias(f"__from_{name}") for name in columns],
+        F.count(F.lit(1)).over(before).alias("__seen"),
+        *[F.last(f"__held_{name}", True).over(before).alias(f"__from_{name}") for name in names],
     ).filter("__seen > 0")
     match = F.col(_BLOCK) == F.col("__opening")
     for key in keys:
         match = match & F.col(key).eqNullSafe(F.col(f"__key_{key}"))
     joined = local.join(opening, match, "left")
-    filled = joined.withColumns({name: F.coalesce(F.col(name), F.col(f"__from_{name}")) for name in columns})
-    spare = [_INDEX, _BLOCK, "__opening", "__seen"] + list(held.values())
-    spare += [f"__key_{key}" for key in keys] + [f"__from_{name}" for name in columns]
-    return filled.drop(*spare)
+    out = joined.withColumns({name: F.coalesce(F.col(name), F.col(f"__from_{name}")) for name in names})
+    return out.drop("__opening", "__seen", *[f"__key_{key}" for key in keys], *[f"__from_{name}" for name in names])
 
 
 def keep_first(df: DataFrame, keys: list[str], order: list[Column], last: bool = False) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.functions.ordered import carry_forward, keep_first
+from roadpulse.functions.ordered import carry, keep_first
 from roadpulse.functions.quantiles import exact_quantiles
 from roadpulse.functions.sizing import is_small
 from roadpulse.session import cut_lineage
@@ -19,9 +19,8 @@ def dedup(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 def fill_missing(df: DataFrame, columns: list[str], key: str, ts_col: str, tiebreak: str) -> DataFrame:
     """Fill gaps with the last value of the key, then the next one, then the overall median."""
     order = [F.col(ts_col), F.col(tiebreak)]
-    forward = carry_forward(df, [key], order, {f"__last_{c}": F.col(c) for c in columns})
-    around = carry_forward(
-        forward, [key], [c.desc() for c in order], {f"__next_{c}": F.col(c) for c in columns}
+    around = carry(
+        df, [key], order, {f"__last_{c}": F.col(c) for c in columns}, {f"__next_{c}": F.col(c) for c in columns}
     )
     filled = around.withColumns({c: F.coalesce(F.col(f"__last_{c}"), F.col(f"__next_{c}")) for c in columns})
     filled = filled.select(*df.columns)

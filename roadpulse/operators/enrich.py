@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from roadpulse.functions.columns import epoch_minute, surrogate_key, traffic_level
-from roadpulse.functions.ordered import carry_forward, keep_first, with_windows
+from roadpulse.functions.ordered import carry, keep_first, with_windows
 from roadpulse.functions.sizing import has_hot_group
 from roadpulse.operators.windows import pct_change, rolling_rows
 
@@ -123,7 +123,7 @@ def with_sensor_at(
         "*", F.col(ts_col).alias("__time"), F.lit(1).alias("__kind"), F.col(tiebreak).cast("long").alias("__tie")
     )
     line = facts.unionByName(side, allowMissingColumns=True)
-    carried = carry_forward(
+    carried = carry(
         line, [key], [F.col("__time"), F.col("__kind"), F.col("__tie")], {"__valid": F.col("__version")}
     ).filter("__kind = 1")
     inside = F.col(ts_col) < F.col("__valid.valid_to")

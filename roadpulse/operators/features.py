@@ -87,7 +87,7 @@ def label_codes(df: DataFrame, column: str) -> DataFrame:
     """
     values = df.select(column).filter(F.col(column).isNotNull()).distinct()
     if is_small(df):
-        return values.withColumn(f"{column}_encoded", F.row_number().over(Window.orderBy(column)) - 1)
+        return values.withColumn(f"{column}_encoded", (F.row_number().over(Window.orderBy(column)) - 1).cast("long"))
     return number_rows(values, [F.col(column)]).withColumnRenamed("__index", f"{column}_encoded")
 
 

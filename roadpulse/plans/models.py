@@ -136,7 +136,7 @@ _PREPARED = (
     + f""", stats AS (SELECT sensor_id, {_STATS} FROM cleaned GROUP BY ALL),
     wide AS (SELECT *, {', '.join(_LAGS + _ROLLS)}, dense_rank() OVER (ORDER BY sensor_id) - 1 AS code FROM cleaned),
     timed AS (SELECT w.*, s.* EXCLUDE (sensor_id), {ML_TIME_SQL} FROM wide w JOIN stats s ON s.sensor_id = w.sensor_id)
-    SELECT {', '.join(ID)}, {', '.join(_TIME_NAMES)}, CAST(code AS INTEGER) AS sensor_id_encoded,
+    SELECT {', '.join(ID)}, {', '.join(_TIME_NAMES)}, CAST(code AS BIGINT) AS sensor_id_encoded,
         {', '.join(r(n, n) for n in _DOUBLE_NAMES)}, {', '.join(r(e, n) for n, e in _MIXED.items())} FROM timed WHERE {_COMPLETE}"""
 )
 _PRED = (

@@ -108,7 +108,7 @@ ORACLES = {
         abs({_V} - traffic_volume_rolling_avg) / nullif(traffic_volume_rolling_std, 0) AS z FROM {_range(WEEK)}) WHERE z > 2.5"""),
     "sequence_windows": sql(f"""SELECT {_ID}, array_to_string(s, ',') AS sequence, CAST({_V} AS INTEGER) AS next_value FROM (
         SELECT *, list({_V}) OVER ({_W} ROWS BETWEEN 24 PRECEDING AND 1 PRECEDING) AS s FROM staged) WHERE len(s) = 24"""),
-    "label_encode": sql(f"""SELECT {_ID}, {_V}, CAST(dense_rank() OVER (ORDER BY sensor_id) - 1 AS INTEGER) AS sensor_id_encoded FROM staged"""),
+    "label_encode": sql(f"""SELECT {_ID}, {_V}, CAST(dense_rank() OVER (ORDER BY sensor_id) - 1 AS BIGINT) AS sensor_id_encoded FROM staged"""),
     "stream_tumbling": sql(f"""SELECT * REPLACE ({r('avg_volume', 'avg_volume')}, {r('avg_speed', 'avg_speed')}) FROM ({TUMBLING_SQL})"""),
     "stream_sliding": sql(f"""SELECT sensor_id, window_start, window_start + INTERVAL 3 HOUR AS window_end,
         {r(f'avg({_V})', 'avg_volume')}, {r('avg(speed_mph)', 'avg_speed')}, count(*) AS reading_count,

@@ -46,8 +46,7 @@ def rows_of(table) -> tuple[list[str], Counter]:
 def difference(spark: SparkSession, con, query, text: str, folder: str) -> str | None:
     """None if both sides agree, else a short account of what differs."""
     left_names, left = rows_of(query(spark, folder).toArrow())
-    result = con.execute(text).to_arrow_table() if hasattr(con, "to_arrow_table") else con.execute(text).fetch_arrow_table()
-    right_names, right = rows_of(result)
+    right_names, right = rows_of(con.sql(text).to_arrow_table())
     if left_names != right_names:
         return f"columns {left_names} != {right_names}"
     if left != right:

@@ -48,15 +48,21 @@ def test_windows_over_block_borders(spark, rows, split_groups):
 
 def test_carry_over_many_blocks(spark, rows):
     df = _line(spark).withColumn("v", F.when(F.col("id").isin(1, 150), F.col("id")))
-    plain = rows(ordered.carry_forward(df, ["k"], [F.col("t"), F.col("id")], {"last": F.col("v")}), "k", "id", "last")
-    for name, value in {"smallBytes": 0, "maxGroupRows": 3, "blockRows": 5}.items():
+
+    def carried():
+        found = ordered.carry(df, ["k"], [F.col("t"), F.col("id")], {"last": F.col("v")}, {"next": F.col("v")})
+        return rows(found, "k", "id", "last", "next")
+
+    plain = carried()
+    tiny = {"smallBytes": 0, "maxGroupRows": 3, "blockRows": 5}
+    for name, value in tiny.items():
         spark.conf.set(f"roadpulse.{name}", str(value))
     try:
-        split = rows(ordered.carry_forward(df, ["k"], [F.col("t"), F.col("id")], {"last": F.col("v")}), "k", "id", "last")
+        split = carried()
     finally:
-        for name in ("smallBytes", "maxGroupRows", "blockRows"):
+        for name in tiny:
             spark.conf.unset(f"roadpulse.{name}")
-    assert split == plain
+    assert split == plain and len(split) == 200
 
 
 def test_numbering_is_dense_and_ordered(spark):

@@ -13,21 +13,24 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from roadpulse.functions.sizing import BLOCK_ROWS, has_hot_group, setting
+from roadpulse.functions.sizing import BLOCK_ROWS, GroupLoad, group_load, setting
 from roadpulse.session import cut_lineage
 
 _INDEX, _BLOCK, _PLACE, _PART = "__index", "__block", "__place", "__part"
 _SO_FAR = (Window.unboundedPreceding, Window.currentRow)
 
 
-def number_rows(df: DataFrame, order: list[Column]) -> DataFrame:
+def number_rows(df: DataFrame, order: list[Column], rows: int = 0) -> DataFrame:
     """Add the 0-based position of each row in the global order.
 
     The order must be total (end with a unique column). Positions are fixed by a
-    reliable checkpoint, because range bounds are sampled anew on every run.
+    reliable checkpoint, because range bounds are sampled anew on every run. `rows`,
+    if known, gives enough partitions for one block of rows in each.
     """
+    parts = max(-(-rows // setting(df, "blockRows", BLOCK_ROWS)), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranged = df.repartitionByRange(parts, *order) if rows else df.repartitionByRange(*order)
     placed = cut_lineage(
-        df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn(_PLACE, F.monotonically_increasing_id())
+        ranged.sortWithinPartitions(*order).withColumn(_PLACE, F.monotonically_increasing_id())
     ).withColumn(_PART, F.shiftright(_PLACE, 33))
     # One row per task of the sort: a few thousand at most.
     sizes = placed.groupBy(_PART).agg(F.count(F.lit(1)).alias("n")).orderBy(_PART).collect()
@@ -55,20 +58,19 @@ def with_windows(
     build: Callable[[WindowSpec], dict[str, Column]],
     before: int = 0,
     after: int = 0,
-    hot: bool | None = None,
+    load: GroupLoad | None = None,
 ) -> DataFrame:
     """Add the columns of `build(window)`.
 
     `build` gets a window partitioned and ordered as asked; its frames may reach
-    `before` rows back and `after` rows ahead (counting lag and lead). `hot` tells
-    whether some key is oversized; left out, it is looked up.
+    `before` rows back and `after` rows ahead (counting lag and lead). `load` tells
+    how the rows spread over the keys; left out, it is looked up.
     """
-    if hot is None:
-        hot = has_hot_group(df, keys)
-    if not hot:
+    load = load or group_load(df, keys)
+    if not load.hot:
         return df.withColumns(build(Window.partitionBy(*keys).orderBy(*order)))
     size = max(setting(df, "blockRows", BLOCK_ROWS), before + after + 1)
-    numbered = number_rows(df, _total_order(keys, order))
+    numbered = number_rows(df, _total_order(keys, order), load.rows)
     own = F.floor(F.col(_INDEX) / size)
     place = F.col(_INDEX) % size
     copies = F.array_compact(
@@ -96,7 +98,8 @@ def carry(
     of `backward` the next one from the current row on. The order must be total.
     """
     backward = backward or {}
-    if not has_hot_group(df, keys):
+    load = group_load(df, keys)
+    if not load.hot:
         out = {}
         for values, by in ((forward, order), (backward, [c.desc() for c in order])):
             window = Window.partitionBy(*keys).orderBy(*by).rowsBetween(*_SO_FAR)
@@ -105,7 +108,7 @@ def carry(
     size = setting(df, "blockRows", BLOCK_ROWS)
     values = {**forward, **backward}
     numbered = (
-        number_rows(df, _total_order(keys, order))
+        number_rows(df, _total_order(keys, order), load.rows)
         .withColumn(_BLOCK, F.floor(F.col(_INDEX) / size))
         .withColumns({f"__held_{name}": value for name, value in values.items()})
     )

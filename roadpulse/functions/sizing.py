@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,13 +31,28 @@ def is_small(df: DataFrame) -> bool:
     return plan_bytes(df) <= setting(df, "smallBytes", SMALL_BYTES)
 
 
-def has_hot_group(df: DataFrame, keys: list[str]) -> bool:
-    """True if some key holds more rows than one task should sort.
+@dataclass(frozen=True)
+class GroupLoad:
+    """Rows of an input, rows of its largest key, and the most one task should sort."""
 
-    The count is a map-side aggregation over the key columns alone and is not
-    run at all for input that is small as a whole.
+    rows: int
+    largest: int
+    bound: int
+
+    @property
+    def hot(self) -> bool:
+        return self.largest > self.bound
+
+
+def group_load(df: DataFrame, keys: list[str]) -> GroupLoad:
+    """How the rows spread over the keys.
+
+    The count is a map-side aggregation over the key columns alone, and is not run
+    at all for input that is small as a whole.
     """
-    if is_small(df):
-        return False
     bound = setting(df, "maxGroupRows", MAX_GROUP_ROWS)
-    return not df.groupBy(*keys).count().filter(F.col("count") > bound).isEmpty()
+    if is_small(df):
+        return GroupLoad(0, 0, bound)
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    row = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.max("n"), F.lit(0)).alias("largest")).first()
+    return GroupLoad(row["rows"], row["largest"], bound)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.functions.columns import epoch_minute, surrogate_key, traffic_level
 from roadpulse.functions.ordered import carry, keep_first, with_windows
-from roadpulse.functions.sizing import has_hot_group
+from roadpulse.functions.sizing import group_load
 from roadpulse.operators.windows import pct_change, rolling_rows
 
 TIME = "reading_timestamp"
@@ -158,8 +158,8 @@ def int_enriched(readings: DataFrame, wx: DataFrame, holidays: DataFrame, versio
 
     The windows run over one row per (sensor, time), before the joins widen the rows.
     """
-    hot = has_hot_group(readings, ["sensor_id"])
-    if hot:
+    load = group_load(readings, ["sensor_id"])
+    if load.hot:
         single = one_per_instant(readings)
     else:
         # Same order as the rolling windows, so duplicates go without a shuffle of their own.
@@ -175,7 +175,7 @@ def int_enriched(readings: DataFrame, wx: DataFrame, holidays: DataFrame, versio
             "volume_pct_change": pct_change("traffic_volume", w),
         },
         before=23,
-        hot=hot,
+        load=load,
     )
     placed = with_sensor(with_holidays(nearest_join(measured, wx), holidays), versions)
     return placed.withColumns(

@@ -119,6 +119,8 @@ ORACLES = {
     "stream_metrics": sql(TREND_SQL + f" SELECT {_TREND_COLUMNS}, {_FLAGS} FROM trend"),
     "stream_anomaly": sql(TREND_SQL + f""" SELECT {_TREND_COLUMNS}, {_FLAGS}, anomaly_type
         FROM (SELECT *, {KIND_SQL} AS anomaly_type FROM trend) WHERE anomaly_type IS NOT NULL"""),
+    "sink_alerts": sql(TREND_SQL + f""" SELECT sensor_id AS key, sensor_id, anomaly_type, trend_indicator, reading_count, max_volume
+        FROM (SELECT *, {KIND_SQL} AS anomaly_type FROM trend) WHERE anomaly_type IS NOT NULL"""),
     "anomaly_timeline": sql(TREND_SQL + f""" SELECT date_trunc('hour', window_start) AS hour, count(*) AS anomalies
         FROM (SELECT *, {KIND_SQL} AS anomaly_type FROM trend)
         WHERE anomaly_type IS NOT NULL AND window_start > TIMESTAMP '2024-01-31 00:00:00' - INTERVAL 168 HOUR GROUP BY ALL"""),

@@ -118,7 +118,11 @@ def as_of_state(spark, d):
 
 def alerts(spark, d):
     measured = windows.metrics(adapters.readings(spark, d), 60, "reading_timestamp", "event_id")
-    return sinks.to_alert_messages(windows.anomalies(measured))
+    messages = sinks.to_alert_messages(windows.anomalies(measured))
+    # Fields read back from the messages, so that both engines can compare them.
+    number = F.get_json_object("value", "$.reading_count").cast("long")
+    texts = [F.get_json_object("value", f"$.{c}").alias(c) for c in ("sensor_id", "anomaly_type", "trend_indicator")]
+    return messages.select("key", *texts, number.alias("reading_count"), F.get_json_object("value", "$.max_volume").cast("int").alias("max_volume"))
 
 
 QUERIES = {

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.functions import ordered
 from roadpulse.functions.quantiles import exact_quantiles
+from roadpulse.functions.sizing import GroupLoad, group_load
 from roadpulse.plans import registry
 
 # Queries whose operators have a second path, with one of their keys holding many rows.
@@ -41,7 +42,7 @@ def _measures(w):
 def test_windows_over_block_borders(spark, rows, split_groups):
     df, order = _line(spark), [F.col("t"), F.col("id")]
     split = ordered.with_windows(df, ["k"], order, _measures, before=3, after=2)
-    plain = ordered.with_windows(df, ["k"], order, _measures, hot=False)
+    plain = ordered.with_windows(df, ["k"], order, _measures, load=GroupLoad(0, 0, 1))
     assert rows(split) == rows(plain.select(*split.columns))
     assert split.count() == 200
 
@@ -85,3 +86,13 @@ def test_narrowed_quantiles_are_exact(spark, split_groups, values):
 def test_quantiles_without_values(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert exact_quantiles(df, {"x": [0.5]})["x"] == [None]
+
+
+def test_load_of_the_largest_key(spark, split_groups):
+    load = group_load(_line(spark), ["k"])
+    assert (load.rows, load.largest, load.hot) == (200, 133, True)
+    assert group_load(_line(spark).limit(0), ["k"]).hot is False
+
+
+def test_small_input_is_not_counted(spark):
+    assert group_load(_line(spark), ["k"]).rows == 0

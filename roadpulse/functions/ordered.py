@@ -23,8 +23,8 @@ _SO_FAR = (Window.unboundedPreceding, Window.currentRow)
 def number_rows(df: DataFrame, order: list[Column], rows: int = 0) -> DataFrame:
     """Add the 0-based position of each row in the global order.
 
-    The order must be total (end with a unique column). Positions are fixed by a
-    reliable checkpoint, because range bounds are sampled anew on every run. `rows`,
+    The order must be total (end with a unique column). Positions are fixed by
+    writing them, because range bounds are sampled anew on every run. `rows`,
     if known, gives enough partitions for one block of rows in each.
     """
     parts = max(-(-rows // setting(df, "blockRows", BLOCK_ROWS)), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))

@@ -75,7 +75,7 @@ def impact(links: DataFrame, node: str) -> DataFrame:
     """Every node downstream of `node`, with its smallest number of hops.
 
     Breadth first: each round joins only the newest nodes to the edges and leaves
-    out what was reached before, so cycles end. Rounds are checkpointed; their
+    out what was reached before, so cycles end. Every round is written out; their
     number is the depth of the graph.
     """
     pairs = links.select("src", "dst").distinct()

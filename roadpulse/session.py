@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app_name: str = "roadpulse", master: str | None = None, **conf: str) -> SparkSession:
@@ -39,12 +39,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return named
 
 
-def cut_lineage(df):
-    """Reliable checkpoint: the rows survive the loss of executors."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 def work_folder(spark: SparkSession) -> str:
     """New folder name beside the checkpoints, reachable from every executor."""
     return f"{ensure_checkpoint_dir(spark)}/work-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """The rows as a table written to the shared folder.
+
+    They survive the loss of executors, are computed once (a checkpoint computes
+    them twice), and later plans know their size and read only the columns they need.
+    """
+    path = work_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

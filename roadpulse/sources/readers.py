@@ -74,20 +74,21 @@ def flatten_weather(raw: DataFrame, json_col: str = "value") -> DataFrame:
     one of them is dropped. Missing visibility and clouds become 0.
     """
     doc = F.from_json(F.col(json_col).cast("string"), WEATHER_DOCUMENT)
-    condition = F.get("doc.weather", F.lit(0))
-    flat = raw.select(doc.alias("doc")).select(
-        F.timestamp_seconds("doc.dt").alias("timestamp"),
-        F.col("doc.coord.lat").alias("latitude"),
-        F.col("doc.coord.lon").alias("longitude"),
-        F.col("doc.main.temp").alias("temp_fahrenheit"),
-        F.col("doc.main.humidity").alias("humidity_pct"),
-        F.col("doc.wind.speed").alias("wind_speed_mph"),
+    condition = F.get("weather", F.lit(0))
+    # The generator keeps the parse apart from its fields, so a document is parsed once.
+    flat = raw.select(F.inline(F.array(doc))).select(
+        F.timestamp_seconds("dt").alias("timestamp"),
+        F.col("coord.lat").alias("latitude"),
+        F.col("coord.lon").alias("longitude"),
+        F.col("main.temp").alias("temp_fahrenheit"),
+        F.col("main.humidity").alias("humidity_pct"),
+        F.col("wind.speed").alias("wind_speed_mph"),
         condition["main"].alias("weather_main"),
         condition["description"].alias("weather_description"),
-        (F.coalesce("doc.visibility", F.lit(0.0)) / METERS_PER_MILE).alias("visibility_miles"),
-        F.coalesce("doc.clouds.all", F.lit(0)).alias("clouds_pct"),
-        F.col("doc.rain.`1h`").alias("rain_1h_mm"),
-        F.col("doc.snow.`1h`").alias("snow_1h_mm"),
+        (F.coalesce("visibility", F.lit(0.0)) / METERS_PER_MILE).alias("visibility_miles"),
+        F.coalesce("clouds.all", F.lit(0)).alias("clouds_pct"),
+        F.col("rain.`1h`").alias("rain_1h_mm"),
+        F.col("snow.`1h`").alias("snow_1h_mm"),
     )
     return flat.dropna(subset=["temp_fahrenheit", "humidity_pct", "wind_speed_mph", "weather_main"])
 

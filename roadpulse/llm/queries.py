@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from roadpulse.llm import exact_dedup, mixing
+from roadpulse.llm import exact_dedup, mixing, simhash
 
-_PARTS = [exact_dedup, mixing]
+_PARTS = [exact_dedup, mixing, simhash]
 
 QUERIES = {key: query for part in _PARTS for key, query in part.QUERIES.items()}
 ORACLES = {key: text for part in _PARTS for key, text in part.ORACLES.items()}

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from roadpulse.llm import exact_dedup, mixing, packing, simhash, token_files
+from roadpulse.llm import exact_dedup, mixing, packing, quality, simhash, token_files
 
-_PARTS = [exact_dedup, mixing, simhash, token_files, packing]
+_PARTS = [exact_dedup, mixing, simhash, token_files, quality, packing]
 
 QUERIES = {key: query for part in _PARTS for key, query in part.QUERIES.items()}
 ORACLES = {key: text for part in _PARTS for key, text in part.ORACLES.items()}

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from roadpulse.llm import exact_dedup, html, mixing, packing, quality, simhash, token_counts, token_files, topk
+from roadpulse.llm import exact_dedup, html, language_model, mixing, packing, quality, simhash, token_counts, token_files, topk
 
-_PARTS = [exact_dedup, mixing, simhash, token_files, quality, packing, html, topk, token_counts]
+_PARTS = [exact_dedup, mixing, simhash, token_files, quality, packing, html, topk, token_counts, language_model]
 
 QUERIES = {key: query for part in _PARTS for key, query in part.QUERIES.items()}
 ORACLES = {key: text for part in _PARTS for key, text in part.ORACLES.items()}

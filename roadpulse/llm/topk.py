@@ -86,6 +86,7 @@ def best_of_block(
         most = (lengths[place] + top - nearest[place].astype(np.float64) ** 2) / 2
         # Room for the rounding of distances.
         most += 1 + 1e-5 * (lengths[place] + top)
+        most[np.isnan(most)] = np.inf  # beyond the range of doubles nothing is ruled out
         able = np.flatnonzero((most >= floors[place]) & (ids != own))
         able = able[np.argsort(-most[able], kind="stable")]
         found_ids, found = np.empty(0, np.int64), np.empty(0, np.int64)
@@ -181,8 +182,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = K, scale: float = SCA
         return df.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).filter(usable(F.col("v")))
 
     candidates, asking = slim(vectors), slim(queries).filter("id IS NOT NULL")
-    exact = F.transform("v", lambda x: F.pow(F.floor(x.cast("double") * scale).cast("double"), 2.0))
-    square = F.aggregate(exact, F.lit(0.0), lambda a, x: a + x)
+    # At least the square of every vector's length, which is all that the heights need.
+    square = F.aggregate(F.transform("v", lambda x: F.pow(F.abs(x.cast("double") * scale) + 1, 2.0)), F.lit(0.0), lambda a, x: a + x)
     tops = {r["dim"]: float(r["top"]) for r in candidates.groupBy(F.size("v").alias("dim")).agg(F.max(square).alias("top")).collect()}
     sampled = candidates.orderBy(F.xxhash64("id"), "id").limit(PIVOT_SAMPLE).collect()
     pivots, samples = {}, {}

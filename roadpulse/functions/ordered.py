@@ -1,14 +1,15 @@
 """Ordered windows per key that keep working when one key holds most rows.
 
-With no oversized key, a plain window is used: one shuffle by key. Otherwise
-the rows are range-partitioned by (key, order), numbered, and cut into blocks of
-equal row count. Each block receives copies of the few neighbouring rows its
+Keys of bounded size go through a plain window: one shuffle by key. The rows of
+oversized keys alone are range-partitioned by (key, order), numbered, and cut into
+blocks of equal row count. Each block receives copies of the few neighbouring rows its
 frames reach, so no task ever sorts more than a block, and the result is exact.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -32,21 +33,34 @@ def number_rows(df: DataFrame, order: list[Column], rows: int = 0) -> DataFrame:
     placed = cut_lineage(
         ranged.sortWithinPartitions(*order).withColumn(_PLACE, F.monotonically_increasing_id())
     ).withColumn(_PART, F.shiftright(_PLACE, 33))
-    # One row per task of the sort: a few thousand at most.
-    sizes = placed.groupBy(_PART).agg(F.count(F.lit(1)).alias("n")).orderBy(_PART).collect()
-    starts, total = [], 0
-    for row in sizes:
-        starts.append((row[_PART], total))
-        total += row["n"]
-    offsets = df.sparkSession.createDataFrame(starts, f"{_PART} long, __start long")
+    offsets = cut_lineage(_starts(placed.groupBy(_PART).agg(F.count(F.lit(1)).alias("__rows"))))
     local = F.col(_PLACE).bitwiseAND(F.lit((1 << 33) - 1))
     return (
-        placed.join(F.broadcast(offsets), _PART)
+        placed.join(offsets, _PART)
         .withColumn(_INDEX, F.col("__start") + local)
         .drop(_PART, _PLACE, "__start")
     )
 
 
+def _starts(sizes: DataFrame) -> DataFrame:
+    """Rows before each part: over groups of parts first, then inside each group."""
+    earlier = (Window.unboundedPreceding, -1)
+    grouped = sizes.withColumn("__group", F.floor(F.col(_PART) / 1024))
+    inside = F.sum("__rows").over(Window.partitionBy("__group").orderBy(_PART).rowsBetween(*earlier))
+    groups = grouped.groupBy("__group").agg(F.sum("__rows").alias("__all"))
+    before = F.sum("__all").over(Window.orderBy("__group").rowsBetween(*earlier))
+    bases = groups.select("__group", F.coalesce(before, F.lit(0)).alias("__base"))
+    placed = grouped.withColumn("__inside", F.coalesce(inside, F.lit(0))).join(bases, "__group")
+    return placed.select(_PART, (F.col("__base") + F.col("__inside")).alias("__start"))
+
+
+def _parted(df: DataFrame, keys: list[str], load: GroupLoad) -> tuple[DataFrame, DataFrame]:
+    """Rows of bounded keys, and those of oversized ones."""
+    hot = load.sizes.filter(F.col("__rows") > load.bound).select(*[F.col(k).alias(f"__hot_{i}") for i, k in enumerate(keys)])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__hot_{i}")) for i, k in enumerate(keys)])
+    return df.join(hot, same, "left_anti"), df.join(hot, same, "left_semi")
+
+
 def _total_order(keys: list[str], order: list[Column]) -> list[Column]:
     return [F.col(key) for key in keys] + list(order)
 
@@ -64,11 +78,13 @@ def with_windows(
 
     `build` gets a window partitioned and ordered as asked; its frames may reach
     `before` rows back and `after` rows ahead (counting lag and lead). `load` tells
-    how the rows spread over the keys; left out, it is looked up.
+    how the rows spread over the keys; left out, they are counted, which runs a job.
     """
     load = load or group_load(df, keys)
+    plain = build(Window.partitionBy(*keys).orderBy(*order))
     if not load.hot:
-        return df.withColumns(build(Window.partitionBy(*keys).orderBy(*order)))
+        return df.withColumns(plain)
+    bounded, df = _parted(df, keys, load)
     size = max(setting(df, "blockRows", BLOCK_ROWS), before + after + 1)
     numbered = number_rows(df, _total_order(keys, order), load.rows)
     own = F.floor(F.col(_INDEX) / size)
@@ -82,7 +98,8 @@ def with_windows(
     )
     spread = numbered.withColumn(_BLOCK, F.explode(copies))
     window = Window.partitionBy(_BLOCK, *keys).orderBy(_INDEX)
-    return spread.withColumns(build(window)).filter(F.col(_BLOCK) == own).drop(_BLOCK, _INDEX)
+    blocked = spread.withColumns(build(window)).filter(F.col(_BLOCK) == own).drop(_BLOCK, _INDEX)
+    return bounded.withColumns(plain).unionByName(blocked)
 
 
 def carry(
@@ -99,12 +116,13 @@ def carry(
     """
     backward = backward or {}
     load = group_load(df, keys)
+    plain = {}
+    for values, by in ((forward, order), (backward, [c.desc() for c in order])):
+        window = Window.partitionBy(*keys).orderBy(*by).rowsBetween(*_SO_FAR)
+        plain.update({name: F.last(value, True).over(window) for name, value in values.items()})
     if not load.hot:
-        out = {}
-        for values, by in ((forward, order), (backward, [c.desc() for c in order])):
-            window = Window.partitionBy(*keys).orderBy(*by).rowsBetween(*_SO_FAR)
-            out.update({name: F.last(value, True).over(window) for name, value in values.items()})
-        return df.withColumns(out)
+        return df.withColumns(plain)
+    bounded, df = _parted(df, keys, load)
     size = setting(df, "blockRows", BLOCK_ROWS)
     values = {**forward, **backward}
     numbered = (
@@ -117,7 +135,8 @@ def carry(
         filled = _carry_blocks(filled, numbered, keys, list(forward), reverse=False)
     if backward:
         filled = _carry_blocks(filled, numbered, keys, list(backward), reverse=True)
-    return filled.drop(_INDEX, _BLOCK, *[f"__held_{name}" for name in values])
+    filled = filled.drop(_INDEX, _BLOCK, *[f"__held_{name}" for name in values])
+    return bounded.withColumns(plain).unionByName(filled)
 
 
 def _carry_blocks(filled: DataFrame, numbered: DataFrame, keys: list[str], names: list[str], reverse: bool) -> DataFrame:
@@ -151,12 +170,9 @@ def _carry_blocks(filled: DataFrame, numbered: DataFrame, keys: list[str], names
 def keep_first(df: DataFrame, keys: list[str], order: list[Column], last: bool = False) -> DataFrame:
     """One whole row per key: the first (or last) in the given order.
 
-    Written as an aggregation, so every task reduces its rows before the shuffle
-    and a hot key costs no more than any other.
+    Spark keeps only the first row of each key in every task before the shuffle, so a
+    key with many rows costs no more than any other.
     """
-    pick = F.max_by if last else F.min_by
-    rest = [name for name in df.columns if name not in keys]
-    if not rest:
-        return df.select(*keys).distinct()
-    picked = df.groupBy(*keys).agg(pick(F.struct(*rest), F.struct(*order)).alias("__row"))
-    return picked.select(*[F.col(name) if name in keys else F.col(f"__row.{name}").alias(name) for name in df.columns])
+    by = [c.desc() for c in order] if last else order
+    numbered = df.withColumn("__place", F.row_number().over(Window.partitionBy(*keys).orderBy(*by)))
+    return numbered.filter("__place = 1").drop("__place")

@@ -3,58 +3,88 @@
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.functions.sizing import is_small, setting
+from roadpulse.functions.sizing import setting
 
 _BINS = 2048
+_INF = float("inf")
 
 
 def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]]) -> dict[str, list[float | None]]:
-    """Quantiles of each column; a column without values has none.
+    """Quantiles of each column; a column without values has none. NaN is the largest value.
 
-    They are computed at once, because as subqueries they would be copied into
-    every later plan. Small input goes through the built-in exact `percentile`. That
-    aggregate keeps every distinct value in one task, so larger input is narrowed
-    instead: each pass counts rows per bin (map-side combined) and only the bins
-    that hold a wanted rank are looked at again.
+    They are computed at once, because as subqueries they would be copied into every
+    later plan. Each pass counts the rows of all columns per bin (map-side combined)
+    and only the bins that hold a wanted rank are looked at again, so no task ever
+    holds the distinct values. A bin's smallest and largest value never fall into one
+    bin of the next pass, so every pass narrows and the search ends for any doubles.
     """
-    if not is_small(df):
-        return {c: narrowed_quantiles(df, c, ps) for c, ps in wanted.items()}
-    row = df.agg(*[F.percentile(c, F.array(*map(F.lit, ps))).alias(c) for c, ps in wanted.items()]).first()
-    return {c: row[c] or [None] * len(ps) for c, ps in wanted.items()}
+    pairs = [F.struct(F.lit(k).alias("c"), F.col(name).cast("double").alias("v")) for k, name in enumerate(wanted)]
+    values = df.select(F.inline(F.array(*pairs))).filter("v is not null")
+    v = F.col("v")
+    finite = ~F.isnan(v) & (F.abs(v) < _INF)
+    spans = {
+        r["c"]: r
+        for r in values.groupBy("c")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.count_if(v == -_INF).alias("least"),
+            F.count_if(finite).alias("finite"),
+            F.count_if(v == _INF).alias("most"),
+            F.min(F.when(finite, v)).alias("lo"),
+            F.max(F.when(finite, v)).alias("hi"),
+        )
+        .collect()
+    }
+    found: dict[int, dict[int, float]] = defaultdict(dict)
+    brackets, positions = [], {}
+    for k, probabilities in enumerate(wanted.values()):
+        if k not in spans:
+            continue
+        s = spans[k]
+        positions[k] = [p * (s["n"] - 1) for p in probabilities]
+        inner = []
+        for rank in sorted({f(x) for x in positions[k] for f in (math.floor, math.ceil)}):
+            if rank < s["least"]:
+                found[k][rank] = -_INF
+            elif rank < s["least"] + s["finite"]:
+                inner.append(rank)
+            else:
+                found[k][rank] = _INF if rank < s["least"] + s["finite"] + s["most"] else math.nan
+        if inner:
+            brackets.append((k, s["lo"], s["hi"], s["least"], inner))
+    _narrow(values, brackets, found, setting(df, "quantileBins", _BINS))
+    return {
+        name: [_between(found[k], x) for x in positions[k]] if k in positions else [None] * len(probabilities)
+        for k, (name, probabilities) in enumerate(wanted.items())
+    }
 
 
-def narrowed_quantiles(df: DataFrame, column: str, probabilities: list[float]) -> list[float | None]:
-    values = df.select(F.col(column).cast("double").alias("v")).filter("v is not null")
-    span = values.agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).first()
-    if not span["n"]:
-        return [None] * len(probabilities)
-    positions = [p * (span["n"] - 1) for p in probabilities]
-    wanted = sorted({f(x) for x in positions for f in (math.floor, math.ceil)})
-    at_rank = _values_at_ranks(values, wanted, span["lo"], span["hi"], setting(df, "quantileBins", _BINS))
-    out = []
-    for x in positions:
-        low, high = at_rank[math.floor(x)], at_rank[math.ceil(x)]
-        out.append(low + (high - low) * (x - math.floor(x)))
-    return out
+def _between(at_rank: dict[int, float], position: float) -> float:
+    low, high, share = at_rank[math.floor(position)], at_rank[math.ceil(position)], position - math.floor(position)
+    if low == high or share == 0:
+        return low
+    step = high - low
+    # The difference of two doubles may be beyond them.
+    return low + step * share if math.isfinite(step) else low * (1 - share) + high * share
 
 
-def _values_at_ranks(values: DataFrame, ranks: list[int], lo: float, hi: float, bins: int) -> dict[int, float]:
-    """Value at each 0-based rank. A bracket is (lo, hi, rows below it, ranks in it)."""
-    found: dict[int, float] = {}
-    brackets = [(lo, hi, 0, ranks)]
+def _narrow(values: DataFrame, brackets: list[tuple], found: dict[int, dict[int, float]], bins: int) -> None:
+    """Find the value at each wanted rank. A bracket is (column, lo, hi, rows below it, ranks in it)."""
+    v = F.col("v")
     while brackets:
-        v = F.col("v")
         which, cell = F, F
-        for number, (low, high, _, _) in enumerate(brackets):
-            inside = v.between(low, high)
-            width = (high - low) / bins
+        for number, (column, low, high, _, _) in enumerate(brackets):
+            inside = (F.col("c") == column) & v.between(low, high)
             which = which.when(inside, number)
-            step = F.least(F.floor((v - F.lit(low)) / F.lit(width)), F.lit(bins - 1)) if width > 0 else (v > low)
-            cell = cell.when(inside, step.cast("int").cast("long"))
+            # Halves, because the whole width may be beyond the doubles; where it is too small for them, split in two.
+            width = (high / 2 - low / 2) / bins
+            step = F.least(F.floor((v / 2 - low / 2) / width), F.lit(bins - 1)).cast("long") if width > 0 else (v > low).cast("long")
+            cell = cell.when(inside, step)
         counted = (
             values.select("v", which.alias("which"), cell.alias("cell"))
             .filter("which is not null")
@@ -64,13 +94,12 @@ def _values_at_ranks(values: DataFrame, ranks: list[int], lo: float, hi: float,
             .collect()  # at most `bins` rows for each of a few brackets
         )
         following = []
-        for number, (_, _, below, inner) in enumerate(brackets):
+        for number, (column, _, _, below, inner) in enumerate(brackets):
             for row in (r for r in counted if r["which"] == number):
                 held = [k for k in inner if below <= k < below + row["n"]]
                 if held and row["lo"] == row["hi"]:
-                    found.update({k: row["lo"] for k in held})
+                    found[column].update(dict.fromkeys(held, row["lo"]))
                 elif held:
-                    following.append((row["lo"], row["hi"], below, held))
+                    following.append((column, row["lo"], row["hi"], below, held))
                 below += row["n"]
         brackets = following
-    return found

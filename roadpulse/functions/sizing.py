@@ -1,15 +1,14 @@
-"""Size checks made before a plan is chosen."""
+"""Counts of rows per key, made before windows are laid out."""
 
 from __future__ import annotations
 
-import sys
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Input below this many file bytes fits one task, however its keys are spread.
-SMALL_BYTES = 128 * 1024 * 1024
+from roadpulse.session import cut_lineage
+
 # Most rows of one key that a single task should sort.
 MAX_GROUP_ROWS = 4_000_000
 # Rows of one block when the rows of a key must be split.
@@ -20,24 +19,14 @@ def setting(df: DataFrame, name: str, default: int) -> int:
     return int(df.sparkSession.conf.get(f"roadpulse.{name}", str(default)))
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """Optimizer's size estimate; where a session has none, the input counts as large."""
-    if not hasattr(df, "_jdf"):
-        return sys.maxsize
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-
-
-def is_small(df: DataFrame) -> bool:
-    return plan_bytes(df) <= setting(df, "smallBytes", SMALL_BYTES)
-
-
 @dataclass(frozen=True)
 class GroupLoad:
-    """Rows of an input, rows of its largest key, and the most one task should sort."""
+    """Rows of an input, rows of its largest key, the most one task should sort, and the counted keys."""
 
     rows: int
     largest: int
     bound: int
+    sizes: DataFrame | None = None
 
     @property
     def hot(self) -> bool:
@@ -45,14 +34,8 @@ class GroupLoad:
 
 
 def group_load(df: DataFrame, keys: list[str]) -> GroupLoad:
-    """How the rows spread over the keys.
-
-    The count is a map-side aggregation over the key columns alone, and is not run
-    at all for input that is small as a whole.
-    """
+    """How the rows spread over the keys: a map-side aggregation over the key columns alone."""
     bound = setting(df, "maxGroupRows", MAX_GROUP_ROWS)
-    if is_small(df):
-        return GroupLoad(0, 0, bound)
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    row = sizes.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.coalesce(F.max("n"), F.lit(0)).alias("largest")).first()
-    return GroupLoad(row["rows"], row["largest"], bound)
+    sizes = cut_lineage(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")))
+    row = sizes.agg(F.coalesce(F.sum("__rows"), F.lit(0)).alias("rows"), F.coalesce(F.max("__rows"), F.lit(0)).alias("largest")).first()
+    return GroupLoad(row["rows"], row["largest"], bound, sizes)

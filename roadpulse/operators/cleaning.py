@@ -7,12 +7,11 @@ from pyspark.sql import functions as F
 
 from roadpulse.functions.ordered import carry, keep_first
 from roadpulse.functions.quantiles import exact_quantiles
-from roadpulse.functions.sizing import is_small
 from roadpulse.session import cut_lineage
 
 
 def dedup(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """First row per key. An aggregation, so repeats are dropped before the shuffle."""
+    """First row per key; repeats are dropped before the shuffle."""
     return keep_first(df, keys, [F.col(c) for c in order])
 
 
@@ -23,13 +22,14 @@ def fill_missing(df: DataFrame, columns: list[str], key: str, ts_col: str, tiebr
         df, [key], order, {f"__last_{c}": F.col(c) for c in columns}, {f"__next_{c}": F.col(c) for c in columns}
     )
     filled = around.withColumns({c: F.coalesce(F.col(f"__last_{c}"), F.col(f"__next_{c}")) for c in columns})
-    filled = filled.select(*df.columns)
-    if not is_small(df):
-        # Read several times below; without a cut every pass would fill the gaps again.
-        filled = cut_lineage(filled)
+    # Read several times below; without a cut every pass would fill the gaps again.
+    filled = cut_lineage(filled.select(*df.columns))
     # The median is taken after both fills. It matters only for keys without any value.
-    medians = exact_quantiles(filled, {c: [0.5] for c in columns})
-    return filled.withColumns({c: F.coalesce(F.col(c), F.lit(medians[c][0]).cast("double")) for c in columns})
+    gaps = filled.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
+    open_ = [c for c in columns if gaps[c]]
+    medians = exact_quantiles(filled, {c: [0.5] for c in open_}) if open_ else {}
+    middle = {c: F.lit(medians[c][0] if c in medians else None).cast("double") for c in columns}
+    return filled.withColumns({c: F.coalesce(F.col(c), middle[c]) for c in columns})
 
 
 def iqr_bounds(df: DataFrame, column: str, k: float = 1.5) -> tuple[float, float] | None:

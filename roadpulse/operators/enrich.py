@@ -9,11 +9,10 @@ from roadpulse.functions.columns import epoch_minute, surrogate_key, traffic_lev
 from roadpulse.functions.ordered import carry, keep_first, with_windows
 from roadpulse.functions.sizing import group_load
 from roadpulse.operators.windows import pct_change, rolling_rows
+from roadpulse.session import cut_lineage
 
 TIME = "reading_timestamp"
 TOLERANCE_MIN = 60
-# A lookup of this many minutes (over a year, some 100 MB) is still small enough to send to every task.
-BROADCAST_MINUTES = 600_000
 # Slots of the minute line; a day keeps them few.
 SLOT_MINUTES = 1440
 # Columns an observation adds to a reading.
@@ -66,12 +65,12 @@ def nearest_join(
     columns: list[str] | None = None,
     ts_col: str = TIME,
 ) -> DataFrame:
-    """Left join of each row to the observation nearest in time; rows without one stay."""
+    """Left join of each row to the observation nearest in time; rows without one stay.
+
+    The lookup is written first, which runs a job; its known bytes then decide on a broadcast.
+    """
     columns = WEATHER_COLUMNS if columns is None else columns
-    lookup = weather_by_minute(wx, columns, tolerance_min)
-    span = wx.agg(F.max(epoch_minute("weather_timestamp")) - F.min(epoch_minute("weather_timestamp"))).first()[0]
-    if (span or 0) + 2 * tolerance_min <= BROADCAST_MINUTES:
-        lookup = F.broadcast(lookup)
+    lookup = cut_lineage(weather_by_minute(wx, columns, tolerance_min))
     joined = df.join(lookup, epoch_minute(ts_col) == F.col("weather_minute"), "left")
     return joined.select(*df.columns, *columns)
 
@@ -110,9 +109,9 @@ def with_sensor_at(
 
     Rows and versions are laid on one time line per key and the last version is
     carried forward, so a busy key with many versions makes no pairs. Versions
-    of one key must not overlap, which is what `scd2` produces.
+    of one key must not overlap, which is what `scd2` produces. A null key matches none.
     """
-    side = versions.select(
+    side = versions.filter(F.col(key).isNotNull()).select(
         key,
         F.col("valid_from").alias("__time"),
         F.lit(0).alias("__kind"),

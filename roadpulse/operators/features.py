@@ -4,12 +4,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.functions.columns import dow0_mon, dow1_sun
 from roadpulse.functions.ordered import number_rows, with_windows
-from roadpulse.functions.sizing import is_small
 from roadpulse.operators.cleaning import dedup, fill_missing, iqr_filter
 from roadpulse.operators.enrich import with_group_stats
 from roadpulse.operators.windows import TIME, rolling_measures
@@ -80,14 +79,8 @@ def group_summary(df: DataFrame, by: str, measures: list[str], digits: int = 2)
 
 
 def label_codes(df: DataFrame, column: str) -> DataFrame:
-    """Distinct values with their alphabetical rank, from 0.
-
-    Small inputs rank in one window. Larger ones are range-partitioned, and the
-    rank is the position in the global order.
-    """
+    """Distinct values with their alphabetical rank, from 0: the position in their global order."""
     values = df.select(column).filter(F.col(column).isNotNull()).distinct()
-    if is_small(df):
-        return values.withColumn(f"{column}_encoded", (F.row_number().over(Window.orderBy(column)) - 1).cast("long"))
     return number_rows(values, [F.col(column)]).withColumnRenamed("__index", f"{column}_encoded")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VarianceThresholdSelector, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -18,6 +20,7 @@ TREES, TREE_DEPTH = 100, 10
 BOOST_ROUNDS, BOOST_DEPTH, BOOST_RATE = 100, 6, 0.1
 ERROR_METRICS = ("mae", "mse", "rmse", "mape")
 RMSE_LIMIT = 50.0
+LEAST_RMSE = 1e-9
 BAND = 1.96
 
 
@@ -51,11 +54,12 @@ def estimator(kind: str, rows: int, label: str, features: str = "features", **pa
 def fit(df: DataFrame, kind: str, features: list[str], label: str = "traffic_volume", **params) -> PipelineModel:
     """Fitted pipeline; the feature list is kept inside it by the assembler.
 
-    Constant features are dropped before a linear fit: they carry nothing and make
-    the normal equations singular.
+    Rows with a null feature or label don't train. Constant features are dropped before a
+    linear fit: they carry nothing and make the normal equations singular.
     """
+    df = df.dropna(subset=[*features, label])
     rows = df.count() if kind == "ridge" else 0
-    assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="skip")
+    assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error")
     if kind not in LINEAR:
         return Pipeline(stages=[assembler, estimator(kind, rows, label, **params)]).fit(df)
     varying = VarianceThresholdSelector(featuresCol="features", outputCol="varying", varianceThreshold=0.0)
@@ -63,8 +67,12 @@ def fit(df: DataFrame, kind: str, features: list[str], label: str = "traffic_vol
 
 
 def predict(model: PipelineModel, df: DataFrame, name: str, keys: list[str], label: str = "traffic_volume") -> DataFrame:
-    """Long predictions: keys, model_name, actual, predicted."""
-    return model.transform(df).select(
+    """Long predictions: keys, model_name, actual, predicted; null where a feature is null."""
+    needed = model_features(model)
+    complete = model.transform(df.dropna(subset=needed))
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in needed])
+    rest = df.filter(~whole).withColumn("prediction", F.lit(None).cast("double"))
+    return complete.unionByName(rest, allowMissingColumns=True).select(
         *keys, F.lit(name).alias("model_name"), F.col(label).cast("double").alias("actual"), F.col("prediction").alias("predicted")
     )
 
@@ -114,13 +122,13 @@ def ensemble(pred: DataFrame, keys: list[str], weights: DataFrame) -> DataFrame:
     """
     joined = pred.join(F.broadcast(weights), "model_name")
     return joined.groupBy(*keys).agg(
-        F.try_divide(F.sum(F.col("weight") * F.col("predicted")), F.sum("weight")).alias("ensemble_prediction")
+        F.try_divide(F.sum(F.col("weight") * F.col("predicted")), F.sum(F.when(F.col("predicted").isNotNull(), F.col("weight")))).alias("ensemble_prediction")
     )
 
 
 def inverse_rmse(metrics: DataFrame, given: dict[str, float] | None = None) -> DataFrame:
-    """Weight of each model: the given one, else 1 / rmse."""
-    weight: Column = F.try_divide(F.lit(1.0), F.col("rmse"))
+    """Weight of each model: the given one, else 1 / rmse. A model without error outweighs all others."""
+    weight: Column = 1 / F.greatest(F.col("rmse"), F.lit(LEAST_RMSE))
     for name, value in (given or {}).items():
         weight = F.when(F.col("model_name") == name, F.lit(float(value))).otherwise(weight)
     return metrics.select("model_name", weight.alias("weight"))

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roadpulse.session import cut_lineage
+from roadpulse.session import cut_lineage, work_folder
 
 _NODE = T.StructType(
     [
@@ -32,8 +34,6 @@ MANIFEST = T.StructType(
         T.StructField("sources", T.MapType(T.StringType(), _SOURCE)),
     ]
 )
-# Longest chain of dependencies that is followed before the graph counts as broken.
-MAX_HOPS = 1000
 
 
 def manifest_nodes(manifests: DataFrame, json_col: str = "value") -> DataFrame:
@@ -75,27 +75,21 @@ def impact(links: DataFrame, node: str) -> DataFrame:
     """Every node downstream of `node`, with its smallest number of hops.
 
     Breadth first: each round joins only the newest nodes to the edges and leaves
-    out what was reached before, so cycles end. Every round is written out; their
-    number is the depth of the graph.
+    out what was reached before, so cycles end. What is reached lies in one table
+    with a part for each round; the number of rounds is the depth of the graph.
     """
-    pairs = links.select("src", "dst").distinct()
-    reached = cut_lineage(
-        pairs.filter(F.col("src") == node).select(F.col("dst").alias("node"), F.lit(1).alias("hops")).distinct()
-    )
-    frontier = reached
-    for hop in range(2, MAX_HOPS):
-        found = (
-            pairs.join(frontier.select(F.col("node").alias("src")), "src")
-            .select(F.col("dst").alias("node"))
-            .distinct()
-            .join(reached.select("node"), "node", "left_anti")
-            .withColumn("hops", F.lit(hop))
-        )
-        frontier = cut_lineage(found)
-        if frontier.isEmpty():
+    spark = links.sparkSession
+    pairs = cut_lineage(links.select("src", "dst").distinct())
+    folder = work_folder(spark)
+    frontier = pairs.filter(F.col("src") == node).select(F.col("dst").alias("node")).distinct()
+    for hop in count(1):
+        frontier.write.parquet(f"{folder}/hops={hop}")
+        newest = spark.read.schema("node string").parquet(f"{folder}/hops={hop}")
+        reached = spark.read.schema("node string, hops int").parquet(folder)
+        if newest.isEmpty():
             return reached.filter(F.col("node") != node)
-        reached = reached.unionByName(frontier)
-    raise RuntimeError("the lineage graph is deeper than MAX_HOPS")
+        step = pairs.join(newest.select(F.col("node").alias("src")), "src").select(F.col("dst").alias("node")).distinct()
+        frontier = step.join(reached.select("node"), "node", "left_anti")
 
 
 def impact_report(affected: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -124,25 +118,27 @@ def shortest_paths(links: DataFrame, sources: DataFrame, sinks: DataFrame) -> Da
     """Shortest path of every connected (source, sink) pair; ties go to the smallest path by name.
 
     A round keeps one path per (source, node), so the rows never outnumber the
-    connected pairs, and a path that returns to its own nodes is dropped.
+    connected pairs, and a path that returns to its own nodes is dropped. Sinks
+    of a round are known at once; only rows of the newest round are extended.
     """
-    pairs = links.select("src", "dst").distinct()
-    frontier = cut_lineage(sources.select(F.col("id").alias("origin"), F.col("id").alias("node"), F.array("id").alias("path")))
-    best = frontier
-    for _ in range(MAX_HOPS):
-        step = (
-            frontier.join(pairs, frontier["node"] == pairs["src"])
+    spark = links.sparkSession
+    pairs = cut_lineage(links.select("src", "dst").distinct())
+    folder, schema = work_folder(spark), "origin string, node string, path array<string>"
+    frontier = sources.select(F.col("id").alias("origin"), F.col("id").alias("node"), F.array("id").alias("path"))
+    for hop in count(0):
+        frontier.write.parquet(f"{folder}/hops={hop}")
+        newest = spark.read.schema(schema).parquet(f"{folder}/hops={hop}")
+        reached = spark.read.schema(f"{schema}, hops int").parquet(folder)
+        if newest.isEmpty():
+            ends = sinks.select(F.col("id").alias("node")).distinct()
+            return reached.filter("hops > 0").drop("hops").join(ends, "node")
+        frontier = (
+            newest.join(pairs, newest["node"] == pairs["src"])
             .select("origin", F.col("dst").alias("node"), F.array_append("path", F.col("dst")).alias("path"))
             .groupBy("origin", "node")
             .agg(F.min("path").alias("path"))
-            .join(best.select("origin", "node"), ["origin", "node"], "left_anti")
+            .join(reached.select("origin", "node"), ["origin", "node"], "left_anti")
         )
-        frontier = cut_lineage(step)
-        if frontier.isEmpty():
-            ends = sinks.select(F.col("id").alias("node")).distinct()
-            return best.join(ends, "node").filter(F.size("path") > 1)
-        best = best.unionByName(frontier)
-    raise RuntimeError("the lineage graph is deeper than MAX_HOPS")
 
 
 def paths(links: DataFrame, nodes: DataFrame, sources: DataFrame, sinks: DataFrame, k: int = 10) -> DataFrame:

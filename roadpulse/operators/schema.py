@@ -46,6 +46,23 @@ HOURLY_CONTRACT = {
     "etl_loaded_at": "TIMESTAMP_NTZ",
 }
 
+# Columns and types the raw readings are declared with.
+RAW_CONTRACT = {
+    "sensor_id": "VARCHAR(50)",
+    "timestamp": "TIMESTAMP_NTZ",
+    "traffic_volume": "INTEGER",
+    "speed_mph": "FLOAT",
+    "occupancy_pct": "FLOAT",
+    "road_name": "VARCHAR(100)",
+    "direction": "VARCHAR(10)",
+    "latitude": "DECIMAL(10,6)",
+    "longitude": "DECIMAL(10,6)",
+    "year": "INTEGER",
+    "month": "INTEGER",
+    "day": "INTEGER",
+    "etl_loaded_at": "TIMESTAMP_NTZ",
+}
+
 _CONTRACT_COLUMNS = "table_name string, column_name string, data_type string"
 
 
@@ -71,38 +88,41 @@ def contract_frame(spark: SparkSession, contracts: dict[str, dict[str, str]]) ->
 
 
 def observed_schema(df: DataFrame, table_name: str) -> DataFrame:
-    """One row per column: name, type, rows and null rows, from one pass over the data."""
+    """One row per column: name and type, from the metadata alone; no data is read."""
+    rows = [(table_name, name, kind.upper()) for name, kind in df.dtypes]
+    return df.sparkSession.createDataFrame(rows, _CONTRACT_COLUMNS)
+
+
+def column_completeness(df: DataFrame, table_name: str) -> DataFrame:
+    """Per column: rows and null rows, from one pass over the data. A matter apart from drift."""
     nulls = df.agg(
         F.count(F.lit(1)).alias("total"),
         *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)],
     )
     rows = [
         F.struct(
-            F.lit(table_name).alias("table_name"),
-            F.lit(name).alias("column_name"),
-            F.lit(kind.upper()).alias("data_type"),
-            F.col("total").alias("total_rows"),
-            F.col(f"n{i}").alias("null_rows"),
+            F.lit(table_name).alias("table_name"), F.lit(name).alias("column_name"),
+            F.col("total").alias("total_rows"), F.col(f"n{i}").alias("null_rows"),
         )
-        for i, (name, kind) in enumerate(df.dtypes)
-    ]
+        for i, name in enumerate(df.columns)
+    ]
     return nulls.select(F.inline(F.array(*rows)))
 
 
-def delivered(observed: DataFrame) -> DataFrame:
-    """Columns of `observed_schema` that hold at least one value."""
-    return observed.filter(F.col("null_rows") < F.col("total_rows"))
-
-
 def drift(current: DataFrame, contract: DataFrame, with_size: bool = False) -> DataFrame:
     """New, removed and retyped columns. Names compare in any case.
 
-    Sizes are left out by default, because a Spark string has none.
+    Precision and scale of decimals always count; the sizes of other types are left out
+    by default, because a Spark string has none.
     """
     key = ["table_name", "column_key"]
     have = current.select("table_name", F.lower("column_name").alias("column_key"), F.col("data_type").alias("current_type"))
     want = contract.select("table_name", F.lower("column_name").alias("column_key"), F.col("data_type").alias("expected_type"))
-    have_type, want_type = normalised(F.col("current_type"), with_size), normalised(F.col("expected_type"), with_size)
+    decimals = normalised(F.col("current_type"), False).eqNullSafe("DECIMAL") & normalised(F.col("expected_type"), False).eqNullSafe("DECIMAL")
+    have_type, want_type = (
+        normalised(F.col(c), True) if with_size else F.when(decimals, F.regexp_replace(normalised(F.col(c), True), " ", "")).otherwise(normalised(F.col(c), False))
+        for c in ("current_type", "expected_type")
+    )
     kind = (
         F.when(F.col("expected_type").isNull(), "new_column")
         .when(F.col("current_type").isNull(), "removed_column")

@@ -12,20 +12,33 @@ from roadpulse.functions.ordered import keep_first
 START_OF_TIME = "0001-01-01 00:00:00"
 
 
-def merge(target: DataFrame, source: DataFrame, keys: list[str], order: list[str], as_of=None, late_flags: bool = False) -> DataFrame:
-    """New snapshot of `target`: matched keys take the source row, new keys are added.
-
-    The last source row per key (by `order`) counts; rows without a time key are
-    not inserted. With `as_of` the changed rows are stamped `updated_at`.
+def merge(
+    target: DataFrame, source: DataFrame, keys: list[str], order: list[str], as_of=None, late_flags: bool = False, required: list[str] | None = None
+) -> DataFrame:
+    """New snapshot of `target`: matched keys take the source's columns, new keys are added.
+
+    A matched row keeps what only the target has. The last source row per key (by
+    `order`) counts; source rows without a value in `required` (the last key, if not
+    given: the time) are left out. A null key matches nothing, so such a row is added.
+    With `as_of` the changed rows are stamped `updated_at`.
     """
-    wanted = source.dropna(subset=keys)
-    last = keep_first(wanted, keys, [F.col(c) for c in order], last=True)
+    last = keep_first(source.dropna(subset=keys[-1:] if required is None else required), keys, [F.col(c) for c in order], last=True)
     if late_flags:
         last = last.withColumn("is_late_arrival", F.lit(True))
     if as_of is not None:
         last = last.withColumn("updated_at", as_time(as_of))
-    untouched = target.join(last.select(*keys), keys, "left_anti").select(*target.columns)
-    return untouched.unionByName(last, allowMissingColumns=True)
+    given = last.select(*[F.col(c).alias(f"__new_{c}") for c in last.columns], F.lit(True).alias("__matched"))
+    same = [F.col(k) == F.col(f"__new_{k}") for k in keys]
+    both = target.join(given, same, "left")
+    columns = [c for c in target.columns] + [c for c in last.columns if c not in target.columns]
+
+    def value(c: str) -> Column:
+        old = F.col(c) if c in target.columns else F.lit(None)
+        return (F.when(F.col("__matched"), F.col(f"__new_{c}")).otherwise(old) if c in last.columns and c not in keys else old).alias(c)
+
+    known = target.select(*[F.col(k).alias(f"__old_{k}") for k in keys])
+    added = last.join(known, [F.col(k) == F.col(f"__old_{k}") for k in keys], "left_anti")
+    return both.select(*map(value, columns)).unionByName(added, allowMissingColumns=True)
 
 
 def incremental(source: DataFrame, built: DataFrame, ts_col: str = "reading_timestamp", lookback: str | None = None) -> DataFrame:
@@ -46,15 +59,6 @@ def state_as_of(log: DataFrame, keys: list[str], order: list[str], t, op_col: st
     return last.filter(F.col(op_col) != "DELETE") if op_col else last
 
 
-def interleaved_bits(first: Column, second: Column, bits: int = 16) -> Column:
-    """Morton key of two numbers in [0, 2^bits)."""
-    out = F.lit(0).cast("long")
-    for i in range(bits):
-        out = out.bitwiseOR(F.shiftleft(F.shiftright(first, i).bitwiseAND(F.lit(1)).cast("long"), 2 * i))
-        out = out.bitwiseOR(F.shiftleft(F.shiftright(second, i).bitwiseAND(F.lit(1)).cast("long"), 2 * i + 1))
-    return out
-
-
 def compact(df: DataFrame, columns: list[str], n_files: int) -> DataFrame:
     """Rows laid out for few files clustered by `columns`.
 

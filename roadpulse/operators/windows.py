@@ -86,7 +86,8 @@ def rolling_range(
     frame can reach it. Inside a bucket each time is summed up once and entered
     twice, on arrival and (negated) on expiry, so one running sum serves all
     rows: the work is linear in the rows, however dense the readings are.
-    Sums are exact decimals, so leaving values cancel without a remainder.
+    Sums are exact decimals, so leaving values cancel without a remainder: values
+    count to six decimals, and NaN and infinities as missing.
     """
     span = minutes * 60_000_000
     bucket_span = span * slots_per_bucket

@@ -7,7 +7,8 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from roadpulse.operators import lineage, quality, schema
-from roadpulse.plans.base import HOURLY_COLUMNS, hourly, sensor_versions, sql, staged, staged_weather
+from roadpulse.plans.base import HOURLY_COLUMNS, hourly, hourly_layout, sensor_versions, sql, staged, staged_weather
+from roadpulse.session import cut_lineage
 from roadpulse.sources import adapters
 
 AS_OF = "2024-01-25 00:00:00"
@@ -28,7 +29,8 @@ def _parents(spark, d):
 def suite(spark, d):
     """Rules over the same table share one pass."""
     df, wx = staged(spark, d), staged_weather(spark, d)
-    mart = hourly(spark, d).select("surrogate_key", "traffic_volume", "traffic_level")
+    # Two checks read it: the joins run once.
+    mart = cut_lineage(hourly(spark, d).select("surrogate_key", "traffic_volume", "traffic_level"))
     row_rules = [
         *quality.not_null(["sensor_id", "reading_timestamp", "traffic_volume", "speed_mph"]),
         *quality.accepted_range(RANGES),
@@ -47,12 +49,14 @@ def suite(spark, d):
 
 
 def _contract(spark):
-    return schema.contract_frame(spark, {"MART_HOURLY_TRAFFIC": schema.HOURLY_CONTRACT})
+    return schema.contract_frame(spark, {"MART_HOURLY_TRAFFIC": schema.HOURLY_CONTRACT, "TRAFFIC_EVENTS": schema.RAW_CONTRACT})
 
 
 def drift(spark, d):
-    current = schema.delivered(schema.observed_schema(hourly(spark, d).select(*HOURLY_COLUMNS), "MART_HOURLY_TRAFFIC"))
-    changes = schema.drift(current, _contract(spark))
+    """Both declared tables against what the package makes."""
+    mart = schema.observed_schema(hourly_layout(spark, d).select(*HOURLY_COLUMNS), "MART_HOURLY_TRAFFIC")
+    raw = schema.observed_schema(adapters.readings(spark, d).withColumnRenamed("reading_timestamp", "timestamp"), "TRAFFIC_EVENTS")
+    changes = schema.drift(mart.unionByName(raw), _contract(spark))
     kept = [schema.normalised(F.col(c), with_size=False).alias(c) for c in ("expected_type", "current_type")]
     return changes.select("table_name", "column_name", "change", *kept)
 
@@ -62,10 +66,10 @@ def drift_summary(spark, d):
 
 
 def set_diff(spark, d):
-    """Columns with data in the raw readings against those in the mart."""
+    """Columns of the raw readings against those of the mart."""
     raw = schema.observed_schema(adapters.readings(spark, d), "readings")
-    mart = schema.observed_schema(hourly(spark, d).select(*HOURLY_COLUMNS), "hourly")
-    return schema.schema_set_diff(schema.delivered(raw), schema.delivered(mart))
+    mart = schema.observed_schema(hourly_layout(spark, d).select(*HOURLY_COLUMNS), "hourly")
+    return schema.schema_set_diff(raw, mart)
 
 
 def _id(kind, column):
@@ -173,17 +177,30 @@ _ORPHANS = _check(
 )
 _TYPES = {"VARCHAR": "VARCHAR", "INTEGER": "INT", "BIGINT": "BIGINT", "DOUBLE": "FLOAT", "TIMESTAMP": "TIMESTAMP_NTZ", "BOOLEAN": "BOOLEAN"}
 _TYPE_CASES = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in _TYPES.items())
-DRIFT_SQL = (
-    ", sample AS (SELECT * FROM hourly LIMIT 1), have AS ("
-    + " UNION ALL ".join(f"SELECT '{c}' AS column_name, CASE typeof({c}) {_TYPE_CASES} END AS current_type FROM sample" for c in HOURLY_COLUMNS)
-    + "), want AS (SELECT * FROM (VALUES "
-    + ", ".join(
-        f"('{c}', '{schema.normalise(kind).partition('(')[0]}')" for c, kind in schema.HOURLY_CONTRACT.items()
+_RAW_COLUMNS = [
+    "sensor_id", "reading_timestamp", "traffic_volume", "speed_mph", "occupancy_pct", "road_name", "direction",
+    "latitude", "longitude", "event_id",
+]
+
+
+def _have(table: str, source: str, columns: list[str]) -> str:
+    rows = [(c, "timestamp" if source == "readings" and c == "reading_timestamp" else c) for c in columns]
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{name}' AS column_name, CASE typeof({c}) {_TYPE_CASES} END AS current_type FROM (SELECT * FROM {source} LIMIT 1)"
+        for c, name in rows
     )
-    + """) t(column_name, expected_type)), drift AS (SELECT 'MART_HOURLY_TRAFFIC' AS table_name, column_name,
+
+
+def _want(table: str, contract: dict[str, str]) -> str:
+    return ", ".join(f"('{table}', '{c}', '{schema.normalise(kind).partition('(')[0]}')" for c, kind in contract.items())
+
+
+DRIFT_SQL = f""", have AS ({_have("MART_HOURLY_TRAFFIC", "hourly", HOURLY_COLUMNS)} UNION ALL {_have("TRAFFIC_EVENTS", "readings", _RAW_COLUMNS)}),
+    want AS (SELECT * FROM (VALUES {_want("MART_HOURLY_TRAFFIC", schema.HOURLY_CONTRACT)}, {_want("TRAFFIC_EVENTS", schema.RAW_CONTRACT)})
+        t(table_name, column_name, expected_type)),
+    drift AS (SELECT table_name, column_name,
     CASE WHEN expected_type IS NULL THEN 'new_column' WHEN current_type IS NULL THEN 'removed_column' ELSE 'type_change' END AS change,
-    expected_type, current_type FROM have FULL JOIN want USING (column_name) WHERE expected_type IS DISTINCT FROM current_type)"""
-)
+    expected_type, current_type FROM have FULL JOIN want USING (table_name, column_name) WHERE expected_type IS DISTINCT FROM current_type)"""
 _LINKS = """WITH RECURSIVE links AS (
     SELECT 'region.' || n_regionkey AS src, 'nation.' || n_nationkey AS dst FROM nation
     UNION ALL SELECT 'nation.' || c_nationkey, 'customer.' || c_custkey FROM customer
@@ -214,7 +231,7 @@ ORACLES = {
     "schema_drift": sql(DRIFT_SQL + " SELECT * FROM drift"),
     "schema_drift_summary": sql(DRIFT_SQL + """ SELECT count(*) AS total_changes, count(DISTINCT table_name) AS tables_changed,
         count(*) FILTER (change = 'new_column') AS new_columns, count(*) FILTER (change = 'removed_column') AS removed_columns,
-        count(*) FILTER (change = 'type_change') AS type_changes, 1::BIGINT AS tables_checked FROM drift"""),
+        count(*) FILTER (change = 'type_change') AS type_changes, 2::BIGINT AS tables_checked FROM drift"""),
     "schema_set_diff": sql(""", have AS (SELECT unnest(map_keys(to_json(t)::MAP(VARCHAR, JSON))) AS column_name
             FROM (SELECT * FROM readings LIMIT 1) t),
         want AS (SELECT unnest(map_keys(to_json(t)::MAP(VARCHAR, JSON))) AS column_name FROM (SELECT * EXCLUDE (event_id) FROM hourly LIMIT 1) t)

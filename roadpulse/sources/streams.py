@@ -15,18 +15,19 @@ WATERMARK = "10 minutes"
 _MESSAGE = "__message"
 
 
-def read_topic(spark: SparkSession, servers: str, topic: str, max_offsets: int = 1000, **options: str) -> DataFrame:
-    """Message stream; needs the Kafka connector on the class path."""
-    return (
+def read_topic(spark: SparkSession, servers: str, topic: str, max_offsets: int | None = None, **options: str) -> DataFrame:
+    """Message stream; needs the Kafka connector on the class path.
+
+    It begins with the earliest message and stops on lost ones, unless `options` say
+    otherwise; `max_offsets` bounds a micro-batch.
+    """
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
-        .option("startingOffsets", "latest")
-        .option("maxOffsetsPerTrigger", max_offsets)
-        .option("failOnDataLoss", "false")
-        .options(**options)
-        .load()
+        .options(**{"startingOffsets": "earliest", **options})
     )
+    return (reader.option("maxOffsetsPerTrigger", max_offsets) if max_offsets else reader).load()
 
 
 def _times_as_text(schema: T.StructType) -> T.StructType:
@@ -131,11 +132,14 @@ def auto_ingest(
         if fmt != "json":
             batch.write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
             return
+        # Parsed once for both tables.
+        batch = batch.persist()
         good, bad = F.col("_corrupt_record").isNull(), F.col("_corrupt_record").isNotNull()
         batch.filter(good).drop("_corrupt_record").write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
         batch.filter(bad).select("_corrupt_record").write.mode("overwrite").parquet(
             f"{target}_rejected/batch_id={batch_id}"
         )
+        batch.unpersist()
 
     return (
         stream.writeStream.foreachBatch(load)

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from roadpulse.functions.columns import as_time
 from roadpulse.operators.late import late_arrivals
 from roadpulse.operators.tables import merge
 
@@ -46,7 +47,9 @@ def late_merge(
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        late_arrivals(batch, as_of, hours, ts_col).write.mode("overwrite").parquet(f"{table}/changes/batch_id={batch_id}")
+        found = late_arrivals(batch, as_of, hours, ts_col)
+        # The stamp is stored with the rows: read later, they are as old as they are.
+        found.withColumn("updated_at", as_time(as_of)).write.mode("overwrite").parquet(f"{table}/changes/batch_id={batch_id}")
 
     writer = stream.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
@@ -54,7 +57,7 @@ def late_merge(
 
 
 def read_current(
-    spark: SparkSession, table: str, as_of, keys: tuple[str, ...] = KEYS, order: tuple[str, ...] = ("event_id",)
+    spark: SparkSession, table: str, keys: tuple[str, ...] = KEYS, order: tuple[str, ...] = ("event_id",)
 ) -> DataFrame:
     """Newest snapshot with the later changes merged in; the later batch wins."""
     version = versions(spark, table)[-1]
@@ -64,16 +67,16 @@ def read_current(
         return snapshot
     paths = [f"{table}/changes/batch_id={n}" for n in batches]
     changes = spark.read.option("basePath", f"{table}/changes").parquet(*paths)
-    merged = merge(snapshot, changes, list(keys), ["batch_id", *order], as_of)
+    merged = merge(snapshot, changes, list(keys), ["batch_id", *order])
     return merged.drop("batch_id")
 
 
-def fold(spark: SparkSession, table: str, as_of, keys: tuple[str, ...] = KEYS, order: tuple[str, ...] = ("event_id",)) -> int:
+def fold(spark: SparkSession, table: str, keys: tuple[str, ...] = KEYS, order: tuple[str, ...] = ("event_id",)) -> int:
     """Write a snapshot with all finished changes; returns its version."""
     batches = _complete(spark, f"{table}/changes", "batch_id")
     version = max([batches[-1] + 1 if batches else 0, versions(spark, table)[-1]])
     if version not in versions(spark, table):
-        write_snapshot(read_current(spark, table, as_of, keys, order), table, version)
+        write_snapshot(read_current(spark, table, keys, order), table, version)
     return version
 
 

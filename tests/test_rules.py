@@ -401,8 +401,3 @@ def test_marts_on_empty_input(spark, data):
 def test_top_k_ties(spark):
     df = frame(spark, [("b", 1), ("a", 1), ("c", 0)], "k string, v int")
     assert [r["k"] for r in reports.top_k(df, "v", "k", 2).collect()] == ["a", "b"]
-
-
-def test_interleaved_bits(spark):
-    df = frame(spark, [(0b11, 0b00), (0b00, 0b11), (0b10, 0b01)], "a int, b int")
-    assert [r[0] for r in df.select(tables.interleaved_bits(F.col("a"), F.col("b"))).collect()] == [0b0101, 0b1010, 0b0110]

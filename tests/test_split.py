@@ -1,5 +1,7 @@
 """The paths for oversized keys give what the plain paths give."""
 
+import math
+
 import pytest
 from compare import database, difference
 from pyspark.sql import functions as F
@@ -55,7 +57,7 @@ def test_carry_over_many_blocks(spark, rows):
         return rows(found, "k", "id", "last", "next")
 
     plain = carried()
-    tiny = {"smallBytes": 0, "maxGroupRows": 3, "blockRows": 5}
+    tiny = {"maxGroupRows": 3, "blockRows": 5}
     for name, value in tiny.items():
         spark.conf.set(f"roadpulse.{name}", str(value))
     try:
@@ -94,5 +96,19 @@ def test_load_of_the_largest_key(spark, split_groups):
     assert group_load(_line(spark).limit(0), ["k"]).hot is False
 
 
-def test_small_input_is_not_counted(spark):
-    assert group_load(_line(spark), ["k"]).rows == 0
+def test_only_hot_keys_are_split(spark, rows):
+    df = _line(spark)
+    load = group_load(df, ["k"])
+    assert not load.hot
+    half = GroupLoad(load.rows, load.largest, load.largest - 1, load.sizes)
+    bounded, hot = ordered._parted(df, ["k"], half)
+    assert hot.select("k").distinct().count() == 1 and bounded.count() + hot.count() == load.rows
+
+
+@pytest.mark.parametrize("values", [[1, 2, float("inf")], [-float("inf"), 0, float("inf")], [-1e308, 1e308, 0, 5], [1, float("nan"), 2], [5e-324, 0.0, 1e-320]])
+def test_quantiles_of_extreme_values(spark, values):
+    df = spark.createDataFrame([(float(v),) for v in values], "x double")
+    order = sorted(values, key=lambda v: (math.isnan(v), v))
+    steps = len(order) - 1
+    got = exact_quantiles(df, {"x": [k / steps for k in range(steps + 1)]})["x"]
+    assert [repr(v) for v in got] == [repr(float(v)) for v in order]

@@ -143,10 +143,10 @@ def test_late_rows_merge_batch_by_batch(spark, tmp_path):
     expected = {"a": (11, True), "b": (2, None), "c": (20, True), "d": (30, True)}
 
     def current():
-        return {r["sensor_id"]: (r["traffic_volume"], r["is_late_arrival"]) for r in late.read_current(spark, table, as_of).collect()}
+        return {r["sensor_id"]: (r["traffic_volume"], r["is_late_arrival"]) for r in late.read_current(spark, table).collect()}
 
     assert current() == expected
-    assert late.fold(spark, table, as_of) == 2 == late.fold(spark, table, as_of)
+    assert late.fold(spark, table) == 2 == late.fold(spark, table)
     assert late.versions(spark, table) == [0, 2] and current() == expected
     land(spark, source, [reading("b", 0, 12, 8)])
     late.late_merge(late_stream(spark, source), table, check, as_of).awaitTermination()
@@ -160,10 +160,10 @@ def test_unfinished_changes_are_not_read_and_written_again(spark, tmp_path):
     half.mkdir(parents=True)
     (half / "part-0.parquet").write_text("half written")
     as_of = str(T0 + timedelta(hours=30))
-    assert late.read_current(spark, table, as_of).first()["traffic_volume"] == 1
+    assert late.read_current(spark, table).first()["traffic_volume"] == 1
     land(spark, source, [reading("a", 0, 10, 3)])
     late.late_merge(late_stream(spark, source), table, check, as_of).awaitTermination()
-    assert late.read_current(spark, table, as_of).first()["traffic_volume"] == 10
+    assert late.read_current(spark, table).first()["traffic_volume"] == 10
 
 
 def late_base(spark):

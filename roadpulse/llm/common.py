@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.session import cut_lineage, work_folder
 
-__all__ = ["cut_lineage", "drop_folder", "load", "records", "text_or_empty", "without", "work_folder"]
+__all__ = ["column", "cut_lineage", "drop_folder", "load", "records", "text_or_empty", "without", "work_folder"]
 
 
 def load(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -18,8 +18,13 @@ def load(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFram
     return df.select(*columns) if columns else df
 
 
+def column(name: str) -> Column:
+    """A column by its exact name, whatever signs are in it."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def text_or_empty(name: str = "text") -> Column:
-    return F.coalesce(F.col(name).cast("string"), F.lit(""))
+    return F.coalesce(column(name).cast("string"), F.lit(""))
 
 
 def without(df: DataFrame, names: Iterable[str]) -> DataFrame:

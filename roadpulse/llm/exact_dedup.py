@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from roadpulse.llm.common import load, records, text_or_empty, without
+from roadpulse.llm.common import column, load, records, text_or_empty, without
 
 # Bytes of distinct content that one table may hold.
 TABLE_BYTES = 48 << 20
@@ -177,7 +177,7 @@ def survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", t
     # Text travels once, as the compared bytes; a flag restores its nulls.
     frame = docs.select(
         F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("__content"),
-        *[F.col(f"`{c}`").alias(f"__{i}") for i, c in enumerate(others)],
+        *[column(c).alias(f"__{i}") for i, c in enumerate(others)],
         F.col(text_col).isNull().alias("__null"),
     )
     place = others.index(id_col)

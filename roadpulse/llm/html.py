@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import cut_lineage, load
+from roadpulse.llm.common import column, cut_lineage, load
 
 # A container votes if it scores at least this share of its page's best one.
 VOTE_SHARE = 0.5
@@ -221,7 +221,7 @@ def main_text(pages: DataFrame, url_col: str = "url", html_col: str = "html") ->
     kept = [c for c in pages.columns if c not in (html_col, "text", "n_chars")]
     # A small table in most cases, so that pages needn't move; else a plain, splittable join.
     winners = cut_lineage(host_paths(pages, url_col, html_col))
-    named = pages.select(F.col(f"`{html_col}`").alias("__html"), host_of(url_col).alias("__host"), *[F.col(f"`{c}`").alias(f"__{i}") for i, c in enumerate(kept)])
+    named = pages.select(column(html_col).alias("__html"), host_of(url_col).alias("__host"), *[column(c).alias(f"__{i}") for i, c in enumerate(kept)])
     placed = named.join(winners, F.col("__host") == F.col("host"), "left").select("__html", "path", *[f"__{i}" for i in range(len(kept))])
     schema = placed.select(*[f"__{i}" for i in range(len(kept))], F.lit("").alias("__text")).schema
     texts = placed.mapInArrow(_extractor(2), schema)

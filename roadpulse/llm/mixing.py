@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import cut_lineage, load, text_or_empty, without
+from roadpulse.llm.common import column, cut_lineage, load, text_or_empty, without
 
 SEED = "mix-1"
 # Hex digits of the hash that make the uniform number: 52 bits, exact in a double.
@@ -80,7 +80,7 @@ def replicate(
     counted = placed.withColumn("n_copies", F.size(F.filter("steps", lambda step: step <= F.col("__u"))))
     copies = counted.filter("n_copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("n_copies") - 1)))
     keyed = copies.withColumn("shuffle_key", F.md5(F.concat_ws("|", "__mark", F.col("copy").cast("string"))))
-    mixed = keyed.select(*names, "copy", "n_copies", "rate", "shuffle_key")
+    mixed = keyed.select(*map(column, names), "copy", "n_copies", "rate", "shuffle_key")
     return mixed.repartitionByRange("shuffle_key").sortWithinPartitions("shuffle_key", *[c for c in (id_col,) if c in names])
 
 

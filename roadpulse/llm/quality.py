@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roadpulse.llm.common import load, text_or_empty, without
+from roadpulse.llm.common import column, load, text_or_empty, without
 
 # Bound of the training sample: documents, and segments of so many lines of each.
 TRAIN_DOCS = 4000
@@ -250,7 +250,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """
     docs = without(docs, {"score"})
     names = docs.columns
-    frame = docs.select(text_or_empty(text_col).cast("binary").alias("__text"), *[F.col(f"`{c}`").alias(f"__{i}") for i, c in enumerate(names)])
+    frame = docs.select(text_or_empty(text_col).cast("binary").alias("__text"), *[column(c).alias(f"__{i}") for i, c in enumerate(names)])
     schema = T.StructType([*frame.schema.fields[1:], T.StructField("__score", T.DoubleType())])
     scored = frame.mapInArrow(_scorer(model), schema)
     return scored.select(*[F.col(f"__{i}").alias(c) for i, c in enumerate(names)], F.col("__score").alias("score"))

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import cut_lineage, load
+from roadpulse.llm.common import cut_lineage, load, text_or_empty
 from roadpulse.llm.components import components
 
 BITS = 64
@@ -65,15 +65,15 @@ def _fingerprinter(words: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             marks = np.fromiter((fingerprint(t.as_py() or b"", words) for t in batch.column(1)), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks.view(np.int64))], ["id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(marks.view(np.int64))], ["id", "text_hash", "fp"])
 
     return run
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS) -> DataFrame:
-    """`id` and `fp` (the 64 bits as a signed long) of every row; null text counts as empty."""
-    slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
-    return slim.mapInArrow(_fingerprinter(words), "id long, fp long")
+    """`id`, `text_hash` and `fp` (the 64 bits as a signed long) of every row; null text counts as empty."""
+    slim = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"), F.xxhash64(text_or_empty(text_col)).alias("text_hash"))
+    return slim.mapInArrow(_fingerprinter(words), "id long, text_hash long, fp long")
 
 
 # ------------------------------------------------------------ index in a task
@@ -222,7 +222,7 @@ def near_groups(
     most: int = MAX_DIFFERENCES,
     leaf_rows: int = LEAF_ROWS,
 ) -> DataFrame:
-    """One row per document: `id`, `fp` and `component_id`, the smallest id reachable over links.
+    """One row per document: `id`, `text_hash`, `fp` and `component_id`, the smallest id reachable over links.
 
     Equal fingerprints are one node of the graph, so copies are never paired. Texts
     without words and null texts have fingerprint zero and link like any other. Rows
@@ -234,7 +234,19 @@ def near_groups(
     placed = codes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     smallest = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = placed.join(smallest, "root").select("fp", "component_id")
-    return marked.join(classes, "fp").select("id", "fp", "component_id")
+    return marked.join(classes, "fp").select("id", "text_hash", "fp", "component_id")
+
+
+def representatives(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of `docs`, whole, that stay when each group keeps the document with its smallest id.
+
+    Rows that repeat both that id and its text stay together, as do the rows of a group
+    that has no id at all.
+    """
+    groups = near_groups(docs, id_col, text_col, **options)
+    gone = cut_lineage(groups.filter(~F.col("id").eqNullSafe(F.col("component_id"))).select(F.col("id").alias("__gone"), F.col("text_hash").alias("__hash")).distinct())
+    same = F.col(id_col).cast("long").eqNullSafe(F.col("__gone")) & (F.xxhash64(text_or_empty(text_col)) == F.col("__hash"))
+    return docs.join(gone, same, "left_anti")
 
 
 def op1_simhash_groups(spark, sf_dir: str) -> DataFrame:

@@ -95,7 +95,7 @@ def best_of_block(
             if len(found) >= k and most[part[0]] < found[k - 1]:
                 break
             found_ids, found = np.concatenate([found_ids, ids[part]]), np.concatenate([found, products(query[None], rows[part])[0]])
-            order = np.lexsort((found_ids, -found))[:k]
+            order = np.lexsort((found_ids, ~found))[:k]  # the complement falls where the score rises, for every long
             found_ids, found = found_ids[order], found[order]
         if len(found):
             yield place, found_ids, found
@@ -155,7 +155,7 @@ def _meet(k: int, pivots: dict[int, tuple[np.ndarray, float]], samples: dict[int
                 near = lifted_distances(queries, np.zeros(len(queries)), points, heights(points, top)).astype(np.float32)
                 sample_ids, sample = samples[dim]
                 reached = np.where(sample_ids[None] == query_ids[:, None], _LONG[0], products(queries, sample))
-                floors = -np.sort(-reached, axis=1)[:, k - 1] if len(sample) >= k else np.full(len(queries), _LONG[0])
+                floors = np.sort(reached, axis=1)[:, -k] if len(sample) >= k else np.full(len(queries), _LONG[0])
                 out = ([], [], [], [])
                 for place, found, scores in best_of_block(queries, query_ids, near, candidates, own, far, top, floors, k):
                     for column, values in zip(out, (np.full(len(found), place), np.full(len(found), query_ids[place]), found, scores), strict=True):

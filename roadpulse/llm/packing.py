@@ -29,7 +29,7 @@ SEQUENCE = 4096
 END_ID = 2
 # A gap smaller than this is left as padding rather than filled by one more cut.
 LEAST_GAP = 4
-_BATCH_ROWS = 256
+_BATCH_ROWS = 32
 
 
 # ------------------------------------------------------------------- patterns

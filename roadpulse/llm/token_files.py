@@ -37,7 +37,7 @@ FILE_IDS = 4 << 20
 END_ID = 0
 _HEAD, _BLOCK = struct.Struct("<4sIIQI"), struct.Struct("<IIBI")
 _NULL_ID = -(1 << 63)
-_BATCH_ROWS = 256
+_BATCH_ROWS = 32
 
 
 # --------------------------------------------------------------------- format

@@ -14,7 +14,7 @@ from array import array
 from functools import lru_cache
 
 # Words remembered before the memory starts anew.
-MEMORY_WORDS = 700_000
+MEMORY_WORDS = 1_000_000
 ID_BYTES = 4
 _MARKS = ",.;:!?"
 _BATCH = 5000
@@ -31,6 +31,8 @@ class WordEncoder:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         self.split = self._splitter(spec)
+        # The merges alone, for words of one run of letters.
+        self.merges = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": None, "added_tokens": []}))
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
         self.known: dict[str, bytes | None] = {}
 
@@ -52,7 +54,7 @@ class WordEncoder:
         for words in split:
             if words:
                 wanted.update(words)
-        wanted.difference_update(known)
+        wanted = wanted.difference(known)
         if len(known) + len(wanted) > MEMORY_WORDS and known:
             known.clear()
             wanted = {word for words in split if words for word in words}
@@ -69,8 +71,11 @@ class WordEncoder:
         return out
 
     def _learn(self, words: set[str]) -> None:
-        known, later, ask = self.known, [], []
+        known, later, ask, plain = self.known, [], [], set()
         for word in words:
+            if word.isalpha() and word.isascii():
+                plain.add(word)
+                continue
             bare = word[1:] if word[:1] in ("\n", "\r") else word
             if not bare or bare[0].isspace():
                 known[word] = None
@@ -79,12 +84,21 @@ class WordEncoder:
             else:
                 ask.append(word)
         cores = {word[:-1] for word in later}
+        short = {core for core in cores if core.isascii() and core not in known}
+        plain |= short
+        cores -= short
         ask.extend(core for core in cores if core not in known and core not in words)
         if later:
             ask.extend(mark for mark in (f"\r{c}" for c in _MARKS) if mark not in known and mark not in words)
         for low in range(0, len(ask), _BATCH):
             part = ask[low : low + _BATCH]
             known.update(zip(part, self._plain([self._written(word) for word in part]), strict=True))
+        runs = list(plain)
+        for low in range(0, len(runs), _BATCH):
+            part = runs[low : low + _BATCH]
+            # A space is this letter in a byte-level vocabulary; ASCII letters stand for themselves.
+            told = [word.lower() for word in part] if self.split is _bare else ["\u0120" + word for word in part]
+            known.update(zip(part, self._plain(told, self.merges), strict=True))
         for word in later:
             known[word] = known[word[:-1]] + known["\r" + word[-1]]
 
@@ -94,8 +108,8 @@ class WordEncoder:
             return word[1:]
         return word if word[0] == "\n" or self.split is _bare else " " + word
 
-    def _plain(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+    def _plain(self, texts: list[str], library=None) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in (library or self.library).encode_batch_fast(texts, add_special_tokens=False)]
 
 
 def _plain_letters(word: str) -> bool:

@@ -34,22 +34,26 @@ from roadpulse.llm.common import cut_lineage, load, text_or_empty
 
 HIDDEN = 16
 # Words with an output of their own, words to a class, classes for all others.
-HEAD_WORDS, CLASS_WORDS, TAIL_CLASSES = 1024, 32, 32
+HEAD_WORDS, CLASS_WORDS, TAIL_CLASSES = 512, 32, 32
 # Words whose counts every task gets, and the longest such word in bytes.
 KNOWN_WORDS, KNOWN_BYTES = 200_000, 48
 WINDOW = 32
 LANES, TRAIN_LANES = 512, 256
 # Rounds of training, and the share of each document's segments that one of them takes.
-ROUNDS, SHARE, SEGMENT = 2, 12, 128
+ROUNDS, SHARE, SEGMENT = 2, 20, 128
+# Updates that a task makes in a round, at least, if it has the symbols for it.
+UPDATES = 60
 RATE = 0.01
 SMOOTHING = 0.1
 FOLDS, HELD_OUT = 10, 0
 # The end of a text; no word is empty.
 END = b""
-_CHUNK_TOKENS = 5_000_000
+_CHUNK_TOKENS = 4_000_000
 _COUNTER_WORDS = 400_000
 _TREE = 32
 _LOG10 = np.log(10.0)
+# Biases are log-probabilities, so logits are near or below zero; exp of this is still finite.
+_MOST = 80.0
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -63,12 +67,19 @@ def held_out(id_col: str = "doc_id") -> Column:
 # ----------------------------------------------------------------- vocabulary
 
 
+class Places(dict):
+    """Places of words; -1 for all others."""
+
+    def __missing__(self, word: bytes) -> int:
+        return -1
+
+
 class Vocabulary(NamedTuple):
     """What tasks know of the words; arrays are by place in `place`, frequent words first."""
 
     tokens: int  # N
     types: int  # V
-    place: dict[bytes, int]
+    place: Places
     head: int
     symbol: np.ndarray
     base: np.ndarray
@@ -113,8 +124,17 @@ def count_words(training: DataFrame) -> DataFrame:
 def vocabulary(counts: DataFrame) -> Vocabulary:
     totals = counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = totals["n"], totals["v"]
-    known = counts.filter(F.length("word").between(1, KNOWN_BYTES)).orderBy(F.col("c").desc(), "word").limit(KNOWN_WORDS)
-    ranked = [(bytes(r["word"]), r["c"]) for r in known.collect()]
+    short = counts.filter(F.length("word").between(1, KNOWN_BYTES))
+    # The least count that leaves few enough words, from the numbers of words by size of count.
+    step = F.floor(F.log2("c") * 8)
+    sizes = {r["step"]: r["k"] for r in short.groupBy(step.alias("step")).agg(F.count(F.lit(1)).alias("k")).collect()}
+    least, words = 1 << 60, 0
+    for size in sorted(sizes, reverse=True):
+        words += sizes[size]
+        if words > KNOWN_WORDS:
+            break
+        least = size
+    ranked = [(bytes(r["word"]), r["c"]) for r in short.filter(step >= least).collect()]
     ranked.sort(key=lambda r: (-r[1], r[0]))
     ends = counts.filter(F.length("word") == 0).first()
     ranked.insert(0, (END, ends["c"] if ends else 0))
@@ -136,7 +156,7 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     tail = np.maximum(symbol - head, 0)
     inside = np.where(np.arange(len(c)) < head, 0.0, np.log10((c + SMOOTHING) / (mass + SMOOTHING * (kinds + 1))[tail]))
     base = np.log10((c + SMOOTHING) / (n + SMOOTHING * (v + 1)))
-    return Vocabulary(n, v, {w: k for k, (w, _) in enumerate(ranked)}, head, symbol, base, inside, prefix, mass, kinds, c[:head])
+    return Vocabulary(n, v, Places((w, k) for k, (w, _) in enumerate(ranked)), head, symbol, base, inside, prefix, mass, kinds, c[:head])
 
 
 # -------------------------------------------------------------------- network
@@ -170,9 +190,10 @@ class Net:
         counts = np.zeros(vocab.head_classes * CLASS_WORDS)
         counts[: vocab.head] = vocab.head_counts + SMOOTHING
         by_class = counts.reshape(-1, CLASS_WORDS)
-        self.at["class_bias"][...] = np.log(np.concatenate([by_class.sum(axis=1), vocab.mass + SMOOTHING * (vocab.kinds + 1)]))
+        sizes = np.concatenate([by_class.sum(axis=1), vocab.mass + SMOOTHING * (vocab.kinds + 1)])
+        self.at["class_bias"][...] = np.log(sizes / sizes.sum())
         with np.errstate(divide="ignore"):
-            self.at["word_bias"][...] = np.maximum(np.log(by_class), -30.0)
+            self.at["word_bias"][...] = np.maximum(np.log(by_class / by_class.sum(axis=1, keepdims=True)), -30.0)
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -201,7 +222,7 @@ def run_output(net: Net, states: np.ndarray, target: np.ndarray, grads: dict[str
     c = net.at["words"].shape[0]
     own = np.where(target < net.head, target // CLASS_WORDS, c + target - net.head)
     logits = states @ net.at["classes"] + net.at["class_bias"]
-    logits -= logits.max(axis=1, keepdims=True)
+    np.minimum(logits, _MOST, out=logits)
     rows = np.arange(len(target))
     picked = logits[rows, own]
     np.exp(logits, out=logits)
@@ -222,7 +243,7 @@ def run_output(net: Net, states: np.ndarray, target: np.ndarray, grads: dict[str
             continue
         part = states[at]
         inner = part @ net.at["words"][k] + net.at["word_bias"][k]
-        inner -= inner.max(axis=1, keepdims=True)
+        np.minimum(inner, _MOST, out=inner)
         mine, lines = target[at] % CLASS_WORDS, np.arange(len(at))
         chosen = inner[lines, mine]
         np.exp(inner, out=inner)
@@ -326,7 +347,7 @@ def train(net: Net, texts: list[np.ndarray], momentum: tuple[np.ndarray, np.ndar
     """One pass of Adam over the texts by truncated backpropagation; the number of symbols seen."""
     total = sum(map(len, texts))
     # Enough updates even on little data.
-    many = int(np.clip(total // (WINDOW * 150), 8, TRAIN_LANES))
+    many = int(np.clip(total // (WINDOW * UPDATES), 8, TRAIN_LANES))
     first, second = momentum or (np.zeros_like(net.flat), np.zeros_like(net.flat))
     state, step = None, 0
     for x, target, valid, fresh, _ in windows(texts, many, 0):
@@ -346,7 +367,7 @@ def _trainer(shared, flat: np.ndarray, turn: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab: Vocabulary = shared.value
         net = Net(vocab, flat.copy())
-        find, held, size, seen = vocab.place.get, [], 0, 0
+        find, held, size, seen = vocab.place.__getitem__, [], 0, 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 words = words_of(text)
@@ -356,7 +377,7 @@ def _trainer(shared, flat: np.ndarray, turn: int) -> Callable:
                 for low in range(0, len(words), SEGMENT):
                     if (start + low // SEGMENT) % SHARE == turn:
                         part = words[low : low + SEGMENT]
-                        held.append(np.array([vocab.symbol[k] if (k := find(w)) is not None else vocab.head + vocab.tail(w) for w in part], np.int32))
+                        held.append(_symbols(vocab, part, np.fromiter(map(find, part), np.int64, len(part)))[0])
                         size += len(part)
                 if size > _CHUNK_TOKENS:
                     seen += train(net, held)
@@ -405,45 +426,56 @@ def fit(training: DataFrame, vocab: Vocabulary, shared) -> np.ndarray:
     return flat
 
 
+def _symbols(vocab: Vocabulary, words: list[bytes], places: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """Symbols of the words, and the words without a place."""
+    symbols = vocab.symbol[places]
+    odd = np.flatnonzero(places < 0).tolist()
+    others = [words[k] for k in odd]
+    if odd:
+        symbols[odd] = [vocab.head + vocab.tail(w) for w in others]
+    return symbols, others
+
+
 def _scorer(shared, flat: np.ndarray) -> Callable:
     names = ["part", "line", "id", "held_out", "n_tokens", "n_known", "base", "score", "rare"]
-    rare_type = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64()), ("class", pa.int64())]))
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), rare_type]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab: Vocabulary = shared.value
         net, part, line = Net(vocab, flat), TaskContext.get().partitionId(), 0
-        # Places of frequent words; -1 for all others.
-        find = vocab.place.get
+        # Without training texts even the end is unknown.
+        first_known = 0 if vocab.head_counts[0] > 0 else 1
+        find = vocab.place.__getitem__
 
-        def done(rows: list[tuple], texts: list[np.ndarray]) -> pa.RecordBatch:
+        def done() -> pa.RecordBatch:
             network = log_likelihoods(net, texts) / _LOG10
-            full = [(*row[:7], row[7] + value, row[8]) for row, value in zip(rows, network.tolist(), strict=True)]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*full, strict=True), types, strict=True)], names)
+            full = [(*row[:7], row[7] + value) for row, value in zip(rows, network.tolist(), strict=True)]
+            columns = [pa.array(c, t) for c, t in zip(zip(*full, strict=True), types, strict=True)]
+            kinds = pa.array([vocab.tail(w) for w in rare], pa.int64())
+            each = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(times, pa.int64()), kinds], ["word", "times", "class"])
+            return pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), each)], names)
 
-        rows, texts, size = [], [], 0
+        rows, texts, size, rare, times, cuts = [], [], 0, [], [], [0]
         for batch in batches:
             for doc, held, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 words = words_of(text)
                 words.append(END)
-                places = np.array([find(w, -1) for w in words], np.int64)
-                known = places >= 0
-                symbols = vocab.symbol[places]
-                rare = []
-                if not known.all():
-                    odd = np.flatnonzero(~known).tolist()
-                    symbols[odd] = [vocab.head + vocab.tail(words[k]) for k in odd]
-                    rare = [{"word": w, "times": n, "class": vocab.tail(w)} for w, n in Counter(words[k] for k in odd).items()]
-                found = places[known]
-                rows.append((part, line, doc, held, len(words), len(found), float(vocab.base[found].sum()), float(vocab.inside[found].sum()), rare))
+                places = np.fromiter(map(find, words), np.int64, len(words))
+                symbols, others = _symbols(vocab, words, places)
+                seldom = Counter(others)
+                rare.extend(seldom)
+                times.extend(seldom.values())
+                cuts.append(len(rare))
+                found = places[places >= 0]
+                rows.append((part, line, doc, held, len(words), int((found >= first_known).sum()), float(vocab.base[found].sum()), float(vocab.inside[found].sum())))
                 texts.append(symbols)
                 line += 1
                 size += len(words)
                 if size > _CHUNK_TOKENS:
-                    yield done(rows, texts)
-                    rows, texts, size = [], [], 0
+                    yield done()
+                    rows, texts, size, rare, times, cuts = [], [], 0, [], [], [0]
         if rows:
-            yield done(rows, texts)
+            yield done()
 
     return run
 

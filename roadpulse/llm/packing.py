@@ -139,7 +139,12 @@ def fill_gaps(packs: list[Pack], capacity: int, least_gap: int = LEAST_GAP) -> l
 
 
 def slots(histogram: dict[int, int], capacity: int = SEQUENCE, least_gap: int = LEAST_GAP) -> list[Slot]:
-    """The pattern table for a histogram of lengths up to `capacity`."""
+    """The pattern table for a histogram of lengths up to `capacity`.
+
+    A step of the packing uses up either a class of equal packs, which then grows into
+    another, or a length, which splits at most one class in two and opens at most one.
+    So there are at most twice as many patterns as lengths, whatever the counts.
+    """
     out, sequence = [], 0
     for pack in fill_gaps(shortest_pack_first(histogram, capacity), capacity, least_gap):
         offset = 0
@@ -246,7 +251,7 @@ def pack(
     ranked = tokens.join(starts, ["part", "remainder"]).withColumns(
         {"rank": F.col("first") + F.col("place"), "base": F.col("base") + F.col("whole_before") + packed}
     )
-    # The pattern table has a bounded number of rows for any input: a few for each possible length.
+    # At most twice as many patterns as there are lengths: a few MB for any input.
     found = ranked.join(F.broadcast(pattern), (F.col("remainder") == F.col("length")) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high")), "left")
     placed = found.select(
         "id", "ids", "doc_tokens", "base", F.coalesce("cut", F.lit(0)).alias("cut"), "size",

@@ -17,6 +17,11 @@ def _column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def tie(df: DataFrame, tiebreak: str = "event_id") -> Column:
+    """What orders rows that are otherwise equal: the named column, or a hash of the row where there is none."""
+    return F.col(tiebreak) if tiebreak in df.columns else F.xxhash64(*[F.col(f"`{c}`") for c in sorted(df.columns)])
+
+
 def traffic_level(volume: Column | str) -> Column:
     """Volume class; a null volume falls through to 'congested'."""
     volume = _column(volume)

@@ -5,19 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from roadpulse.functions.columns import tie
 from roadpulse.functions.ordered import carry, keep_first
 from roadpulse.functions.quantiles import exact_quantiles
 from roadpulse.session import cut_lineage
 
 
 def dedup(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """First row per key; repeats are dropped before the shuffle."""
-    return keep_first(df, keys, [F.col(c) for c in order])
+    """First row per key; repeats are dropped before the shuffle. A column of `order` that is missing stands for a hash of the row."""
+    return keep_first(df, keys, [tie(df, c) for c in order])
 
 
 def fill_missing(df: DataFrame, columns: list[str], key: str, ts_col: str, tiebreak: str) -> DataFrame:
     """Fill gaps with the last value of the key, then the next one, then the overall median."""
-    order = [F.col(ts_col), F.col(tiebreak)]
+    order = [F.col(ts_col), tie(df, tiebreak)]
     around = carry(
         df, [key], order, {f"__last_{c}": F.col(c) for c in columns}, {f"__next_{c}": F.col(c) for c in columns}
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadpulse.functions.columns import epoch_minute, surrogate_key, traffic_level
+from roadpulse.functions.columns import epoch_minute, surrogate_key, tie, traffic_level
 from roadpulse.functions.ordered import carry, keep_first, with_windows
 from roadpulse.functions.sizing import group_load
 from roadpulse.operators.windows import pct_change, rolling_rows
@@ -37,7 +37,7 @@ def weather_by_minute(wx: DataFrame, columns: list[str], tolerance_min: int = TO
     """
     payload = ["weather_timestamp"] + [c for c in columns if c != "weather_timestamp"]
     per_minute = wx.groupBy(epoch_minute("weather_timestamp").alias("minute")).agg(
-        F.min_by(F.struct(*payload), F.struct("weather_timestamp", "event_id")).alias("seen")
+        F.min_by(F.struct(*payload), F.struct("weather_timestamp", tie(wx))).alias("seen")
     )
     # An observation owns the minutes that are nearer to it than to its neighbours. A
     # neighbour further off than two tolerances changes nothing, so the line of
@@ -77,7 +77,7 @@ def nearest_join(
 
 def one_per_instant(df: DataFrame, key: str = "sensor_id", ts_col: str = TIME, tiebreak: str = "event_id") -> DataFrame:
     """First row of each (key, time)."""
-    return keep_first(df, [key, ts_col], [F.col(tiebreak)])
+    return keep_first(df, [key, ts_col], [tie(df, tiebreak)])
 
 
 def with_holidays(df: DataFrame, holidays: DataFrame, ts_col: str = TIME) -> DataFrame:
@@ -119,7 +119,7 @@ def with_sensor_at(
         F.struct("valid_to", *columns).alias("__version"),
     )
     facts = df.select(
-        "*", F.col(ts_col).alias("__time"), F.lit(1).alias("__kind"), F.col(tiebreak).cast("long").alias("__tie")
+        "*", F.col(ts_col).alias("__time"), F.lit(1).alias("__kind"), tie(df, tiebreak).cast("long").alias("__tie")
     )
     line = facts.unionByName(side, allowMissingColumns=True)
     carried = carry(
@@ -162,7 +162,7 @@ def int_enriched(readings: DataFrame, wx: DataFrame, holidays: DataFrame, versio
         single = one_per_instant(readings)
     else:
         # Same order as the rolling windows, so duplicates go without a shuffle of their own.
-        window = Window.partitionBy("sensor_id").orderBy(TIME, "event_id")
+        window = Window.partitionBy("sensor_id").orderBy(F.col(TIME), tie(readings))
         single = readings.withColumn("__last", F.lag(TIME).over(window)).filter(f"__last is null or __last <> {TIME}").drop("__last")
     measured = with_windows(
         single,

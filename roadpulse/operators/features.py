@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.functions.columns import dow0_mon, dow1_sun
+from roadpulse.functions.columns import dow0_mon, dow1_sun, tie
 from roadpulse.functions.ordered import number_rows, with_windows
 from roadpulse.operators.cleaning import dedup, fill_missing, iqr_filter
 from roadpulse.operators.enrich import with_group_stats
@@ -110,7 +110,7 @@ def lag_and_rolling(
         return {**lagged, **rolling_measures([target], rolling_windows, window, exclude_current)}
 
     return with_windows(
-        df, [key], [F.col(ts_col), F.col(tiebreak)], measures, before=max([*lag_periods, *rolling_windows])
+        df, [key], [F.col(ts_col), tie(df, tiebreak)], measures, before=max([*lag_periods, *rolling_windows])
     )
 
 

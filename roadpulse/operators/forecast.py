@@ -30,7 +30,9 @@ def split(df: DataFrame, test_size: float = 0.2, mode: str = "random", key: list
         seconds = F.unix_timestamp(F.col(ts_col).cast("timestamp"))
         cut = exact_quantiles(df.withColumn("__t", seconds), {"__t": [1 - test_size]})["__t"][0]
         return df.filter(seconds <= cut), df.filter(seconds > cut)
-    place = F.pmod(F.xxhash64(F.lit(SEED), *(key or ["sensor_id", ts_col])), F.lit(10_000))
+    # A hash that other engines have too.
+    mark = F.concat_ws("|", F.lit(str(SEED)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key or ["sensor_id", ts_col]])
+    place = F.conv(F.substring(F.md5(mark), 1, 8), 16, 10).cast("long") % 10_000
     edge = round((1 - test_size) * 10_000)
     return df.filter(place < edge), df.filter(place >= edge)
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -76,6 +79,28 @@ def mart_sensor_performance(hourly: DataFrame, ts_col: str = "reading_timestamp"
     )
 
 
+def refresh(built: DataFrame, table: DataFrame, changed: DataFrame, keys: dict[str, Column], build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The mart after rows of its source came in or changed.
+
+    `keys` names columns of the mart that the source row decides; `changed` is any set of
+    source rows that covers the new ones. Only the groups they fall into are built again,
+    from all their rows in `table`, and take the place of what the mart has for them.
+    """
+    affected = changed.select(*[value.alias(f"__{name}") for name, value in keys.items()]).distinct()
+
+    def touched(values: dict[str, Column]) -> Column:
+        return reduce(lambda a, b: a & b, [value.eqNullSafe(F.col(f"__{name}")) for name, value in values.items()])
+
+    part = build(table.join(affected, touched(keys), "left_semi"))
+    rest = built.join(affected, touched({name: F.col(name) for name in keys}), "left_anti")
+    return rest.unionByName(part)
+
+
+def daily_keys(ts_col: str = "reading_timestamp") -> dict[str, Column]:
+    """What `refresh` needs for the two marts that are kept by sensor and day."""
+    return {"sensor_id": F.col("sensor_id"), "traffic_date": F.to_date(ts_col)}
+
+
 def write_marts(hourly: DataFrame, folder: str, n_files: int, min_n: int = 30) -> None:
     """Write the hourly table once, clustered by sensor and time, and the three marts from it.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from roadpulse.functions.columns import as_time, before, congestion_level, latest
+from roadpulse.functions.columns import as_time, before, congestion_level, latest, tie
 from roadpulse.functions.ordered import keep_first
 
 TIME = "reading_timestamp"
@@ -134,7 +134,7 @@ def top_k(df: DataFrame, measure: str, tiebreak: str, k: int = 10) -> DataFrame:
 
 
 def latest_per_key(df: DataFrame, key: str = "sensor_id", ts_col: str = TIME, tiebreak: str = "event_id") -> DataFrame:
-    return keep_first(df, [key], [F.col(ts_col), F.col(tiebreak)], last=True)
+    return keep_first(df, [key], [F.col(ts_col), tie(df, tiebreak)], last=True)
 
 
 def ordered(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -16,6 +16,13 @@ def audited(df: DataFrame) -> DataFrame:
     return df.withColumn("etl_loaded_at", F.current_timestamp())
 
 
+def _named(raw: DataFrame, ts_col: str) -> DataFrame:
+    """Raw tables and feeds call their time `timestamp`; here it is named and free of a zone."""
+    if ts_col in raw.columns or "timestamp" not in raw.columns:
+        return raw
+    return raw.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")).withColumnRenamed("timestamp", ts_col)
+
+
 def stg_readings(
     raw: DataFrame,
     volume_min: int = 0,
@@ -25,7 +32,7 @@ def stg_readings(
     ts_col: str = "reading_timestamp",
 ) -> DataFrame:
     """Valid readings with calendar columns (day_of_week: 0 = Sunday)."""
-    ts = F.col(ts_col)
+    raw, ts = _named(raw, ts_col), F.col(ts_col)
     hour, dow = F.hour(ts), dow0_sun(ts)
     weekend = dow.isin(0, 6)
     return raw.filter(
@@ -50,6 +57,7 @@ def weather_severity(rain: Column, snow: Column, wind: Column, visibility: Colum
 
 
 def stg_weather(raw: DataFrame) -> DataFrame:
+    raw = _named(raw, "weather_timestamp")
     rain, snow = F.coalesce("rain_1h_mm", F.lit(0.0)), F.coalesce("snow_1h_mm", F.lit(0.0))
     temp, visibility = F.col("temp_fahrenheit"), F.col("visibility_miles")
     return raw.filter(temp.between(-50, 130) & F.col("weather_timestamp").isNotNull()).withColumns(

@@ -74,18 +74,30 @@ def write_compacted(df: DataFrame, path: str, columns: list[str], n_files: int)
 
 
 def profile(df: DataFrame, ts_col: str = "reading_timestamp") -> DataFrame:
-    """One row: counts, distinct sensors and dates, period, volume measures."""
+    """One row: counts, distinct sensors and dates, period, volume measures.
+
+    Rows are summed per sensor and date first, so the distinct counts see those alone.
+    """
     volume = F.col("traffic_volume")
-    return df.agg(
-        F.count(F.lit(1)).alias("total_records"),
+    daily = df.groupBy("sensor_id", F.to_date(ts_col).alias("date")).agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.min(ts_col).alias("first"),
+        F.max(ts_col).alias("last"),
+        F.sum(volume).alias("total"),
+        F.count(volume).alias("known"),
+        F.max(volume).alias("most"),
+        F.min(volume).alias("least"),
+    )
+    return daily.agg(
+        F.sum("rows").alias("total_records"),
         F.countDistinct("sensor_id").alias("unique_sensors"),
-        F.min(ts_col).alias("earliest_timestamp"),
-        F.max(ts_col).alias("latest_timestamp"),
-        F.countDistinct(F.to_date(ts_col)).alias("unique_dates"),
-        F.sum(volume).alias("total_volume"),
-        F.avg(volume).alias("avg_volume"),
-        F.max(volume).alias("max_volume"),
-        F.min(volume).alias("min_volume"),
+        F.min("first").alias("earliest_timestamp"),
+        F.max("last").alias("latest_timestamp"),
+        F.countDistinct("date").alias("unique_dates"),
+        F.sum("total").alias("total_volume"),
+        F.try_divide(F.sum("total"), F.sum("known")).alias("avg_volume"),
+        F.max("most").alias("max_volume"),
+        F.min("least").alias("min_volume"),
     )
 
 

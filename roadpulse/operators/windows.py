@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from roadpulse.functions.columns import epoch_micros
+from roadpulse.functions.columns import epoch_micros, tie
 from roadpulse.functions.ordered import with_windows
 
 TIME = "reading_timestamp"
@@ -22,15 +22,15 @@ def pct_change(column: str, window: WindowSpec) -> Column:
     return (F.col(column) - previous).cast("double") / F.nullif(previous, F.lit(0)) * 100
 
 
-def _order(ts_col: str, tiebreak: str) -> list[Column]:
-    return [F.col(ts_col), F.col(tiebreak)]
+def _order(df: DataFrame, ts_col: str, tiebreak: str) -> list[Column]:
+    return [F.col(ts_col), tie(df, tiebreak)]
 
 
 def rolling_averages(df: DataFrame, column: str, sizes: tuple[int, ...] = (3, 24), key="sensor_id", ts_col=TIME, tiebreak="event_id"):
     return with_windows(
         df,
         [key],
-        _order(ts_col, tiebreak),
+        _order(df, ts_col, tiebreak),
         lambda w: {f"rolling_avg_{n}": rolling_rows(column, n, w) for n in sizes},
         before=max(sizes) - 1,
     )
@@ -38,7 +38,7 @@ def rolling_averages(df: DataFrame, column: str, sizes: tuple[int, ...] = (3, 24
 
 def percent_changes(df: DataFrame, column: str, key="sensor_id", ts_col=TIME, tiebreak="event_id") -> DataFrame:
     return with_windows(
-        df, [key], _order(ts_col, tiebreak), lambda w: {f"{column}_pct_change": pct_change(column, w)}, before=1
+        df, [key], _order(df, ts_col, tiebreak), lambda w: {f"{column}_pct_change": pct_change(column, w)}, before=1
     )
 
 
@@ -46,7 +46,7 @@ def lags(df: DataFrame, columns: list[str], periods: list[int], key="sensor_id",
     return with_windows(
         df,
         [key],
-        _order(ts_col, tiebreak),
+        _order(df, ts_col, tiebreak),
         lambda w: {f"{c}_lag_{n}": F.lag(c, n).over(w) for c in columns for n in periods},
         before=max(periods),
     )
@@ -71,7 +71,7 @@ def rolling_features(
     return with_windows(
         df,
         [key],
-        _order(ts_col, tiebreak),
+        _order(df, ts_col, tiebreak),
         lambda w: rolling_measures(columns, sizes, w, exclude_current),
         before=max(sizes),
     )
@@ -149,8 +149,9 @@ def sequences(df: DataFrame, columns: list[str], target: str, n: int = 24, key="
     built = with_windows(
         df,
         [key],
-        _order(ts_col, tiebreak),
+        _order(df, ts_col, tiebreak),
         lambda w: {"sequence": F.collect_list(F.array(*[F.col(c).cast("double") for c in columns])).over(w.rowsBetween(-n, -1))},
         before=n,
     )
-    return built.filter(F.size("sequence") == n).select(key, ts_col, tiebreak, "sequence", F.col(target).alias("next_value"))
+    own = [c for c in (key, ts_col, tiebreak) if c in df.columns]
+    return built.filter(F.size("sequence") == n).select(*own, "sequence", F.col(target).alias("next_value"))

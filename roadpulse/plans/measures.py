@@ -9,6 +9,7 @@ from roadpulse.operators import costs, features, late, marts, monitoring, observ
 from roadpulse.plans import graphs
 from roadpulse.plans.base import columns_sql, hourly, r, rounded, sql, staged
 from roadpulse.plans.shaping import STATS_SQL
+from roadpulse.session import cut_lineage
 from roadpulse.sources import adapters
 from roadpulse.streaming import windows
 
@@ -165,7 +166,19 @@ def anomaly_timeline(spark, d):
     return reports.anomaly_timeline(windows.anomalies(measured), AS_OF)
 
 
+def incremental_daily(spark, d):
+    """The daily summary built up to a day, then brought up to date twice."""
+    table = cut_lineage(hourly(spark, d))
+    seen = F.col("reading_timestamp")
+    first, second = (F.lit(f"2024-01-{day} 07:00:00").cast("timestamp_ntz") for day in ("11", "21"))
+    mart = marts.mart_daily_summary(table.filter(seen < first))
+    for known, changed in ((table.filter(seen < second), table.filter((seen >= first) & (seen < second))), (table, table.filter(seen >= second))):
+        mart = cut_lineage(marts.refresh(mart, known, changed, marts.daily_keys(), marts.mart_daily_summary))
+    return rounded(mart)
+
+
 QUERIES = {
+    "incremental_mart_daily": incremental_daily,
     "mart_hourly": lambda s, d: rounded(
         hourly(s, d).select("surrogate_key", "sensor_id", "reading_timestamp", "traffic_volume", "traffic_level", "weather_severity", "rolling_avg_3hr")
     ),
@@ -302,9 +315,12 @@ ORACLES = {
                   (f'avg({_V}) FILTER (is_weekend)', 'avg_weekend_volume'), (f'avg({_V}) FILTER (NOT is_weekend)', 'avg_weekday_volume'))}
         FROM hourly GROUP BY ALL"""),
     "late_arrivals": sql(_LATE_SQL + f" SELECT event_id, sensor_id, is_late_arrival, {r('late_arrival_hours', 'late_arrival_hours')} FROM late"),
-    "late_stats": sql(_LATE_SQL + f""" SELECT count(sensor_id) AS total_late_records, count(DISTINCT sensor_id) AS affected_sensors,
-        {_doubles(*[(f'{f}(late_arrival_hours)', f'{f}_late_hours') for f in ('avg', 'max', 'min')])} FROM late
-        WHERE updated_at >= (SELECT max(ts) FROM events) - INTERVAL 7 DAY"""),
+    "late_stats": sql(_LATE_SQL + f""", banded AS (SELECT *, CASE WHEN late_arrival_hours <= 48 THEN 'up to 2 days'
+            WHEN late_arrival_hours <= 168 THEN 'up to 7 days' WHEN late_arrival_hours <= 720 THEN 'up to 30 days' ELSE 'later' END AS lateness
+        FROM late WHERE updated_at >= (SELECT max(ts) FROM events) - INTERVAL 7 DAY)
+        SELECT coalesce(lateness, 'all') AS lateness, count(*) AS readings, count(DISTINCT sensor_id) AS sensors,
+        {_doubles(('avg(late_arrival_hours)', 'mean_hours'), ('max(late_arrival_hours)', 'longest_hours'))}
+        FROM banded GROUP BY ROLLUP (lateness) HAVING count(*) > 0"""),
     "late_cleanup": sql(_LATE_SQL + f""" SELECT sensor_id, reading_timestamp, updated_at, {r('late_arrival_hours', 'late_arrival_hours')},
         event_id FROM late WHERE NOT (updated_at < (SELECT max(ts) FROM events) - INTERVAL 14 DAY)"""),
     "late_sample": sql(_LATE_SQL + f""" SELECT sensor_id, reading_timestamp, traffic_volume, {r('late_arrival_hours', 'late_arrival_hours')}
@@ -403,3 +419,5 @@ ORACLES = {
         PARTITION BY sensor_id ORDER BY reading_timestamp DESC, event_id DESC) AS n FROM staged) WHERE n = 1"""),
     "sorted_output": sql(f"SELECT sensor_id, reading_timestamp, {_V} FROM readings ORDER BY ALL"),
 }
+
+ORACLES["incremental_mart_daily"] = ORACLES["mart_daily_summary"]

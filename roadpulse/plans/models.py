@@ -64,7 +64,7 @@ def trained(kind):
 
 
 def split_rows(spark, d):
-    train, test = forecast.split(staged(spark, d).select(*ID))
+    train, test = forecast.split(staged(spark, d).select(*ID), key=["sensor_id", "event_id"])
     return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
 
 
@@ -153,6 +153,9 @@ _PRED = (
 )
 
 ORACLES = {
+    "train_test_split": sql("""SELECT sensor_id, reading_timestamp, event_id,
+        CASE WHEN ('0x' || substr(md5('42|' || sensor_id || '|' || event_id), 1, 8))::BIGINT % 10000 < 8000 THEN 'train' ELSE 'test' END AS split
+        FROM staged"""),
     "prepare_features": sql(_PREPARED),
     "scale_features": sql("SELECT event_id, " + ", ".join(
         r(f"({c} - avg({c}) OVER ()) / coalesce(nullif(stddev_pop({c}) OVER (), 0), 1)", c) for c in SCALED) + " FROM staged"),

@@ -17,20 +17,24 @@ SPLIT = "2024-01-21 00:00:00"
 OVERLAP = "2024-01-11 00:00:00"
 
 
-def stream_json(spark, d):
-    """Readings written as binary JSON messages and decoded again."""
+def stream_messages(spark, d):
+    """Readings as binary JSON messages."""
     message = F.struct(
         "sensor_id", F.col("reading_timestamp").alias("timestamp"), "traffic_volume", "speed_mph", "occupancy_pct",
         "road_name", "direction", "latitude", "longitude",
     )
-    raw = adapters.readings(spark, d).select(
+    return adapters.readings(spark, d).select(
         F.to_json(message, {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}).cast("binary").alias("value")
     )
-    return rounded(streams.decode_readings(raw).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")))
 
 
-def weather_json(spark, d):
-    """Weather rows written as API documents and flattened again."""
+def stream_json(spark, d):
+    """Readings written as messages and decoded again."""
+    return rounded(streams.decode_readings(stream_messages(spark, d)).withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")))
+
+
+def weather_documents(spark, d):
+    """Weather rows as API documents."""
     doc = F.struct(
         F.unix_timestamp(F.col("weather_timestamp").cast("timestamp")).alias("dt"),
         F.struct(F.lit(44.98).alias("lat"), F.lit(-93.27).alias("lon")).alias("coord"),
@@ -41,7 +45,12 @@ def weather_json(spark, d):
         F.when(F.col("rain_1h_mm").isNotNull(), F.struct(F.col("rain_1h_mm").alias("1h"))).alias("rain"),
         F.when(F.col("snow_1h_mm").isNotNull(), F.struct(F.col("snow_1h_mm").alias("1h"))).alias("snow"),
     )
-    flat = readers.flatten_weather(adapters.weather(spark, d).select(F.to_json(doc).alias("value")))
+    return adapters.weather(spark, d).select(F.to_json(doc).alias("value"))
+
+
+def weather_json(spark, d):
+    """Weather rows written as documents and flattened again."""
+    flat = readers.flatten_weather(weather_documents(spark, d))
     return rounded(flat.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz")))
 
 

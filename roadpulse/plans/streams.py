@@ -89,7 +89,7 @@ def late_merged(spark, d):
 def sensor_gaps(spark, d):
     stream = streams.with_watermark(adapters.reading_stream(spark, d))
     found = _written(spark, state.sensor_state(stream, GAP))
-    return rounded(_plain(found.filter("status = 'resumed'"), "last_reading", "previous_reading"))
+    return rounded(_plain(found, "last_reading", "previous_reading"))
 
 
 QUERIES = {
@@ -104,7 +104,7 @@ QUERIES = {
 
 _PARTS = ["sensor_id", "traffic_volume", "road_name", "direction"]
 _MEASURES = ["speed_mph", "occupancy_pct", "latitude", "longitude"]
-_CLOSED = "window_end <= date_trunc('millisecond', (SELECT max(ts) FROM events)) - INTERVAL 10 MINUTE"
+CLOSED_SQL = "window_end <= date_trunc('millisecond', (SELECT max(ts) FROM events)) - INTERVAL 10 MINUTE"
 
 ORACLES = {
     "sink_bronze_partitioned": sql(f"""SELECT {columns_sql(_PARTS + _MEASURES)}, event_id, reading_timestamp AS timestamp,
@@ -112,9 +112,9 @@ ORACLES = {
         CAST(day(reading_timestamp) AS INTEGER) AS day FROM readings"""),
     "src_auto_ingest": sql(f"SELECT {columns_sql(_PARTS + _MEASURES)}, reading_timestamp AS timestamp FROM readings"),
     "stream_watermark": sql(f"""SELECT * REPLACE ({r('avg_volume', 'avg_volume')}, {r('avg_speed', 'avg_speed')})
-        FROM ({TUMBLING_SQL}) WHERE {_CLOSED}"""),
+        FROM ({TUMBLING_SQL}) WHERE {CLOSED_SQL}"""),
     "stream_anomaly_live": sql(TREND_SQL + f""" SELECT sensor_id, window_start, anomaly_type, trend_indicator
-        FROM (SELECT *, {KIND_SQL} AS anomaly_type FROM trend) WHERE anomaly_type IS NOT NULL AND {_CLOSED}"""),
+        FROM (SELECT *, {KIND_SQL} AS anomaly_type FROM trend) WHERE anomaly_type IS NOT NULL AND {CLOSED_SQL}"""),
     "stream_dedup": sql("SELECT sensor_id, reading_timestamp AS timestamp, traffic_volume, event_id FROM readings"),
     "stream_late_merge": sql(f""", src AS (SELECT * FROM readings WHERE reading_timestamp >= TIMESTAMP '{OVERLAP}')
         SELECT sensor_id, reading_timestamp, traffic_volume, event_id, NULL::BOOLEAN AS is_late_arrival,
@@ -123,5 +123,7 @@ ORACLES = {
     "stream_stateful_sensor": sql(f"""SELECT sensor_id, reading_timestamp AS last_reading, earlier AS previous_reading,
         {r("(epoch_us(reading_timestamp) - epoch_us(earlier)) / 1000000.0", 'gap_seconds')}, 'resumed' AS status
         FROM (SELECT *, lag(reading_timestamp) OVER (PARTITION BY sensor_id ORDER BY reading_timestamp) AS earlier FROM readings)
-        WHERE reading_timestamp - earlier > INTERVAL {GAP} MINUTE"""),
+        WHERE reading_timestamp - earlier > INTERVAL {GAP} MINUTE
+        UNION ALL SELECT sensor_id, max(reading_timestamp), NULL, {GAP * 60}.0::DOUBLE, 'silent' FROM readings GROUP BY sensor_id
+        HAVING max(reading_timestamp) + INTERVAL {GAP} MINUTE < date_trunc('millisecond', (SELECT max(ts) FROM events)) - INTERVAL 10 MINUTE"""),
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 from functools import reduce
 
@@ -44,14 +45,16 @@ def read_database(spark: SparkSession, url: str, table: str, predicates: list[st
 
 
 def read_history_csv(spark: SparkSession, path: str, n_sensors: int = 10) -> DataFrame:
-    """Hourly counts from CSV; rows with a bad time or count are dropped."""
+    """Hourly counts from CSV; rows with a bad time or count are left out (`history_rejects` gives them).
+
+    A row's sensor follows from its time, by a hash that other engines have too.
+    """
     header_types = T.StructType([T.StructField("date_time", T.StringType()), T.StructField("traffic_volume", T.StringType())])
     raw = spark.read.csv(path, header=True, mode="PERMISSIVE", enforceSchema=False, inferSchema=False)
     raw = require_columns(raw, header_types.names).select(*header_types.names)
-    sensor = F.pmod(F.xxhash64("date_time"), F.lit(n_sensors)).cast("string")
+    sensor = (F.conv(F.substring(F.md5("date_time"), 1, 8), 16, 10).cast("long") % n_sensors).cast("string")
     return (
-        raw.withColumn("timestamp", F.try_to_timestamp("date_time", F.lit("yyyy-MM-dd HH:mm:ss")))
-        .withColumn("volume", F.expr("try_cast(traffic_volume AS INT)"))
+        _typed_history(raw)
         .filter("timestamp is not null and volume is not null")
         .select(
             F.concat(F.lit(HISTORY_SENSOR_PREFIX), sensor).alias("sensor_id"),
@@ -67,6 +70,19 @@ def read_history_csv(spark: SparkSession, path: str, n_sensors: int = 10) -> Dat
     )
 
 
+def _typed_history(raw: DataFrame) -> DataFrame:
+    return raw.withColumn("timestamp", F.try_to_timestamp("date_time", F.lit("yyyy-MM-dd HH:mm:ss"))).withColumn(
+        "volume", F.expr("try_cast(traffic_volume AS INT)")
+    )
+
+
+def history_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of a history file that `read_history_csv` leaves out, as they stand there."""
+    raw = spark.read.csv(path, header=True, mode="PERMISSIVE", enforceSchema=False, inferSchema=False)
+    raw = require_columns(raw, ["date_time", "traffic_volume"])
+    return _typed_history(raw).filter("timestamp is null or volume is null").select("date_time", "traffic_volume")
+
+
 def flatten_weather(raw: DataFrame, json_col: str = "value") -> DataFrame:
     """Weather API documents (JSON text) to flat observations.
 
@@ -94,11 +110,14 @@ def flatten_weather(raw: DataFrame, json_col: str = "value") -> DataFrame:
 
 
 def collect_sources(
-    loaders: dict[str, Callable[..., DataFrame]], start, end, ts_col: str = "timestamp", ordered: bool = True
+    loaders: dict[str, Callable[..., DataFrame]], start, end, ts_col: str = "timestamp", ordered: bool = True,
+    on_failure: Callable[[str, Exception], None] | None = None,
 ) -> DataFrame:
     """Stack what each named loader returns for [start, end], tagged with its name.
 
-    A loader that fails is left out; it is an error if none is left.
+    A loader that fails while it builds its frame is left out and told to `on_failure`
+    (a warning, if not given); it is an error if none is left. What fails when the rows
+    are read fails the query.
     """
     loaded, failures = [], []
     for name, load in loaders.items():
@@ -106,6 +125,10 @@ def collect_sources(
             loaded.append(load(start, end).withColumn("source", F.lit(name)))
         except Exception as error:
             failures.append(f"{name}: {error}")
+            if on_failure:
+                on_failure(name, error)
+            else:
+                warnings.warn(f"source {name} is left out: {error}", stacklevel=2)
     if not loaded:
         raise ValueError(f"no source could be loaded: {failures}")
     stacked = union_all(*loaded)

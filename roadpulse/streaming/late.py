@@ -18,15 +18,10 @@ KEYS = ("sensor_id", "reading_timestamp")
 
 
 def _complete(spark: SparkSession, folder: str, prefix: str) -> list[int]:
-    """Numbers of the finished sub-folders `prefix=N`, in ascending order."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    path = hadoop.Path(folder)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path):
-        return []
-    names = [status.getPath().getName() for status in fs.listStatus(path)]
-    found = [n for n in names if n.startswith(f"{prefix}=") and fs.exists(hadoop.Path(f"{folder}/{n}/_SUCCESS"))]
-    return sorted(int(n.split("=")[1]) for n in found)
+    """Numbers of the finished sub-folders `prefix=N`, in ascending order, by one listing."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{prefix}=*/_SUCCESS")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(int(status.getPath().getParent().getName().split("=")[1]) for status in found or [])
 
 
 def versions(spark: SparkSession, table: str) -> list[int]:

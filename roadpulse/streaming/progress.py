@@ -25,9 +25,12 @@ def _row(progress) -> tuple:
 
 
 class ProgressListener(StreamingQueryListener):
-    """Keeps the newest reports (a bounded number) and hands each to an optional sink."""
+    """Keeps all reports, or the newest `keep` of them, and hands each to an optional sink.
 
-    def __init__(self, sink=None, keep: int = 1000):
+    A stream that runs for long should have a sink that writes them, and a bound here.
+    """
+
+    def __init__(self, sink=None, keep: int | None = None):
         self.rows: list[tuple] = []
         self.errors: list[str] = []
         self._sink = sink
@@ -38,7 +41,9 @@ class ProgressListener(StreamingQueryListener):
 
     def onQueryProgress(self, event):
         row = _row(event.progress)
-        self.rows = (self.rows + [row])[-self._keep :]
+        self.rows.append(row)
+        if self._keep is not None:
+            del self.rows[: -self._keep or None]
         if self._sink:
             self._sink(row)
 

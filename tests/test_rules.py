@@ -401,3 +401,67 @@ def test_marts_on_empty_input(spark, data):
 def test_top_k_ties(spark):
     df = frame(spark, [("b", 1), ("a", 1), ("c", 0)], "k string, v int")
     assert [r["k"] for r in reports.top_k(df, "v", "k", 2).collect()] == ["a", "b"]
+
+
+def test_merge_keeps_columns_of_the_target_and_adds_null_keys(spark, rows):
+    schema_ = "sensor_id string, t timestamp_ntz, v int"
+    moment = datetime(2024, 1, 1)
+    target = frame(spark, [("a", moment, 1, "keepme"), ("b", moment, 2, "too"), (None, moment, 3, "null")], f"{schema_}, city string")
+    source = frame(spark, [("a", moment, 10), (None, moment, 30), ("c", None, 40), ("d", moment, 50)], schema_)
+    merged = tables.merge(target, source, ["sensor_id", "t"], ["v"])
+    assert merged.columns == target.columns
+    assert rows(merged, "sensor_id", "v", "city") == sorted(
+        [("a", 10, "keepme"), ("b", 2, "too"), (None, 3, "null"), (None, 30, None), ("d", 50, None)], key=repr
+    )
+
+
+def test_drift_of_empty_and_all_null_tables(spark):
+    contract = schema.contract_frame(spark, {"t": {"a": "INTEGER", "b": "DECIMAL(10,6)"}})
+    for df in (frame(spark, [], "a int, b decimal(10,6)"), frame(spark, [(None, None)], "a int, b decimal(10,6)")):
+        assert schema.drift(schema.observed_schema(df, "t"), contract).isEmpty()
+    narrower = schema.observed_schema(frame(spark, [], "a int, b decimal(5,2)"), "t")
+    assert [r["change"] for r in schema.drift(narrower, contract).collect()] == ["type_change"]
+    complete = schema.column_completeness(frame(spark, [(1, None), (2, 3)], "a int, b int"), "t")
+    assert {r["column_name"]: r["null_rows"] for r in complete.collect()} == {"a": 0, "b": 1}
+
+
+def test_ensemble_leaves_out_missing_predictions(spark):
+    pred = frame(spark, [(1, "x", 10.0), (1, "y", None), (2, "x", None), (2, "y", None)], "k int, model_name string, predicted double")
+    weights = frame(spark, [("x", 1.0), ("y", 1.0)], "model_name string, weight double")
+    assert {r["k"]: r["ensemble_prediction"] for r in forecast.ensemble(pred, ["k"], weights).collect()} == {1: 10.0, 2: None}
+    exact = forecast.inverse_rmse(frame(spark, [("x", 0.0), ("y", 2.0)], "model_name string, rmse double"))
+    assert {r["model_name"]: r["weight"] for r in exact.collect()}["y"] == 0.5
+
+
+def test_predictions_keep_rows_without_features(spark, rows):
+    df = frame(spark, [(k, float(k), 2.0 * k) for k in range(20)] + [(99, None, 5.0)], "k int, x double, traffic_volume double")
+    model = forecast.fit(df, "linear", ["x"])
+    found = {r["k"]: r["predicted"] for r in forecast.predict(model, df, "linear", ["k"]).collect()}
+    assert len(found) == 21 and found[99] is None and abs(found[7] - 14) < 1e-6
+
+
+def test_null_sensor_has_no_version(spark):
+    versions = frame(spark, [(None, datetime(2023, 1, 1), datetime(9999, 12, 31), "X", 1)], "sensor_id string, valid_from timestamp_ntz, valid_to timestamp_ntz, city string, seq int")
+    readings = frame(spark, [(None, datetime(2024, 1, 1), 1)], "sensor_id string, reading_timestamp timestamp_ntz, event_id long")
+    assert enrich.with_sensor_at(readings, versions).first()["city"] is None
+
+
+def test_uneven_graph_with_cycle_and_diamond(spark, rows):
+    edges = [("s", "a"), ("s", "b"), ("a", "c"), ("b", "c"), ("c", "d"), ("d", "a"), ("s", "z"), ("d", "z")]
+    links = frame(spark, edges, "src string, dst string")
+    assert rows(lineage.impact(links, "s")) == [("a", 1), ("b", 1), ("c", 2), ("d", 3), ("z", 1)]
+    ids = frame(spark, [("s",)], "id string"), frame(spark, [("z",), ("d",)], "id string")
+    assert rows(lineage.shortest_paths(links, *ids), "node", "path") == [("d", ["s", "a", "c", "d"]), ("z", ["s", "z"])]
+    chain = frame(spark, [(f"n{k:03d}", f"n{k + 1:03d}") for k in range(12)], "src string, dst string")
+    assert max(r["hops"] for r in lineage.impact(chain, "n000").collect()) == 12
+
+
+def test_feeds_without_event_id_chain(spark):
+    moment = datetime(2024, 1, 1, 8)
+    raw = frame(spark, [("a", moment, 100, 30.0, 5.0), ("a", moment, 120, 30.0, 5.0)], "sensor_id string, timestamp timestamp, traffic_volume int, speed_mph double, occupancy_pct double")
+    wx = frame(spark, [(moment, 50.0, 40.0, 5.0, "Clear", 10.0, None, None)], "timestamp timestamp, temp_fahrenheit double, humidity_pct double, wind_speed_mph double, weather_main string, visibility_miles double, rain_1h_mm double, snow_1h_mm double")
+    holidays = frame(spark, [], "date date, name string")
+    history = frame(spark, [("a", datetime(2023, 1, 1), 1, "R", "C")], "sensor_id string, updated_at timestamp_ntz, seq int, road_name string, city string")
+    made = enrich.int_enriched(staging.stg_readings(raw), staging.stg_weather(wx), staging.stg_holidays(holidays), staging.scd2(history))
+    row = made.first()
+    assert made.count() == 1 and row["weather_main"] == "Clear" and row["city"] == "C"

@@ -245,8 +245,10 @@ def test_late_rows(spark):
     df = readings(spark, [("s", T0, 1, 1), ("s", T0 - timedelta(hours=30), 1, 2), ("s", T0 - timedelta(hours=24), 1, 3)])
     found = late.late_arrivals(df, "2024-01-10 12:00:00").collect()
     assert [(r["event_id"], r["late_arrival_hours"]) for r in found] == [(2, 30.0)]
-    empty = late.late_stats(late.late_arrivals(df, "2024-01-10 12:00:00").withColumn("updated_at", F.lit(T0)).limit(0), "2024-01-10 12:00:00")
-    assert empty.first()["total_late_records"] == 0
+    merged = late.late_arrivals(df, "2024-01-10 12:00:00").withColumn("updated_at", F.lit(T0))
+    assert late.late_stats(merged.limit(0), "2024-01-10 12:00:00").isEmpty()
+    bands = late.late_stats(merged, "2024-01-10 12:00:00").collect()
+    assert sorted((r["lateness"], r["readings"], r["sensors"], r["mean_hours"]) for r in bands) == [("all", 1, 1, 30.0), ("up to 2 days", 1, 1, 30.0)]
 
 
 def test_cleanup_keeps_rows_on_time(spark):

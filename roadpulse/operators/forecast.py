@@ -10,7 +10,10 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRe
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from roadpulse.functions.columns import tie
+from roadpulse.functions.ordered import keep_first
 from roadpulse.functions.quantiles import exact_quantiles
+from roadpulse.session import cut_lineage
 
 LINEAR = ("ridge", "lasso", "linear")
 # Settings of the models.
@@ -153,6 +156,42 @@ def forecast(latest_pred: DataFrame, hours: int = 24, step_min: int = 15, key: s
     )
 
 
+def train_and_forecast(
+    df: DataFrame,
+    kinds: list[str],
+    features: list[str],
+    label: str = "traffic_volume",
+    hours: int = 24,
+    step_min: int = 15,
+    test_size: float = 0.2,
+    key: str = "sensor_id",
+    ts_col: str = "reading_timestamp",
+    tiebreak: str = "event_id",
+) -> tuple[DataFrame, DataFrame]:
+    """Metrics of each model on the latest rows, and the forecast grid of their ensemble.
+
+    Models are fitted on the earlier rows, weighed by their error on the later ones, and
+    applied to the last row of each key; the band is the key's own spread of the
+    ensemble's errors, and null where a key has fewer than two later rows.
+    """
+    rows = cut_lineage(df)
+    train, test = split(rows, test_size, "time", ts_col=ts_col)
+    place = [key, ts_col, tiebreak]
+    models = {kind: fit(train, kind, features, label) for kind in kinds}
+
+    def predicted(part: DataFrame) -> DataFrame:
+        return reduce(DataFrame.unionByName, [predict(model, part, kind, place, label) for kind, model in models.items()])
+
+    tested = cut_lineage(predicted(test))
+    metrics = cut_lineage(evaluate(tested, ["model_name"]))
+    weights = inverse_rmse(metrics)
+    joined = ensemble(tested, [*place, "actual"], weights)
+    spread = joined.groupBy(key).agg(F.stddev_samp(F.col("actual") - F.col("ensemble_prediction")).alias("residual_std"))
+    newest = ensemble(predicted(keep_first(rows, [key], [F.col(ts_col), tie(rows, tiebreak)], last=True)), place, weights)
+    latest = newest.join(spread, key, "left").withColumnRenamed("ensemble_prediction", "prediction")
+    return metrics, forecast(latest, hours, step_min, key, ts_col)
+
+
 def errors(actual: DataFrame, pred: DataFrame, keys: list[str]) -> DataFrame:
     """Error and absolute error of each prediction that has an actual value."""
     joined = pred.join(actual, keys)

@@ -75,6 +75,12 @@ def grid(spark, d):
     return forecast.forecast(newest.join(spread, "sensor_id"))
 
 
+def trained_grid(spark, d):
+    """Fit, weigh and forecast in one go, on one feature whose line SQL can fit too."""
+    rows = staged(spark, d).select(*ID, "occupancy_pct", F.col(TARGET).cast("double").alias(TARGET))
+    return rounded(forecast.train_and_forecast(rows, ["linear"], ["occupancy_pct"], TARGET, hours=1)[1], 3)
+
+
 def prediction_errors(spark, d):
     pred = predictions(spark, d).select("event_id", "model_name", F.col("predicted").alias("predicted_value"))
     actual = staged(spark, d).select("event_id", F.col(TARGET).cast("double").alias("actual_value"))
@@ -95,6 +101,7 @@ QUERIES = {
         forecast.ensemble(predictions(s, d), ["event_id"], forecast.inverse_rmse(_test_metrics(s, d)))
     ),
     "forecast_grid": lambda s, d: rounded(grid(s, d)),
+    "forecast_pipeline": trained_grid,
     "prediction_errors": lambda s, d: rounded(prediction_errors(s, d)),
     "rmse_alert": lambda s, d: rounded(forecast.rmse_alert(_test_metrics(s, d))),
 }
@@ -153,6 +160,14 @@ _PRED = (
 )
 
 ORACLES = {
+    "forecast_pipeline": sql(f""", timed AS (SELECT *, epoch(date_trunc('second', reading_timestamp))::BIGINT AS sec FROM staged),
+        cut AS (SELECT quantile_cont(sec, 0.8) AS edge FROM timed),
+        line AS (SELECT regr_intercept(traffic_volume, occupancy_pct) AS a, regr_slope(traffic_volume, occupancy_pct) AS b FROM timed, cut WHERE sec <= edge),
+        spread AS (SELECT sensor_id, stddev_samp(traffic_volume - a - b * occupancy_pct) AS sd FROM timed, cut, line WHERE sec > edge GROUP BY sensor_id),
+        newest AS (SELECT sensor_id, max(reading_timestamp) AS t, arg_max(occupancy_pct, (reading_timestamp, event_id)) AS o FROM timed GROUP BY sensor_id)
+        SELECT sensor_id, t + k * INTERVAL 15 MINUTE AS forecast_time, {r('a + b * o', 'predicted_volume', 3)},
+            {r('a + b * o - 1.96::DOUBLE * sd', 'lower_bound', 3)}, {r('a + b * o + 1.96::DOUBLE * sd', 'upper_bound', 3)}
+        FROM newest LEFT JOIN spread USING (sensor_id), line, range(1, 5) t2(k)"""),
     "train_test_split": sql("""SELECT sensor_id, reading_timestamp, event_id,
         CASE WHEN ('0x' || substr(md5('42|' || sensor_id || '|' || event_id), 1, 8))::BIGINT % 10000 < 8000 THEN 'train' ELSE 'test' END AS split
         FROM staged"""),

@@ -167,6 +167,39 @@ def _carry_blocks(filled: DataFrame, numbered: DataFrame, keys: list[str], names
     return out.drop("__opening", "__seen", *[f"__key_{key}" for key in keys], *[f"__from_{name}" for name in names])
 
 
+def running_sums(df: DataFrame, keys: list[str], order: list[Column], columns: list[str]) -> DataFrame:
+    """Each column summed from its key's first row to the current one. The order must be total.
+
+    Rows of oversized keys are summed inside blocks first, to which what the key's
+    earlier blocks sum up to is added.
+    """
+    load = group_load(df, keys)
+    kinds = {f.name: f.dataType for f in df.schema}
+    so_far = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*_SO_FAR)
+    plain = {c: F.sum(c).over(so_far).cast(kinds[c]) for c in columns}
+    if not load.hot:
+        return df.withColumns(plain)
+    bounded, hot = _parted(df, keys, load)
+    block = F.floor(F.col(_INDEX) / setting(df, "blockRows", BLOCK_ROWS))
+    numbered = number_rows(hot, _total_order(keys, order), load.rows).withColumn(_BLOCK, block)
+    inside = Window.partitionBy(_BLOCK, *keys).orderBy(_INDEX).rowsBetween(*_SO_FAR)
+    # A key has as many rows here as it spans blocks.
+    before = Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    totals = numbered.groupBy(*keys, _BLOCK).agg(*[F.sum(c).alias(f"__all_{c}") for c in columns])
+    opening = totals.select(
+        *[F.col(key).alias(f"__key_{key}") for key in keys],
+        F.col(_BLOCK).alias("__opening"),
+        *[F.sum(f"__all_{c}").over(before).alias(f"__from_{c}") for c in columns],
+    )
+    match = F.col(_BLOCK) == F.col("__opening")
+    for key in keys:
+        match = match & F.col(key).eqNullSafe(F.col(f"__key_{key}"))
+    local = numbered.withColumns({c: F.sum(c).over(inside) for c in columns})
+    joined = local.join(opening, match)
+    added = joined.withColumns({c: F.when(F.col(f"__from_{c}").isNull(), F.col(c)).otherwise(F.col(c) + F.col(f"__from_{c}")).cast(kinds[c]) for c in columns})
+    return bounded.withColumns(plain).unionByName(added.select(*df.columns))
+
+
 def keep_first(df: DataFrame, keys: list[str], order: list[Column], last: bool = False) -> DataFrame:
     """One whole row per key: the first (or last) in the given order.
 

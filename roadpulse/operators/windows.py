@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import functions as F
 
 from roadpulse.functions.columns import epoch_micros, tie
-from roadpulse.functions.ordered import with_windows
+from roadpulse.functions.ordered import running_sums, with_windows
 
 TIME = "reading_timestamp"
 
@@ -77,28 +77,21 @@ def rolling_features(
     )
 
 
-def rolling_range(
-    df: DataFrame, column: str, minutes: int = 15, key: str = "sensor_id", ts_col: str = TIME, slots_per_bucket: int = 4
-) -> DataFrame:
+def rolling_range(df: DataFrame, column: str, minutes: int = 15, key: str = "sensor_id", ts_col: str = TIME) -> DataFrame:
     """Sample deviation and mean of `column` over the last `minutes` minutes of each key.
 
-    A key is cut into time buckets; a row is copied into the next bucket if its
-    frame can reach it. Inside a bucket each time is summed up once and entered
-    twice, on arrival and (negated) on expiry, so one running sum serves all
-    rows: the work is linear in the rows, however dense the readings are.
+    Each time of a key is summed up once and entered twice, on arrival and (negated)
+    on expiry, so one running sum serves all rows: the work is linear in the rows,
+    however dense the readings or long the frame, and oversized keys are summed in blocks.
     Sums are exact decimals, so leaving values cancel without a remainder: values
     count to six decimals, and NaN and infinities as missing.
     """
     span = minutes * 60_000_000
-    bucket_span = span * slots_per_bucket
     value = F.col(column).cast("decimal(18,6)")
     at = epoch_micros(ts_col)
     per_time = df.groupBy(F.col(key).alias("__key"), at.alias("__at")).agg(
         F.count(value).alias("n"), F.sum(value).alias("s"), F.sum((value * value).cast("decimal(30,6)")).alias("ss")
     )
-    bucket = F.floor(F.col("__at") / bucket_span)
-    reached = F.floor((F.col("__at") + span) / bucket_span)
-    copied = per_time.withColumn("__bucket", F.explode(F.sequence(bucket, reached)))
     zero = F.lit(0).cast("decimal(38,6)")
     arrive = F.struct(
         F.col("__at").alias("at"),
@@ -115,19 +108,12 @@ def rolling_range(
         (-arrive["s"]).cast("decimal(38,6)").alias("s"),
         (-arrive["ss"]).cast("decimal(38,6)").alias("ss"),
     )
-    running = (
-        Window.partitionBy("__key", "__bucket").orderBy("at", "leaves").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    entries = copied.select("__key", "__bucket", F.inline(F.array(arrive, expire)))
-    n, s, ss = (F.sum(c).over(running) for c in ("n", "s", "ss"))
-    totals = (
-        entries.select("__key", "__bucket", "at", "leaves", n.alias("n"), s.alias("s"), ss.alias("ss"))
-        .filter((F.col("leaves") == 0) & (F.floor(F.col("at") / bucket_span) == F.col("__bucket")))
-        .select("__key", F.col("at").alias("__at"), "n", "s", "ss")
-    )
+    entries = per_time.select("__key", F.inline(F.array(arrive, expire)))
+    running = running_sums(entries, ["__key"], [F.col("at"), F.col("leaves")], ["n", "s", "ss"])
+    totals = running.filter("leaves = 0").select("__key", F.col("at").alias("__at"), "n", "s", "ss")
     count, total, squares = F.col("n"), F.col("s").cast("double"), F.col("ss").cast("double")
     spread = (squares - total * total / count) / (count - 1)
-    joined = df.join(totals, (F.col(key) == F.col("__key")) & (at == F.col("__at")), "left")
+    joined = df.join(totals, F.col(key).eqNullSafe(F.col("__key")) & (at == F.col("__at")), "left")
     return joined.select(
         *df.columns,
         F.when(count > 1, F.sqrt(F.greatest(F.lit(0.0), spread))).alias(f"{column}_rolling_std"),

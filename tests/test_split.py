@@ -112,3 +112,17 @@ def test_quantiles_of_extreme_values(spark, values):
     steps = len(order) - 1
     got = exact_quantiles(df, {"x": [k / steps for k in range(steps + 1)]})["x"]
     assert [repr(v) for v in got] == [repr(float(v)) for v in order]
+
+
+def test_running_sums_over_blocks(spark, rows):
+    df = _line(spark).withColumn("v", F.col("id").cast("decimal(38,6)")).select("k", "t", "id", "v")
+    order = [F.col("t"), F.col("id")]
+    plain = rows(ordered.running_sums(df, ["k"], order, ["v"]))
+    for name, value in {"maxGroupRows": 100, "blockRows": 7}.items():
+        spark.conf.set(f"roadpulse.{name}", str(value))
+    try:
+        split = rows(ordered.running_sums(df, ["k"], order, ["v"]))
+    finally:
+        for name in ("maxGroupRows", "blockRows"):
+            spark.conf.unset(f"roadpulse.{name}")
+    assert split == plain and len(split) == 200

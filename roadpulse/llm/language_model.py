@@ -7,10 +7,10 @@ training tokens. So every word has a probability, seen or not, and only the sequ
 of frequent words and classes runs through the network.
 
 Counts are taken over all training documents. The network is trained by truncated
-backpropagation in numpy where the data lie: each task trains on windows of all its
-training documents, and the parameters are averaged over tasks after each round. In
-scoring, documents run side by side in lanes, and a lane's state is carried from window
-to window to the end of the document.
+backpropagation in numpy where the data lie. Every training document is trained on
+once, whole: a hash of its text says in which round, and the parameters are averaged
+over tasks after each round. In training and in scoring, documents run side by side in
+lanes, and a lane's state is carried from window to window to the end of the document.
 
 Counts of frequent words are broadcast, up to a bound. Rarer words are joined to the
 table of all counts.
@@ -39,8 +39,8 @@ HEAD_WORDS, CLASS_WORDS, TAIL_CLASSES = 512, 32, 32
 KNOWN_WORDS, KNOWN_BYTES = 200_000, 48
 WINDOW = 32
 LANES, TRAIN_LANES = 512, 256
-# Rounds of training, and the share of each document's segments that one of them takes.
-ROUNDS, SHARE, SEGMENT = 2, 20, 128
+# Rounds of training; each document is in one of them.
+ROUNDS = 2
 # Updates that a task makes in a round, at least, if it has the symbols for it.
 UPDATES = 60
 RATE = 0.01
@@ -196,32 +196,45 @@ class Net:
             self.at["word_bias"][...] = np.maximum(np.log(by_class / by_class.sum(axis=1, keepdims=True)), -30.0)
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
-
-
 def run_states(net: Net, x: np.ndarray, fresh: np.ndarray, state: np.ndarray, keep: bool = False) -> tuple[np.ndarray, list]:
-    """States before each target: after reading x[t], with the state cleared where a text begins."""
-    h, into, back = HIDDEN, net.at["into"], net.at["back"]
+    """States before each target: after reading x[t], with the state cleared where a text begins.
+
+    Inside, and in what is kept, lanes are the last axis, so that gates are contiguous.
+    """
+    h, into, back = HIDDEN, np.ascontiguousarray(net.at["into"].T), np.ascontiguousarray(net.at["back"].T)
     out, kept = np.empty((*x.shape, h), np.float32), []
+    live, state = (~fresh).astype(np.float32), np.ascontiguousarray(state.T)
     for t in range(len(x)):
-        before = np.where(fresh[t][:, None], np.float32(0), state)
-        gates, rec = into[x[t]], before @ back
-        zr = _sigmoid(gates[:, : 2 * h] + rec[:, : 2 * h])
-        z, r = zr[:, :h], zr[:, h:]
-        new = np.tanh(gates[:, 2 * h :] + r * rec[:, 2 * h :])
-        state = new + z * (before - new)
-        out[t] = state
+        before = state * live[t]
+        gates, rec = into.take(x[t], axis=1), back @ before
+        zr = gates[: 2 * h]
+        zr += rec[: 2 * h]
+        np.negative(zr, out=zr)
+        np.exp(zr, out=zr)
+        zr += 1
+        np.reciprocal(zr, out=zr)
+        z, r = zr[:h], zr[h:]
+        new = r * rec[2 * h :]
+        new += gates[2 * h :]
+        np.tanh(new, out=new)
+        state = before - new
+        state *= z
+        state += new
+        out[t] = state.T
         if keep:
-            kept.append((before, z, r, new, rec[:, 2 * h :]))
+            kept.append((before, z, r, new, rec[2 * h :]))
     return out, kept
 
 
 def run_output(net: Net, states: np.ndarray, target: np.ndarray, grads: dict[str, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray | None]:
     """Natural log-probability of each target symbol; with `grads`, adds to them and gives the states' gradient."""
     c = net.at["words"].shape[0]
-    own = np.where(target < net.head, target // CLASS_WORDS, c + target - net.head)
-    logits = states @ net.at["classes"] + net.at["class_bias"]
+    own = np.where(target < net.head, target // CLASS_WORDS, c + target - net.head).astype(np.int16)
+    # By class, so that the targets of a class are one slice.
+    order = np.argsort(own, kind="stable")
+    own, states, target = own[order], states[order], target[order]
+    logits = states @ net.at["classes"]
+    logits += net.at["class_bias"]
     np.minimum(logits, _MOST, out=logits)
     rows = np.arange(len(target))
     picked = logits[rows, own]
@@ -230,32 +243,34 @@ def run_output(net: Net, states: np.ndarray, target: np.ndarray, grads: dict[str
     logp = picked - np.log(total)
     down = None
     if grads is not None:
-        logits /= -total[:, None]
+        logits *= (-1 / total)[:, None]
         logits[rows, own] += 1
         down = logits @ net.at["classes"].T
         grads["classes"] += states.T @ logits
         grads["class_bias"] += logits.sum(axis=0)
-    order = np.argsort(own, kind="stable")
-    cuts = np.searchsorted(own[order], np.arange(c + 1))
+    cuts = np.searchsorted(own, np.arange(c + 1))
     for k in range(c):
-        at = order[cuts[k] : cuts[k + 1]]
-        if not len(at):
-            continue
+        at = slice(cuts[k], cuts[k + 1])
         part = states[at]
-        inner = part @ net.at["words"][k] + net.at["word_bias"][k]
+        if not len(part):
+            continue
+        inner = part @ net.at["words"][k]
+        inner += net.at["word_bias"][k]
         np.minimum(inner, _MOST, out=inner)
-        mine, lines = target[at] % CLASS_WORDS, np.arange(len(at))
+        mine, lines = target[at] % CLASS_WORDS, rows[: len(part)]
         chosen = inner[lines, mine]
         np.exp(inner, out=inner)
         sums = inner.sum(axis=1)
         logp[at] += chosen - np.log(sums)
         if grads is not None:
-            inner /= -sums[:, None]
+            inner *= (-1 / sums)[:, None]
             inner[lines, mine] += 1
             down[at] += inner @ net.at["words"][k].T
             grads["words"][k] += part.T @ inner
             grads["word_bias"][k] += inner.sum(axis=0)
-    return logp, down
+    back = np.empty_like(order)
+    back[order] = rows
+    return logp[back], None if down is None else down[back]
 
 
 def gradients(net: Net, x: np.ndarray, target: np.ndarray, valid: np.ndarray, fresh: np.ndarray, state: np.ndarray) -> tuple[Net, np.ndarray, float]:
@@ -273,20 +288,35 @@ def gradients(net: Net, x: np.ndarray, target: np.ndarray, valid: np.ndarray, fr
     below = np.zeros((x.size, h), np.float32)
     below[real] = down
     below = below.reshape(*x.shape, h)
-    carry = np.zeros_like(state)
+    carry, live = np.zeros((h, x.shape[1]), np.float32), (~fresh).astype(np.float32)
     back = net.at["back"]
-    at_gates = np.empty((*x.shape, 3 * h), np.float32)
+    at_gates, at_rec = np.empty((*x.shape, 3 * h), np.float32), np.empty((3 * h, x.shape[1]), np.float32)
     for t in range(len(x) - 1, -1, -1):
         before, z, r, new, rec = kept[t]
-        d = below[t] + carry
-        d_new = d * (1 - z) * (1 - new * new)
-        d_z = d * (before - new) * z * (1 - z)
-        d_r = d_new * rec * r * (1 - r)
-        at_gates[t] = np.concatenate([d_z, d_r, d_new], axis=1)
-        d_rec = np.concatenate([d_z, d_r, d_new * r], axis=1)
-        grad.at["back"] += before.T @ d_rec
-        carry = np.where(fresh[t][:, None], np.float32(0), d * z + d_rec @ back.T)
-    np.add.at(grad.at["into"], x.ravel(), at_gates.reshape(-1, 3 * h))
+        d = carry
+        d += below[t].T
+        held = d * z
+        d -= held
+        d_new = 1 - new * new
+        d_new *= d
+        d_z, d_r = at_rec[:h], at_rec[h : 2 * h]
+        np.subtract(before, new, out=d_z)
+        d_z *= held
+        d_z *= 1 - z
+        np.multiply(d_new, r, out=at_rec[2 * h :])
+        np.multiply(at_rec[2 * h :], rec, out=d_r)
+        d_r *= 1 - r
+        at_gates[t, :, : 2 * h] = at_rec[: 2 * h].T
+        at_gates[t, :, 2 * h :] = d_new.T
+        grad.at["back"] += before @ at_rec.T
+        carry = back @ at_rec
+        carry += held
+        carry *= live[t]
+    # Sums by symbol over sorted rows.
+    order = np.argsort(x.ravel().astype(np.int16), kind="stable")
+    ranked = x.ravel()[order]
+    begins = np.flatnonzero(np.diff(ranked, prepend=-1))
+    grad.at["into"][ranked[begins]] += np.add.reduceat(at_gates.reshape(-1, 3 * h)[order], begins, axis=0)
     grad.flat /= max(len(real), 1)
     return grad, states[-1], float(logp.mean()) if len(real) else 0.0
 
@@ -312,22 +342,21 @@ def windows(texts: list[np.ndarray], many: int, end: int) -> Iterator[tuple[np.n
     so those that have ended are the last.
     """
     dealt = lanes(texts, many)
-    streams = [np.concatenate([texts[k] for k in lane]) for lane in dealt]
-    owners = [np.repeat(np.array(lane), [len(texts[k]) for k in lane]) for lane in dealt]
-    sizes = np.array([len(s) for s in streams])
-    for low in range(0, int(sizes.max(initial=0)), WINDOW):
+    if not dealt:
+        return
+    order = np.concatenate([np.array(lane) for lane in dealt])
+    lengths = np.array([len(texts[k]) for k in order])
+    symbols, owners = np.concatenate([texts[k] for k in order]), np.repeat(order, lengths)
+    begins = np.diff(owners, prepend=-1) != 0
+    earlier = np.where(begins, end, np.concatenate([[end], symbols[:-1]]))
+    sizes = np.array([sum(len(texts[k]) for k in lane) for lane in dealt])
+    starts = np.cumsum(sizes) - sizes
+    for low in range(0, int(sizes.max()), WINDOW):
         live = int(np.searchsorted(-sizes, -low, side="left"))
-        target, owner = np.full((live, WINDOW), end, np.int32), np.full((live, WINDOW), -1, np.int64)
-        earlier = np.full((live, 1), end, np.int32)
-        last_owner = np.full((live, 1), -1, np.int64)
-        for k in range(live):
-            part = streams[k][low : low + WINDOW]
-            target[k, : len(part)], owner[k, : len(part)] = part, owners[k][low : low + WINDOW]
-            if low:
-                earlier[k], last_owner[k] = streams[k][low - 1], owners[k][low - 1]
-        fresh = owner != np.concatenate([last_owner, owner[:, :-1]], axis=1)
-        x = np.where(fresh, end, np.concatenate([earlier, target[:, :-1]], axis=1))
-        yield x.T, target.T, (owner >= 0).T, fresh.T, owner.T
+        step = low + np.arange(WINDOW)[:, None]
+        valid = step < sizes[:live]
+        place = np.where(valid, starts[:live] + step, 0)
+        yield np.where(valid, earlier[place], end), np.where(valid, symbols[place], end), valid, valid & begins[place], np.where(valid, owners[place], -1)
 
 
 def log_likelihoods(net: Net, texts: list[np.ndarray]) -> np.ndarray:
@@ -370,15 +399,12 @@ def _trainer(shared, flat: np.ndarray, turn: int) -> Callable:
         find, held, size, seen = vocab.place.__getitem__, [], 0, 0
         for batch in batches:
             for text in batch.column(0).to_pylist():
+                if zlib.crc32(text) % ROUNDS != turn:
+                    continue
                 words = words_of(text)
                 words.append(END)
-                # Segments are drawn by a hash of the text, another share of them each round.
-                start = zlib.crc32(text)
-                for low in range(0, len(words), SEGMENT):
-                    if (start + low // SEGMENT) % SHARE == turn:
-                        part = words[low : low + SEGMENT]
-                        held.append(_symbols(vocab, part, np.fromiter(map(find, part), np.int64, len(part)))[0])
-                        size += len(part)
+                held.append(_symbols(vocab, words, np.fromiter(map(find, words), np.int64, len(words)))[0])
+                size += len(words)
                 if size > _CHUNK_TOKENS:
                     seen += train(net, held)
                     held, size = [], 0

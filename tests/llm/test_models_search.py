@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -126,6 +127,32 @@ def test_network_learns_and_carries_state():
     assert np.isclose(np.exp(logp).sum(), 1, atol=1e-4)
 
 
+def test_trains_once_on_every_training_text(monkeypatch):
+    texts = [" ".join(DRAW.choice("abc") for _ in range(n)).encode() for n in [0, 1, 3, 5, 5, 127, 128, 300, 4000] * 3]
+    find = language_model.Places({b"": 0, b"a": 1, b"b": 2, b"c": 3})
+    c, zeros = np.array([27.0, 9, 9, 9]), np.zeros(language_model.TAIL_CLASSES)
+    vocab = language_model.Vocabulary(54, 4, find, 4, np.arange(4, dtype=np.int32), c, c * 0, {}, zeros, zeros, c)
+    seen = []
+    monkeypatch.setattr(language_model, "train", lambda net, texts: seen.extend(tuple(t.tolist()) for t in texts) or sum(map(len, texts)))
+    shared, flat = type("Shared", (), {"value": vocab}), language_model.Net(vocab).flat
+    weights = 0
+    for turn in range(language_model.ROUNDS):
+        for out in language_model._trainer(shared, flat, turn)(iter([pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], ["text"])])):
+            weights += out.column(1)[0].as_py()
+    want = [tuple(find[w] for w in [*t.split(), b""]) for t in texts]
+    assert sorted(seen) == sorted(want) and weights == sum(map(len, want))
+
+
+def test_windows_keep_texts_whole():
+    texts = [np.arange(1, n + 1, dtype=np.int32) for n in (1, 2, 31, 32, 33, 64, 200)]
+    got = {k: [] for k in range(len(texts))}
+    for x, target, valid, fresh, owner in language_model.windows(texts, 3, 0):
+        for lane in range(x.shape[1]):
+            for t in np.flatnonzero(valid[:, lane]):
+                got[owner[t, lane]].append((x[t, lane], target[t, lane], fresh[t, lane]))
+    assert got == {k: [(n - 1, n, n == 1) for n in range(1, len(text) + 1)] for k, text in enumerate(texts)}
+
+
 def test_gradients_by_differences():
     draw = np.random.default_rng(2)
     c = np.array([3.0, 5, 7, 2, 9])

@@ -2,9 +2,10 @@
 
 Every page's containers are scored by the text they hold outside boilerplate and
 links. Each page votes for the generalised paths (tags and classes, without numbers)
-of its best containers; Spark sums the votes of each host. The winning path of a host
-then says where to extract on its pages, and a page without such a container, or
-without a host, uses its own best one.
+of its best containers, or of what encloses them if that holds more of the text; Spark
+sums the votes of each host. The winning path of a host then says where to extract on
+its pages, with what encloses it there below the body, and a page without such a
+container, or without a host, uses its own best one.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from roadpulse.llm.common import column, cut_lineage, load
 VOTE_SHARE = 0.5
 # What a container's parent gets of the score of a text.
 PARENT_SHARE = 0.5
+# The body encloses an article if it holds at least this share of its text beside it.
+BODY_SHARE = 0.2
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|textarea|iframe|svg|title|select|object)\b[^>]*>.*?(?:</\1\s*>|\Z)"
@@ -44,6 +47,12 @@ _DROPPED_WORDS = {
     "pagination", "popup", "promo", "related", "replies", "respond", "search", "share", "sharing", "sidebar", "signup",
     "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget",
 }
+# Words that stand beside those in a name without changing what it means.
+_PLAIN_WORDS = {
+    "area", "bar", "block", "bottom", "box", "buttons", "container", "content", "form", "group", "inner", "item", "items", "left", "link", "links",
+    "list", "main", "outer", "page", "panel", "post", "posts", "primary", "right", "secondary", "section", "site", "slot", "text", "title", "top",
+    "unit", "wrap", "wrapper",
+}
 _NEVER_DROPPED = {"html", "body", "main", "article", "h1", "h2", "h3", "h4", "h5", "h6"}
 _INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "img", "ins",
@@ -72,9 +81,9 @@ def _label(tag: str, attributes: str) -> tuple[str, bool]:
     if "=" not in attributes:
         return tag, False
     named = {m[1].lower(): (m[2] or m[3] or m[4] or "").lower() for m in _ATTRIBUTE.finditer(attributes)}
-    words = {w for value in named.values() for w in _WORD.findall(value)}
+    names = [set(_WORD.findall(name)) for value in named.values() for name in value.split()]
     classes = sorted({c for c in (_NUMBER.sub("", x) for x in named.get("class", "").split()) if c})
-    return ".".join([tag, *classes]), tag not in _NEVER_DROPPED and bool(words & _DROPPED_WORDS)
+    return ".".join([tag, *classes]), tag not in _NEVER_DROPPED and any(words & _DROPPED_WORDS and words <= _DROPPED_WORDS | _PLAIN_WORDS for words in names)
 
 
 def parse(html: str) -> Page:
@@ -146,18 +155,63 @@ def scores(page: Page) -> list[float]:
     return own
 
 
+def enclosing(page: Page, chosen: set[int], body: bool) -> set[int]:
+    """The containers, each replaced by the one around it that holds more of its text.
+
+    A parent counts if it has text of its own or other children with text, links taken
+    off; an article or main element counts above parents that have none, too. The body
+    counts only if `body` is set, and by its share; nothing above it does.
+    """
+    own = [0.0] * len(page.paths)
+    for container, piece, linked, _ in page.texts:
+        own[container] += len(piece.strip()) * (-0.5 if linked else 1.0)
+    total = own.copy()
+    for k in range(len(own) - 1, 0, -1):
+        total[page.parents[k]] += total[k]
+    # What each container holds in text of its own and in children, without losses by links.
+    held = [max(value, 0.0) for value in own]
+    for k in range(1, len(own)):
+        held[page.parents[k]] += max(total[k], 0.0)
+    tags = [path.rpartition(">")[2].partition(".")[0] for path in page.paths]
+    inside: dict[int, float] = {}
+    for k in chosen:
+        inside[page.parents[k]] = inside.get(page.parents[k], 0.0) + max(total[k], 0.0)
+    out = set()
+    for first in chosen:
+        top, below, near = first, first, True
+        while (up := page.parents[below]) > 0 and tags[up] != "html":
+            mine = inside.get(up, 0.0) if below == first else max(total[below], 0.0)
+            more = held[up] - mine
+            if tags[up] == "body":
+                if body and near and more >= BODY_SHARE * max(mine, 1.0):
+                    top = up
+                break
+            if more > 0 and (near or tags[up] in ("article", "main")):
+                top, near = up, True
+            else:
+                near = False
+            below = up
+        out.add(top)
+    return out
+
+
 def votes(page: Page) -> dict[str, float]:
-    """Paths of a page's good containers, with their share of its best score."""
+    """Paths of a page's good containers, or of what encloses them, with their share of its best score."""
     found: dict[str, float] = {}
     for path, value in zip(page.paths, scores(page), strict=True):
         if value > 0:
             found[path] = found.get(path, 0.0) + value
     best = max(found.values(), default=0.0)
-    return {path: value / best for path, value in found.items() if value >= VOTE_SHARE * best}
+    out: dict[str, float] = {}
+    for path, value in found.items():
+        if value >= VOTE_SHARE * best:
+            for k in enclosing(page, {k for k, p in enumerate(page.paths) if p == path}, True):
+                out[page.paths[k]] = max(out.get(page.paths[k], 0.0), value / best)
+    return out
 
 
 def extract(page: Page, path: str | None) -> str:
-    """Text in all containers at the path, or else in the page's best ones."""
+    """Text in all containers at the path and what encloses them, or else in the page's best ones."""
     chosen = {k for k, p in enumerate(page.paths) if p == path}
     if not chosen:
         best = votes(page)
@@ -165,6 +219,7 @@ def extract(page: Page, path: str | None) -> str:
             return ""
         top = max(best, key=lambda p: (best[p], p))
         chosen = {k for k, p in enumerate(page.paths) if p == top}
+    chosen = enclosing(page, chosen, False)
     for k, parent in enumerate(page.parents):  # parents come before their children
         if parent in chosen:
             chosen.add(k)

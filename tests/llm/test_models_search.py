@@ -238,6 +238,32 @@ def test_broken_pages_do_not_fail(text):
     assert isinstance(html.extract(html.parse(text), "x"), str)
 
 
+LONG = "a paragraph of the article that goes on for quite a while and then some more"
+
+
+@pytest.mark.parametrize(
+    "body",
+    [
+        f"<article><h1>Head</h1><p>lead</p><section><p>{LONG}</section><section><p>{LONG}</section></article>",
+        f"<article><h1>Head</h1><p>lead</p><div><section><p>{LONG}</section><section><p>{LONG}</section></div></article>",
+        f"<div class=post><div class=lead><h1>Head</h1>lead</div><div class=body><p>{LONG}<p>{LONG}</div></div><div class=tags><a href=/>x</a></div>",
+        f"<div class='content has-sidebar'><h1>Head</h1>lead<p>{LONG}<p>{LONG}</div><div class='sidebar'>{LONG}</div>",
+        f"<div class='no-sidebar'><h1>Head</h1><p>lead<p>{LONG}<p>{LONG}</div><div class='related-posts'>{LONG}</div>",
+    ],
+)
+def test_keeps_nested_articles_whole(body):
+    page = html.parse(f"<html><body><nav><a href=/>menu</a></nav>{body}<footer>foot</footer></body></html>")
+    want = f"Head lead {LONG} {LONG}"
+    best = html.votes(page)
+    assert html.extract(page, None) == want
+    assert html.extract(page, max(best, key=lambda p: (best[p], len(p), p))) == want
+
+
+def test_lead_beside_body_under_the_page_body():
+    page = html.parse(f"<html><body><div class=lead>{LONG}</div><div class=body><p>{LONG}<p>{LONG}</div></body></html>")
+    assert html.extract(page, None) == f"{LONG} {LONG} {LONG}"
+
+
 def test_hosts_agree(spark):
     rows = [(k, f"http://Host.example/{k}", PAGE) for k in range(5)]
     # Alone, this page's best container would be another one.

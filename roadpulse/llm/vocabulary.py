@@ -49,7 +49,7 @@ class WordEncoder:
         return None
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [self.split(text) if self.split and not any(s in text for s in self.special) else None for text in texts]
+        split = [self.split(text) if self.split and not self._has_special(text) else None for text in texts]
         known, wanted = self.known, set()
         for words in split:
             if words:
@@ -70,6 +70,10 @@ class WordEncoder:
                 out[at] = self._plain([texts[at]])[0]
         return out
 
+    def _has_special(self, text: str) -> bool:
+        """Whether a special token is in the text, or would be in its lower case, in which words are asked for."""
+        return any(s in text or (s[:2] in text and s.lower() in text.lower()) for s in self.special)
+
     def _learn(self, words: set[str]) -> None:
         known, later, ask, plain = self.known, [], [], set()
         for word in words:

@@ -2,7 +2,7 @@
 
 Only the longest grams are counted: they are the edges between nodes one word shorter.
 The count of a node is what flows out of it plus how often a piece ends there, and so on
-down to single words, so each piece adds one edge per word and one correction per length.
+down to pairs, so each word adds one edge, or one correction near the end of its piece.
 
 Phrases below the least count are never needed, nor are their parts. So words that are
 rarer, and then pairs that may be, cut the pieces first. Both are known by bitmaps of
@@ -36,7 +36,9 @@ UNKNOWN_LANG = "und"
 # Bits of the two bitmaps: 8 and 16 MB at any input size.
 WORD_BITS, PAIR_BITS = 26, 27
 # Words numbered together in a task before they are counted and given out.
-BLOCK_WORDS = 4_000_000
+BLOCK_WORDS = 8_000_000
+# Places of one part of the pair bitmap, as a power of two.
+_PART_BITS = 15
 
 _MARKS = b".,;:!?\n\x0b\x0c\r"
 _TABLE = bytes(0x0A if i in _MARKS else i for i in range(256))
@@ -105,7 +107,7 @@ def _is_set(bitmap: np.ndarray, places: np.ndarray) -> np.ndarray:
 
 def _words_kept(ids: np.ndarray, hashes: np.ndarray, words: np.ndarray) -> np.ndarray:
     """The word numbers, with 0 in place of words that the bitmap doesn't hold."""
-    held = _is_set(words, hashes & np.uint64((1 << WORD_BITS) - 1))
+    held = _is_set(words, hashes & np.uint64(8 * len(words) - 1))
     held[0] = False
     return np.where(held[ids], ids, 0)
 
@@ -117,7 +119,7 @@ def word_counts(base: DataFrame) -> DataFrame:
         for lang, block in _blocks(batches, BLOCK_WORDS):
             counts = np.bincount(np.frombuffer(block.ids, np.uint32), minlength=len(block.numbers) + 1)[1:]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(counts)), _strings(list(block.numbers)), pa.array(counts, pa.int64())], names=["lang", "phrase", "n"]
+                [pa.array([lang] * len(counts), pa.string()), _strings(list(block.numbers)), pa.array(counts, pa.int64())], names=["lang", "phrase", "n"]
             )
 
     return base.mapInArrow(count, "lang string, phrase string, n long").groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
@@ -135,8 +137,14 @@ def _bitmap(places: DataFrame, bits: int) -> np.ndarray:
 
 
 def _pair_bitmap(base: DataFrame, words: np.ndarray, least: int) -> np.ndarray:
-    """Hashes of neighbouring words that together occur at least `least` times."""
+    """Hashes of neighbouring words that together occur at least `least` times.
+
+    Each task gives out its counts by parts of the bitmap, as arrays; counts are cut off at
+    `least`, which doesn't change what reaches it. A part is put together from all tasks'
+    arrays by one task, in an array of fixed size.
+    """
     held = base.sparkSession.sparkContext.broadcast(words)
+    kind, size = np.uint8 if least < 256 else np.uint32, 1 << _PART_BITS
 
     def count(batches):
         for lang, block in _blocks(batches, BLOCK_WORDS):
@@ -144,14 +152,35 @@ def _pair_bitmap(base: DataFrame, words: np.ndarray, least: int) -> np.ndarray:
             ids = _words_kept(np.frombuffer(block.ids, np.uint32), hashes, held.value)
             both = (ids[:-1] > 0) & (ids[1:] > 0)
             places, counts = np.unique(_pair_places(hashes[ids[:-1][both]], hashes[ids[1:][both]], PAIR_BITS), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(places.astype(np.int64)), pa.array(counts, pa.int64())], names=["place", "n"])
+            counts, parts = np.minimum(counts, least).astype(kind), (places >> np.uint64(_PART_BITS)).astype(np.int32)
+            offsets = (places & np.uint64(size - 1)).astype(np.uint16)
+            starts = np.flatnonzero(np.diff(parts, prepend=-1))
+            cuts = list(zip(starts.tolist(), np.append(starts, len(parts))[1:].tolist(), strict=True))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(parts[starts]),
+                    pa.array([offsets[i:j].tobytes() for i, j in cuts], pa.binary()),
+                    pa.array([counts[i:j].tobytes() for i, j in cuts], pa.binary()),
+                ],
+                names=["part", "offsets", "counts"],
+            )
 
-    pairs = base.mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
-    return _bitmap(pairs.filter(F.col("n") >= least).select("place"), PAIR_BITS)
+    def add(table: pa.Table) -> pa.Table:
+        total = np.zeros(size, np.int64)
+        for offsets, counts in zip(table.column("offsets").to_pylist(), table.column("counts").to_pylist(), strict=True):
+            total[np.frombuffer(offsets, np.uint16)] += np.frombuffer(counts, kind)
+        bits = np.packbits(total >= least, bitorder="little").tobytes()
+        return pa.table({"part": table.column("part").slice(0, 1), "bits": pa.array([bits], pa.binary())})
+
+    parts = base.mapInArrow(count, "part int, offsets binary, counts binary").groupBy("part").applyInArrow(add, "part int, bits binary")
+    out = np.zeros((1 << PAIR_BITS) // 8, np.uint8)
+    for row in parts.toLocalIterator():  # as many bytes as the bitmap has
+        out[row["part"] * size // 8 :][: size // 8] = np.frombuffer(row["bits"], np.uint8)
+    return out
 
 
 def _grams(base: DataFrame, words: np.ndarray, pairs: np.ndarray, longest: int) -> DataFrame:
-    """Edges (`size` = longest) and piece-end corrections (smaller sizes) with their counts `n`."""
+    """Edges (`size` = longest) and piece-end corrections (smaller sizes, two words or more) with their counts `n`."""
     context = base.sparkSession.sparkContext
     held_words, held_pairs = context.broadcast(words), context.broadcast(pairs)
 
@@ -167,12 +196,11 @@ def _grams(base: DataFrame, words: np.ndarray, pairs: np.ndarray, longest: int)
             goes[at] = _is_set(held_pairs.value, _pair_places(hashes[ids[at]], hashes[ids[at + 1]], PAIR_BITS))
             # start: places where a run of `size` linked words starts; code: a number for those words.
             start, code = np.flatnonzero(ids > 0), ids
-            for size in range(1, longest + 1):
-                if size > 1:
-                    start = start[goes[start + size - 2]]
-                    found, rank = np.unique(code[start] * (len(names) + 1) + ids[start + size - 1], return_inverse=True)
-                    code = np.zeros(len(ids), np.int64)
-                    code[start] = rank
+            for size in range(2, longest + 1):
+                start = start[goes[start + size - 2]]
+                _, rank = np.unique(code[start] * (len(names) + 1) + ids[start + size - 1], return_inverse=True)
+                code = np.zeros(len(ids), np.int64)
+                code[start] = rank
                 wanted = start if size == longest else start[~goes[start + size - 1]]
                 _, first, counts = np.unique(code[wanted], return_index=True, return_counts=True)
                 first = wanted[first]
@@ -180,7 +208,7 @@ def _grams(base: DataFrame, words: np.ndarray, pairs: np.ndarray, longest: int)
                 for k in range(1, size):
                     spelled = [f + b" " + names[i] for f, i in zip(spelled, ids[first + k], strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(first)), pa.array([size] * len(first), pa.int32()), _strings(spelled), pa.array(counts, pa.int64())],
+                    [pa.array([lang] * len(first), pa.string()), pa.array([size] * len(first), pa.int32()), _strings(spelled), pa.array(counts, pa.int64())],
                     names=["lang", "size", "phrase", "n"],
                 )
 
@@ -194,10 +222,10 @@ def _some_words(low: int | Column, n: int | Column, phrase: str = "phrase") -> C
 
 
 def node_counts(grams: DataFrame, longest: int) -> DataFrame:
-    """Counts of all lengths: flow out of each node plus the pieces that end there."""
+    """Counts of two words and more: flow out of each node plus the pieces that end there."""
     counts = grams.filter(F.col("size") == longest)
     out = counts
-    for size in range(longest - 1, 0, -1):
+    for size in range(longest - 1, 1, -1):
         flow = counts.select("lang", _some_words(1, size).alias("phrase"), "n")
         ends = grams.filter(F.col("size") == size).select("lang", "phrase", "n")
         counts = flow.unionByName(ends).groupBy("lang", "phrase").agg(F.sum("n").alias("n"))
@@ -276,7 +304,8 @@ def collocations(
     words = _bitmap(singles.filter(F.col("n") >= least).select(place.bitwiseAND(F.lit((1 << WORD_BITS) - 1)).alias("place")), WORD_BITS)
     pairs = _pair_bitmap(base, words, least)
     grams = cut_lineage(_grams(base, words, pairs, longest))
-    counts = cut_lineage(node_counts(grams, longest).filter(F.col("n") >= least))
+    known = singles.select("lang", F.lit(1).alias("size"), "phrase", "n")
+    counts = cut_lineage(node_counts(grams, longest).unionByName(known).filter(F.col("n") >= least))
 
     phrases = counts.filter(F.col("size") > 1)
     if longest > 2:

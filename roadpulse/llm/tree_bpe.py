@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import column, load, records, text_or_empty
+from roadpulse.llm.common import column, load, text_or_empty
 from roadpulse.llm.vocabulary import encoder, tokenizer_path
 
 # Code points of a leaf; shorter texts are one leaf.
@@ -262,6 +262,13 @@ class TreeEncoder:
             nodes = pairs + nodes[2 * len(pairs) :]
         return nodes[0]
 
+    def packed(self, ids: array) -> bytes:
+        """Ids for the way between tasks, in two bytes each where the vocabulary allows it."""
+        return array("H", ids).tobytes() if len(self.names) <= 1 << 16 else ids.tobytes()
+
+    def unpacked(self, ids: bytes) -> array:
+        return array("I", array("H", ids)) if len(self.names) <= 1 << 16 else array("I", ids)
+
     def decode(self, ids: array) -> str:
         """What the library's decode gives without a decoder of its own: the tokens' names, spaced."""
         return " ".join(map(self.names.__getitem__, ids))
@@ -278,7 +285,6 @@ def tree_encoder(path: str) -> TreeEncoder:
     return TreeEncoder(path)
 
 
-_NODE = "key binary, part int, closed boolean, text binary, ids binary"
 _BATCH = 512
 
 
@@ -298,6 +304,7 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     kind = base.schema["id"].dataType.simpleString()
     out = f"id {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string" if digest else f"id {kind}, ids binary"
     schema = spark.createDataFrame([], out).schema
+    node = f"id {kind}, key binary, part int, closed boolean, text binary, ids binary"
 
     def emit(ids: list, codes: list[array]) -> pa.RecordBatch:
         return _digests(tree_encoder(path), ids, codes) if digest else _frame(ids, codes)
@@ -313,74 +320,70 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     def cut(batches):
         tree = tree_encoder(path)
         for batch in batches:
-            for key, text in records(batch):
+            for at, text in enumerate(batch.column(2).to_pylist()):
                 parts = tree.slices(text, leaf)
                 n = len(parts)
+                same = pa.array([at] * n, pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([key] * n, pa.binary()), pa.array(range(n), pa.int32()), pa.array([k == n - 1 for k in range(n)]), pa.array(parts)],
-                    names=["key", "part", "closed", "slice"],
+                    [batch.column(0).take(same), batch.column(1).take(same), pa.array(range(n), pa.int32()), pa.array([k == n - 1 for k in range(n)]), pa.array(parts)],
+                    names=["id", "key", "part", "closed", "slice"],
                 )
 
     def encode_leaves(batches):
         tree = tree_encoder(path)
         for batch in batches:
             for low in range(0, batch.num_rows, _BATCH):
-                rows = list(records(batch.slice(low, _BATCH)))
-                nodes = tree.leaves([(text, closed) for *_, closed, text in rows])
-                yield _nodes([(key, part, node) for (key, part, *_), node in zip(rows, nodes, strict=True)])
+                part = batch.slice(low, _BATCH)
+                nodes = tree.leaves(list(zip(part.column(4).to_pylist(), part.column(3).to_pylist(), strict=True)))
+                yield _nodes(tree, part.column(0), part.column(1), part.column(2).to_pylist(), nodes)
+
+    def climb(last: bool):
+        return lambda table: parent(table, last)
 
-    def climb(table: pa.Table) -> pa.Table:
+    def parent(table: pa.Table, last: bool) -> pa.Table:
+        """Join the nodes of one parent; equal rows have equal nodes, and each keeps a row of its own."""
         tree = tree_encoder(path)
+        table = table.combine_chunks()
         parts: dict[int, Node] = {}
-        copies = 0
-        first = pc_min(table.column("part"))
-        for key, part, closed, text, ids in records(table):
-            copies += part == first
-            parts.setdefault(part, Node(text, array("I", ids), closed))
-        node = tree.join_all([parts[part] for part in sorted(parts)])
-        return pa.Table.from_batches([_nodes([(key, first // FAN_IN, node)] * copies)])
-
-    def finish(batches):
-        for batch in batches:
-            for low in range(0, batch.num_rows, _BATCH):
-                part = batch.slice(low, _BATCH)
-                yield emit(part.column(0), [array("I", ids) for ids in part.column(1).to_pylist()])
+        numbers = table.column("part").to_pylist()
+        first = min(numbers)
+        copies = numbers.count(first)
+        for number, closed, text, ids in zip(numbers, *[table.column(c).to_pylist() for c in ("closed", "text", "ids")], strict=True):
+            if number not in parts:
+                parts[number] = Node(text, tree.unpacked(ids), closed)
+        joined = tree.join_all([parts[number] for number in sorted(parts)])
+        heads = table.slice(0, 1).take(pa.array([0] * copies, pa.int32())).combine_chunks()
+        ends = [heads.column(c).chunk(0) for c in ("id", "key")]
+        if last:
+            return pa.Table.from_batches([emit(ends[0], [joined.ids] * copies)])
+        return pa.Table.from_batches([_nodes(tree, *ends, [first // FAN_IN] * copies, [joined] * copies)])
 
     sized = base.withColumn("size", F.char_length("text"))
     short = sized.filter(F.col("size") <= leaf).select("id", "text").mapInArrow(whole, schema)
     longest = sized.agg(F.max("size")).first()[0] or 0
     if longest <= leaf:
         return short
-    # Rows with the same id and text share their leaves; each keeps a row of its own.
-    key = F.unhex(F.md5(F.concat_ws(":", F.coalesce(F.col("id").cast("string"), F.lit("null")), F.sha2("text", 256))))
-    long = sized.filter(F.col("size") > leaf).withColumn("key", key)
+    # The rows of a text find each other by its hash; the id keeps equal texts of different rows apart.
+    long = sized.filter(F.col("size") > leaf).select("id", F.unhex(F.md5("text")).alias("key"), "text")
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    pieces = long.select("key", "text").mapInArrow(cut, "key binary, part int, closed boolean, slice string")
-    nodes = pieces.repartition(tasks, "key", "part").mapInArrow(encode_leaves, _NODE)
+    pieces = long.mapInArrow(cut, f"id {kind}, key binary, part int, closed boolean, slice string")
+    nodes = pieces.repartition(tasks, "id", "key", "part").mapInArrow(encode_leaves, node)
     most = -(-longest // leaf)
     while most > 1:
-        nodes = nodes.groupBy("key", F.floor(F.col("part") / FAN_IN).alias("parent")).applyInArrow(climb, _NODE)
         most = -(-most // FAN_IN)
-    ids = long.select("id", "key").distinct()
-    joined = nodes.select("key", "ids").join(ids, "key").select("id", "ids").mapInArrow(finish, schema)
-    return short.unionByName(joined)
-
-
-def pc_min(values: pa.ChunkedArray) -> int:
-    return min(values.to_pylist())
-
-
-def _nodes(rows: list[tuple[bytes, int, Node]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array([key for key, *_ in rows], pa.binary()),
-            pa.array([part for _, part, _ in rows], pa.int32()),
-            pa.array([node.closed for *_, node in rows], pa.bool_()),
-            pa.array([node.text for *_, node in rows], pa.binary()),
-            pa.array([node.ids.tobytes() for *_, node in rows], pa.binary()),
-        ],
-        names=["key", "part", "closed", "text", "ids"],
-    )
+        grouped = nodes.groupBy("id", "key", F.floor(F.col("part") / FAN_IN).alias("parent"))
+        nodes = grouped.applyInArrow(climb(most == 1), schema if most == 1 else node)
+    return short.unionByName(nodes)
+
+
+def _nodes(tree: TreeEncoder, ids: pa.Array, keys: pa.Array, numbers: list[int], nodes: list[Node]) -> pa.RecordBatch:
+    columns = [
+        pa.array(numbers, pa.int32()),
+        pa.array([node.closed for node in nodes], pa.bool_()),
+        pa.array([node.text for node in nodes], pa.binary()),
+        pa.array([tree.packed(node.ids) for node in nodes], pa.binary()),
+    ]
+    return pa.RecordBatch.from_arrays([ids, keys, *columns], names=["id", "key", "part", "closed", "text", "ids"])
 
 
 def _frame(ids: pa.Array, codes: list[array]) -> pa.RecordBatch:

@@ -49,6 +49,7 @@ FOLDS, HELD_OUT = 10, 0
 # The end of a text; no word is empty.
 END = b""
 _CHUNK_TOKENS = 4_000_000
+_SYMBOL_BYTES = 2
 _COUNTER_WORDS = 400_000
 _TREE = 32
 _LOG10 = np.log(10.0)
@@ -372,12 +373,12 @@ def log_likelihoods(net: Net, texts: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def train(net: Net, texts: list[np.ndarray], momentum: tuple[np.ndarray, np.ndarray] | None = None) -> int:
+def train(net: Net, texts: list[np.ndarray]) -> int:
     """One pass of Adam over the texts by truncated backpropagation; the number of symbols seen."""
     total = sum(map(len, texts))
     # Enough updates even on little data.
     many = int(np.clip(total // (WINDOW * UPDATES), 8, TRAIN_LANES))
-    first, second = momentum or (np.zeros_like(net.flat), np.zeros_like(net.flat))
+    first, second = np.zeros_like(net.flat), np.zeros_like(net.flat)
     state, step = None, 0
     for x, target, valid, fresh, _ in windows(texts, many, 0):
         state = np.zeros((x.shape[1], HIDDEN), np.float32) if state is None else state[: x.shape[1]]
@@ -392,23 +393,23 @@ def train(net: Net, texts: list[np.ndarray], momentum: tuple[np.ndarray, np.ndar
 # ---------------------------------------------------------------------- Spark
 
 
-def _trainer(shared, flat: np.ndarray, turn: int) -> Callable:
+def _texts(symbols: Iterator[bytes]) -> Iterator[list[np.ndarray]]:
+    """Texts as rows of symbols, in lists of bounded size; a longer text is a list of its own."""
+    held, size = [], 0
+    for row in symbols:
+        held.append(np.frombuffer(row, np.int16).astype(np.int64))
+        size += len(held[-1])
+        if size > _CHUNK_TOKENS:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+def _trainer(shared, flat: np.ndarray) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab: Vocabulary = shared.value
-        net = Net(vocab, flat.copy())
-        find, held, size, seen = vocab.place.__getitem__, [], 0, 0
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                if zlib.crc32(text) % ROUNDS != turn:
-                    continue
-                words = words_of(text)
-                words.append(END)
-                held.append(_symbols(vocab, words, np.fromiter(map(find, words), np.int64, len(words)))[0])
-                size += len(words)
-                if size > _CHUNK_TOKENS:
-                    seen += train(net, held)
-                    held, size = [], 0
-        if held:
+        net, seen = Net(shared.value, flat.copy()), 0
+        for held in _texts(row for batch in batches for row in batch.column(0).to_pylist()):
             seen += train(net, held)
         if seen:
             yield _weighed(net.flat.astype(np.float64) * seen, seen)
@@ -443,11 +444,12 @@ def _average(parts: DataFrame) -> np.ndarray | None:
     return (sum(np.frombuffer(r["flat"]) for r in found) / sum(r["weight"] for r in found)).astype(np.float32)
 
 
-def fit(training: DataFrame, vocab: Vocabulary, shared) -> np.ndarray:
-    """Parameters trained on `text`s; without any, those of plain frequencies."""
+def fit(encoded: DataFrame, vocab: Vocabulary, shared) -> np.ndarray:
+    """Parameters trained on the `symbols` of the training texts; without any, those of plain frequencies."""
     flat = Net(vocab).flat
     for turn in range(ROUNDS):
-        averaged = _average(training.select("text").mapInArrow(_trainer(shared, flat, turn), "flat binary, weight long"))
+        part = encoded.filter(~F.col("held_out") & (F.col("turn") == turn)).select("symbols")
+        averaged = _average(part.mapInArrow(_trainer(shared, flat), "flat binary, weight long"))
         flat = flat if averaged is None else averaged
     return flat
 
@@ -462,26 +464,31 @@ def _symbols(vocab: Vocabulary, words: list[bytes], places: np.ndarray) -> tuple
     return symbols, others
 
 
-def _scorer(shared, flat: np.ndarray) -> Callable:
-    names = ["part", "line", "id", "held_out", "n_tokens", "n_known", "base", "score", "rare"]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+_ENCODED = (
+    "part long, line long, id long, held_out boolean, turn int, n_tokens long, n_known long, base double, inside double, symbols binary, "
+    "rare array<struct<word:binary,times:long,class:long>>"
+)
+
+
+def _encoder(shared) -> Callable:
+    """Each text as symbols (two bytes each), with what its known words add to the scores and its other words."""
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.binary()]
+    names = ["part", "line", "id", "held_out", "turn", "n_tokens", "n_known", "base", "inside", "symbols", "rare"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocab: Vocabulary = shared.value
-        net, part, line = Net(vocab, flat), TaskContext.get().partitionId(), 0
+        part, line = TaskContext.get().partitionId(), 0
         # Without training texts even the end is unknown.
         first_known = 0 if vocab.head_counts[0] > 0 else 1
         find = vocab.place.__getitem__
 
         def done() -> pa.RecordBatch:
-            network = log_likelihoods(net, texts) / _LOG10
-            full = [(*row[:7], row[7] + value) for row, value in zip(rows, network.tolist(), strict=True)]
-            columns = [pa.array(c, t) for c, t in zip(zip(*full, strict=True), types, strict=True)]
+            columns = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)]
             kinds = pa.array([vocab.tail(w) for w in rare], pa.int64())
             each = pa.StructArray.from_arrays([pa.array(rare, pa.binary()), pa.array(times, pa.int64()), kinds], ["word", "times", "class"])
             return pa.RecordBatch.from_arrays([*columns, pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), each)], names)
 
-        rows, texts, size, rare, times, cuts = [], [], 0, [], [], [0]
+        rows, size, rare, times, cuts = [], 0, [], [], [0]
         for batch in batches:
             for doc, held, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 words = words_of(text)
@@ -493,26 +500,56 @@ def _scorer(shared, flat: np.ndarray) -> Callable:
                 times.extend(seldom.values())
                 cuts.append(len(rare))
                 found = places[places >= 0]
-                rows.append((part, line, doc, held, len(words), int((found >= first_known).sum()), float(vocab.base[found].sum()), float(vocab.inside[found].sum())))
-                texts.append(symbols)
+                known, base, inside = int((found >= first_known).sum()), float(vocab.base[found].sum()), float(vocab.inside[found].sum())
+                turn = zlib.crc32(text) % ROUNDS
+                rows.append((part, line, doc, held, turn, len(words), known, base, inside, symbols.astype(np.int16).tobytes()))
                 line += 1
                 size += len(words)
                 if size > _CHUNK_TOKENS:
                     yield done()
-                    rows, texts, size, rare, times, cuts = [], [], 0, [], [], [0]
+                    rows, size, rare, times, cuts = [], 0, [], [], [0]
         if rows:
             yield done()
 
     return run
 
 
+def _scorer(shared, flat: np.ndarray) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        net = Net(shared.value, flat)
+        held: list[pa.RecordBatch] = []
+
+        def done() -> pa.RecordBatch:
+            table = pa.Table.from_batches(held).combine_chunks()
+            texts = [np.frombuffer(row, np.int16).astype(np.int64) for row in table.column("symbols").to_pylist()]
+            scores = pa.array(log_likelihoods(net, texts) / _LOG10, pa.float64())
+            return table.drop_columns("symbols").append_column("network", scores).to_batches()[0]
+
+        size = 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                size += batch.nbytes
+                if size > _SYMBOL_BYTES * _CHUNK_TOKENS:
+                    yield done()
+                    held, size = [], 0
+        if held:
+            yield done()
+
+    return run
+
+
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: `id`, `held_out`, `n_tokens`, `n_known`, `train_tokens`, `base_score`, `score`.
 
     Null texts are empty and have one token, the end. Rows with a null id hash as an
     empty id. Repeated rows are scored, and counted in training, each. Only id and text
     are read. An empty table gives no row; without training rows every word is
-    equally unknown.
+    equally unknown. A very long text runs through one lane of one task, window after
+    window, since its state is carried from its first word to its last.
+
+    Each text is split into words twice, for the counts and for its symbols; training and
+    scoring read the symbols.
     """
     spark = docs.sparkSession
     slim = docs.select(
@@ -523,12 +560,14 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     vocab = vocabulary(counts)
     # Bounded by the numbers and bytes of known words above.
     shared = spark.sparkContext.broadcast(vocab)
-    flat = fit(training, vocab, shared)
-    schema = "part long, line long, id long, held_out boolean, n_tokens long, n_known long, base double, score double, rare array<struct<word:binary,times:long,class:long>>"
-    scored = cut_lineage(slim.mapInArrow(_scorer(shared, flat), schema))
+    encoded = cut_lineage(slim.mapInArrow(_encoder(shared), _ENCODED))
+    flat = fit(encoded, vocab, shared)
+    kept = ["part", "line", "id", "held_out", "n_tokens", "n_known", "base", "inside"]
+    schema = "part long, line long, id long, held_out boolean, n_tokens long, n_known long, base double, inside double, network double"
+    scored = encoded.select(*kept, "symbols").mapInArrow(_scorer(shared, flat), schema)
     # Rare words: their counts come from the table of all counts.
     inside = F.array(*[F.lit(float(m + SMOOTHING * (k + 1))) for m, k in zip(vocab.mass, vocab.kinds, strict=True)])
-    rare = scored.select("part", "line", F.explode("rare").alias("r")).select("part", "line", "r.word", "r.times", F.col("r.class").alias("class"))
+    rare = encoded.select("part", "line", F.explode("rare").alias("r")).select("part", "line", "r.word", "r.times", F.col("r.class").alias("class"))
     c = F.coalesce("c", F.lit(0))
     sums = (
         rare.join(counts, "word", "left")
@@ -539,14 +578,14 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
             F.sum(F.col("times") * F.log10((c + SMOOTHING) / F.element_at(inside, (F.col("class") + 1).cast("int")))).alias("more_score"),
         )
     )
-    return scored.drop("rare").join(sums, ["part", "line"], "left").select(
+    return scored.join(sums, ["part", "line"], "left").select(
         "id",
         "held_out",
         "n_tokens",
         (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
         F.lit(vocab.tokens).cast("long").alias("train_tokens"),
         (F.col("base") + F.coalesce("more_base", F.lit(0.0))).alias("base_score"),
-        (F.col("score") + F.coalesce("more_score", F.lit(0.0))).alias("score"),
+        (F.col("network") + F.col("inside") + F.coalesce("more_score", F.lit(0.0))).alias("score"),
     )
 
 

@@ -8,6 +8,8 @@ or retries. Copies are then put in one global hash order.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,19 +39,30 @@ def source_rates(docs: DataFrame, weights: dict[str, float] | None = None, other
 
 
 def poisson_steps(rates: DataFrame) -> DataFrame:
-    """Per source: `steps`, the cumulative Poisson distribution at 0, 1, 2, ...
+    """Per source: `first` and `steps`, the cumulative Poisson distribution at first, first + 1, ...
 
-    It goes ten standard deviations and forty terms beyond the mean, past the
-    largest uniform number of 52 bits, so no count is cut off.
+    It goes from ten standard deviations and forty terms below the mean to as many beyond it,
+    past the smallest and the largest uniform number of 52 bits, so no count is cut off and the
+    array has some twenty deviations of terms, whatever the rate. A first term above zero
+    comes from Stirling's series for the logarithm of its probability.
     """
-    last = F.ceil(F.col("rate") + 10 * F.sqrt("rate") + 40)
-    terms = rates.withColumn("__k", F.explode(F.sequence(F.lit(0).cast("long"), last)))
+    reach = F.ceil(10 * F.sqrt("rate") + 40)
+    first = F.floor(F.col("rate")).cast("long") - reach
+    # Where the series starts it is exact to a double; lower distributions start at zero.
+    first = F.when(first >= 40, first).otherwise(F.lit(0).cast("long"))
+    terms = rates.withColumn("first", first).withColumn("__k", F.explode(F.sequence(F.col("first"), F.ceil(F.col("rate")) + reach)))
     along = Window.partitionBy("__source").orderBy("__k")
-    logs = terms.withColumn("__ln", F.sum(F.when(F.col("__k") > 0, F.ln(F.col("rate") / F.col("__k"))).otherwise(F.lit(0.0))).over(along))
-    chance = F.when(F.col("rate") == 0, F.when(F.col("__k") == 0, F.lit(1.0)).otherwise(F.lit(0.0))).otherwise(F.exp(F.col("__ln") - F.col("rate")))
+    k, n = F.col("__k").cast("double"), F.col("first").cast("double")
+    # ln of the first term: Stirling's error, and n ln(n / rate) + rate - n without taking large numbers from each other.
+    x = (F.col("rate") - n) / n
+    tail = n * (x - F.log1p(x)) + 0.5 * F.ln(F.lit(2 * math.pi) * n) + 1 / (12 * n) - 1 / (360 * n * n * n) + 1 / (1260 * n * n * n * n * n)
+    start = F.when(F.col("first") == 0, -F.col("rate")).otherwise(-tail)
+    ratio = F.when(F.col("__k") > F.col("first"), F.ln(F.col("rate") / k)).otherwise(start)
+    logs = terms.withColumn("__ln", F.sum(ratio).over(along))
+    chance = F.when(F.col("rate") == 0, F.when(F.col("__k") == 0, F.lit(1.0)).otherwise(F.lit(0.0))).otherwise(F.exp(F.col("__ln")))
     reached = logs.withColumn("__reached", F.sum(chance).over(along))
     ordered = F.transform(F.array_sort(F.collect_list(F.struct("__k", "__reached"))), lambda step: step["__reached"])
-    return reached.groupBy("__source", "rate").agg(ordered.alias("steps"))
+    return reached.groupBy("__source", "rate", "first").agg(ordered.alias("steps"))
 
 
 def replicate(
@@ -77,7 +90,7 @@ def replicate(
     mark = F.concat_ws("|", F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("")), digest)
     drawn = docs.withColumn("__mark", mark).withColumn("__u", F.conv(F.substring(F.md5("__mark"), 1, _DIGITS), 16, 10).cast("double") / float(1 << 4 * _DIGITS))
     placed = drawn.join(steps, F.col(source_col).eqNullSafe(F.col("__source")))
-    counted = placed.withColumn("n_copies", F.size(F.filter("steps", lambda step: step <= F.col("__u"))))
+    counted = placed.withColumn("n_copies", (F.col("first") + F.size(F.filter("steps", lambda step: step <= F.col("__u")))).cast("int"))
     copies = counted.filter("n_copies > 0").withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("n_copies") - 1)))
     keyed = copies.withColumn("shuffle_key", F.md5(F.concat_ws("|", "__mark", F.col("copy").cast("string"))))
     mixed = keyed.select(*map(column, names), "copy", "n_copies", "rate", "shuffle_key")

@@ -30,6 +30,8 @@ MAX_DIFFERENCES = 2
 HASH_SEED = 42
 # Most fingerprints below a node that one task searches.
 LEAF_ROWS = 2048
+# Members and pairs of members that a task searches, about, and the most tasks.
+TASK_ROWS, TASK_PAIRS, MOST_TASKS = 8_000, 20_000_000, 50_000
 # Children of a node inside a task.
 _FAN = 8
 # Pairs of query and node that a search holds at once.
@@ -154,12 +156,28 @@ def forest(codes: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
     return codes[moved], codes[root[moved]]
 
 
+def spanning(left: np.ndarray, right: np.ndarray, root: np.ndarray) -> np.ndarray:
+    """Which of the pairs to keep so that they join the same places; `root` says what earlier pairs joined, and is brought up to date."""
+    kept, rows = [], np.arange(len(left))
+    while True:
+        a, b = root[left[rows]], root[right[rows]]
+        apart = a != b
+        rows, low, high = rows[apart], np.minimum(a, b)[apart], np.maximum(a, b)[apart]
+        if not len(rows):
+            return np.concatenate(kept) if kept else rows
+        _, first = np.unique(high, return_index=True)
+        root[high[first]] = low[first]
+        kept.append(rows[first])
+        while (root != root[root]).any():
+            root[:] = root[root]
+
+
 def _search(most: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ends, sides = [], []
             for members in batch.column(0):
-                codes = np.unique(members.values.to_numpy(zero_copy_only=False)).view(np.uint64)
+                codes = np.unique(members.values.field("fp").to_numpy(zero_copy_only=False)).view(np.uint64)
                 a, b = forest(codes, most)
                 ends.append(a.view(np.int64))
                 sides.append(b.view(np.int64))
@@ -187,27 +205,43 @@ def links(codes: DataFrame, most: int = MAX_DIFFERENCES, leaf_rows: int = LEAF_R
     """Links (u, v) between distinct fingerprints `fp` that connect all that differ in at most `most` bits.
 
     Inside one node links are thinned to a spanning forest, so a dense node emits
-    fewer links than it has members. Nodes are split until no node has more than
-    `leaf_rows` members, or until too few bits are left to split; a node then has at
-    most two to the power of those bits, since fingerprints are distinct.
+    fewer links than it has members.
+    """
+    return search(codes.select("fp"), _search(most), "u long, v long", most, leaf_rows)
+
+
+def search(codes: DataFrame, inside: Callable, schema: str, most: int, leaf_rows: int = LEAF_ROWS, shared: int = 0) -> DataFrame:
+    """What `inside` finds in the lists of members (all columns of `codes`, `fp` among them) of the index's nodes.
+
+    Any two fingerprints that differ in at most `most` of the bits outside the mask `shared`, and
+    not at all inside it, are members of one node at least. Nodes are split until no node has more
+    than `leaf_rows` members, or until too few bits are left to split; a node then has at
+    most two to the power of those bits, as long as fingerprints are distinct. Nodes are dealt to
+    as many tasks as the pairs of their members ask for.
     """
     spark = codes.sparkSession
-    rows = codes.select("fp", F.lit(0).cast("long").alias("mask"))
-    masks, found = [0], []
+    names = codes.columns
+    rows = codes.withColumn("mask", F.lit(_signed(shared)).cast("long"))
+    masks, found = [shared], []
     while True:
         below = {mask: [mask | part for part in segments(mask, most + 1)] for mask in masks}
         table = F.create_map(*[c for mask, nexts in below.items() for c in (F.lit(_signed(mask)), F.array(*[F.lit(_signed(m)) for m in nexts]))])
-        spread = rows.select("fp", F.explode(table[F.col("mask")]).alias("mask")).withColumn("pattern", F.col("fp").bitwiseAND(F.col("mask")))
+        spread = rows.select(*names, F.explode(table[F.col("mask")]).alias("mask")).withColumn("pattern", F.col("fp").bitwiseAND(F.col("mask")))
         sizes = cut_lineage(spread.groupBy("mask", "pattern").count().filter("count > 1"))
         known = spread.join(sizes, ["mask", "pattern"])
         masks = [mask for nexts in below.values() for mask in nexts]
         splittable = BITS - masks[0].bit_count() > 2 * (most + 1)
-        leaves = known.filter(F.col("count") <= leaf_rows) if splittable else known
-        held = leaves.groupBy("mask", "pattern").agg(F.collect_list("fp").alias("members")).select("members")
-        found.append(held.mapInArrow(_search(most), "u long, v long"))
+        fits = F.col("count") <= leaf_rows if splittable else F.lit(True)
+        leaves = known.filter(fits)
+        load = sizes.filter(fits).agg(F.sum("count").alias("rows"), F.sum(F.col("count").cast("double") * F.col("count")).alias("pairs")).first()
+        tasks = 1 + (load["rows"] or 0) // TASK_ROWS + int((load["pairs"] or 0) // TASK_PAIRS)
+        # A fixed number: the lists are small, and tasks put together by their bytes would search one after the other.
+        dealt = leaves.repartition(min(tasks, MOST_TASKS), "mask", "pattern")
+        held = dealt.groupBy("mask", "pattern").agg(F.collect_list(F.struct(*names)).alias("members")).select("members")
+        found.append(held.mapInArrow(inside, schema))
         if not splittable or sizes.filter(F.col("count") > leaf_rows).isEmpty():
             break
-        rows = cut_lineage(known.filter(F.col("count") > leaf_rows).select("fp", "mask"))
+        rows = cut_lineage(known.filter(F.col("count") > leaf_rows).select(*names, "mask"))
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)

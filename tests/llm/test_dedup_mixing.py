@@ -1,6 +1,7 @@
 """Exact deduplication, SimHash groups, source mixing: edge cases and brute force."""
 
 import hashlib
+import math
 import random
 from collections import defaultdict
 
@@ -205,9 +206,26 @@ def test_mixing_edges(docs):
     assert mixing.replicate(docs, other=0.0).isEmpty()
 
 
-def test_large_rates_have_whole_distributions(spark):
-    steps = mixing.poisson_steps(spark.createDataFrame([("a", 900.0), ("b", 0.0), ("c", 0.3)], "__source string, rate double"))
-    got = {r["__source"]: r["steps"] for r in steps.collect()}
-    assert abs(got["a"][-1] - 1) < 1e-9 and abs(got["c"][-1] - 1) < 1e-12
-    assert got["b"][0] == 1.0
-    assert abs(got["a"][900] - 0.5) < 0.02
+@pytest.mark.parametrize("rate", [0.0, 0.3, 39.5, 300.0, 900.0, 123_456.7, 5e8])
+def test_distributions_are_whole_at_any_rate(spark, rate):
+    row = mixing.poisson_steps(spark.createDataFrame([("a", rate)], "__source string, rate double")).first()
+    steps, first = row["steps"], row["first"]
+    assert len(steps) <= 20 * rate**0.5 + 90
+    assert abs(steps[-1] - 1) < 1e-9 and all(a <= b for a, b in zip(steps, steps[1:]))
+    if first:
+        assert steps[0] < 1e-12
+    # The distribution at its mean, with the first correction of the normal law.
+    at = int(rate) - first
+    if rate > 30:
+        middle = 0.5 * (1 + math.erf((int(rate) + 0.5 - rate) / (2 * rate) ** 0.5)) + (1 / (6 * (2 * math.pi * rate) ** 0.5))
+        assert abs(steps[at] - middle) < 0.02 / rate**0.5
+    mean = sum((first + k + 1) * (b - a) for k, (a, b) in enumerate(zip(steps, steps[1:]))) + first * steps[0]
+    assert abs(mean - rate) < 1e-6 * max(rate, 1)
+
+
+def test_a_source_of_one_row(spark):
+    docs = spark.range(200_000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), F.when(F.col("id") == 7, "rare").otherwise("common").alias("source"))
+    steps = mixing.poisson_steps(mixing.source_rates(docs))
+    assert steps.agg(F.max(F.size("steps"))).first()[0] < 7000
+    copies = mixing.replicate(docs).filter("source = 'rare'")
+    assert abs(copies.count() - 100_000) < 6 * 100_000**0.5

@@ -48,6 +48,18 @@ def test_quality_separates(docs, labels):
     assert got[1000] == got[1001] == got[1002] == model.prior
 
 
+def test_quality_sample_is_bounded_in_rows(spark, monkeypatch):
+    """Ten ids repeated two hundred times, copies and other texts: no more rows train than asked for, and all of their lines."""
+    rows = [(k % 10, f"{good_text()} {k}" if k % 2 else "same | line") for k in range(2000)]
+    tags = spark.createDataFrame([(k, k % 2, 0) for k in range(10)], "doc_id long, quality int, toxic int")
+    seen = []
+    monkeypatch.setattr(quality, "train", lambda matrix, values, starts, count: seen.append((len(matrix), len(count))) or None)
+    quality.fit(spark.createDataFrame(rows, "doc_id long, text string"), tags, sample=50)
+    long = spark.createDataFrame([(2, "a line\n" * 3000), (3, "b")], "doc_id long, text string")
+    quality.fit(long, tags, sample=50)
+    assert seen[0][1] <= 50 and seen[1][0] >= 3000
+
+
 def test_quality_without_labels(docs, labels):
     model = quality.fit(docs, labels.limit(0))
     assert {r["score"] for r in quality.score(docs, model).collect()} == {0.5}
@@ -127,20 +139,79 @@ def test_network_learns_and_carries_state():
     assert np.isclose(np.exp(logp).sum(), 1, atol=1e-4)
 
 
-def test_trains_once_on_every_training_text(monkeypatch):
-    texts = [" ".join(DRAW.choice("abc") for _ in range(n)).encode() for n in [0, 1, 3, 5, 5, 127, 128, 300, 4000] * 3]
-    find = language_model.Places({b"": 0, b"a": 1, b"b": 2, b"c": 3})
+def test_score_step_by_step(docs, monkeypatch):
+    """Each document's score from the trained parameters, one word at a time: gates, class, word in its class, rare words."""
+    kept, fit = {}, language_model.fit
+
+    def keep(encoded, vocab, shared):
+        kept["turns"] = encoded.select("held_out", "turn").collect()
+        kept["vocab"], kept["flat"] = vocab, fit(encoded, vocab, shared)
+        return kept["flat"]
+
+    monkeypatch.setattr(language_model, "fit", keep)
+    # Few known words and few words with an output of their own, so that many are rare.
+    monkeypatch.setattr(language_model, "KNOWN_WORDS", 150)
+    monkeypatch.setattr(language_model, "HEAD_WORDS", 70)
+    got = {(r["id"], r["n_tokens"]): r["score"] for r in language_model.score(docs).collect()}
+    vocab, h = kept["vocab"], language_model.HIDDEN
+    net = language_model.Net(vocab, kept["flat"])
+    p = {name: values.astype(np.float64) for name, values in net.at.items()}
+    assert vocab.head == 70 and 70 < len(vocab.place) <= 151
+    # Every training text is in one round.
+    assert {r["turn"] for r in kept["turns"] if not r["held_out"]} == set(range(language_model.ROUNDS))
+    counts = Counter()
+    rows = [(r["doc_id"], [*(r["text"] or "").encode().lower().split(), b""]) for r in docs.collect()]
+    for doc, words in rows:
+        if zlib.crc32(b"" if doc is None else str(doc).encode()) % 10:
+            counts.update(words)
+    ranked = [w for w, k in vocab.place.items() if k < 70]
+
+    def sigmoid(x):
+        return 1 / (1 + np.exp(-x))
+
+    def softmax(x):
+        e = np.exp(x - x.max())
+        return e / e.sum()
+
+    checked = rare = 0
+    for doc, words in rows:
+        if len(words) > 200:
+            continue
+        state, before, total = np.zeros(h), 0, 0.0
+        for word in words:
+            gates, back = p["into"][before], state @ p["back"]
+            z, r = sigmoid(gates[:h] + back[:h]), sigmoid(gates[h : 2 * h] + back[h : 2 * h])
+            new = np.tanh(gates[2 * h :] + r * back[2 * h :])
+            state = z * state + (1 - z) * new
+            classes = softmax(state @ p["classes"] + p["class_bias"])
+            if word in ranked:
+                symbol = vocab.place[word]
+                k, at = divmod(symbol, language_model.CLASS_WORDS)
+                total += math.log10(classes[k]) + math.log10(softmax(state @ p["words"][k] + p["word_bias"][k])[at])
+            else:
+                tail = vocab.prefix.get(word[:2], 0)
+                symbol = vocab.head + tail
+                others = [w for w in counts if w not in ranked and vocab.prefix.get(w[:2], 0) == tail]
+                share = (counts[word] + 0.1) / (sum(counts[w] for w in others) + 0.1 * (len(others) + 1))
+                total += math.log10(classes[vocab.head_classes + tail]) + math.log10(share)
+                rare += 1
+            before = symbol
+        assert math.isclose(got[(doc, len(words))], total, rel_tol=2e-4, abs_tol=1e-3), (doc, len(words))
+        checked += 1
+    assert checked > 300 and rare > 1000
+
+
+def test_trains_once_on_every_text(monkeypatch):
+    texts = [np.array([DRAW.randrange(1, 4) for _ in range(n)] + [0], np.int16) for n in [0, 1, 3, 5, 5, 127, 128, 300, 4000] * 3]
     c, zeros = np.array([27.0, 9, 9, 9]), np.zeros(language_model.TAIL_CLASSES)
-    vocab = language_model.Vocabulary(54, 4, find, 4, np.arange(4, dtype=np.int32), c, c * 0, {}, zeros, zeros, c)
+    vocab = language_model.Vocabulary(54, 4, language_model.Places(), 4, np.arange(4, dtype=np.int32), c, c * 0, {}, zeros, zeros, c)
     seen = []
     monkeypatch.setattr(language_model, "train", lambda net, texts: seen.extend(tuple(t.tolist()) for t in texts) or sum(map(len, texts)))
+    monkeypatch.setattr(language_model, "_CHUNK_TOKENS", 200)
     shared, flat = type("Shared", (), {"value": vocab}), language_model.Net(vocab).flat
-    weights = 0
-    for turn in range(language_model.ROUNDS):
-        for out in language_model._trainer(shared, flat, turn)(iter([pa.RecordBatch.from_arrays([pa.array(texts, pa.binary())], ["text"])])):
-            weights += out.column(1)[0].as_py()
-    want = [tuple(find[w] for w in [*t.split(), b""]) for t in texts]
-    assert sorted(seen) == sorted(want) and weights == sum(map(len, want))
+    batches = [pa.RecordBatch.from_arrays([pa.array([t.tobytes() for t in texts[low : low + 4]], pa.binary())], ["symbols"]) for low in range(0, len(texts), 4)]
+    (out,) = language_model._trainer(shared, flat)(iter(batches))
+    assert sorted(seen) == sorted(tuple(t.tolist()) for t in texts) and out.column(1)[0].as_py() == sum(map(len, texts))
 
 
 def test_windows_keep_texts_whole():

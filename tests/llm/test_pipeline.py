@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from roadpulse.llm import simhash
+from roadpulse.llm import near_texts
 from roadpulse.session import cut_lineage
 
 
@@ -41,7 +41,7 @@ def test_one_of_each_text(outputs):
 
 
 def test_one_of_each_near_group(outputs):
-    groups = simhash.near_groups(outputs["exact_dedup"]).collect()
+    groups = near_texts.near_groups(outputs["exact_dedup"]).collect()
     want = {r["component_id"] for r in groups}
     assert sorted(r["doc_id"] for r in outputs["near_dedup"].collect()) == sorted(want)
 

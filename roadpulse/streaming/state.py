@@ -3,56 +3,117 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 OUTPUT = "sensor_id string, last_reading timestamp, previous_reading timestamp, gap_seconds double, status string"
 STATE = "last_reading timestamp"
+PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# Minutes with readings that a task holds before it gives them out.
+HELD_MINUTES = 500_000
 
 
-def _edges_per_minute(batches: Iterator[pd.Series]) -> list[pd.Timestamp]:
-    edges = pd.DataFrame({"first": [], "last": []})
-    for times in batches:
-        found = times.groupby(times.dt.floor("min")).agg(first="min", last="max")
-        both = pd.concat([edges, found]) if len(edges) else found
-        edges = both.groupby(level=0).agg({"first": "min", "last": "max"})
-    return sorted({*edges["first"], *edges["last"]})
+@contextmanager
+def rocksdb_state(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside keep their state in RocksDB, which timers and value states need."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, PROVIDER)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def _edges(times: pa.Table) -> pa.Table:
+    """First and last time of every sensor and minute."""
+    found = times.group_by(["sensor_id", "minute"]).aggregate([("first", "min"), ("last", "max")])
+    return found.rename_columns({"first_min": "first", "last_max": "last"})
+
+
+def minute_edges(stream: DataFrame, key: str = "sensor_id", ts_col: str = "timestamp") -> DataFrame:
+    """`sensor_id, first, last`: first and last time of a sensor in every minute, as each task sees them.
+
+    Each task reduces its own rows before the shuffle. So a sensor with many rows sends at
+    most one row per minute from each task to the one that keeps its state.
+    """
+
+    def reduce_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            times = batch.column(1)
+            rows = pa.table({"sensor_id": batch.column(0), "minute": pc.floor_temporal(times, unit="minute"), "first": times, "last": times})
+            found = _edges(rows)
+            held = found if held is None else _edges(pa.concat_tables([held, found]))
+            if held.num_rows > HELD_MINUTES:
+                yield from held.select(["sensor_id", "first", "last"]).to_batches()
+                held = None
+        if held is not None:
+            yield from held.select(["sensor_id", "first", "last"]).to_batches()
+
+    named = stream.select(F.col(key).alias("sensor_id"), F.col(ts_col).cast("timestamp").alias("time")).filter("time is not null")
+    return named.mapInArrow(reduce_rows, "sensor_id string, first timestamp, last timestamp")
+
+
+class GapWatch(StatefulProcessor):
+    """Keeps the last time of a sensor, with a timer for its silence."""
+
+    def __init__(self, gap_minutes: int):
+        self.gap_minutes = gap_minutes
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.last = handle.getValueState("last", STATE)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        limit = pd.Timedelta(minutes=self.gap_minutes)
+        last = pd.Timestamp(self.last.get()[0]) if self.last.exists() else None
+        edges = pd.concat(list(rows)).sort_values(["first", "last"])
+        found = []
+        for first, until in zip(edges["first"], edges["last"], strict=True):
+            if last is not None and first - last > limit:
+                found.append((key[0], first, last, (first - last).total_seconds(), "resumed"))
+            last = until if last is None else max(last, until)
+        for timer in self.handle.listTimers():
+            self.handle.deleteTimer(timer)
+        self.last.update((last.to_pydatetime(),))
+        due = int(last.tz_localize("UTC").timestamp() * 1000) + self.gap_minutes * 60_000
+        self.handle.registerTimer(max(due, timerValues.getCurrentWatermarkInMs() + 1))
+        if found:
+            yield _rows(found)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        last = pd.Timestamp(self.last.get()[0])
+        self.last.clear()
+        yield _rows([(key[0], last, pd.NaT, self.gap_minutes * 60.0, "silent")])
+
+    def close(self) -> None:
+        pass
+
+
+def _rows(found: list[tuple]) -> pd.DataFrame:
+    out = pd.DataFrame(found, columns=["sensor_id", "last_reading", "previous_reading", "gap_seconds", "status"])
+    return out.astype({"last_reading": "datetime64[us]", "previous_reading": "datetime64[us]"})
 
 
 def sensor_state(stream: DataFrame, gap_minutes: int = 120, key: str = "sensor_id", ts_col: str = "timestamp") -> DataFrame:
     """A row whenever a sensor resumes after a gap or falls silent for longer than the limit.
 
-    The stream must have a watermark on `ts_col`. The state is one time per sensor.
-    Rows come to Python in Arrow batches, and of each batch only the first and last
-    time per minute are kept: a gap of a minute or more lies between the last time
-    of one minute and the first of another.
+    The stream must have a watermark on `ts_col`; start it inside `rocksdb_state`. The state is
+    one time per sensor and a timer. Only the first and last time per minute and task come to
+    the state: a gap of a minute or more lies between the last time of one minute and the first
+    of another. A sensor whose silence was told starts anew with its next reading.
     """
-    limit = pd.Timedelta(minutes=gap_minutes)
-
-    def watch(
-        sensor: tuple[str], batches: Iterator[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        last = pd.Timestamp(state.get[0]) if state.exists else None
-        rows = []
-        if state.hasTimedOut:
-            rows.append((sensor[0], last, None, gap_minutes * 60.0, "silent"))
-            state.remove()
-        else:
-            for now in _edges_per_minute(batch[ts_col] for batch in batches):
-                if last is not None and now - last > limit:
-                    rows.append((sensor[0], now, last, (now - last).total_seconds(), "resumed"))
-                last = now if last is None else max(last, now)
-            if last is not None:
-                state.update((last.to_pydatetime(),))
-                due = int(last.tz_localize("UTC").timestamp() * 1000) + gap_minutes * 60_000
-                state.setTimeoutTimestamp(max(due, state.getCurrentWatermarkMs() + 1))
-        if rows:
-            yield pd.DataFrame(rows, columns=["sensor_id", "last_reading", "previous_reading", "gap_seconds", "status"])
-
-    return (
-        stream.select(key, ts_col)
-        .groupBy(key)
-        .applyInPandasWithState(watch, OUTPUT, STATE, "append", GroupStateTimeout.EventTimeTimeout)
-    )
+    if gap_minutes < 1:
+        raise ValueError("a gap is a minute or longer")
+    edges = minute_edges(stream, key, ts_col)
+    return edges.groupBy("sensor_id").transformWithStateInPandas(GapWatch(gap_minutes), OUTPUT, "append", "EventTime")

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.functions.columns import congestion_level, trend_indicator
@@ -101,6 +104,35 @@ def anomalies(measured: DataFrame, change: float = 0.5, slow_mph: float = 15.0)
     return measured.withColumn("anomaly_type", kind).filter("anomaly_type is not null")
 
 
+def sessions(df: DataFrame, gap: str = "30 minutes", ts_col: str = "timestamp", tiebreak: str | None = None) -> DataFrame:
+    """Runs of readings of a sensor with less than `gap` between neighbours, each from its first reading to `gap` after its last.
+
+    On a stream the sessions that overlap are merged, also with those kept from earlier
+    batches, and a session is given out once the watermark has passed its end. Inside
+    `merged_locally` a task merges what it has before the shuffle.
+    """
+    measured = df.groupBy(SENSOR, F.session_window(ts_col, gap).alias("window")).agg(
+        F.count(F.lit(1)).alias("reading_count"),
+        F.avg("traffic_volume").alias("avg_volume"),
+        F.max("traffic_volume").alias("max_volume"),
+        F.avg("speed_mph").alias("avg_speed"),
+        *_first(FIRST_COLUMNS[:2], ts_col, tiebreak),
+    )
+    return _opened(measured).withColumnsRenamed({"window_start": "session_start", "window_end": "session_end"})
+
+
+@contextmanager
+def merged_locally(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside merge the sessions of a task before the shuffle: a busy sensor sends sessions, not rows."""
+    key = "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def deduplicated(stream: DataFrame, columns: tuple[str, ...] = (SENSOR, "timestamp")) -> DataFrame:
     """First of each repeated message, as long as it repeats within the watermark."""
     return stream.dropDuplicatesWithinWatermark(list(columns))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from roadpulse.operators import enrich
 from roadpulse.sources import adapters, streams
 from roadpulse.sources.schemas import READING_MESSAGE
-from roadpulse.streaming import late, progress, sinks, state, windows
+from roadpulse.streaming import changes, dimension, late, progress, sinks, state, windows
 
 T0 = datetime(2024, 1, 10, 12, 0, 0)
 
@@ -175,7 +175,8 @@ def test_sensor_state_over_batches(spark, tmp_path):
 
     def run():
         stream = streams.with_watermark(stream_of(spark, source))
-        drain(state.sensor_state(stream, 120), out, check)
+        with state.rocksdb_state(spark):
+            drain(state.sensor_state(stream, 120), out, check)
 
     land(spark, source, [reading("a", 0), reading("a", 5), reading("b", 0)])
     run()
@@ -189,6 +190,116 @@ def test_sensor_state_over_batches(spark, tmp_path):
     assert len([g for g in got if g[0] == "a" and g[1] == "resumed"]) == 1
 
 
+def test_a_busy_sensor_reaches_the_state_as_minutes(spark):
+    """Each task gives out two times a minute, whatever the number of readings."""
+    rows = [("hot", T0 + timedelta(seconds=k % 600)) for k in range(50_000)] + [("hot", None), ("cold", T0)]
+    df = spark.createDataFrame(rows, "sensor_id string, timestamp timestamp").repartition(4)
+    edges = state.minute_edges(df)
+    assert edges.count() <= 4 * 10 + 1
+    hot = edges.filter("sensor_id = 'hot'").agg(F.min("first"), F.max("last")).first()
+    assert tuple(hot) == (T0, T0 + timedelta(seconds=599))
+    with pytest.raises(ValueError):
+        state.sensor_state(df, 0)
+
+
+def test_provider_is_put_back(spark):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key, None)
+    with pytest.raises(RuntimeError), state.rocksdb_state(spark):
+        assert spark.conf.get(key) == state.PROVIDER
+        raise RuntimeError
+    assert spark.conf.get(key, None) == before
+
+
+def test_sessions_merge_across_batches(spark, tmp_path):
+    """Two sessions of the first batch become one by a reading of the second."""
+    source, out, check = (tmp_path / n for n in ("in", "out", "check"))
+
+    def run():
+        stream = streams.with_watermark(stream_of(spark, source), delay="2 hours")
+        with windows.merged_locally(spark):
+            drain(windows.sessions(stream, "30 minutes", "timestamp", "event_id"), out, check)
+
+    land(spark, source, [reading("a", 0, 10, 1), reading("a", 50, 30, 2), reading("b", 10, 7, 3)])
+    run()
+    assert not out.exists() or spark.read.schema("sensor_id string").parquet(str(out)).count() == 0
+    land(spark, source, [reading("a", 25, 20, 4), reading("a", 300, 1, 5)])
+    run()
+    got = {(r["sensor_id"], r["session_start"], r["session_end"], r["reading_count"], r["avg_volume"]) for r in spark.read.parquet(str(out)).collect()}
+    at = lambda m: T0 + timedelta(minutes=m)
+    assert got == {("a", at(0), at(80), 3, 20.0), ("b", at(10), at(40), 1, 7.0)}
+
+
+CHANGES = "operation string, k long, name string, at timestamp_ntz, seq long"
+
+
+def test_changes_in_any_order_end_the_same(spark, tmp_path):
+    """Late, repeated and reordered changes over several batches; a deleted key comes back by a later insert only."""
+    table, check, source = str(tmp_path / "table"), str(tmp_path / "check"), tmp_path / "in"
+    base = spark.createDataFrame([(1, "one"), (2, "two"), (3, "three"), (None, "none")], "k long, name string")
+    keys, order = ["k"], ["at", "seq"]
+    changes.write_target(base, table, keys, {"at": "timestamp_ntz", "seq": "bigint"}, 4)
+    when = lambda h: T0 + timedelta(hours=h)
+    batches = [
+        [("DELETE", 1, None, when(5), 9), ("UPDATE", 2, "zwei", when(2), 3), ("INSERT", 7, "seven", when(1), 1)],
+        [("UPDATE", 1, "eins", when(4), 8), ("UPDATE", 2, "deux", when(1), 2), ("DELETE", 7, None, when(1), 2), ("UPDATE", 3, "drei", None, 1), ("INSERT", None, "x", when(1), 1)],
+        [("DELETE", 1, None, when(5), 9), ("UPDATE", 2, "zwei", when(2), 3), ("INSERT", 7, "seven", when(1), 1), ("INSERT", 8, "eight", when(0), 1)],
+        [("INSERT", 1, "again", when(6), 10)],
+    ]
+    expected = [
+        {2: "zwei", 3: "three", 7: "seven"}, {2: "zwei", 3: "three"}, {2: "zwei", 3: "three", 8: "eight"}, {1: "again", 2: "zwei", 3: "three", 8: "eight"},
+    ]
+    for batch, want in zip(batches, expected, strict=True):
+        spark.createDataFrame(batch, CHANGES).coalesce(1).write.mode("append").parquet(str(source))
+        stream = spark.readStream.schema(CHANGES).parquet(str(source))
+        changes.apply_change_stream(stream, table, check, keys, order, buckets=4).awaitTermination()
+        assert {r["k"]: r["name"] for r in changes.read_target(spark, table).collect() if r["k"] is not None} == want
+    assert [r["name"] for r in changes.read_target(spark, table).filter("k is null").collect()] == ["none"]
+
+
+def test_a_cut_off_batch_is_finished(spark, tmp_path):
+    """What a batch merged is there when it runs again, even if the table has lost a partition by then."""
+    import shutil
+
+    table, check, source = tmp_path / "table", str(tmp_path / "check"), tmp_path / "in"
+    base = spark.createDataFrame([(k, f"n{k}") for k in range(40)], "k long, name string")
+    changes.write_target(base, str(table), ["k"], {"at": "timestamp_ntz", "seq": "bigint"}, 4)
+    untouched = {(f.parent.name, f.name) for f in table.glob("__bucket=*/part-*")}
+    spark.createDataFrame([("UPDATE", 5, "five", T0, 1)], CHANGES).coalesce(1).write.parquet(str(source))
+
+    def run():
+        changes.apply_change_stream(spark.readStream.schema(CHANGES).parquet(str(source)), str(table), check, ["k"], ["at", "seq"], buckets=4).awaitTermination()
+        return {r["k"]: r["name"] for r in changes.read_target(spark, str(table)).collect()}
+
+    want = {k: f"n{k}" for k in range(40)} | {5: "five"}
+    assert run() == want
+    assert len(untouched & {(f.parent.name, f.name) for f in table.glob("__bucket=*/part-*")}) == 3
+    # As if the commit of the batch and the replaced partition had been lost.
+    for name in ("commits/0", "commits/.0.crc"):
+        (tmp_path / "check" / name).unlink(missing_ok=True)
+    bucket = next(r[0] for r in spark.read.parquet(str(table)).filter("k = 5").select("__bucket").collect())
+    shutil.rmtree(table / f"__bucket={bucket}")
+    assert run() == want
+
+
+def test_dimension_changes_between_batches(spark, tmp_path):
+    source, history, out, check = tmp_path / "in", str(tmp_path / "history"), str(tmp_path / "out"), str(tmp_path / "check")
+    kind = "sensor_id string, updated_at timestamp_ntz, seq long, city string"
+    spark.createDataFrame([("a", T0 - timedelta(days=1), 1, "Old")], kind).write.parquet(history)
+
+    def run():
+        stream = stream_of(spark, source).withColumn("reading_timestamp", F.col("timestamp").cast("timestamp_ntz"))
+        rows = stream.select("sensor_id", "reading_timestamp", "event_id")
+        dimension.enrich_changing(rows, lambda s: s.read.parquet(history), out, check).awaitTermination()
+        return {(r["event_id"], r["city"]) for r in spark.read.parquet(out).collect()}
+
+    land(spark, source, [reading("a", 0, event_id=1), reading("b", 0, event_id=2)])
+    assert run() == {(1, "Old"), (2, None)}
+    spark.createDataFrame([("a", T0 + timedelta(minutes=30), 2, "New"), ("b", T0, 3, "B")], kind).write.mode("append").parquet(history)
+    land(spark, source, [reading("a", 10, event_id=3), reading("a", 30, event_id=4), reading("b", 1, event_id=5)])
+    assert run() == {(1, "Old"), (2, None), (3, "Old"), (4, "New"), (5, "B")}
+
+
 def test_progress_of_queries(spark, tmp_path):
     source, out, check = (tmp_path / n for n in ("in", "out", "check"))
     land(spark, source, [reading("a", 1), reading("b", 2)])

@@ -108,14 +108,16 @@ def carry(
     order: list[Column],
     forward: dict[str, Column],
     backward: dict[str, Column] | None = None,
+    load: GroupLoad | None = None,
 ) -> DataFrame:
     """Add last and next non-null values per key.
 
     A column of `forward` holds the last non-null value up to the current row, one
-    of `backward` the next one from the current row on. The order must be total.
+    of `backward` the next one from the current row on. The order must be total. `load` is
+    as for `with_windows`.
     """
     backward = backward or {}
-    load = group_load(df, keys)
+    load = load or group_load(df, keys)
     plain = {}
     for values, by in ((forward, order), (backward, [c.desc() for c in order])):
         window = Window.partitionBy(*keys).orderBy(*by).rowsBetween(*_SO_FAR)

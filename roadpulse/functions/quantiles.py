@@ -4,60 +4,87 @@ from __future__ import annotations
 
 import math
 from collections import defaultdict
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.functions.sizing import setting
 
-_BINS = 2048
+# Size of a sketch, and the share of the ranks it may be wrong by on either side (twice its bound at 99 %).
+SKETCH = 4096
+_ERROR_FACTOR, _ERROR_POWER = 4.6, 0.9021
+# Values of all brackets that come to the driver at once.
+ROWS = 200_000
 _INF = float("inf")
+_MOST = 1.7976931348623157e308
+
+
+@dataclass
+class _Zone:
+    """Rows between two brackets of a column, or inside one."""
+
+    inside: bool
+    n: int
+    low: float
+    high: float
+    sketch: bytes | None = None
 
 
 def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]]) -> dict[str, list[float | None]]:
     """Quantiles of each column; a column without values has none. NaN is the largest value.
 
     They are computed at once, because as subqueries they would be copied into every
-    later plan. Each pass counts the rows of all columns per bin (map-side combined)
-    and only the bins that hold a wanted rank are looked at again, so no task ever
-    holds the distinct values. A bin's smallest and largest value never fall into one
-    bin of the next pass, so every pass narrows and the search ends for any doubles.
+    later plan. One pass sketches all columns (the sketches are merged map-side), which
+    brackets every wanted rank; a second one counts the rows below each bracket and
+    collects the few distinct values inside, so the result is exact, however the values
+    are spread. Brackets with more rows than the driver should take are sketched again
+    first; a bracket that a sketch placed wrongly is found by the counts and moved.
     """
     pairs = [F.struct(F.lit(k).alias("c"), F.col(name).cast("double").alias("v")) for k, name in enumerate(wanted)]
     values = df.select(F.inline(F.array(*pairs))).filter("v is not null")
-    v = F.col("v")
-    finite = ~F.isnan(v) & (F.abs(v) < _INF)
-    spans = {
-        r["c"]: r
-        for r in values.groupBy("c")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.count_if(v == -_INF).alias("least"),
-            F.count_if(finite).alias("finite"),
-            F.count_if(v == _INF).alias("most"),
-            F.min(F.when(finite, v)).alias("lo"),
-            F.max(F.when(finite, v)).alias("hi"),
-        )
-        .collect()
-    }
+    rows, size = setting(df, "quantileRows", ROWS), setting(df, "quantileSketch", SKETCH)
+    error = min(_ERROR_FACTOR / size**_ERROR_POWER, 0.25)
+
+    brackets = {k: [(-_MOST, _MOST)] for k in range(len(wanted))}
+    zones = _counted(values, brackets, size)
+    positions = {k: [p * (sum(z.n for z in zones[k]) - 1) for p in probabilities] for k, probabilities in enumerate(wanted.values()) if zones[k]}
+    open_ = {k: {f(x) for x in found for f in (math.floor, math.ceil)} for k, found in positions.items()}
     found: dict[int, dict[int, float]] = defaultdict(dict)
-    brackets, positions = [], {}
-    for k, probabilities in enumerate(wanted.values()):
-        if k not in spans:
-            continue
-        s = spans[k]
-        positions[k] = [p * (s["n"] - 1) for p in probabilities]
-        inner = []
-        for rank in sorted({f(x) for x in positions[k] for f in (math.floor, math.ceil)}):
-            if rank < s["least"]:
-                found[k][rank] = -_INF
-            elif rank < s["least"] + s["finite"]:
-                inner.append(rank)
-            else:
-                found[k][rank] = _INF if rank < s["least"] + s["finite"] + s["most"] else math.nan
-        if inner:
-            brackets.append((k, s["lo"], s["hi"], s["least"], inner))
-    _narrow(values, brackets, found, setting(df, "quantileBins", _BINS))
+    while True:
+        brackets, expected, asked = {}, 0.0, []
+        for k, ranks in open_.items():
+            below = 0
+            for zone in zones[k]:
+                held = sorted(r for r in ranks if below <= r < below + zone.n)
+                if held and (zone.low == zone.high or math.isnan(zone.low)):
+                    found[k].update(dict.fromkeys(held, zone.low))
+                    ranks.difference_update(held)
+                elif held and zone.sketch is not None:
+                    for r in held:
+                        at = (r - below) / zone.n
+                        asked.append((k, zone, max(at - error, 0.0), min(at + 1 / zone.n + error, 1.0)))
+                        expected += zone.n * min(2 * error, 1.0) + 2
+                elif held:  # between the brackets
+                    brackets.setdefault(k, []).append((zone.low, zone.high))
+                    expected += zone.n
+                below += zone.n
+        open_ = {k: ranks for k, ranks in open_.items() if ranks}
+        if not open_:
+            break
+        narrowed: dict[int, tuple[int, _Zone, list]] = {}
+        for (k, zone, _, _), (low, high) in zip(asked, _asked(df, asked), strict=True):
+            narrowed.setdefault(id(zone), (k, zone, []))[2].append((max(low, zone.low), min(high, zone.high)))
+        for k, zone, parts in narrowed.values():
+            parts = _disjoint(parts)
+            if parts == [(zone.low, zone.high)] and expected > rows:
+                # The sketch can't narrow it: the halves are counted apart.
+                middle = zone.low / 2 + zone.high / 2
+                parts = [(zone.low, middle), (math.nextafter(middle, _INF), zone.high)]
+            brackets.setdefault(k, []).extend(parts)
+        brackets = {k: _disjoint(list_) for k, list_ in brackets.items()}
+        wanted_now = values.filter(F.col("c").isin(list(brackets)))
+        zones = _collected(wanted_now, brackets) if expected <= rows else _counted(wanted_now, brackets, size)
     return {
         name: [_between(found[k], x) for x in positions[k]] if k in positions else [None] * len(probabilities)
         for k, (name, probabilities) in enumerate(wanted.items())
@@ -73,33 +100,62 @@ def _between(at_rank: dict[int, float], position: float) -> float:
     return low + step * share if math.isfinite(step) else low * (1 - share) + high * share
 
 
-def _narrow(values: DataFrame, brackets: list[tuple], found: dict[int, dict[int, float]], bins: int) -> None:
-    """Find the value at each wanted rank. A bracket is (column, lo, hi, rows below it, ranks in it)."""
-    v = F.col("v")
-    while brackets:
-        which, cell = F, F
-        for number, (column, low, high, _, _) in enumerate(brackets):
-            inside = (F.col("c") == column) & v.between(low, high)
-            which = which.when(inside, number)
-            # Halves, because the whole width may be beyond the doubles; where it is too small for them, split in two.
-            width = (high / 2 - low / 2) / bins
-            step = F.least(F.floor((v / 2 - low / 2) / width), F.lit(bins - 1)).cast("long") if width > 0 else (v > low).cast("long")
-            cell = cell.when(inside, step)
-        counted = (
-            values.select("v", which.alias("which"), cell.alias("cell"))
-            .filter("which is not null")
-            .groupBy("which", "cell")
-            .agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-            .orderBy("which", "cell")
-            .collect()  # at most `bins` rows for each of a few brackets
-        )
-        following = []
-        for number, (column, _, _, below, inner) in enumerate(brackets):
-            for row in (r for r in counted if r["which"] == number):
-                held = [k for k in inner if below <= k < below + row["n"]]
-                if held and row["lo"] == row["hi"]:
-                    found[column].update(dict.fromkeys(held, row["lo"]))
-                elif held:
-                    following.append((column, row["lo"], row["hi"], below, held))
-                below += row["n"]
-        brackets = following
+def _disjoint(brackets: list[tuple[float, float]]) -> list[tuple[float, float]]:
+    out: list[tuple[float, float]] = []
+    for low, high in sorted(set(brackets)):
+        if out and low <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], high))
+        else:
+            out.append((low, high))
+    return out
+
+
+def _zoned(values: DataFrame, brackets: dict[int, list[tuple[float, float]]]) -> DataFrame:
+    """Values with the number of their zone, in rising order: odd inside a bracket, NaN last."""
+    v, zone = F.col("v"), F
+    for k, list_ in brackets.items():
+        here = F.col("c") == k
+        for i, (low, high) in enumerate(list_):
+            zone = zone.when(here & (v < low), 2 * i).when(here & (v <= high), 2 * i + 1)
+        zone = zone.when(here & ~F.isnan(v), 2 * len(list_)).when(here, 2 * len(list_) + 2)
+    return values.withColumn("zone", zone)
+
+
+def _counted(values: DataFrame, brackets: dict, size: int) -> dict[int, list[_Zone]]:
+    inside = F.when(F.col("zone") % 2 == 1, F.col("v"))
+    rows = (
+        _zoned(values, brackets)
+        .groupBy("c", "zone")
+        .agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"), F.kll_sketch_agg_double(inside, F.lit(size)).alias("sketch"))
+        .collect()  # a few rows per column
+    )
+    out: dict[int, list[_Zone]] = {k: [] for k in brackets}
+    for r in sorted(rows, key=lambda r: (r["c"], r["zone"])):
+        odd = r["zone"] % 2 == 1
+        out[r["c"]].append(_Zone(odd, r["n"], r["low"], r["high"], bytes(r["sketch"]) if odd else None))
+    return out
+
+
+def _collected(values: DataFrame, brackets: dict) -> dict[int, list[_Zone]]:
+    """Each distinct value inside a bracket is a zone of its own."""
+    rows = (
+        _zoned(values, brackets)
+        .groupBy("c", "zone", F.when(F.col("zone") % 2 == 1, F.col("v")).alias("kept"))
+        .agg(F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+        .collect()
+    )
+    out: dict[int, list[_Zone]] = {k: [] for k in brackets}
+    for r in sorted(rows, key=lambda r: (r["c"], r["zone"], r["low"] if r["kept"] is not None else 0.0)):
+        out[r["c"]].append(_Zone(r["zone"] % 2 == 1, r["n"], r["low"], r["high"]))
+    return out
+
+
+def _asked(df: DataFrame, asked: list[tuple[int, _Zone, float, float]]) -> list[tuple[float, float]]:
+    """The values that the zones' sketches have at a lower and an upper share of their rows."""
+    if not asked:
+        return []
+    told = [
+        F.kll_sketch_get_quantile_double(F.lit(bytearray(zone.sketch)), F.array(F.lit(low), F.lit(high))).alias(str(i))
+        for i, (_, zone, low, high) in enumerate(asked)
+    ]
+    return [tuple(at) for at in df.sparkSession.range(1).select(*told).first()]

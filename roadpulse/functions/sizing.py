@@ -34,8 +34,13 @@ class GroupLoad:
 
 
 def group_load(df: DataFrame, keys: list[str]) -> GroupLoad:
-    """How the rows spread over the keys: a map-side aggregation over the key columns alone."""
+    """How the rows spread over the keys: one map-side aggregation over the key columns alone.
+
+    Only where a key is oversized the counts are made again, for those keys, and written.
+    """
     bound = setting(df, "maxGroupRows", MAX_GROUP_ROWS)
-    sizes = cut_lineage(df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows")))
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
     row = sizes.agg(F.coalesce(F.sum("__rows"), F.lit(0)).alias("rows"), F.coalesce(F.max("__rows"), F.lit(0)).alias("largest")).first()
+    if row["largest"] > bound:
+        sizes = cut_lineage(sizes.filter(F.col("__rows") > bound))
     return GroupLoad(row["rows"], row["largest"], bound, sizes)

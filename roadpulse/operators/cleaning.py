@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from roadpulse.functions.columns import tie
 from roadpulse.functions.ordered import carry, keep_first
 from roadpulse.functions.quantiles import exact_quantiles
+from roadpulse.functions.sizing import GroupLoad
 from roadpulse.session import cut_lineage
 
 
@@ -16,21 +17,29 @@ def dedup(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     return keep_first(df, keys, [tie(df, c) for c in order])
 
 
-def fill_missing(df: DataFrame, columns: list[str], key: str, ts_col: str, tiebreak: str) -> DataFrame:
-    """Fill gaps with the last value of the key, then the next one, then the overall median."""
+def fill_missing(
+    df: DataFrame, columns: list[str], key: str, ts_col: str, tiebreak: str, load: GroupLoad | None = None
+) -> DataFrame:
+    """Fill gaps with the last value of the key, then the next one, then the overall median.
+
+    The median is that of the rows after both fills, and matters only for keys without any
+    value. One pass counts those; only where there are some the filled rows are written, to
+    be read for the median and for the result.
+    """
     order = [F.col(ts_col), tie(df, tiebreak)]
     around = carry(
-        df, [key], order, {f"__last_{c}": F.col(c) for c in columns}, {f"__next_{c}": F.col(c) for c in columns}
+        df, [key], order, {f"__last_{c}": F.col(c) for c in columns}, {f"__next_{c}": F.col(c) for c in columns}, load
     )
     filled = around.withColumns({c: F.coalesce(F.col(f"__last_{c}"), F.col(f"__next_{c}")) for c in columns})
-    # Read several times below; without a cut every pass would fill the gaps again.
-    filled = cut_lineage(filled.select(*df.columns))
-    # The median is taken after both fills. It matters only for keys without any value.
-    gaps = filled.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns]).first()
-    open_ = [c for c in columns if gaps[c]]
-    medians = exact_quantiles(filled, {c: [0.5] for c in open_}) if open_ else {}
-    middle = {c: F.lit(medians[c][0] if c in medians else None).cast("double") for c in columns}
-    return filled.withColumns({c: F.coalesce(F.col(c), middle[c]) for c in columns})
+    filled = filled.select(*df.columns)
+    per_key = df.groupBy(key).agg(*[F.count(c).alias(c) for c in columns])
+    bare = per_key.agg(*[F.count_if(F.col(c) == 0).alias(c) for c in columns]).first()
+    open_ = [c for c in columns if bare[c]]
+    if not open_:
+        return filled
+    filled = cut_lineage(filled)
+    medians = exact_quantiles(filled, {c: [0.5] for c in open_})
+    return filled.withColumns({c: F.coalesce(F.col(c), F.lit(medians[c][0]).cast("double")) for c in open_})
 
 
 def iqr_bounds(df: DataFrame, column: str, k: float = 1.5) -> tuple[float, float] | None:

@@ -177,6 +177,9 @@ def int_enriched(readings: DataFrame, wx: DataFrame, holidays: DataFrame, versio
         load=load,
     )
     placed = with_sensor(with_holidays(nearest_join(measured, wx), holidays), versions)
-    return placed.withColumns(
-        {"surrogate_key": surrogate_key("sensor_id", TIME), "traffic_level": traffic_level("traffic_volume")}
-    )
+    return with_key_and_level(placed)
+
+
+def with_key_and_level(df: DataFrame) -> DataFrame:
+    """The two columns of the enriched table that come from the reading alone."""
+    return df.withColumns({"surrogate_key": surrogate_key("sensor_id", TIME), "traffic_level": traffic_level("traffic_volume")})

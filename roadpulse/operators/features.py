@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from roadpulse.functions.columns import dow0_mon, dow1_sun, tie
 from roadpulse.functions.ordered import number_rows, with_windows
+from roadpulse.functions.sizing import GroupLoad, group_load
 from roadpulse.operators.cleaning import dedup, fill_missing, iqr_filter
 from roadpulse.operators.enrich import with_group_stats
 from roadpulse.operators.windows import TIME, rolling_measures
+from roadpulse.session import cut_lineage
 
 # Default lags and window lengths, in rows.
 LAG_PERIODS = [1, 2, 3, 6, 12, 24]
@@ -102,6 +104,7 @@ def lag_and_rolling(
     ts_col: str = TIME,
     tiebreak: str = "event_id",
     exclude_current: bool = False,
+    load: GroupLoad | None = None,
 ) -> DataFrame:
     """All lag and rolling columns over one sort per key."""
 
@@ -110,14 +113,17 @@ def lag_and_rolling(
         return {**lagged, **rolling_measures([target], rolling_windows, window, exclude_current)}
 
     return with_windows(
-        df, [key], [F.col(ts_col), tie(df, tiebreak)], measures, before=max([*lag_periods, *rolling_windows])
+        df, [key], [F.col(ts_col), tie(df, tiebreak)], measures, before=max([*lag_periods, *rolling_windows]), load=load
     )
 
 
-def clean(df: DataFrame, columns: list[str], key: str = "sensor_id", ts_col: str = TIME, tiebreak: str = "event_id") -> DataFrame:
+def clean(
+    df: DataFrame, columns: list[str], key: str = "sensor_id", ts_col: str = TIME, tiebreak: str = "event_id", load: GroupLoad | None = None
+) -> DataFrame:
     """One row per (time, key), gaps filled, outliers removed."""
     single = dedup(df, [key, ts_col], [tiebreak])
-    return iqr_filter(fill_missing(single, columns, key, ts_col, tiebreak), columns)
+    # Written once: the quartiles of each column are taken from the filled rows.
+    return iqr_filter(cut_lineage(fill_missing(single, columns, key, ts_col, tiebreak, load)), columns)
 
 
 def prepare(
@@ -135,9 +141,11 @@ def prepare(
 
     With `exclude_current` the rolling columns do not see the target of their own row.
     """
-    cleaned = clean(df, [target, speed], key, ts_col, tiebreak)
+    # Cleaning only takes rows away, so one count of the rows per key serves all windows.
+    load = group_load(df, [key])
+    cleaned = clean(df, [target, speed], key, ts_col, tiebreak, load)
     timed = time_features_ml(cleaned, ts_col)
-    rolled = lag_and_rolling(timed, target, lag_periods, rolling_windows, key, ts_col, tiebreak, exclude_current)
+    rolled = lag_and_rolling(timed, target, lag_periods, rolling_windows, key, ts_col, tiebreak, exclude_current, load)
     return interaction_features(location_features(rolled, key, [target, speed]), target, speed).dropna()
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from roadpulse.functions.columns import tie
 from roadpulse.functions.ordered import keep_first
 from roadpulse.functions.quantiles import exact_quantiles
+from roadpulse.operators import linear
 from roadpulse.session import cut_lineage
 
 LINEAR = ("ridge", "lasso", "linear")
@@ -40,11 +41,15 @@ def split(df: DataFrame, test_size: float = 0.2, mode: str = "random", key: list
     return df.filter(place < edge), df.filter(place >= edge)
 
 
-def estimator(kind: str, rows: int, label: str, features: str = "features", **params):
-    """Model by name. Ridge divides its penalty by the rows, because Spark averages the loss."""
+def estimator(kind: str, rows: int, label: str, features: str = "features", spread: float = 1.0, **params):
+    """Model by name.
+
+    Spark averages the loss and fits a label divided by its deviation, so ridge divides its
+    penalty by the rows and multiplies it by that `spread`; lasso needs neither.
+    """
     common = {"featuresCol": features, "labelCol": label, "predictionCol": "prediction"}
     if kind in LINEAR:
-        penalty = {"ridge": ALPHA / max(rows, 1), "lasso": ALPHA, "linear": 0.0}[kind]
+        penalty = {"ridge": ALPHA * spread / max(rows, 1), "lasso": ALPHA, "linear": 0.0}[kind]
         l1_share = 1.0 if kind == "lasso" else 0.0
         return LinearRegression(regParam=penalty, elasticNetParam=l1_share, standardization=False, **{**common, **params})
     if kind == "forest":
@@ -63,12 +68,13 @@ def fit(df: DataFrame, kind: str, features: list[str], label: str = "traffic_vol
     linear fit: they carry nothing and make the normal equations singular.
     """
     df = df.dropna(subset=[*features, label])
-    rows = df.count() if kind == "ridge" else 0
+    size = df.agg(F.count(F.lit(1)).alias("rows"), F.stddev_samp(label).alias("spread")).first() if kind == "ridge" else None
+    rows, spread = (size["rows"], size["spread"] or 1.0) if size else (0, 1.0)
     assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error")
     if kind not in LINEAR:
         return Pipeline(stages=[assembler, estimator(kind, rows, label, **params)]).fit(df)
     varying = VarianceThresholdSelector(featuresCol="features", outputCol="varying", varianceThreshold=0.0)
-    return Pipeline(stages=[assembler, varying, estimator(kind, rows, label, "varying", **params)]).fit(df)
+    return Pipeline(stages=[assembler, varying, estimator(kind, rows, label, "varying", spread, **params)]).fit(df)
 
 
 def predict(model: PipelineModel, df: DataFrame, name: str, keys: list[str], label: str = "traffic_volume") -> DataFrame:
@@ -167,20 +173,26 @@ def train_and_forecast(
     key: str = "sensor_id",
     ts_col: str = "reading_timestamp",
     tiebreak: str = "event_id",
+    alpha: float = ALPHA,
 ) -> tuple[DataFrame, DataFrame]:
     """Metrics of each model on the latest rows, and the forecast grid of their ensemble.
 
     Models are fitted on the earlier rows, weighed by their error on the later ones, and
     applied to the last row of each key; the band is the key's own spread of the
-    ensemble's errors, and null where a key has fewer than two later rows.
+    ensemble's errors, and null where a key has fewer than two later rows. All linear
+    models come from one pass over the training rows; `alpha` is their penalty.
     """
     rows = cut_lineage(df)
     train, test = split(rows, test_size, "time", ts_col=ts_col)
     place = [key, ts_col, tiebreak]
-    models = {kind: fit(train, kind, features, label) for kind in kinds}
+    lines = linear.fit_all(train, [k for k in kinds if k in LINEAR], features, label, alpha) if set(kinds) & set(LINEAR) else {}
+    models = {kind: fit(train, kind, features, label) for kind in kinds if kind not in LINEAR}
 
     def predicted(part: DataFrame) -> DataFrame:
-        return reduce(DataFrame.unionByName, [predict(model, part, kind, place, label) for kind, model in models.items()])
+        told = [F.struct(F.lit(kind).alias("model_name"), line.column().alias("predicted")) for kind, line in lines.items()]
+        actual = F.col(label).cast("double").alias("actual")
+        frames = [part.select(*place, actual, F.inline(F.array(*told))).select(*place, "model_name", "actual", "predicted")] if told else []
+        return reduce(DataFrame.unionByName, frames + [predict(model, part, kind, place, label) for kind, model in models.items()])
 
     tested = cut_lineage(predicted(test))
     metrics = cut_lineage(evaluate(tested, ["model_name"]))

@@ -78,18 +78,40 @@ def impact(links: DataFrame, node: str) -> DataFrame:
     out what was reached before, so cycles end. What is reached lies in one table
     with a part for each round; the number of rounds is the depth of the graph.
     """
+    start = links.sparkSession.createDataFrame([(node, node)], "origin string, node string")
+    return search(links, start).filter(F.col("hops") > 0).select("node", "hops")
+
+
+def search(links: DataFrame, starts: DataFrame, tables: DataFrame | None = None) -> DataFrame:
+    """Breadth-first search from every start (origin, node): one row per pair that is reached.
+
+    Returns `origin, node, parent, critical, hops`: the smallest number of hops, the node
+    before (of several, the smallest by name) and whether the path so told touches one of
+    `tables` (column `stop`). No path is kept: a row is as short after many hops as after one.
+    """
     spark = links.sparkSession
-    pairs = cut_lineage(links.select("src", "dst").distinct())
-    folder = work_folder(spark)
-    frontier = pairs.filter(F.col("src") == node).select(F.col("dst").alias("node")).distinct()
-    for hop in count(1):
+    marks = tables.select(F.col("stop").alias("dst"), F.lit(True).alias("mark")).distinct() if tables is not None else None
+
+    def marked(df: DataFrame) -> DataFrame:
+        if marks is None:
+            return df.withColumn("mark", F.lit(False))
+        return df.join(marks, "dst", "left").withColumn("mark", F.coalesce("mark", F.lit(False)))
+
+    # Whether a node is a table goes with the edge to it, so a round is one join and one aggregate.
+    pairs = cut_lineage(marked(links.select("src", "dst").distinct()).select("src", "dst", "mark"))
+    folder, schema = work_folder(spark), "origin string, node string, parent string, critical boolean"
+    first = marked(starts.select("origin", F.col("node").alias("dst")).distinct())
+    frontier = first.select("origin", F.col("dst").alias("node"), F.lit(None).cast("string").alias("parent"), F.col("mark").alias("critical"))
+    for hop in count(0):
         frontier.write.parquet(f"{folder}/hops={hop}")
-        newest = spark.read.schema("node string").parquet(f"{folder}/hops={hop}")
-        reached = spark.read.schema("node string, hops int").parquet(folder)
+        newest = spark.read.schema(schema).parquet(f"{folder}/hops={hop}")
+        reached = spark.read.schema(f"{schema}, hops int").parquet(folder)
         if newest.isEmpty():
-            return reached.filter(F.col("node") != node)
-        step = pairs.join(newest.select(F.col("node").alias("src")), "src").select(F.col("dst").alias("node")).distinct()
-        frontier = step.join(reached.select("node"), "node", "left_anti")
+            return reached
+        step = newest.select("origin", F.col("node").alias("src"), "critical").join(pairs, "src")
+        best = step.groupBy("origin", F.col("dst").alias("node")).agg(F.min(F.struct("src", F.col("critical") | F.col("mark"))).alias("via"))
+        new = best.join(reached.select("origin", "node"), ["origin", "node"], "left_anti")
+        frontier = new.select("origin", "node", F.col("via.src").alias("parent"), F.col("via.col2").alias("critical"))
 
 
 def impact_report(affected: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -114,55 +136,38 @@ def impact_summary(report: DataFrame) -> DataFrame:
     )
 
 
-def shortest_paths(links: DataFrame, sources: DataFrame, sinks: DataFrame) -> DataFrame:
-    """Shortest path of every connected (source, sink) pair; ties go to the smallest path by name.
+def paths(links: DataFrame, nodes: DataFrame, sources: DataFrame, sinks: DataFrame, k: int = 10) -> DataFrame:
+    """The `k` most critical of the shortest paths from a source to a sink.
 
-    A round keeps one path per (source, node), so the rows never outnumber the
-    connected pairs, and a path that returns to its own nodes is dropped. Sinks
-    of a round are known at once; only rows of the newest round are extended.
+    First those that touch a materialised table, then the longest, then by source and sink.
+    Of equally short paths between two nodes, the one with the smallest last step counts, and
+    so on backwards. Only the `k` winners' paths are put together, step by step from their ends.
     """
-    spark = links.sparkSession
-    pairs = cut_lineage(links.select("src", "dst").distinct())
-    folder, schema = work_folder(spark), "origin string, node string, path array<string>"
-    frontier = sources.select(F.col("id").alias("origin"), F.col("id").alias("node"), F.array("id").alias("path"))
-    for hop in count(0):
-        frontier.write.parquet(f"{folder}/hops={hop}")
-        newest = spark.read.schema(schema).parquet(f"{folder}/hops={hop}")
-        reached = spark.read.schema(f"{schema}, hops int").parquet(folder)
-        if newest.isEmpty():
-            ends = sinks.select(F.col("id").alias("node")).distinct()
-            return reached.filter("hops > 0").drop("hops").join(ends, "node")
-        frontier = (
-            newest.join(pairs, newest["node"] == pairs["src"])
-            .select("origin", F.col("dst").alias("node"), F.array_append("path", F.col("dst")).alias("path"))
-            .groupBy("origin", "node")
-            .agg(F.min("path").alias("path"))
-            .join(reached.select("origin", "node"), ["origin", "node"], "left_anti")
-        )
-
-
-def paths(links: DataFrame, nodes: DataFrame, sources: DataFrame, sinks: DataFrame, k: int = 10) -> DataFrame:
-    """The `k` most critical paths: those that touch a materialised table first, then the longest."""
-    found = shortest_paths(links, sources, sinks)
     tables = nodes.filter("materialization = 'table'").select(F.col("id").alias("stop"))
-    touched = (
-        found.select("origin", "node", F.explode("path").alias("stop"))
-        .join(tables, "stop", "left_semi")
-        .select("origin", "node")
-        .distinct()
-        .withColumn("critical", F.lit(True))
-    )
-    return (
-        found.join(touched, ["origin", "node"], "left")
-        .select(
-            F.col("origin").alias("src"),
-            F.col("node").alias("dst"),
-            F.array_join("path", " > ").alias("path"),
-            F.size("path").alias("length"),
-            F.coalesce("critical", F.lit(False)).alias("critical"),
+    reached = search(links, sources.select(F.col("id").alias("origin"), F.col("id").alias("node")), tables)
+    ends = sinks.select(F.col("id").alias("node")).distinct()
+    order = [F.desc("critical"), F.desc("hops"), F.asc("origin"), F.asc("node")]
+    best = cut_lineage(reached.filter("hops > 0").join(ends, "node").orderBy(*order).limit(k))
+    steps = reached.select("origin", F.col("node").alias("at"), F.col("parent").alias("before"), F.col("hops").alias("left"))
+    walk = best.select("origin", "node", "critical", "hops", F.array("node").alias("path"), F.col("node").alias("at"), F.col("hops").alias("left"))
+    for _ in range(best.agg(F.max("hops")).first()[0] or 0):
+        # Only rows that are still under way take a step; the hop tells the part of the table.
+        moved = walk.join(steps.filter("left > 0"), ["origin", "at", "left"], "left")
+        walk = moved.select(
+            "origin",
+            "node",
+            "critical",
+            "hops",
+            F.when(F.col("before").isNull(), F.col("path")).otherwise(F.array_prepend("path", F.col("before"))).alias("path"),
+            F.coalesce("before", "at").alias("at"),
+            F.when(F.col("before").isNull(), F.col("left")).otherwise(F.col("left") - 1).alias("left"),
         )
-        .orderBy(F.desc("critical"), F.desc("length"), "path")
-        .limit(k)
+    return walk.select(
+        F.col("origin").alias("src"),
+        F.col("node").alias("dst"),
+        F.array_join("path", " > ").alias("path"),
+        F.size("path").alias("length"),
+        "critical",
     )
 
 

@@ -6,9 +6,8 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from roadpulse.operators import lineage, quality, schema
+from roadpulse.operators import enrich, lineage, quality, schema
 from roadpulse.plans.base import HOURLY_COLUMNS, hourly, hourly_layout, sensor_versions, sql, staged, staged_weather
-from roadpulse.session import cut_lineage
 from roadpulse.sources import adapters
 
 AS_OF = "2024-01-25 00:00:00"
@@ -29,8 +28,8 @@ def _parents(spark, d):
 def suite(spark, d):
     """Rules over the same table share one pass."""
     df, wx = staged(spark, d), staged_weather(spark, d)
-    # Two checks read it: the joins run once.
-    mart = cut_lineage(hourly(spark, d).select("surrogate_key", "traffic_volume", "traffic_level"))
+    # Key and level come from the reading alone; the joins, each with at most one match, add no row.
+    mart = enrich.with_key_and_level(enrich.one_per_instant(df.select("sensor_id", "reading_timestamp", "event_id", "traffic_volume")))
     row_rules = [
         *quality.not_null(["sensor_id", "reading_timestamp", "traffic_volume", "speed_mph"]),
         *quality.accepted_range(RANGES),
@@ -72,6 +71,22 @@ def set_diff(spark, d):
     return schema.schema_set_diff(raw, mart)
 
 
+def normalised_types(spark, d):
+    """Declared and observed types of the raw readings and of the given tables, as they are compared."""
+    seen = [schema.observed_schema(adapters.table(spark, d, t), t) for t in ("orders", "events", "documents")]
+    every = reduce(lambda a, b: a.unionByName(b), [_contract(spark), *seen])
+    return every.select("table_name", "column_name", schema.normalised(F.col("data_type")).alias("data_type"))
+
+
+def compatibility(spark, d):
+    """Whether a reader of a later layout of the orders can read the given ones: a type that narrows, one that widens, new fields."""
+    old = schema.schema_rows(spark, adapters.table(spark, d, "orders").schema)
+    changed = F.expr("CASE column_name WHEN 'o_totalprice' THEN 'int' WHEN 'o_orderkey' THEN 'double' ELSE data_type END")
+    kept = old.filter("column_name <> 'o_orderpriority'").select("column_name", changed.alias("data_type"), (F.col("column_name") != "o_orderdate").alias("nullable"))
+    added = spark.sql("SELECT * FROM VALUES ('o_channel', 'string', true), ('o_checked', 'boolean', false) AS t(column_name, data_type, nullable)")
+    return schema.compat(old, kept.unionByName(added))
+
+
 def _id(kind, column):
     return F.concat(F.lit(f"{kind}."), F.col(column).cast("string"))
 
@@ -86,6 +101,18 @@ def links(spark, d):
     return reduce(lambda a, b: a.unionByName(b), pairs)
 
 
+def tangled_links(spark, d):
+    """The same graph with ways back to the regions, shortcuts to customers and orders, and chains of orders."""
+    c, o = (adapters.table(spark, d, t) for t in ("customer", "orders"))
+    more = [
+        o.filter("o_orderkey % 97 = 0").select(_id("order", "o_orderkey").alias("src"), F.expr("concat('region.', o_orderkey % 5)").alias("dst")),
+        c.filter("c_custkey % 7 = 0").select(F.expr("concat('region.', c_custkey % 5)").alias("src"), _id("customer", "c_custkey").alias("dst")),
+        o.filter("o_orderkey % 11 = 0").select(F.expr("concat('nation.', o_orderkey % 25)").alias("src"), _id("order", "o_orderkey").alias("dst")),
+        o.filter("o_orderkey % 13 = 0").select(_id("order", "o_orderkey").alias("src"), F.expr("concat('order.', o_orderkey, '.part')").alias("dst")),
+    ]
+    return reduce(lambda a, b: a.unionByName(b), [links(spark, d), *more])
+
+
 def nodes(spark, d):
     r, n, c, o = (adapters.table(spark, d, t) for t in ("region", "nation", "customer", "orders"))
 
@@ -130,6 +157,15 @@ def paths(spark, d):
     return lineage.paths(links(spark, d), every, every.filter("type = 'source'"), every.filter("schema = 'ANALYTICS'"))
 
 
+def tangled_impact(spark, d):
+    return lineage.impact(tangled_links(spark, d), START)
+
+
+def tangled_paths(spark, d):
+    every = nodes(spark, d)
+    return lineage.paths(tangled_links(spark, d), every, every.filter("type = 'source'"), every.filter("schema = 'ANALYTICS'"))
+
+
 QUERIES = {
     "check_not_null": lambda s, d: quality.check_not_null(staged(s, d), ["sensor_id", "reading_timestamp", "traffic_volume", "speed_mph"]),
     "check_unique": _unique,
@@ -145,11 +181,15 @@ QUERIES = {
     "schema_drift": drift,
     "schema_drift_summary": drift_summary,
     "schema_set_diff": set_diff,
+    "type_normalise": normalised_types,
+    "schema_compat": compatibility,
     "lineage_edges": lambda s, d: lineage.edges(manifests(s, d)),
     "lineage_nodes": lambda s, d: lineage.manifest_nodes(manifests(s, d)),
     "lineage_impact": impact,
     "lineage_impact_summary": lambda s, d: lineage.impact_summary(impact(s, d)),
+    "lineage_impact_cycles": tangled_impact,
     "lineage_paths": paths,
+    "lineage_paths_cycles": tangled_paths,
     "lineage_summary": lambda s, d: lineage.lineage_summary(nodes(s, d), links(s, d)),
 }
 
@@ -195,6 +235,12 @@ def _want(table: str, contract: dict[str, str]) -> str:
     return ", ".join(f"('{table}', '{c}', '{schema.normalise(kind).partition('(')[0]}')" for c, kind in contract.items())
 
 
+# The declared types as they are normalised.
+_DECLARED = ", ".join(
+    f"('{table}', '{c}', '{kind.replace('INTEGER', 'INT')}')"
+    for table, contract in (("MART_HOURLY_TRAFFIC", schema.HOURLY_CONTRACT), ("TRAFFIC_EVENTS", schema.RAW_CONTRACT))
+    for c, kind in contract.items()
+)
 DRIFT_SQL = f""", have AS ({_have("MART_HOURLY_TRAFFIC", "hourly", HOURLY_COLUMNS)} UNION ALL {_have("TRAFFIC_EVENTS", "readings", _RAW_COLUMNS)}),
     want AS (SELECT * FROM (VALUES {_want("MART_HOURLY_TRAFFIC", schema.HOURLY_CONTRACT)}, {_want("TRAFFIC_EVENTS", schema.RAW_CONTRACT)})
         t(table_name, column_name, expected_type)),
@@ -210,6 +256,13 @@ nodes AS (
     UNION ALL SELECT 'nation.' || n_nationkey, 'model', 'STAGING', 'view' FROM nation
     UNION ALL SELECT 'customer.' || c_custkey, 'model', 'STAGING', CASE WHEN c_acctbal > 5000 THEN 'table' ELSE 'view' END FROM customer
     UNION ALL SELECT 'order.' || o_orderkey, 'model', 'ANALYTICS', CASE WHEN o_orderstatus = 'F' THEN 'table' ELSE 'view' END FROM orders)"""
+# More hops than any shortest path of the given tables has.
+MOST_HOPS = 10
+_TANGLED = _LINKS + """, tangled AS (SELECT * FROM links
+    UNION SELECT 'order.' || o_orderkey, 'region.' || (o_orderkey % 5) FROM orders WHERE o_orderkey % 97 = 0
+    UNION SELECT 'region.' || (c_custkey % 5), 'customer.' || c_custkey FROM customer WHERE c_custkey % 7 = 0
+    UNION SELECT 'nation.' || (o_orderkey % 25), 'order.' || o_orderkey FROM orders WHERE o_orderkey % 11 = 0
+    UNION SELECT 'order.' || o_orderkey, 'order.' || o_orderkey || '.part' FROM orders WHERE o_orderkey % 13 = 0)"""
 _IMPACT = f"""{_LINKS}, down AS (SELECT dst AS node, 1 AS hops FROM links WHERE src = '{START}'
     UNION SELECT l.dst, d.hops + 1 FROM down d JOIN links l ON l.src = d.node),
 report AS (SELECT node, CASE WHEN min(hops) = 1 THEN 'direct' ELSE 'indirect' END AS impact, schema, materialization = 'table' AS critical
@@ -232,6 +285,20 @@ ORACLES = {
     "schema_drift_summary": sql(DRIFT_SQL + """ SELECT count(*) AS total_changes, count(DISTINCT table_name) AS tables_changed,
         count(*) FILTER (change = 'new_column') AS new_columns, count(*) FILTER (change = 'removed_column') AS removed_columns,
         count(*) FILTER (change = 'type_change') AS type_changes, 2::BIGINT AS tables_checked FROM drift"""),
+    "type_normalise": f"""WITH seen AS (SELECT table_name, column_name, CASE data_type WHEN 'VARCHAR' THEN 'VARCHAR' WHEN 'INTEGER' THEN 'INT'
+            WHEN 'DOUBLE' THEN 'FLOAT' WHEN 'TIMESTAMP' THEN 'TIMESTAMP_NTZ' ELSE data_type END AS data_type FROM (
+            SELECT 'orders' AS table_name, column_name, column_type AS data_type FROM (DESCRIBE orders)
+            UNION ALL SELECT 'events', column_name, column_type FROM (DESCRIBE events)
+            UNION ALL SELECT 'documents', column_name, column_type FROM (DESCRIBE documents)))
+        SELECT * FROM seen UNION ALL SELECT * FROM (VALUES {_DECLARED})""",
+    "schema_compat": """SELECT column_name, old_type, new_type, problem FROM (
+            SELECT column_name, CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'DOUBLE' THEN 'double' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+                ELSE lower(column_type) END AS old_type,
+            CASE column_name WHEN 'o_totalprice' THEN 'int' WHEN 'o_orderkey' THEN 'double' ELSE old_type END AS new_type,
+            CASE WHEN column_name = 'o_totalprice' THEN 'type_not_readable'
+                WHEN column_name = 'o_orderdate' THEN 'nullable_became_required' END AS problem FROM (DESCRIBE orders))
+        WHERE problem IS NOT NULL
+        UNION ALL SELECT 'o_checked', NULL, 'boolean', 'added_field_not_nullable'""",
     "schema_set_diff": sql(""", have AS (SELECT unnest(map_keys(to_json(t)::MAP(VARCHAR, JSON))) AS column_name
             FROM (SELECT * FROM readings LIMIT 1) t),
         want AS (SELECT unnest(map_keys(to_json(t)::MAP(VARCHAR, JSON))) AS column_name FROM (SELECT * EXCLUDE (event_id) FROM hourly LIMIT 1) t)
@@ -252,7 +319,24 @@ ORACLES = {
             bool_or(n.materialization = 'table') AS critical
         FROM links a JOIN links b ON b.src = a.dst JOIN links c ON c.src = b.dst JOIN nodes n ON n.id IN (b.dst, c.dst)
         WHERE a.src LIKE 'region.%' GROUP BY ALL)
-        SELECT src, dst, path, CAST(4 AS INTEGER) AS length, critical FROM found ORDER BY critical DESC, path LIMIT 10""",
+        SELECT src, dst, path, CAST(4 AS INTEGER) AS length, critical FROM found ORDER BY critical DESC, src, dst LIMIT 10""",
+    "lineage_impact_cycles": _TANGLED + f""", down AS (SELECT dst AS node, 1 AS hops FROM tangled WHERE src = '{START}'
+            UNION SELECT l.dst, d.hops + 1 FROM down d JOIN tangled l ON l.src = d.node WHERE d.hops < {MOST_HOPS})
+        SELECT node, CAST(min(hops) AS INTEGER) AS hops FROM down WHERE node <> '{START}' GROUP BY node""",
+    "lineage_paths_cycles": _TANGLED + f""", reach AS (SELECT id AS origin, id AS node, 0 AS hops FROM nodes WHERE type = 'source'
+            UNION SELECT r.origin, l.dst, r.hops + 1 FROM reach r JOIN tangled l ON l.src = r.node WHERE r.hops < {MOST_HOPS}),
+        least AS (SELECT origin, node, min(hops) AS hops FROM reach GROUP BY ALL),
+        told AS (SELECT a.origin, a.node, a.hops, min(l.src) AS parent FROM least a
+            JOIN tangled l ON l.dst = a.node JOIN least b ON b.origin = a.origin AND b.node = l.src AND b.hops = a.hops - 1 GROUP BY ALL),
+        walk AS (SELECT origin, node, hops, node AS stop, hops AS here, node AS path FROM told
+                WHERE node IN (SELECT id FROM nodes WHERE schema = 'ANALYTICS')
+            UNION ALL SELECT w.origin, w.node, w.hops, t.parent, w.here - 1, t.parent || ' > ' || w.path
+            FROM walk w JOIN told t ON t.origin = w.origin AND t.node = w.stop),
+        found AS (SELECT w.origin, w.node, w.hops, max(path) FILTER (here = 0) AS path,
+            bool_or(coalesce(n.materialization = 'table', FALSE)) AS critical
+            FROM walk w LEFT JOIN nodes n ON n.id = w.stop GROUP BY ALL)
+        SELECT origin AS src, node AS dst, path, CAST(hops + 1 AS INTEGER) AS length, critical FROM found
+        ORDER BY critical DESC, length DESC, src, dst LIMIT 10""",
     "lineage_summary": _LINKS + """ SELECT count(*) AS total_nodes, count(*) FILTER (type = 'source') AS sources,
         count(*) FILTER (type = 'model') AS models, count(*) FILTER (type = 'model' AND materialization = 'table') AS materialized_tables,
         (SELECT count(*) FROM links) AS total_edges FROM nodes""",

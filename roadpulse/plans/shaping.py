@@ -186,9 +186,6 @@ QUERIES = {
     "join_scd2_point_in_time": scd_point,
     "join_prev_window": previous,
     "join_group_stats": group_stats,
-    "join_stream_static": lambda s, d: enrich.enrich_stream(
-        adapters.readings(s, d).select(*ID), sensor_versions(s, d).filter("is_current").select("sensor_id", "city"), "sensor_id"
-    ),
     "int_enriched": lambda s, d: rounded(hourly(s, d).select(*HOURLY_COLUMNS)),
     "fn_datetime": fn_datetime,
     "fn_math": fn_math,
@@ -294,8 +291,6 @@ ORACLES = {
         {r('previous_avg_volume', 'previous_avg_volume')} FROM paired"""),
     "join_group_stats": sql(f"""SELECT {', '.join('t.' + c for c in ID)}, t.traffic_volume, g.* EXCLUDE (sensor_id)
         FROM staged t JOIN ({STATS_SQL}) g ON g.sensor_id = t.sensor_id"""),
-    "join_stream_static": sql(f"""SELECT {', '.join('t.' + c for c in ID)}, v.city
-        FROM readings t LEFT JOIN versions v ON v.sensor_id = t.sensor_id AND v.is_current"""),
     "int_enriched": sql(f"SELECT {columns_sql(HOURLY_COLUMNS)} FROM hourly"),
     "fn_datetime": """SELECT o_orderkey, CAST(hour(t) AS INTEGER) AS hour, CAST(dayofweek(t) AS INTEGER) AS dow0_sun,
         CAST(dayofweek(t) + 1 AS INTEGER) AS dow1_sun, CAST(isodow(t) - 1 AS INTEGER) AS dow0_mon, CAST(month(t) AS INTEGER) AS month,

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
-from roadpulse.operators import tables
-from roadpulse.plans.base import columns_sql, hourly, r, rounded, sql, staged
+from roadpulse.operators import enrich, increments, layout, tables
+from roadpulse.plans.base import columns_sql, r, rounded, sensor_versions, sql, staged, staged_holidays, staged_weather
+from roadpulse.session import work_folder
 from roadpulse.sources import adapters, changes, readers, streams
 from roadpulse.streaming import sinks, windows
 
@@ -85,20 +88,32 @@ def nested(spark, d):
     return rounded(readers.flatten_reading(readers.nest_reading(adapters.readings(spark, d))))
 
 
-def cdc(spark, d):
-    target = adapters.table(spark, d, "customer").select(
+def change_target(spark, d):
+    return adapters.table(spark, d, "customer").select(
         F.col("c_custkey").alias("sensor_key"), F.col("c_mktsegment").alias("road_name"), F.lit("-").alias("city")
     )
+
+
+def change_log(spark, d):
     operation = F.when(F.col("o_orderstatus") == "P", "DELETE").when(F.col("o_orderstatus") == "O", "INSERT").otherwise("UPDATE")
-    log = adapters.table(spark, d, "orders").select(
+    return adapters.table(spark, d, "orders").select(
         operation.alias("operation"), F.col("o_custkey").alias("sensor_key"), F.col("o_orderpriority").alias("road_name"),
         F.col("o_orderstatus").alias("city"), F.col("o_orderdate").alias("change_timestamp"), F.col("o_orderkey").alias("seq"),
     )
-    return changes.apply_changes(target, log, ["sensor_key"], ["change_timestamp", "seq"])
+
+
+def cdc(spark, d):
+    return changes.apply_changes(change_target(spark, d), change_log(spark, d), ["sensor_key"], ["change_timestamp", "seq"])
 
 
 def batch_load(spark, d):
-    return rounded(readers.with_date_parts(adapters.readings(spark, d), "reading_timestamp"))
+    """Raw files, with times as text and a column too many, loaded into the partitioned table."""
+    folder = work_folder(spark)
+    raw = adapters.readings(spark, d).withColumn("reading_timestamp", F.col("reading_timestamp").cast("string"))
+    raw.withColumn("unasked", F.lit(1)).write.parquet(f"{folder}/raw")
+    schema = adapters.readings(spark, d).select(*READING).schema
+    readers.batch_load(spark, f"{folder}/raw", f"{folder}/bronze", schema, "reading_timestamp")
+    return rounded(spark.read.parquet(f"{folder}/bronze"))
 
 
 def merged(spark, d):
@@ -111,13 +126,52 @@ def merged(spark, d):
 
 
 def increment(spark, d):
-    mart = hourly(spark, d)
-    built = staged(spark, d).filter(F.col("reading_timestamp") < F.lit(SPLIT).cast("timestamp_ntz"))
-    fresh = tables.incremental(mart, built, lookback="24 hours")
-    return rounded(fresh.select("surrogate_key", "sensor_id", "reading_timestamp", "traffic_volume", "rolling_avg_24hr"))
+    """The hourly table built from the first days, then brought up to date twice; the first update holds rows that come late."""
+    path = f"{work_folder(spark)}/hourly"
+    rows, seen = staged(spark, d), F.col("reading_timestamp")
+    split, overlap = (F.lit(t).cast("timestamp_ntz") for t in (SPLIT, OVERLAP))
+    late = (seen < overlap) & (F.col("event_id") % 200 == 0)
+    side = staged_weather(spark, d), staged_holidays(spark, d), sensor_versions(spark, d)
+    increments.write_hourly(enrich.int_enriched(rows.filter((seen < overlap) & ~late), *side), path)
+    for part in (((seen >= overlap) & (seen < split)) | late, seen >= split):
+        increments.update_hourly(spark, path, rows.filter(part), *side)
+    built = increments.read_hourly(spark, path)
+    return rounded(built.select("surrogate_key", "sensor_id", "reading_timestamp", "traffic_volume", "weather_severity", "rolling_avg_24hr", "volume_pct_change"))
+
+
+# Places of the period and of the sensors that a reader may ask for: one day, one group of sensors, both.
+BOXES = {
+    **{f"day {n}": {"reading_timestamp": (date(2024, 1, n), date(2024, 1, n + 1))} for n in (3, 9, 14, 22)},
+    **{f"sensors {n}": {"sensor_id": (f"sensor_{n}", f"sensor_{n}9")} for n in (11, 42, 7)},
+    "week of some sensors": {"reading_timestamp": (date(2024, 1, 8), date(2024, 1, 14)), "sensor_id": ("sensor_2", "sensor_3")},
+}
+
+
+def _inside(box):
+    out = F.lit(True)
+    for c, (low, high) in box.items():
+        out = out & F.col(c).between(F.lit(low), F.lit(high))
+    return out
 
 
 def compacted(spark, d):
+    """Boxes read from the table laid out along the Morton curve: their rows, and whether fewer files are met than in sorted files."""
+    folder, columns, n_files = work_folder(spark), ["sensor_id", "reading_timestamp"], 16
+    rows = adapters.readings(spark, d)
+    layouts = {"morton": layout.compact_morton(rows, columns, n_files), "sorted": tables.compact(rows, columns, n_files)}
+    met = []
+    for name, laid in layouts.items():
+        laid.write.parquet(f"{folder}/{name}")
+        bounds = layout.file_bounds(spark, f"{folder}/{name}", columns)
+        met.append(layout.files_met(bounds, BOXES).agg(F.sum("files").alias(name)))
+    better = met[0].crossJoin(met[1]).select((F.col("morton") * 5 < F.col("sorted") * 4).alias("a_fifth_fewer_files"))
+    kept = spark.read.parquet(f"{folder}/morton")
+    counts = kept.agg(*[F.count_if(_inside(box)).alias(name) for name, box in BOXES.items()])
+    listed = F.array(*[F.struct(F.lit(name).alias("box"), F.col(name).alias("rows")) for name in BOXES])
+    return counts.select(F.inline(listed)).crossJoin(better)
+
+
+def compacted_rows(spark, d):
     return rounded(tables.compact(adapters.readings(spark, d), ["sensor_id", "reading_timestamp"], 8))
 
 
@@ -146,6 +200,7 @@ QUERIES = {
     "upsert_merge": merged,
     "incremental_mart": increment,
     "compact_layout": compacted,
+    "compact_layout_rows": compacted_rows,
     "table_profile": lambda s, d: rounded(tables.profile(adapters.readings(s, d))),
     "describe_stats": lambda s, d: rounded(
         tables.describe(adapters.readings(s, d), ["traffic_volume", "speed_mph", "occupancy_pct", "latitude", "longitude"])
@@ -163,6 +218,12 @@ _DESCRIBE = " UNION ALL ".join(
     for c in ["traffic_volume", "speed_mph", "occupancy_pct", "latitude", "longitude"]
 )
 
+CDC_SQL = """WITH last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey
+            ORDER BY o_orderdate DESC, o_orderkey DESC) AS n FROM orders) WHERE n = 1)
+        SELECT c_custkey AS sensor_key, c_mktsegment AS road_name, '-' AS city FROM customer
+        WHERE c_custkey NOT IN (SELECT o_custkey FROM last)
+        UNION ALL SELECT o_custkey, o_orderpriority, o_orderstatus FROM last WHERE o_orderstatus <> 'P'"""
+
 ORACLES = {
     "src_stream_json": sql(f"""SELECT {columns_sql(READING[:1])}, reading_timestamp AS timestamp,
         {columns_sql(READING[2:-1])} FROM readings"""),
@@ -178,11 +239,7 @@ ORACLES = {
         UNION ALL SELECT l_shipdate, 'dock_' || CAST(l_suppkey AS VARCHAR), CAST(l_quantity AS BIGINT), NULL, 'shipments'
         FROM lineitem"""),
     "src_nested_flatten": sql(f"""SELECT {columns_sql([c for c in READING if c != 'direction'])} FROM readings"""),
-    "src_cdc_apply": """WITH last AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey
-            ORDER BY o_orderdate DESC, o_orderkey DESC) AS n FROM orders) WHERE n = 1)
-        SELECT c_custkey AS sensor_key, c_mktsegment AS road_name, '-' AS city FROM customer
-        WHERE c_custkey NOT IN (SELECT o_custkey FROM last)
-        UNION ALL SELECT o_custkey, o_orderpriority, o_orderstatus FROM last WHERE o_orderstatus <> 'P'""",
+    "src_cdc_apply": CDC_SQL,
     "src_batch_load": sql(f"""SELECT {columns_sql(READING)}, CAST(year(reading_timestamp) AS INTEGER) AS year,
         CAST(month(reading_timestamp) AS INTEGER) AS month, CAST(day(reading_timestamp) AS INTEGER) AS day FROM readings"""),
     "upsert_merge": sql(f""", src AS (SELECT * FROM readings WHERE reading_timestamp >= TIMESTAMP '{OVERLAP}')
@@ -194,10 +251,11 @@ ORACLES = {
         FROM (SELECT *, row_number() OVER (PARTITION BY sensor_id, reading_timestamp ORDER BY event_id DESC) AS n FROM src)
         WHERE n = 1"""),
     "incremental_mart": sql(f"""SELECT surrogate_key, sensor_id, reading_timestamp, traffic_volume,
-        {columns_sql(['rolling_avg_24hr'])} FROM hourly
-        WHERE reading_timestamp > (SELECT max(reading_timestamp) FROM staged
-            WHERE reading_timestamp < TIMESTAMP '{SPLIT}') - INTERVAL 24 HOUR"""),
-    "compact_layout": sql(f"SELECT {columns_sql(READING)} FROM readings"),
+        {columns_sql(['weather_severity', 'rolling_avg_24hr', 'volume_pct_change'])} FROM hourly"""),
+    "compact_layout": sql(" UNION ALL ".join(
+        f"SELECT '{name}' AS box, count(*) AS rows, TRUE AS a_fifth_fewer_files FROM readings WHERE "
+        + " AND ".join(f"{c} BETWEEN '{low}' AND '{high}'" for c, (low, high) in box.items()) for name, box in BOXES.items())),
+    "compact_layout_rows": sql(f"SELECT {columns_sql(READING)} FROM readings"),
     "table_profile": sql(f"""SELECT count(*) AS total_records, count(DISTINCT sensor_id) AS unique_sensors,
         min(reading_timestamp) AS earliest_timestamp, max(reading_timestamp) AS latest_timestamp,
         count(DISTINCT CAST(reading_timestamp AS DATE)) AS unique_dates, CAST(sum(traffic_volume) AS BIGINT) AS total_volume,

@@ -31,7 +31,7 @@ def data():
 @pytest.fixture
 def split_groups(spark):
     """Settings under which every key counts as oversized and blocks are tiny."""
-    tiny = {"roadpulse.maxGroupRows": "3", "roadpulse.blockRows": "25", "roadpulse.quantileBins": "8"}
+    tiny = {"roadpulse.maxGroupRows": "3", "roadpulse.blockRows": "25", "roadpulse.quantileRows": "6", "roadpulse.quantileSketch": "8"}
     for key, value in tiny.items():
         spark.conf.set(key, value)
     yield

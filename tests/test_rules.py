@@ -301,7 +301,8 @@ def test_lineage_with_cycle(spark, rows):
     links = frame(spark, [("a", "b"), ("b", "c"), ("c", "a"), ("c", "d"), ("x", "y"), ("a", "d")], "src string, dst string")
     assert rows(lineage.impact(links, "a")) == [("b", 1), ("c", 2), ("d", 1)]
     sources, sinks = frame(spark, [("a",)], "id string"), frame(spark, [("d",), ("y",)], "id string")
-    assert rows(lineage.shortest_paths(links, sources, sinks), "origin", "node", "path") == [("a", "d", ["a", "d"])]
+    nodes = frame(spark, [(n, "view") for n in "abcdxy"], "id string, materialization string")
+    assert rows(lineage.paths(links, nodes, sources, sinks)) == [("a", "d", "a > d", 2, False)]
 
 
 def test_sequences_stay_inside_a_sensor(spark):
@@ -453,7 +454,11 @@ def test_uneven_graph_with_cycle_and_diamond(spark, rows):
     links = frame(spark, edges, "src string, dst string")
     assert rows(lineage.impact(links, "s")) == [("a", 1), ("b", 1), ("c", 2), ("d", 3), ("z", 1)]
     ids = frame(spark, [("s",)], "id string"), frame(spark, [("z",), ("d",)], "id string")
-    assert rows(lineage.shortest_paths(links, *ids), "node", "path") == [("d", ["s", "a", "c", "d"]), ("z", ["s", "z"])]
+    nodes = frame(spark, [("b", "table"), ("z", "table")] + [(n, "view") for n in "sacd"], "id string, materialization string")
+    # The path to d goes by a, the smaller of two, so the table b isn't on it; z is a table itself.
+    assert [tuple(r) for r in lineage.paths(links, nodes, *ids).orderBy("dst").collect()] == [("s", "d", "s > a > c > d", 4, False), ("s", "z", "s > z", 2, True)]
+    assert rows(lineage.paths(links, nodes, *ids, k=1), "dst") == [("z",)]
+    assert lineage.paths(links.limit(0), nodes, *ids).count() == 0
     chain = frame(spark, [(f"n{k:03d}", f"n{k + 1:03d}") for k in range(12)], "src string, dst string")
     assert max(r["hops"] for r in lineage.impact(chain, "n000").collect()) == 12
 

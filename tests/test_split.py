@@ -85,6 +85,42 @@ def test_narrowed_quantiles_are_exact(spark, split_groups, values):
     assert found == pytest.approx(list(np.quantile(values, probabilities)), rel=1e-12)
 
 
+@pytest.mark.parametrize(("rows", "sketch"), [(200_000, 4096), (50, 16), (1, 8)])
+def test_quantiles_of_skewed_columns(spark, rows, sketch):
+    """Many repeats, a heavy tail and infinities; two columns at once; brackets that must be sketched again."""
+    import numpy as np
+
+    draw = np.random.default_rng(5)
+    heavy = np.concatenate([np.full(3000, 7.0), draw.lognormal(0, 3, 2000), [-np.inf] * 20, [np.inf] * 30])
+    even = draw.normal(1e9, 1e-3, len(heavy))
+    df = spark.createDataFrame(list(zip(heavy.tolist(), even.tolist(), strict=True)), "x double, y double")
+    spark.conf.set("roadpulse.quantileRows", str(rows))
+    spark.conf.set("roadpulse.quantileSketch", str(sketch))
+    try:
+        probabilities = [0.0, 0.1, 0.25, 0.5, 0.733, 0.75, 0.99, 1.0]
+        found = exact_quantiles(df, {"x": probabilities, "y": probabilities})
+    finally:
+        spark.conf.unset("roadpulse.quantileRows")
+        spark.conf.unset("roadpulse.quantileSketch")
+    with np.errstate(invalid="ignore"):
+        assert found["x"][1:-1] == pytest.approx(list(np.quantile(heavy, probabilities))[1:-1], rel=1e-12)
+    assert found["x"][0] == -np.inf and found["x"][-1] == np.inf
+    assert found["y"] == pytest.approx(list(np.quantile(even, probabilities)), rel=1e-15)
+
+
+def test_quantiles_take_two_passes(spark, monkeypatch):
+    from roadpulse.functions import quantiles
+
+    passes = []
+    for name in ("_counted", "_collected"):
+        run = getattr(quantiles, name)
+        monkeypatch.setattr(quantiles, name, lambda *args, run=run, name=name: passes.append(name) or run(*args))
+    df = spark.range(50_000).selectExpr("CASE WHEN id % 3 = 0 THEN 5.0D ELSE id * id * 1.0D END AS x", "sqrt(id) AS y")
+    found = quantiles.exact_quantiles(df, {"x": [0.25, 0.75], "y": [0.5]})
+    assert passes == ["_counted", "_collected"]
+    assert found["y"] == [pytest.approx((24_999**0.5 + 25_000**0.5) / 2)]
+
+
 def test_quantiles_without_values(spark):
     df = spark.createDataFrame([(None,)], "x double")
     assert exact_quantiles(df, {"x": [0.5]})["x"] == [None]

@@ -31,7 +31,7 @@ def fill_missing(
         df, [key], order, {f"__last_{c}": F.col(c) for c in columns}, {f"__next_{c}": F.col(c) for c in columns}, load
     )
     filled = around.withColumns({c: F.coalesce(F.col(f"__last_{c}"), F.col(f"__next_{c}")) for c in columns})
-    filled = filled.select(*df.columns)
+    filled = filled.select(*df.columns).withColumns({c: F.col(c).cast("double") for c in columns})
     per_key = df.groupBy(key).agg(*[F.count(c).alias(c) for c in columns])
     bare = per_key.agg(*[F.count_if(F.col(c) == 0).alias(c) for c in columns]).first()
     open_ = [c for c in columns if bare[c]]
@@ -39,7 +39,7 @@ def fill_missing(
         return filled
     filled = cut_lineage(filled)
     medians = exact_quantiles(filled, {c: [0.5] for c in open_})
-    return filled.withColumns({c: F.coalesce(F.col(c), F.lit(medians[c][0]).cast("double")) for c in open_})
+    return filled.withColumns({c: F.coalesce(F.col(c), F.lit(medians[c][0])) for c in open_})
 
 
 def iqr_bounds(df: DataFrame, column: str, k: float = 1.5) -> tuple[float, float] | None:

@@ -278,7 +278,7 @@ ORACLES = {
     "row_filter": """WITH dims AS (SELECT c_custkey, r_name AS region FROM customer JOIN nation ON c_nationkey = n_nationkey
         JOIN region ON n_regionkey = r_regionkey)
         SELECT *, 'TRAFFIC_ADMIN' AS role FROM dims UNION ALL SELECT *, 'TRAFFIC_ANALYST' FROM dims WHERE region = 'AMERICA'""",
-    "join_nearest_weather": sql(f"""SELECT {_ID}, {columns_sql(HOURLY_COLUMNS[16:24])} FROM ranked WHERE weather_rank = 1"""),
+    "join_nearest_weather": sql(f"""SELECT {_ID}, {columns_sql(HOURLY_COLUMNS[16:24])} FROM hourly"""),
     "join_holidays": sql(f"""SELECT {', '.join('t.' + c for c in ID)}, h.holiday_name, coalesce(h.is_holiday, FALSE) AS is_holiday
         FROM readings t LEFT JOIN holidays h ON CAST(t.reading_timestamp AS DATE) = h.holiday_date"""),
     "join_current_sensor": sql(f"""SELECT {', '.join('t.' + c for c in ID)}, v.city, v.road_name AS sensor_road_name

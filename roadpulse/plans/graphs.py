@@ -163,7 +163,7 @@ def tangled_impact(spark, d):
 
 def tangled_paths(spark, d):
     every = nodes(spark, d)
-    return lineage.paths(tangled_links(spark, d), every, every.filter("type = 'source'"), every.filter("schema = 'ANALYTICS'"))
+    return lineage.paths(tangled_links(spark, d), every, every.filter(F.col("id") == START), every.filter("schema = 'ANALYTICS'"))
 
 
 QUERIES = {
@@ -257,7 +257,7 @@ nodes AS (
     UNION ALL SELECT 'customer.' || c_custkey, 'model', 'STAGING', CASE WHEN c_acctbal > 5000 THEN 'table' ELSE 'view' END FROM customer
     UNION ALL SELECT 'order.' || o_orderkey, 'model', 'ANALYTICS', CASE WHEN o_orderstatus = 'F' THEN 'table' ELSE 'view' END FROM orders)"""
 # More hops than any shortest path of the given tables has.
-MOST_HOPS = 10
+MOST_HOPS = 25
 _TANGLED = _LINKS + """, tangled AS (SELECT * FROM links
     UNION SELECT 'order.' || o_orderkey, 'region.' || (o_orderkey % 5) FROM orders WHERE o_orderkey % 97 = 0
     UNION SELECT 'region.' || (c_custkey % 5), 'customer.' || c_custkey FROM customer WHERE c_custkey % 7 = 0
@@ -323,20 +323,20 @@ ORACLES = {
     "lineage_impact_cycles": _TANGLED + f""", down AS (SELECT dst AS node, 1 AS hops FROM tangled WHERE src = '{START}'
             UNION SELECT l.dst, d.hops + 1 FROM down d JOIN tangled l ON l.src = d.node WHERE d.hops < {MOST_HOPS})
         SELECT node, CAST(min(hops) AS INTEGER) AS hops FROM down WHERE node <> '{START}' GROUP BY node""",
-    "lineage_paths_cycles": _TANGLED + f""", reach AS (SELECT id AS origin, id AS node, 0 AS hops FROM nodes WHERE type = 'source'
+    "lineage_paths_cycles": _TANGLED + f""", reach AS (SELECT id AS origin, id AS node, 0 AS hops FROM nodes WHERE id = '{START}'
             UNION SELECT r.origin, l.dst, r.hops + 1 FROM reach r JOIN tangled l ON l.src = r.node WHERE r.hops < {MOST_HOPS}),
-        least AS (SELECT origin, node, min(hops) AS hops FROM reach GROUP BY ALL),
-        told AS (SELECT a.origin, a.node, a.hops, min(l.src) AS parent FROM least a
+        least AS MATERIALIZED (SELECT origin, node, min(hops) AS hops FROM reach GROUP BY ALL),
+        told AS MATERIALIZED (SELECT a.origin, a.node, a.hops, min(l.src) AS parent FROM least a
             JOIN tangled l ON l.dst = a.node JOIN least b ON b.origin = a.origin AND b.node = l.src AND b.hops = a.hops - 1 GROUP BY ALL),
-        walk AS (SELECT origin, node, hops, node AS stop, hops AS here, node AS path FROM told
-                WHERE node IN (SELECT id FROM nodes WHERE schema = 'ANALYTICS')
-            UNION ALL SELECT w.origin, w.node, w.hops, t.parent, w.here - 1, t.parent || ' > ' || w.path
-            FROM walk w JOIN told t ON t.origin = w.origin AND t.node = w.stop),
-        found AS (SELECT w.origin, w.node, w.hops, max(path) FILTER (here = 0) AS path,
-            bool_or(coalesce(n.materialization = 'table', FALSE)) AS critical
-            FROM walk w LEFT JOIN nodes n ON n.id = w.stop GROUP BY ALL)
-        SELECT origin AS src, node AS dst, path, CAST(hops + 1 AS INTEGER) AS length, critical FROM found
-        ORDER BY critical DESC, length DESC, src, dst LIMIT 10""",
+        flags AS (SELECT id AS origin, id AS node, 0 AS hops, materialization = 'table' AS critical FROM nodes WHERE id = '{START}'
+            UNION ALL SELECT t.origin, t.node, t.hops, f.critical OR coalesce(n.materialization = 'table', FALSE)
+            FROM flags f JOIN told t ON t.origin = f.origin AND t.parent = f.node AND t.hops = f.hops + 1 LEFT JOIN nodes n ON n.id = t.node),
+        top AS (SELECT f.* FROM flags f JOIN nodes n ON n.id = f.node AND n.schema = 'ANALYTICS' WHERE hops > 0
+            ORDER BY critical DESC, hops DESC, origin, node LIMIT 10),
+        walk AS (SELECT *, node AS stop, node AS path, hops AS here FROM top
+            UNION ALL SELECT w.origin, w.node, w.hops, w.critical, t.parent, t.parent || ' > ' || w.path, w.here - 1
+            FROM walk w JOIN told t ON t.origin = w.origin AND t.node = w.stop)
+        SELECT origin AS src, node AS dst, path, CAST(hops + 1 AS INTEGER) AS length, critical FROM walk WHERE here = 0""",
     "lineage_summary": _LINKS + """ SELECT count(*) AS total_nodes, count(*) FILTER (type = 'source') AS sources,
         count(*) FILTER (type = 'model') AS models, count(*) FILTER (type = 'model' AND materialization = 'table') AS materialized_tables,
         (SELECT count(*) FROM links) AS total_edges FROM nodes""",

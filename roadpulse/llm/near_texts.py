@@ -3,8 +3,9 @@
 A text's wide fingerprint has sixteen families of 32 bits, each a SimHash of its set of
 shingles under hash bits of its own. At a similarity of 0.8 two texts differ in about a
 seventh of all bits, so one family rarely has them within two bits, but one of sixteen mostly
-does. Every family goes through the hierarchical Gray-order index; a pair that it finds is
-taken for a candidate only if all 512 bits are near enough, which unrelated texts never are.
+does. Every family goes through the hierarchical Gray-order index, with 128 bits beside each
+code that leave out nearly all unrelated pairs; a pair that it finds is taken for a candidate
+only if all 512 bits are near enough, which unrelated texts never are.
 
 Texts with equal fingerprints are one class. Classes with the same bits in a family are
 compared with the first of them, the first of each with those of neighbouring bits, and
@@ -35,6 +36,8 @@ WIDE_BYTES = WIDE_BITS // 8
 # Shares of differing bits: a pair is sure to be near up to the first, and no candidate beyond the second.
 # Sets with a similarity of 0.8 differ in 0.152 of the bits, give or take 0.016; with one of 0.9 in 0.104.
 SURE, DOUBT = 0.104, 0.19
+# Inside the index 128 bits go along with a code; they differ in 0.152, give or take 0.032.
+PROBE_DOUBT, _PROBE = 0.25, 2
 _CHUNK = 1 << 14
 
 
@@ -76,16 +79,19 @@ def wide_fingerprint(text: bytes, words: int = SHINGLE_WORDS) -> bytes:
 def _fingerprinter(words: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            wides, codes = [], []
+            wides, codes, probes = [], [], []
             for text in batch.column(2).to_pylist():
                 wide = wide_fingerprint(text, words)
                 wides.append(wide)
                 families = np.frombuffer(wide, "<u4").astype(np.int64)
                 codes.append(families + (np.arange(FAMILIES) << FAMILY_BITS))
+                probes.append(np.frombuffer(wide, "<i8")[:_PROBE])
             flat = pa.array(np.concatenate(codes) if codes else np.empty(0, np.int64))
             cuts = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * FAMILIES)
+            probe = np.array(probes, np.int64).reshape(-1, _PROBE)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(wides, pa.binary()), pa.ListArray.from_arrays(cuts, flat)], ["id", "text_hash", "wide", "codes"]
+                [batch.column(0), batch.column(1), pa.array(wides, pa.binary()), pa.ListArray.from_arrays(cuts, flat), *[pa.array(probe[:, k].copy()) for k in range(_PROBE)]],
+                names=["id", "text_hash", "wide", "codes", "p0", "p1"],
             )
 
     return run
@@ -101,25 +107,23 @@ def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _inside(most: int, furthest: int) -> Callable:
-    """Members (fp, cls, wide) of a node: pairs of classes within `most` bits of a family and `furthest` of all, as a spanning forest."""
+    """Members (fp, p0, p1) of a node: pairs within `most` bits of a family and `furthest` of the probe, as a spanning forest of codes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ends, sides = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
             for members in batch.column(0):
-                rows = members.values
-                codes = rows.field("fp").to_numpy(zero_copy_only=False).view(np.uint64)
+                codes, *probe = (members.values.field(c).to_numpy(zero_copy_only=False).view(np.uint64) for c in ("fp", "p0", "p1"))
                 order = np.argsort(gray_rank(codes), kind="stable")
-                codes, wides = codes[order], _matrix(rows.field("wide"))[order]
-                classes = rows.field("cls").to_numpy(zero_copy_only=False)[order]
+                codes, probes = codes[order], np.stack(probe, axis=1)[order]
                 root = np.arange(len(codes))
                 for left, right in near_pairs(codes, most):
-                    near = _apart(wides[left], wides[right]) <= furthest
+                    near = _apart(probes[left], probes[right]) <= furthest
                     left, right = left[near], right[near]
                     kept = spanning(left, right, root)
-                    ends.append(classes[left[kept]])
-                    sides.append(classes[right[kept]])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ends)), pa.array(np.concatenate(sides))], ["u", "v"])
+                    ends.append(codes[left[kept]].view(np.int64))
+                    sides.append(codes[right[kept]].view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ends)), pa.array(np.concatenate(sides))], ["a", "b"])
 
     return run
 
@@ -165,30 +169,41 @@ def near_groups(
     Only id and text are read, so other columns may have any names.
     """
     slim = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_or_empty(text_col)).alias("text_hash"), text_or_empty(text_col).cast("binary").alias("text"))
-    marked = cut_lineage(slim.mapInArrow(_fingerprinter(words), "id long, text_hash long, wide binary, codes array<long>").withColumn("cls", F.xxhash64("wide")))
-    classes = cut_lineage(marked.groupBy("cls").agg(F.min("id").alias("first"), F.min("wide").alias("wide"), F.min("codes").alias("codes"), F.min(F.struct("id", "text_hash")).alias("shown")))
+    schema = "id long, text_hash long, wide binary, codes array<long>, p0 long, p1 long"
+    marked = cut_lineage(slim.mapInArrow(_fingerprinter(words), schema).withColumn("cls", F.xxhash64("wide")))
+    whole = F.min(F.struct("wide", "codes", "p0", "p1")).alias("w")
+    classes = cut_lineage(marked.groupBy("cls").agg(F.min("id").alias("first"), F.min(F.struct("id", "text_hash")).alias("shown"), whole).select("cls", "first", "shown", "w.*"))
 
     # The first class of each family's code stands for the code in the index; the others are compared with it.
-    coded = classes.select("cls", "wide", F.explode("codes").alias("fp"))
-    leaders = cut_lineage(coded.groupBy("fp").agg(F.min(F.struct("cls", "wide")).alias("leader"), F.count(F.lit(1)).alias("n")))
-    same = coded.select("cls", "fp").join(leaders.filter("n > 1").select("fp", F.col("leader.cls").alias("u")), "fp").filter("cls <> u")
+    coded = classes.select("cls", "p0", "p1", F.explode("codes").alias("fp"))
+    leaders = cut_lineage(coded.groupBy("fp").agg(F.min(F.struct("cls", "p0", "p1")).alias("leader"), F.count(F.lit(1)).alias("n")).select("fp", "n", "leader.*"))
+    same = coded.select("cls", "fp").join(leaders.filter("n > 1").select("fp", F.col("cls").alias("u")), "fp").filter("cls <> u")
     furthest = int(DOUBT * WIDE_BITS)
     shared = ((1 << BITS - FAMILY_BITS) - 1) << FAMILY_BITS
-    near = search(leaders.select("fp", "leader.cls", "leader.wide"), _inside(most, furthest), "u long, v long", most, leaf_rows, shared)
-    pairs = same.select("u", F.col("cls").alias("v")).unionByName(near).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+    near = cut_lineage(search(leaders.select("fp", "p0", "p1"), _inside(most, int(PROBE_DOUBT * 64 * _PROBE)), "a long, b long", most, leaf_rows, shared).distinct())
+    lead = leaders.select("fp", "cls")
+    near = near.join(lead.select(F.col("fp").alias("a"), F.col("cls").alias("u")), "a").join(lead.select(F.col("fp").alias("b"), F.col("cls").alias("v")), "b")
+    pairs = same.select("u", F.col("cls").alias("v")).unionByName(near.select("u", "v")).filter("u <> v")
+    pairs = cut_lineage(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
     wide = classes.select("cls", "wide")
     both = pairs.join(wide.select(F.col("cls").alias("u"), F.col("wide").alias("a")), "u").join(wide.select(F.col("cls").alias("v"), F.col("wide").alias("b")), "v")
     told = cut_lineage(both.select("u", "v", "a", "b").mapInArrow(_distance, "u long, v long, apart long").filter(F.col("apart") <= furthest))
 
+    # Only pairs that sure links don't join anyway are compared by their texts.
+    sure = told.filter(F.col("apart") <= int(SURE * WIDE_BITS)).select("u", "v")
+    joined = components(sure).select(F.col("node").alias("n"), "root")
     doubtful = told.filter(F.col("apart") > int(SURE * WIDE_BITS)).select("u", "v")
+    for end in ("u", "v"):
+        doubtful = doubtful.join(joined.select(F.col("n").alias(end), F.col("root").alias(f"{end}_root")), end, "left").withColumn(f"{end}_root", F.coalesce(f"{end}_root", end))
+    doubtful = cut_lineage(doubtful.filter("u_root <> v_root").select("u", "v"))
     asked = doubtful.select(F.col("u").alias("cls")).unionByName(doubtful.select(F.col("v").alias("cls"))).distinct()
-    shown = classes.join(asked, "cls").select("cls", "shown.*")
-    texts = slim.join(shown.withColumnRenamed("id", "__id"), (F.col("id").eqNullSafe(F.col("__id"))) & (slim["text_hash"] == shown["text_hash"])).select("cls", "text")
-    texts = cut_lineage(texts.groupBy("cls").agg(F.min("text").alias("text")))
+    # Written, so that its size is known before the texts are moved.
+    shown = cut_lineage(classes.join(asked, "cls").select("cls", F.col("shown.id").alias("__id"), F.col("shown.text_hash").alias("__hash")))
+    texts = slim.join(shown, F.col("id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash"))).select("cls", "text")
     compared = doubtful.join(texts.select(F.col("cls").alias("u"), "text"), "u").join(texts.select(F.col("cls").alias("v"), F.col("text").alias("other")), "v")
     alike = compared.select("u", "v", "text", "other").mapInArrow(_alike(words, similarity), "u long, v long")
 
-    roots = components(told.filter(F.col("apart") <= int(SURE * WIDE_BITS)).select("u", "v").unionByName(alike))
+    roots = components(sure.unionByName(alike))
     placed = classes.select("cls", "first").join(roots, F.col("cls") == F.col("node"), "left").select("cls", "first", F.coalesce("root", "cls").alias("root"))
     smallest = placed.groupBy("root").agg(F.min("first").alias("component_id"))
     return marked.select("id", "text_hash", "cls").join(placed.join(smallest, "root").select("cls", "component_id"), "cls").select("id", "text_hash", "component_id")

@@ -27,7 +27,7 @@ TRAIN_DOCS = 4000
 SEGMENT_LINES = 64
 STEPS, RATE, PENALTY = 200, 0.1, 1e-3
 FOLDS, HELD_OUT = 3, 1
-_CHUNK_BYTES = 2 << 20
+_CHUNK_BYTES = 1 << 20
 _LIMIT = 30.0
 
 # Byte classes whose shares of a line are features; bytes of no class are other punctuation.

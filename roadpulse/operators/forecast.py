@@ -21,6 +21,8 @@ LINEAR = ("ridge", "lasso", "linear")
 SEED = 42
 ALPHA = 1.0
 TREES, TREE_DEPTH = 100, 10
+# Histograms of nodes that a pass fills at once; more than a cache holds slow down every row, the trees are the same.
+FOREST_MB = 32
 BOOST_ROUNDS, BOOST_DEPTH, BOOST_RATE = 100, 6, 0.1
 ERROR_METRICS = ("mae", "mse", "rmse", "mape")
 RMSE_LIMIT = 50.0
@@ -34,11 +36,16 @@ def split(df: DataFrame, test_size: float = 0.2, mode: str = "random", key: list
         seconds = F.unix_timestamp(F.col(ts_col).cast("timestamp"))
         cut = exact_quantiles(df.withColumn("__t", seconds), {"__t": [1 - test_size]})["__t"][0]
         return df.filter(seconds <= cut), df.filter(seconds > cut)
+    inside = in_training(test_size, key or ["sensor_id", ts_col])
+    return df.filter(inside), df.filter(~inside)
+
+
+def in_training(test_size: float = 0.2, key: tuple[str, ...] | list[str] = ("sensor_id", "reading_timestamp")) -> Column:
+    """Whether a row is one of the training rows of the random split."""
     # A hash that other engines have too.
-    mark = F.concat_ws("|", F.lit(str(SEED)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key or ["sensor_id", ts_col]])
+    mark = F.concat_ws("|", F.lit(str(SEED)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key])
     place = F.conv(F.substring(F.md5(mark), 1, 8), 16, 10).cast("long") % 10_000
-    edge = round((1 - test_size) * 10_000)
-    return df.filter(place < edge), df.filter(place >= edge)
+    return place < round((1 - test_size) * 10_000)
 
 
 def estimator(kind: str, rows: int, label: str, features: str = "features", spread: float = 1.0, **params):
@@ -53,7 +60,7 @@ def estimator(kind: str, rows: int, label: str, features: str = "features", spre
         l1_share = 1.0 if kind == "lasso" else 0.0
         return LinearRegression(regParam=penalty, elasticNetParam=l1_share, standardization=False, **{**common, **params})
     if kind == "forest":
-        forest = {"numTrees": TREES, "maxDepth": TREE_DEPTH, "featureSubsetStrategy": "all", "seed": SEED}
+        forest = {"numTrees": TREES, "maxDepth": TREE_DEPTH, "featureSubsetStrategy": "all", "seed": SEED, "maxMemoryInMB": FOREST_MB}
         return RandomForestRegressor(**{**common, **forest, **params})
     if kind == "gbt":
         boost = {"maxIter": BOOST_ROUNDS, "maxDepth": BOOST_DEPTH, "stepSize": BOOST_RATE, "seed": SEED}
@@ -64,15 +71,17 @@ def estimator(kind: str, rows: int, label: str, features: str = "features", spre
 def fit(df: DataFrame, kind: str, features: list[str], label: str = "traffic_volume", **params) -> PipelineModel:
     """Fitted pipeline; the feature list is kept inside it by the assembler.
 
-    Rows with a null feature or label don't train. Constant features are dropped before a
-    linear fit: they carry nothing and make the normal equations singular.
+    Rows with a null feature or label don't train. Constant features are dropped before the
+    fit: no tree can split by them, yet every row is counted under each of them, and they make
+    the normal equations singular. Trees train on as many parts as there are cores, because
+    each part sends a histogram of every node, whatever the number of its rows.
     """
     df = df.dropna(subset=[*features, label])
     size = df.agg(F.count(F.lit(1)).alias("rows"), F.stddev_samp(label).alias("spread")).first() if kind == "ridge" else None
     rows, spread = (size["rows"], size["spread"] or 1.0) if size else (0, 1.0)
     assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error")
     if kind not in LINEAR:
-        return Pipeline(stages=[assembler, estimator(kind, rows, label, **params)]).fit(df)
+        df = df.coalesce(df.sparkSession.sparkContext.defaultParallelism)
     varying = VarianceThresholdSelector(featuresCol="features", outputCol="varying", varianceThreshold=0.0)
     return Pipeline(stages=[assembler, varying, estimator(kind, rows, label, "varying", spread, **params)]).fit(df)
 
@@ -80,11 +89,11 @@ def fit(df: DataFrame, kind: str, features: list[str], label: str = "traffic_vol
 def predict(model: PipelineModel, df: DataFrame, name: str, keys: list[str], label: str = "traffic_volume") -> DataFrame:
     """Long predictions: keys, model_name, actual, predicted; null where a feature is null."""
     needed = model_features(model)
-    complete = model.transform(df.dropna(subset=needed))
     whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in needed])
-    rest = df.filter(~whole).withColumn("prediction", F.lit(None).cast("double"))
-    return complete.unionByName(rest, allowMissingColumns=True).select(
-        *keys, F.lit(name).alias("model_name"), F.col(label).cast("double").alias("actual"), F.col("prediction").alias("predicted")
+    # Every row goes through the model, so the rows are read once; what it says of a row with a gap is dropped.
+    told = model.transform(df, {model.stages[0].handleInvalid: "keep"})
+    return told.select(
+        *keys, F.lit(name).alias("model_name"), F.col(label).cast("double").alias("actual"), F.when(whole, F.col("prediction")).alias("predicted")
     )
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import functions as F
 
 from roadpulse.operators import features, forecast, linear, reports
@@ -53,32 +51,27 @@ def _test_metrics(spark, d):
     return metrics(spark, d).filter("split = 'test'")
 
 
-def trained(kind):
-    """Fit on the training rows and measure both splits."""
+def measured_splits(spark, d, kind):
+    """Prepared rows with their split, each prepared and dealt once, and the metrics of a model fitted on the training rows."""
+    split = F.when(forecast.in_training(), "train").otherwise("test").alias("split")
+    rows = cut_lineage(prepared(spark, d).select("*", split))
+    columns = features.feature_columns(rows, [TARGET, *ID])
+    model = forecast.fit(rows.filter("split = 'train'"), kind, columns, TARGET)
+    return rows, forecast.evaluate(forecast.predict(model, rows, kind, [*ID, "split"], TARGET))
 
-    def query(spark, d):
-        rows = cut_lineage(prepared(spark, d))
-        columns = features.feature_columns(rows, [TARGET, *ID])
-        train, test = forecast.split(rows)
-        model = forecast.fit(train, kind, columns, TARGET)
-        pred = [
-            forecast.predict(model, part, kind, ID, TARGET).withColumn("split", F.lit(name))
-            for name, part in (("train", train), ("test", test))
-        ]
-        return forecast.evaluate(pred[0].unionByName(pred[1]))
 
-    return query
+def trained(kind):
+    """Fit on the training rows and measure both splits."""
+    return lambda spark, d: measured_splits(spark, d, kind)[1]
 
 
 def beaten(kind):
     """Rows of both splits, and whether the model beats their mean."""
 
     def query(spark, d):
-        found = trained(kind)(spark, d).select("split", (F.col("r2") > 0).alias("beats_mean"))
-        rows = cut_lineage(features.prepare(adapters.readings(spark, d).select(*ID, TARGET, SPEED), TARGET, SPEED).select(*ID))
-        parts = zip(("train", "test"), forecast.split(rows), strict=True)
-        sizes = reduce(lambda a, b: a.unionByName(b), [part.groupBy(F.lit(name).alias("split")).agg(F.count(F.lit(1)).alias("rows")) for name, part in parts])
-        return sizes.join(found, "split")
+        rows, measured = measured_splits(spark, d, kind)
+        found = measured.select("split", (F.col("r2") > 0).alias("beats_mean"))
+        return rows.groupBy("split").agg(F.count(F.lit(1)).alias("rows")).join(found, "split")
 
     return query
 

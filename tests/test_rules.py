@@ -11,6 +11,7 @@ from roadpulse.operators import (
     access, cleaning, enrich, features, forecast, late, lineage, marts, observability, quality, reports, schema, staging, tables,
     windows,
 )
+from roadpulse.plans import models
 from roadpulse.sources import changes, readers
 
 T0 = datetime(2024, 1, 10, 12, 0, 0)
@@ -472,3 +473,22 @@ def test_feeds_without_event_id_chain(spark):
     made = enrich.int_enriched(staging.stg_readings(raw), staging.stg_weather(wx), staging.stg_holidays(holidays), staging.scd2(history))
     row = made.first()
     assert made.count() == 1 and row["weather_main"] == "Clear" and row["city"] == "C"
+
+
+def test_models_prepare_and_read_the_rows_once(spark, data, monkeypatch):
+    calls, whole = [], models.prepared
+
+    def counted(*args):
+        calls.append(args)
+        return whole(*args)
+
+    monkeypatch.setattr(models, "prepared", counted)
+    # Ten trees are enough here.
+    monkeypatch.setattr(forecast, "TREES", 10)
+    found = models.beaten("forest")(spark, data)
+    assert len(calls) == 1 and {r["split"] for r in found.collect()} == {"train", "test"}
+    df = frame(spark, [(i, float(i % 7), float(i % 3), 5.0, float(i % 7) * 2) for i in range(60)], "id long, x double, z double, constant double, y double")
+    model = forecast.fit(df, "forest", ["x", "z", "constant"], "y", numTrees=3, maxDepth=3)
+    assert model.stages[-1].numFeatures == 2  # no tree counts rows under a constant
+    plan = forecast.predict(model, df, "forest", ["id"], "y")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" not in plan

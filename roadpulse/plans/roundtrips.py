@@ -15,7 +15,7 @@ from roadpulse.plans.sources import READING, stream_messages, weather_documents
 from roadpulse.plans.streams import CLOSED_SQL
 from roadpulse.session import work_folder
 from roadpulse.sources import adapters, readers, streams
-from roadpulse.streaming import progress, sinks, windows
+from roadpulse.streaming import progress, sinks, state, windows
 
 FEATURE, TARGET = "occupancy_pct", "traffic_volume"
 SENSORS = 10
@@ -64,13 +64,21 @@ def saved_model(spark, d):
 
 
 def three_sinks(spark, d):
-    """Metrics and alerts of one stream in a table, a log and a message sink: rows in each."""
+    """Metrics and alerts of one stream in a table, a log and a message sink: rows in each.
+
+    The windows are kept and closed once, in RocksDB; the three sinks read the closed ones as a stream.
+    """
     folder = work_folder(spark)
     stream = windows.metrics(streams.with_watermark(adapters.reading_stream(spark, d)), 60, "timestamp", "event_id")
-    cfg = sinks.SinkConfig(f"{folder}/table", f"{folder}/checkpoint", "memory", "memory", None, None, None, None)
-    for query in sinks.start_sinks(stream, windows.anomalies(stream), cfg):
+    with state.rocksdb_state(spark):
+        measured = sinks.staged(stream, f"{folder}/metrics", f"{folder}/checkpoint/metrics", None)
+    cfg = sinks.SinkConfig(
+        f"{folder}/table", f"{folder}/checkpoint", "parquet", "parquet", {"path": f"{folder}/alerts"}, None, None, None, {"path": f"{folder}/log"}
+    )
+    for query in sinks.start_sinks(measured, windows.anomalies(measured), cfg):
         query.awaitTermination()
-    found = {"table": spark.read.parquet(f"{folder}/table"), "log": spark.table("metrics_log"), "alerts": spark.table("alert_messages")}
+    kept = {"table": "sensor_id string", "log": "sensor_id string", "alerts": "key string"}
+    found = {name: spark.read.schema(columns).parquet(f"{folder}/{name}") for name, columns in kept.items()}
     parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("sink"), "rows") for name, df in found.items()]
     return readers.union_all(*parts)
 

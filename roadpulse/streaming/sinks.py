@@ -46,14 +46,34 @@ class SinkConfig:
     table_trigger: str | None = "5 minutes"
     log_trigger: str | None = "30 seconds"
     alert_trigger: str | None = "1 minute"
+    log_options: dict[str, str] | None = None
+
+
+def staged(stream: DataFrame, path: str, checkpoint: str, trigger: str | None = "1 minute") -> DataFrame:
+    """A stream over what `stream` gives out, written to a table by one query of its own.
+
+    Sinks that read it share that query's state; given `stream` itself, each would keep all of it
+    again. `trigger=None` works off what is there first.
+    """
+    query = _triggered(stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint), trigger).start(path)
+    if trigger is None:
+        query.awaitTermination()
+    return stream.sparkSession.readStream.schema(stream.schema).parquet(path)
 
 
 def start_sinks(metrics: DataFrame, anomalies: DataFrame, cfg: SinkConfig) -> list[StreamingQuery]:
-    """Three independent queries (table, log, alerts), each with its own checkpoint."""
+    """Three independent queries (table, log, alerts), each with its own checkpoint.
+
+    Streams with state are best given as `staged` ones.
+    """
     table = write_bronze(metrics, cfg.table_path, f"{cfg.checkpoint}/table", cfg.table_trigger, "window_start")
     log = metrics.writeStream.format(cfg.log_format).outputMode("append").queryName("metrics_log")
     if cfg.log_format == "console":
         log = log.option("truncate", "false")
+    if cfg.log_options:
+        log = log.options(**cfg.log_options)
+    if cfg.log_format not in ("console", "memory"):
+        log = log.option("checkpointLocation", f"{cfg.checkpoint}/log")
     alerts = (
         to_alert_messages(anomalies)
         .writeStream.format(cfg.alert_format)

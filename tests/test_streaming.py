@@ -116,6 +116,25 @@ def test_three_sinks(spark, tmp_path):
     assert alert["key"] == "a" and json.loads(alert["value"])["anomaly_type"] == "volume_spike"
 
 
+def test_sinks_over_a_staged_stream_keep_no_state(spark, tmp_path):
+    source = tmp_path / "in"
+    land(spark, source, [reading("a", m, v, m) for m, v in [(0, 100), (5, 900), (10, 910), (60, 1)]])
+    stream = windows.metrics(streams.with_watermark(stream_of(spark, source)), 5, "timestamp", "event_id")
+    with state.rocksdb_state(spark):
+        measured = sinks.staged(stream, str(tmp_path / "metrics"), str(tmp_path / "check" / "metrics"), None)
+    config = sinks.SinkConfig(
+        str(tmp_path / "table"), str(tmp_path / "check"), "parquet", "parquet", {"path": str(tmp_path / "alerts")}, None, None, None,
+        {"path": str(tmp_path / "log")},
+    )
+    queries = sinks.start_sinks(measured, windows.anomalies(measured), config)
+    for query in queries:
+        query.awaitTermination()
+        assert query.lastProgress["stateOperators"] == []
+    assert spark.read.parquet(str(tmp_path / "table")).count() == spark.read.parquet(str(tmp_path / "log")).count() == 2
+    alert = spark.read.parquet(str(tmp_path / "alerts")).first()
+    assert alert["key"] == "a" and json.loads(alert["value"])["anomaly_type"] == "volume_spike"
+
+
 def test_stream_static_join(spark, tmp_path):
     source, out, check = (tmp_path / n for n in ("in", "out", "check"))
     land(spark, source, [reading("a", 1), reading("b", 1)])

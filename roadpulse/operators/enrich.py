@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from roadpulse.functions.columns import epoch_minute, surrogate_key, tie, traffic_level
@@ -152,11 +154,8 @@ def enrich_stream(stream: DataFrame, dimension: DataFrame, key: str) -> DataFram
     return stream.join(dimension, key, "left")
 
 
-def int_enriched(readings: DataFrame, wx: DataFrame, holidays: DataFrame, versions: DataFrame) -> DataFrame:
-    """Staged readings with rolling measures, nearest weather, holidays and current sensor.
-
-    The windows run over one row per (sensor, time), before the joins widen the rows.
-    """
+def with_measures(readings: DataFrame, more: Callable[[WindowSpec], dict[str, Column]] | None = None) -> DataFrame:
+    """One row per (sensor, time) with the rolling measures; `more` adds columns over the same windows, up to 23 rows back."""
     load = group_load(readings, ["sensor_id"])
     if load.hot:
         single = one_per_instant(readings)
@@ -164,7 +163,7 @@ def int_enriched(readings: DataFrame, wx: DataFrame, holidays: DataFrame, versio
         # Same order as the rolling windows, so duplicates go without a shuffle of their own.
         window = Window.partitionBy("sensor_id").orderBy(F.col(TIME), tie(readings))
         single = readings.withColumn("__last", F.lag(TIME).over(window)).filter(f"__last is null or __last <> {TIME}").drop("__last")
-    measured = with_windows(
+    return with_windows(
         single,
         ["sensor_id"],
         [F.col(TIME)],
@@ -172,12 +171,24 @@ def int_enriched(readings: DataFrame, wx: DataFrame, holidays: DataFrame, versio
             "rolling_avg_3hr": rolling_rows("traffic_volume", 3, w),
             "rolling_avg_24hr": rolling_rows("traffic_volume", 24, w),
             "volume_pct_change": pct_change("traffic_volume", w),
+            **(more(w) if more else {}),
         },
         before=23,
         load=load,
     )
-    placed = with_sensor(with_holidays(nearest_join(measured, wx), holidays), versions)
-    return with_key_and_level(placed)
+
+
+def with_surroundings(measured: DataFrame, wx: DataFrame, holidays: DataFrame, versions: DataFrame) -> DataFrame:
+    """Weather, holidays, sensor attributes, key and level of each row."""
+    return with_key_and_level(with_sensor(with_holidays(nearest_join(measured, wx), holidays), versions))
+
+
+def int_enriched(readings: DataFrame, wx: DataFrame, holidays: DataFrame, versions: DataFrame) -> DataFrame:
+    """Staged readings with rolling measures, nearest weather, holidays and current sensor.
+
+    The windows run over one row per (sensor, time), before the joins widen the rows.
+    """
+    return with_surroundings(with_measures(readings), wx, holidays, versions)
 
 
 def with_key_and_level(df: DataFrame) -> DataFrame:

@@ -13,8 +13,7 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.functions.ordered import with_windows
-from roadpulse.operators.enrich import TIME, TOLERANCE_MIN, int_enriched
+from roadpulse.operators.enrich import TIME, TOLERANCE_MIN, with_measures, with_surroundings
 from roadpulse.session import cut_lineage
 
 DAY, KEY = "traffic_date", "sensor_id"
@@ -30,7 +29,8 @@ def _write(df: DataFrame, path: str, by: list[str]) -> None:
 
 
 def write_hourly(hourly: DataFrame, path: str) -> None:
-    _write(hourly.withColumn(DAY, F.to_date(TIME)), path, [DAY, KEY, TIME])
+    # Ranges are sampled first: rows that are not written yet would be made twice.
+    _write(cut_lineage(hourly.withColumn(DAY, F.to_date(TIME))), path, [DAY, KEY, TIME])
 
 
 def read_hourly(spark: SparkSession, path: str) -> DataFrame:
@@ -78,12 +78,13 @@ def update_hourly(
     last = F.greatest(F.lit(span[1]), known.agg(F.max(TIME)).scalar())
     margin = F.expr(f"interval {TOLERANCE_MIN + 1} minutes")
     near = F.col("weather_timestamp").between(F.lit(first).cast("timestamp_ntz") - margin, last + margin)
-    enriched = int_enriched(rows, wx.filter(near), holidays, versions)
 
     def reached(window):
         return {_HIT: F.max(_NEW).over(window.rowsBetween(-REACH, 0))}
 
-    hit = with_windows(enriched, [KEY], [F.col(TIME)], reached, before=REACH).filter(F.col(_HIT) == 1)
+    # Only the rows that a new reading reaches go through the joins.
+    touched = with_measures(rows, reached).filter(F.col(_HIT) == 1)
+    hit = with_surroundings(touched, wx.filter(near), holidays, versions)
     columns = [c for c in built.columns if c != DAY]
     hit = cut_lineage(hit.select(*columns).withColumn(DAY, F.to_date(TIME)))
     days = [r[0] for r in hit.select(DAY).distinct().collect()]  # at most the days of the period
@@ -97,4 +98,4 @@ def write_daily(spark: SparkSession, hourly_path: str, path: str, build: Callabl
     table = read_hourly(spark, hourly_path)
     if days is not None:
         table = table.filter(F.col(DAY).isin(days))
-    _write(build(table), path, [DAY, KEY])
+    _write(cut_lineage(build(table)), path, [DAY, KEY])

@@ -39,6 +39,22 @@ def test_increments_equal_a_full_build(spark, data, tmp_path):
     assert built.exceptAll(whole).isEmpty() and whole.exceptAll(built).isEmpty()
 
 
+def test_an_update_joins_only_the_rows_it_reaches(spark, data, tmp_path, monkeypatch):
+    path, rows, seen = str(tmp_path / "hourly"), staged(spark, data), F.col("reading_timestamp")
+    edge = F.lit("2024-01-29 00:00:00").cast("timestamp_ntz")
+    increments.write_hourly(enrich.int_enriched(rows.filter(seen < edge), *side(spark, data)), path)
+    joined, join = [], enrich.nearest_join
+
+    def counted(df, *args, **kwargs):
+        joined.append(df.count())
+        return join(df, *args, **kwargs)
+
+    monkeypatch.setattr(enrich, "nearest_join", counted)
+    fresh = rows.filter(seen >= edge)
+    increments.update_hourly(spark, path, fresh, *side(spark, data))
+    assert joined == [fresh.count()]  # no reading of the table comes after the new ones
+
+
 def test_daily_marts_follow_the_replaced_days(spark, data, tmp_path):
     path, mart, rows = str(tmp_path / "hourly"), str(tmp_path / "mart"), staged(spark, data)
     edge = F.lit("2024-01-25 12:00:00").cast("timestamp_ntz")

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from datetime import datetime, timedelta
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -17,6 +19,8 @@ STATE = "last_reading timestamp"
 PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 # Minutes with readings that a task holds before it gives them out.
 HELD_MINUTES = 500_000
+EPOCH = datetime(1970, 1, 1)
+NEVER = np.iinfo("int64").min  # as a time: none
 
 
 @contextmanager
@@ -75,34 +79,50 @@ class GapWatch(StatefulProcessor):
         self.last = handle.getValueState("last", STATE)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        limit = pd.Timedelta(minutes=self.gap_minutes)
-        last = pd.Timestamp(self.last.get()[0]) if self.last.exists() else None
-        edges = pd.concat(list(rows)).sort_values(["first", "last"])
-        found = []
-        for first, until in zip(edges["first"], edges["last"], strict=True):
-            if last is not None and first - last > limit:
-                found.append((key[0], first, last, (first - last).total_seconds(), "resumed"))
-            last = until if last is None else max(last, until)
-        for timer in self.handle.listTimers():
-            self.handle.deleteTimer(timer)
-        self.last.update((last.to_pydatetime(),))
-        due = int(last.tz_localize("UTC").timestamp() * 1000) + self.gap_minutes * 60_000
+        edges = [(_micros(part["first"]), _micros(part["last"])) for part in rows]
+        first, until = (np.concatenate(side) for side in zip(*edges, strict=True))
+        order = np.lexsort((until, first))
+        first, until = first[order], until[order]
+        held = self.last.get()
+        # Nothing is before the first reading of a sensor without state.
+        start = first[:1] if held is None else _micros(pd.Series([held[0]]))
+        reached = np.maximum.accumulate(np.concatenate([start, until]))
+        before, last = reached[:-1], int(reached[-1])
+        if held is not None:
+            # A sensor without state has no timer.
+            for timer in self.handle.listTimers():
+                self.handle.deleteTimer(timer)
+        self.last.update((EPOCH + timedelta(microseconds=last),))
+        due = last // 1000 + self.gap_minutes * 60_000
         self.handle.registerTimer(max(due, timerValues.getCurrentWatermarkInMs() + 1))
-        if found:
-            yield _rows(found)
+        late = np.flatnonzero(first - before > self.gap_minutes * 60_000_000)
+        if len(late):
+            yield _rows(key[0], first[late], before[late], (first[late] - before[late]) / 1e6, "resumed")
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        last = pd.Timestamp(self.last.get()[0])
+        last = _micros(pd.Series([self.last.get()[0]]))
         self.last.clear()
-        yield _rows([(key[0], last, pd.NaT, self.gap_minutes * 60.0, "silent")])
+        yield _rows(key[0], last, np.array([NEVER]), np.array([self.gap_minutes * 60.0]), "silent")
 
     def close(self) -> None:
         pass
 
 
-def _rows(found: list[tuple]) -> pd.DataFrame:
-    out = pd.DataFrame(found, columns=["sensor_id", "last_reading", "previous_reading", "gap_seconds", "status"])
-    return out.astype({"last_reading": "datetime64[us]", "previous_reading": "datetime64[us]"})
+def _micros(times: pd.Series) -> np.ndarray:
+    return times.to_numpy("datetime64[us]").view("int64")
+
+
+def _rows(sensor: str, last: np.ndarray, previous: np.ndarray, gap: np.ndarray, status: str) -> pd.DataFrame:
+    """Times in microseconds as rows of `OUTPUT`."""
+    return pd.DataFrame(
+        {
+            "sensor_id": [sensor] * len(last),
+            "last_reading": last.view("datetime64[us]"),
+            "previous_reading": previous.view("datetime64[us]"),
+            "gap_seconds": gap,
+            "status": [status] * len(last),
+        }
+    )
 
 
 def sensor_state(stream: DataFrame, gap_minutes: int = 120, key: str = "sensor_id", ts_col: str = "timestamp") -> DataFrame:

@@ -3,6 +3,7 @@
 import json
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -349,3 +350,32 @@ def test_stream_equals_batch_on_closed_windows(spark, data, tmp_path):
     edge = batch.agg(F.max("timestamp")).first()[0] - timedelta(minutes=10)
     closed = {tuple(r) for r in twin.filter(F.col("window_end") <= F.lit(edge)).collect()}
     assert {tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).select(*twin.columns).collect()} == closed
+
+
+def test_a_new_sensor_asks_for_its_state_once():
+    times = pd.to_datetime(["2024-01-01 00:00", "2024-01-01 05:00", "2024-01-01 01:00"])
+    asked = []
+
+    class Held:
+        def get(self):
+            asked.append("get")
+
+        def update(self, value):
+            asked.append(value)
+
+    class Handle:
+        def getValueState(self, name, schema):
+            return Held()
+
+        def registerTimer(self, due):
+            asked.append(due)
+
+    class Timers:
+        def getCurrentWatermarkInMs(self):
+            return 0
+
+    watch = state.GapWatch(120)
+    watch.init(Handle())
+    (found,) = watch.handleInputRows(("a",), iter([pd.DataFrame({"first": times, "last": times})]), Timers())
+    assert found.iloc[0].tolist() == ["a", times[1], times[2], 4 * 3600.0, "resumed"] and len(found) == 1
+    assert asked == ["get", (datetime(2024, 1, 1, 5),), 1704092400000]

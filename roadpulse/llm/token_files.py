@@ -17,15 +17,17 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Callable, Iterator
+from array import array
+from collections.abc import Callable, Iterable, Iterator
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import cut_lineage, load, text_or_empty, work_folder
+from roadpulse.llm.common import cut_lineage, load, records, text_or_empty, work_folder
 from roadpulse.llm.vocabulary import ID_BYTES, encoder, tokenizer_path
 
 MAGIC = b"PFR1"
@@ -38,6 +40,8 @@ END_ID = 0
 _HEAD, _BLOCK = struct.Struct("<4sIIQI"), struct.Struct("<IIBI")
 _NULL_ID = -(1 << 63)
 _BATCH_ROWS = 32
+# Blocks unpacked and documents told at a time.
+_READ_BLOCKS, _READ_ROWS = 16, 4096
 
 
 # --------------------------------------------------------------------- format
@@ -82,46 +86,60 @@ def unpack_block(data: bytes, at: int = 0) -> np.ndarray:
     return values + np.uint32(low)
 
 
-def write_file(doc_ids: list[int | None], counts: list[int], ids: np.ndarray, percentile: float = PERCENTILE, block_ids: int = BLOCK_IDS) -> bytes:
+def write_file(doc_ids: Iterable[int | None], counts: Iterable[int], ids: np.ndarray, percentile: float = PERCENTILE, block_ids: int = BLOCK_IDS) -> bytes:
     blocks = [pack_block(ids[low : low + block_ids], percentile) for low in range(0, len(ids), block_ids)]
     starts = np.cumsum([0] + [len(b) for b in blocks[:-1]]).astype("<u8") if blocks else np.empty(0, "<u8")
-    names = np.array([_NULL_ID if x is None else x for x in doc_ids], "<i8")
-    head = _HEAD.pack(MAGIC, len(doc_ids), len(blocks), len(ids), block_ids)
-    return b"".join([head, names.tobytes(), np.array(counts, "<u4").tobytes(), starts.tobytes(), *blocks])
+    names = np.fromiter((_NULL_ID if x is None else x for x in doc_ids), "<i8")
+    head = _HEAD.pack(MAGIC, len(names), len(blocks), len(ids), block_ids)
+    return b"".join([head, names.tobytes(), np.fromiter(counts, "<u4").tobytes(), starts.tobytes(), *blocks])
 
 
 class TokenFile:
-    """Reader of one file's bytes: `doc_ids`, `counts`, and the ids of any range of places."""
+    """Reader of one file, open or as bytes: the ids of any range of places, and the documents.
 
-    def __init__(self, data: bytes):
-        magic, docs, blocks, self.total, self.block_ids = _HEAD.unpack_from(data)
+    Of the file it holds what stands before the blocks, and of the blocks those it is asked for.
+    """
+
+    def __init__(self, source: bytes | pa.NativeFile):
+        self.source = pa.BufferReader(source) if isinstance(source, bytes) else source
+        magic, docs, blocks, self.total, self.block_ids = _HEAD.unpack(self._bytes(0, _HEAD.size))
         if magic != MAGIC:
             raise ValueError("not a token file")
-        self.data, at = data, _HEAD.size
-        self.doc_ids = [None if x == _NULL_ID else x for x in np.frombuffer(data, "<i8", docs, at).tolist()]
+        at = _HEAD.size
+        self.names = np.frombuffer(self._bytes(at, 8 * docs), "<i8")
         at += 8 * docs
-        self.counts = np.frombuffer(data, "<u4", docs, at).astype(np.int64)
+        self.counts = np.frombuffer(self._bytes(at, ID_BYTES * docs), "<u4")
         at += ID_BYTES * docs
-        self.starts = np.frombuffer(data, "<u8", blocks, at).tolist()
-        self.first = at + 8 * blocks
+        starts = np.frombuffer(self._bytes(at, 8 * blocks), "<u8").tolist()
+        first = at + 8 * blocks
+        self.borders = [*(first + start for start in starts), self.source.size()]
+
+    def _bytes(self, at: int, size: int) -> bytes:
+        data = self.source.read_at(size, at)
+        if len(data) < size:
+            raise ValueError("a token file ends too early")
+        return data
 
     def ids(self, start: int, stop: int) -> np.ndarray:
         if start >= stop:
             return np.empty(0, np.uint32)
-        low = start // self.block_ids
-        parts = [unpack_block(self.data, self.first + self.starts[b]) for b in range(low, (stop - 1) // self.block_ids + 1)]
+        low, high = start // self.block_ids, (stop - 1) // self.block_ids + 1
+        base = self.borders[low]
+        data = self._bytes(base, self.borders[high] - base)
+        parts = [unpack_block(data, border - base) for border in self.borders[low:high]]
         return np.concatenate(parts)[start - low * self.block_ids : stop - low * self.block_ids]
 
     def documents(self) -> Iterator[tuple[int | None, int, np.ndarray]]:
         """Id, start and ids of each document; blocks are unpacked once, a few at a time."""
         at, held_from, held = 0, 0, np.empty(0, np.uint32)
-        for doc, count in zip(self.doc_ids, self.counts.tolist(), strict=True):
-            if at + count > held_from + len(held):
-                low = at // self.block_ids * self.block_ids
-                stop = min(self.total, max(at + count, low + 16 * self.block_ids))
-                held_from, held = low, self.ids(low, stop)
-            yield doc, at, held[at - held_from : at - held_from + count]
-            at += count
+        for low in range(0, len(self.names), _READ_ROWS):
+            part = slice(low, low + _READ_ROWS)
+            for name, count in zip(self.names[part].tolist(), self.counts[part].tolist(), strict=True):
+                if at + count > held_from + len(held):
+                    held_from = at // self.block_ids * self.block_ids
+                    held = self.ids(held_from, min(self.total, max(at + count, held_from + _READ_BLOCKS * self.block_ids)))
+                yield None if name == _NULL_ID else name, at, held[at - held_from : at - held_from + count]
+                at += count
 
 
 # -------------------------------------------------------------------- writing
@@ -135,17 +153,18 @@ def _writer(folder: str, vocabulary: str, end_id: int, file_ids: int, percentile
         context = TaskContext.get()
         part, attempt = context.partitionId(), context.taskAttemptId()
         end, encode = np.array([end_id], "<u4").tobytes(), encoder(vocabulary).encode
-        names, counts, held, total, number = [], [], [], 0, 0
+        names, counts, held, number = array("q"), array("I"), bytearray(), 0
 
         def close():
             name = f"part-{part:08d}-{number:06d}.pfr"
-            body = write_file(names, counts, np.frombuffer(b"".join(held), "<u4"), percentile)
+            ids = np.frombuffer(held, "<u4")
+            body = write_file(names, counts, ids, percentile)
             # A retried task writes the same bytes; readers only ever see whole files.
             store.create_dir(f"{base}/tmp", recursive=True)
             with store.open_output_stream(f"{base}/tmp/{name}.{attempt}") as out:
                 out.write(body)
             store.move(f"{base}/tmp/{name}.{attempt}", f"{base}/files/{name}")
-            row = [[name], [part], [number], [len(names)], [total], [len(body)]]
+            row = [[name], [part], [number], [len(names)], [len(ids)], [len(body)]]
             return pa.RecordBatch.from_arrays([pa.array(x) for x in row], ["name", "part", "number", "documents", "ids", "bytes"])
 
         store.create_dir(f"{base}/files", recursive=True)
@@ -153,19 +172,25 @@ def _writer(folder: str, vocabulary: str, end_id: int, file_ids: int, percentile
             for low in range(0, batch.num_rows, _BATCH_ROWS):
                 rows = batch.slice(low, _BATCH_ROWS)
                 for doc, ids in zip(rows.column(0).to_pylist(), encode(rows.column(1).to_pylist()), strict=True):
-                    names.append(doc)
+                    names.append(_NULL_ID if doc is None else doc)
                     counts.append(len(ids) // ID_BYTES + 1)
-                    held.append(ids + end)
-                    total += counts[-1]
-                    if total >= file_ids:
+                    held += ids + end
+                    if len(held) >= file_ids * ID_BYTES:
                         yield close()
-                        names, counts, held, total, number = [], [], [], 0, number + 1
+                        names, counts, held, number = array("q"), array("I"), bytearray(), number + 1
         if names:
             yield close()
 
     return run
 
 
+def _arrow_uri(session: SparkSession, folder: str) -> str:
+    path = session._jvm.org.apache.hadoop.fs.Path(folder)
+    whole = path.getFileSystem(session._jsc.hadoopConfiguration()).makeQualified(path).toUri()
+    # Arrow wants the empty host of a file URI written out.
+    return f"{whole.getScheme()}://{whole.getAuthority() or ''}{whole.getPath()}"
+
+
 def write_tokens(
     docs: DataFrame,
     folder: str,
@@ -184,11 +209,7 @@ def write_tokens(
     Only id and text are read, so other columns may have any name. An empty table
     writes no file.
     """
-    session = docs.sparkSession
-    path = session._jvm.org.apache.hadoop.fs.Path(folder)
-    whole = path.getFileSystem(session._jsc.hadoopConfiguration()).makeQualified(path).toUri()
-    # Arrow wants the empty host of a file URI written out.
-    target = f"{whole.getScheme()}://{whole.getAuthority() or ''}{whole.getPath()}"
+    target = _arrow_uri(docs.sparkSession, folder)
     slim = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
     order = [F.col("id").asc_nulls_first(), F.xxhash64("text")]
     ranged = slim.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -199,17 +220,20 @@ def write_tokens(
 # -------------------------------------------------------------------- reading
 
 
-def _reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            rows = []
-            name = path.rsplit("/", 1)[-1]
-            for doc, start, ids in TokenFile(content.as_py()).documents():
-                rows.append((name, doc, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
-            if rows:
-                columns = list(zip(*rows, strict=True))
-                types = [pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["name", "id", "local", "n_tokens", "ids_crc32"])
+def _reader(folder: str) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        store, base = fs.FileSystem.from_uri(folder)
+        for batch in batches:
+            for name, before in records(batch):
+                with store.open_input_file(f"{base}/files/{name}") as source:
+                    found = ((doc, before + start, len(ids), zlib.crc32(ids.astype("<u4", copy=False))) for doc, start, ids in TokenFile(source).documents())
+                    for rows in batched(found, _READ_ROWS):
+                        columns = [pa.array(column, pa.int64()) for column in zip(*rows, strict=True)]
+                        yield pa.RecordBatch.from_arrays(columns, ["id", "start", "n_tokens", "ids_crc32"])
+
+    return run
 
 
 def file_starts(files: DataFrame) -> DataFrame:
@@ -223,17 +247,20 @@ def file_starts(files: DataFrame) -> DataFrame:
 
 
 def read_tokens(files: DataFrame, folder: str) -> DataFrame:
-    """Per document, from the files: `id`, `start` over all files, `n_tokens`, `ids_crc32`."""
-    raw = files.sparkSession.read.format("binaryFile").load(f"{folder}/files").select("path", "content")
-    rows = raw.mapInArrow(_reader, "name string, id long, local long, n_tokens long, ids_crc32 long")
-    return rows.join(file_starts(files), "name").select("id", (F.col("before") + F.col("local")).alias("start"), "n_tokens", "ids_crc32")
+    """Per document, from the files: `id`, `start` over all files, `n_tokens`, `ids_crc32`.
+
+    Tasks open the files dealt to them and read a few blocks at a time. An empty table of files
+    gives no rows.
+    """
+    session = files.sparkSession
+    tasks = max(int(session.conf.get("spark.sql.shuffle.partitions")), 1)
+    dealt = file_starts(files).repartition(tasks, "name")
+    return dealt.mapInArrow(_reader(_arrow_uri(session, folder)), "id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op4_token_files(spark, sf_dir: str) -> DataFrame:
     folder = work_folder(spark)
     files = write_tokens(load(spark, sf_dir, "documents"), folder, tokenizer_path("byte_bpe_50k.json"))
-    if files.isEmpty():
-        return files.select(*[F.col("ids").alias(c) for c in ("doc_id", "start", "n_tokens", "ids_crc32")])
     return read_tokens(files, folder).withColumnRenamed("id", "doc_id")
 
 

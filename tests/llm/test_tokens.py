@@ -68,6 +68,38 @@ def test_file_reads_any_range():
     assert [(d, s, len(x)) for d, s, x in file.documents()] == [(3, 0, 500), (None, 500, 1), (8, 501, 498)]
 
 
+def test_reader_holds_a_few_blocks_of_a_large_file(tmp_path):
+    """A file of 512 Ki ids, half of them in documents of one token: not all documents or blocks at once."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    many = 1 << 18
+    counts = np.r_[np.ones(many, int), np.full(512, many // 512)]
+    ids = np.random.default_rng(7).integers(0, 50000, 2 * many).astype(np.uint32)
+    path = tmp_path / "part.pfr"
+    path.write_bytes(token_files.write_file(range(len(counts)), counts, ids))
+    store = tmp_path / "files"
+    store.mkdir()
+    path.rename(store / "a.pfr")
+    rows = pa.RecordBatch.from_pydict({"name": ["a.pfr"], "before": [5]})
+    checks, tokens, most = [], 0, 0
+    tracemalloc.start()
+    try:
+        for batch in token_files._reader(f"file://{tmp_path}")(iter([rows])):
+            most = max(most, batch.num_rows)
+            tokens += sum(batch.column(2).to_pylist())
+            checks.append((batch.column(0)[-1].as_py(), batch.column(1)[-1].as_py(), batch.column(3)[-1].as_py()))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert tokens == len(ids) and most <= token_files._READ_ROWS
+    ends = np.cumsum(counts)
+    for doc, start, check in checks:
+        assert start == 5 + ends[doc] - counts[doc] and check == zlib.crc32(ids[start - 5 : ends[doc]])
+    assert peak < 10 << 20
+
+
 @pytest.fixture(scope="module")
 def docs(spark):
     texts = [*odd_texts(60, 5), None, "", "repeat", "repeat", "many words here " * 6000]
@@ -144,3 +176,9 @@ def test_empty_tables(spark, docs):
     assert token_files.write_tokens(none, work_folder(spark), BYTE).isEmpty()
     assert packing.pack(none, WORD).isEmpty()
     assert token_counts.token_counts(none, BYTE).isEmpty()
+
+
+def test_no_files_give_no_rows(spark, docs):
+    folder = work_folder(spark)
+    files = token_files.write_tokens(docs.limit(0), folder, BYTE)
+    assert token_files.read_tokens(files, folder).isEmpty()

@@ -5,7 +5,9 @@ parallel, each as if it stood alone; a leaf that more text follows leaves its la
 open (no end-of-word mark). Nodes of the tree are then joined, sixteen at a time in one
 task and level by level in Spark: a few tokens on both sides of a join are taken back
 into text and encoded anew, and the window grows until its first token is the left side's
-and its last word, or token inside a word, is the right side's.
+and its last word, or token inside a word, is the right side's. Sixteen leaves travel
+together and are joined where they are encoded, and a text climbs no more levels than its
+own length asks for, however long others are.
 
 Why that is exact. Merging takes the pair of lowest rank, leftmost first, so a row of
 tokens encodes a word if and only if any two neighbours encode what they spell: merges
@@ -24,6 +26,7 @@ import re
 import unicodedata
 from array import array
 from functools import lru_cache
+from itertools import islice
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -124,6 +127,11 @@ class TreeEncoder:
             out.append(Node(text, ids if closed else self._opened(text, ids), closed))
         return out
 
+    def twigs(self, runs: list[tuple[list[str], bool]]) -> list[Node]:
+        """Nodes of runs of raw slices, each with whether its text ends there; all leaves are encoded at once."""
+        leaves = iter(self.leaves([(part, closed and k == len(parts)) for parts, closed in runs for k, part in enumerate(parts, 1)]))
+        return [self.join_all(list(islice(leaves, len(parts)))) for parts, _ in runs]
+
     def _opened(self, text: bytes, ids: array) -> array:
         """Ids of a text that goes on: the last word, if it touches the end, without its end mark."""
         if not ids or text[-1] == _SPACE or ids[-1] in self.special:
@@ -286,6 +294,10 @@ def tree_encoder(path: str) -> TreeEncoder:
 
 
 _BATCH = 512
+# Runs of sixteen leaves encoded at once.
+_RUNS = _BATCH // FAN_IN
+# Code points that no text has.
+_LONGEST = 1 << 31
 
 
 def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", leaf: int = LEAF, digest: bool = False) -> DataFrame:
@@ -295,9 +307,10 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     columns `id`, `n_tokens`, `ids_sha256` and `decoded_sha256`. One row per input row; other
     columns are left out, whatever they are called. Null and empty texts give no ids; null and
     repeated ids are kept, and equal rows give equal rows. Texts of more than `leaf` code
-    points are cut, spread over the tasks and joined again, so that a very long text is
-    encoded in many tasks; its ids are in one row in the end, as its text was. An empty table
-    gives an empty table.
+    points are cut, spread over the tasks by sixteen leaves and joined again, so that a very
+    long text is encoded in many tasks; its ids are in one row in the end, as its text was.
+    Texts of each number of levels go their own way, so that only the longest travel more than
+    once. An empty table gives an empty table.
     """
     spark = df.sparkSession
     base = df.select(column(id_col).alias("id"), text_or_empty(text_col).alias("text"))
@@ -322,20 +335,29 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
         for batch in batches:
             for at, text in enumerate(batch.column(2).to_pylist()):
                 parts = tree.slices(text, leaf)
-                n = len(parts)
-                same = pa.array([at] * n, pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(same), batch.column(1).take(same), pa.array(range(n), pa.int32()), pa.array([k == n - 1 for k in range(n)]), pa.array(parts)],
-                    names=["id", "key", "part", "closed", "slice"],
-                )
-
-    def encode_leaves(batches):
-        tree = tree_encoder(path)
-        for batch in batches:
-            for low in range(0, batch.num_rows, _BATCH):
-                part = batch.slice(low, _BATCH)
-                nodes = tree.leaves(list(zip(part.column(4).to_pylist(), part.column(3).to_pylist(), strict=True)))
-                yield _nodes(tree, part.column(0), part.column(1), part.column(2).to_pylist(), nodes)
+                runs = [parts[low : low + FAN_IN] for low in range(0, len(parts), FAN_IN)]
+                for low in range(0, len(runs), _RUNS):
+                    some = runs[low : low + _RUNS]
+                    numbers = range(low, low + len(some))
+                    same = pa.array([at] * len(some), pa.int32())
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column(0).take(same), batch.column(1).take(same), pa.array(numbers, pa.int32()), pa.array([k == len(runs) - 1 for k in numbers]), pa.array(some, pa.list_(pa.string()))],
+                        names=["id", "key", "part", "closed", "slices"],
+                    )
+
+    def encode_leaves(last: bool):
+        def run(batches):
+            tree = tree_encoder(path)
+            for batch in batches:
+                for low in range(0, batch.num_rows, _RUNS):
+                    part = batch.slice(low, _RUNS)
+                    nodes = tree.twigs(list(zip(part.column(4).to_pylist(), part.column(3).to_pylist(), strict=True)))
+                    if last:
+                        yield emit(part.column(0), [node.ids for node in nodes])
+                    else:
+                        yield _nodes(tree, part.column(0), part.column(1), part.column(2).to_pylist(), nodes)
+
+        return run
 
     def climb(last: bool):
         return lambda table: parent(table, last)
@@ -358,22 +380,29 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
             return pa.Table.from_batches([emit(ends[0], [joined.ids] * copies)])
         return pa.Table.from_batches([_nodes(tree, *ends, [first // FAN_IN] * copies, [joined] * copies)])
 
+    def grown(long: DataFrame, levels: int) -> DataFrame:
+        """Texts whose tree has as many levels of joins, the first of them where the leaves are encoded."""
+        # The rows of a text find each other by its hash; the id keeps equal texts of different rows apart.
+        keyed = long.select("id", F.unhex(F.md5("text")).alias("key"), "text")
+        runs = keyed.mapInArrow(cut, f"id {kind}, key binary, part int, closed boolean, slices array<string>")
+        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+        nodes = runs.repartition(tasks, "id", "key", "part").mapInArrow(encode_leaves(levels == 1), schema if levels == 1 else node)
+        for level in range(2, levels + 1):
+            grouped = nodes.groupBy("id", "key", F.floor(F.col("part") / FAN_IN).alias("parent"))
+            nodes = grouped.applyInArrow(climb(level == levels), schema if level == levels else node)
+        return nodes
+
     sized = base.withColumn("size", F.char_length("text"))
-    short = sized.filter(F.col("size") <= leaf).select("id", "text").mapInArrow(whole, schema)
-    longest = sized.agg(F.max("size")).first()[0] or 0
-    if longest <= leaf:
-        return short
-    # The rows of a text find each other by its hash; the id keeps equal texts of different rows apart.
-    long = sized.filter(F.col("size") > leaf).select("id", F.unhex(F.md5("text")).alias("key"), "text")
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    pieces = long.mapInArrow(cut, f"id {kind}, key binary, part int, closed boolean, slice string")
-    nodes = pieces.repartition(tasks, "id", "key", "part").mapInArrow(encode_leaves, node)
-    most = -(-longest // leaf)
-    while most > 1:
-        most = -(-most // FAN_IN)
-        grouped = nodes.groupBy("id", "key", F.floor(F.col("part") / FAN_IN).alias("parent"))
-        nodes = grouped.applyInArrow(climb(most == 1), schema if most == 1 else node)
-    return short.unionByName(nodes)
+    found = sized.filter(F.col("size") <= leaf).select("id", "text").mapInArrow(whole, schema)
+    bands, low = [], leaf
+    while low < _LONGEST:
+        bands.append((F.col("size") > low) & (F.col("size") <= low * FAN_IN))
+        low *= FAN_IN
+    texts = sized.agg(*[F.count_if(band) for band in bands]).first()
+    for levels, (band, many) in enumerate(zip(bands, texts, strict=True), 1):
+        if many:
+            found = found.unionByName(grown(sized.filter(band), levels))
+    return found
 
 
 def _nodes(tree: TreeEncoder, ids: pa.Array, keys: pa.Array, numbers: list[int], nodes: list[Node]) -> pa.RecordBatch:

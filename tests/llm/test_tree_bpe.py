@@ -71,6 +71,30 @@ def test_rows_of_every_kind(spark, tree):
     assert tree_bpe.encode(df.limit(0), PATH).count() == 0
 
 
+def shuffled(plan):
+    """Bytes that the exchanges of a plan wrote when it ran."""
+    kind = plan.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return shuffled(plan.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return shuffled(plan.plan())
+    own = plan.metrics().apply("shuffleBytesWritten").value() if kind == "ShuffleExchangeExec" else 0
+    return own + sum(shuffled(plan.children().apply(k)) for k in range(plan.children().size()))
+
+
+def test_a_text_travels_as_its_own_length_asks(spark, tree):
+    """One text of several levels sends no other text through them, and texts of one level travel once."""
+    draw = random.Random(2)
+    texts = ["".join(draw.choice("etaoinshrdlucmfwyp 0123456789") for _ in range(n)) for n in [4000] * 60 + [9000, 120_000]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = tree_bpe.encode(df, PATH, leaf=400)
+    want = [(k, array("I", tree.library.encode(text, add_special_tokens=False).ids).tobytes()) for k, text in enumerate(texts)]
+    assert sorted((r["id"], bytes(r["ids"])) for r in got.collect()) == want
+    once = sum(map(len, texts[:60]))
+    sent = shuffled(got._jdf.queryExecution().executedPlan())
+    assert 0 < sent < once + 6 * sum(map(len, texts[60:]))
+
+
 def test_given_table(spark, data, tree):
     want = []
     for doc, text in spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text").collect():

@@ -79,7 +79,8 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]]) -> dict[str,
             parts = _disjoint(parts)
             if parts == [(zone.low, zone.high)] and expected > rows:
                 # The sketch can't narrow it: the halves are counted apart.
-                middle = zone.low / 2 + zone.high / 2
+                # Of neighbouring doubles the middle may be rounded to the upper one.
+                middle = min(zone.low / 2 + zone.high / 2, math.nextafter(zone.high, -_INF))
                 parts = [(zone.low, middle), (math.nextafter(middle, _INF), zone.high)]
             brackets.setdefault(k, []).extend(parts)
         brackets = {k: _disjoint(list_) for k, list_ in brackets.items()}

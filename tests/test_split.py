@@ -108,6 +108,28 @@ def test_quantiles_of_skewed_columns(spark, rows, sketch):
     assert found["y"] == pytest.approx(list(np.quantile(even, probabilities)), rel=1e-15)
 
 
+def test_quantiles_between_neighbouring_doubles(spark, monkeypatch):
+    """No double lies between the two values, and their middle is rounded to the upper one."""
+    from roadpulse.functions import quantiles
+
+    low = math.nextafter(1.0, 2.0)
+    high = math.nextafter(low, 2.0)
+    assert low / 2 + high / 2 == high
+    passes = []
+    run = quantiles._counted
+
+    def counted(*args):
+        passes.append(1)
+        assert len(passes) < 9, "the same zone is halved again and again"
+        return run(*args)
+
+    monkeypatch.setattr(quantiles, "_counted", counted)
+    monkeypatch.setattr(quantiles, "ROWS", 1)
+    monkeypatch.setattr(quantiles, "SKETCH", 8)
+    df = spark.createDataFrame([(v,) for v in [low, low, high, high]], "x double")
+    assert exact_quantiles(df, {"x": [0.0, 1 / 3, 2 / 3, 1.0]})["x"] == [low, low, high, high]
+
+
 def test_quantiles_take_two_passes(spark, monkeypatch):
     from roadpulse.functions import quantiles
 

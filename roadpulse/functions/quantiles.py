@@ -39,7 +39,8 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]]) -> dict[str,
     brackets every wanted rank; a second one counts the rows below each bracket and
     collects the few distinct values inside, so the result is exact, however the values
     are spread. Brackets with more rows than the driver should take are sketched again
-    first; a bracket that a sketch placed wrongly is found by the counts and moved.
+    first; a bracket that a sketch placed wrongly is found by the counts and moved, within
+    the bounds that earlier counts have set for its rank, so every pass narrows them.
     """
     pairs = [F.struct(F.lit(k).alias("c"), F.col(name).cast("double").alias("v")) for k, name in enumerate(wanted)]
     values = df.select(F.inline(F.array(*pairs))).filter("v is not null")
@@ -51,30 +52,34 @@ def exact_quantiles(df: DataFrame, wanted: dict[str, list[float]]) -> dict[str,
     positions = {k: [p * (sum(z.n for z in zones[k]) - 1) for p in probabilities] for k, probabilities in enumerate(wanted.values()) if zones[k]}
     open_ = {k: {f(x) for x in found for f in (math.floor, math.ceil)} for k, found in positions.items()}
     found: dict[int, dict[int, float]] = defaultdict(dict)
+    # What the counts so far say of the value at each open rank.
+    bounds = {k: dict.fromkeys(ranks, (-_MOST, _MOST)) for k, ranks in open_.items()}
     while True:
         brackets, expected, asked = {}, 0.0, []
         for k, ranks in open_.items():
             below = 0
             for zone in zones[k]:
                 held = sorted(r for r in ranks if below <= r < below + zone.n)
+                bounds[k].update({r: (max(bounds[k][r][0], zone.low), min(bounds[k][r][1], zone.high)) for r in held})
                 if held and (zone.low == zone.high or math.isnan(zone.low)):
                     found[k].update(dict.fromkeys(held, zone.low))
                     ranks.difference_update(held)
                 elif held and zone.sketch is not None:
                     for r in held:
                         at = (r - below) / zone.n
-                        asked.append((k, zone, max(at - error, 0.0), min(at + 1 / zone.n + error, 1.0)))
+                        asked.append((k, zone, max(at - error, 0.0), min(at + 1 / zone.n + error, 1.0), bounds[k][r]))
                         expected += zone.n * min(2 * error, 1.0) + 2
                 elif held:  # between the brackets
-                    brackets.setdefault(k, []).append((zone.low, zone.high))
+                    brackets.setdefault(k, []).extend(bounds[k][r] for r in held)
                     expected += zone.n
                 below += zone.n
         open_ = {k: ranks for k, ranks in open_.items() if ranks}
         if not open_:
             break
         narrowed: dict[int, tuple[int, _Zone, list]] = {}
-        for (k, zone, _, _), (low, high) in zip(asked, _asked(df, asked), strict=True):
-            narrowed.setdefault(id(zone), (k, zone, []))[2].append((max(low, zone.low), min(high, zone.high)))
+        for (k, zone, _, _, (least, most)), (low, high) in zip(asked, _asked(df, asked), strict=True):
+            part = max(low, least), min(high, most)
+            narrowed.setdefault(id(zone), (k, zone, []))[2].append(part if part[0] <= part[1] else (least, most))
         for k, zone, parts in narrowed.values():
             parts = _disjoint(parts)
             if parts == [(zone.low, zone.high)] and expected > rows:
@@ -151,12 +156,12 @@ def _collected(values: DataFrame, brackets: dict) -> dict[int, list[_Zone]]:
     return out
 
 
-def _asked(df: DataFrame, asked: list[tuple[int, _Zone, float, float]]) -> list[tuple[float, float]]:
+def _asked(df: DataFrame, asked: list[tuple[int, _Zone, float, float, tuple[float, float]]]) -> list[tuple[float, float]]:
     """The values that the zones' sketches have at a lower and an upper share of their rows."""
     if not asked:
         return []
     told = [
         F.kll_sketch_get_quantile_double(F.lit(bytearray(zone.sketch)), F.array(F.lit(low), F.lit(high))).alias(str(i))
-        for i, (_, zone, low, high) in enumerate(asked)
+        for i, (_, zone, low, high, _) in enumerate(asked)
     ]
     return [tuple(at) for at in df.sparkSession.range(1).select(*told).first()]

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadpulse.session import cut_lineage, work_folder
 
-__all__ = ["column", "cut_lineage", "drop_folder", "load", "records", "text_or_empty", "without", "work_folder"]
+__all__ = ["column", "cut_lineage", "drop_folder", "load", "records", "runs_of_rows", "text_or_empty", "without", "work_folder"]
 
 
 def load(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -36,6 +38,17 @@ def records(batch: pa.RecordBatch) -> Iterator[tuple]:
     return zip(*[column.to_pylist() for column in batch.columns], strict=True)
 
 
+def runs_of_rows(batch: pa.RecordBatch, texts: int, size: int) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows: a column of texts holds less than `size` bytes in each, but for its last row."""
+    stops = np.cumsum(pc.binary_length(batch.column(texts)).to_numpy(zero_copy_only=False), dtype=np.int64)
+    low = 0
+    while low < batch.num_rows:
+        before = stops[low - 1] if low else 0
+        high = int(np.searchsorted(stops, before + size)) + 1
+        yield batch.slice(low, high - low)
+        low = high
+
+
 def drop_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder of intermediate files that this session wrote under its work folder."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -22,14 +22,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import cut_lineage, load, text_or_empty
-from roadpulse.llm.vocabulary import ID_BYTES, encoder, tokenizer_path
+from roadpulse.llm.common import cut_lineage, load, runs_of_rows, text_or_empty
+from roadpulse.llm.vocabulary import BATCH_BYTES, ID_BYTES, encoder, tokenizer_path
 
 SEQUENCE = 4096
 END_ID = 2
 # A gap smaller than this is left as padding rather than filled by one more cut.
 LEAST_GAP = 4
-_BATCH_ROWS = 32
 
 
 # ------------------------------------------------------------------- patterns
@@ -165,8 +164,7 @@ def _tokenise(vocabulary: str, end_id: int, capacity: int) -> Callable:
         end, encode = np.array([end_id], "<u4").tobytes(), encoder(vocabulary).encode
         part, seen, whole = TaskContext.get().partitionId(), np.zeros(capacity, np.int64), 0
         for batch in batches:
-            for low in range(0, batch.num_rows, _BATCH_ROWS):
-                rows = batch.slice(low, _BATCH_ROWS)
+            for rows in runs_of_rows(batch, 1, BATCH_BYTES):
                 ids, counts, remainders, places, before = [], [], [], [], []
                 for found in encode(rows.column(1).to_pylist()):
                     body = found + end

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.llm.common import load, text_or_empty
-from roadpulse.llm.vocabulary import tokenizer_path
+from roadpulse.llm.vocabulary import byte_signs, tokenizer_path
 
 LIMIT = 512
 # Counter states that a worker keeps at once.
@@ -159,7 +159,7 @@ class Counter:
     """Transducer over the bytes of one word; every state may end."""
 
     def __init__(self, spec: dict, max_states: int = MAX_STATES):
-        letters = _byte_letters()
+        letters = byte_signs()
         back = {letter: byte for byte, letter in letters.items()}
         vocabulary = spec["model"]["vocab"]
         self.base = [vocabulary[letters[b]] for b in range(256)]
@@ -303,13 +303,6 @@ class Counter:
         return out
 
 
-def _byte_letters() -> dict[int, str]:
-    """The printable letter that stands for each byte in a byte-level vocabulary: itself if printable, else the next free one from 256."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {**{b: chr(b) for b in plain}, **{b: chr(256 + k) for k, b in enumerate(rest)}}
-
-
 class CompiledTokenizer:
     def __init__(self, path: str, max_states: int = MAX_STATES):
         with open(path, encoding="utf-8") as file:

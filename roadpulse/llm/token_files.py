@@ -27,8 +27,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import cut_lineage, load, records, text_or_empty, work_folder
-from roadpulse.llm.vocabulary import ID_BYTES, encoder, tokenizer_path
+from roadpulse.llm.common import cut_lineage, load, records, runs_of_rows, text_or_empty, work_folder
+from roadpulse.llm.vocabulary import BATCH_BYTES, ID_BYTES, encoder, tokenizer_path
 
 MAGIC = b"PFR1"
 BLOCK_IDS = 4096
@@ -39,7 +39,6 @@ FILE_IDS = 4 << 20
 END_ID = 0
 _HEAD, _BLOCK = struct.Struct("<4sIIQI"), struct.Struct("<IIBI")
 _NULL_ID = -(1 << 63)
-_BATCH_ROWS = 32
 # Blocks unpacked and documents told at a time.
 _READ_BLOCKS, _READ_ROWS = 16, 4096
 
@@ -169,8 +168,7 @@ def _writer(folder: str, vocabulary: str, end_id: int, file_ids: int, percentile
 
         store.create_dir(f"{base}/files", recursive=True)
         for batch in batches:
-            for low in range(0, batch.num_rows, _BATCH_ROWS):
-                rows = batch.slice(low, _BATCH_ROWS)
+            for rows in runs_of_rows(batch, 1, BATCH_BYTES):
                 for doc, ids in zip(rows.column(0).to_pylist(), encode(rows.column(1).to_pylist()), strict=True):
                     names.append(_NULL_ID if doc is None else doc)
                     counts.append(len(ids) // ID_BYTES + 1)

@@ -3,21 +3,48 @@
 Both supported pre-tokenizers cut a text at single spaces and line ends whatever
 stands around, so a piece between two of them is encoded once by the library and its
 ids are reused. A text in which that isn't certain (runs of white space, special
-tokens) goes to the library whole.
+tokens) goes to the library whole. New runs of letters go through the merges as one text,
+and are told apart by the ids that begin or end a word.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
 from array import array
+from collections.abc import Sequence
 from functools import lru_cache
+from itertools import batched, chain, pairwise
+
+import numpy as np
+import pyarrow as pa
 
 # Words remembered before the memory starts anew.
 MEMORY_WORDS = 1_000_000
 ID_BYTES = 4
-_MARKS = ",.;:!?"
+# Text that callers should give at once, so that its words repeat and many are new together.
+BATCH_BYTES = 2 << 20
 _BATCH = 5000
+# Words whose ids are gathered at a time.
+_GATHERED = 1 << 18
+# Letters that normalising and lower case leave as letters.
+_LETTERS = "".join(c for c in map(chr, range(0x250)) if c.isalpha() and c != "\u0130")
+# The pattern's part for marks; those of ASCII are told apart where a vocabulary has it.
+_OTHERS = r"[^\s\p{L}\p{N}]+"
+_MARKS, _ANY_MARKS = "[,.;:!?]?", r"[!-/:-@\[-`{-~]*"
+
+
+def byte_signs() -> dict[int, str]:
+    """The printable letter that stands for each byte in a byte-level vocabulary: itself if printable, else the next free one from 256."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {**{b: chr(b) for b in plain}, **{b: chr(256 + k) for k, b in enumerate(rest)}}
+
+
+_SPACE = byte_signs()[ord(" ")]
+# A space between runs stays one.
+_SIGNS = byte_signs() | {ord(" "): " "}
 
 
 class WordEncoder:
@@ -31,8 +58,14 @@ class WordEncoder:
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         self.split = self._splitter(spec)
-        # The merges alone, for words of one run of letters.
-        self.merges = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": None, "added_tokens": []}))
+        # The merges alone, for runs of letters with a space between two.
+        apart = {"type": "CharDelimiterSplit", "delimiter": " "}
+        self.merges = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": apart, "added_tokens": []}))
+        self.bytewise = self._bytewise(spec)
+        marks = _ANY_MARKS if self.split is _spaced or _OTHERS in spec["pre_tokenizer"]["pretokenizers"][0]["pattern"].get("Regex", "") else _MARKS
+        # A word as it is remembered: what stands before it in place of a space, letters, marks up to the next white space.
+        self.word = re.compile(f"([\r\n]?)([{_LETTERS}]+)({marks})").fullmatch
+        self.borders = self._borders(spec)
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
         self.known: dict[str, bytes | None] = {}
 
@@ -48,63 +81,94 @@ class WordEncoder:
             return _bare
         return None
 
+    @staticmethod
+    def _bytewise(spec: dict) -> bool:
+        """Whether a letter is spelled as its bytes."""
+        pre = spec.get("pre_tokenizer") or {}
+        last = [pre, *pre.get("pretokenizers", [])][-1]
+        return last.get("type") == "ByteLevel" and not last.get("add_prefix_space")
+
+    def _borders(self, spec: dict) -> np.ndarray:
+        """For each id whether it begins a word after a space, or ends a word where white space is dropped."""
+        names, suffix = spec["model"]["vocab"] if self.split else {}, spec["model"].get("end_of_word_suffix")
+        out = np.zeros(max(names.values(), default=-1) + 1, bool)
+        for name, i in names.items():
+            out[i] = name.startswith(_SPACE) if self.split is _spaced else bool(suffix) and name.endswith(suffix)
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [self.split(text) if self.split and not self._has_special(text) else None for text in texts]
-        known, wanted = self.known, set()
-        for words in split:
-            if words:
-                wanted.update(words)
-        wanted = wanted.difference(known)
-        if len(known) + len(wanted) > MEMORY_WORDS and known:
+        # Each distinct word is looked up once, and its ids are gathered by its places.
+        told = pa.array(list(chain.from_iterable(filter(None, split))), pa.string()).dictionary_encode()
+        distinct, codes = told.dictionary.to_numpy(zero_copy_only=False).tolist(), told.indices.to_numpy()
+        known = self.known
+        found = list(map(known.get, distinct))
+        wanted = [word for word, ids in zip(distinct, found, strict=True) if ids is None]
+        if len(known) + len(wanted) > MEMORY_WORDS:
             known.clear()
-            wanted = {word for words in split if words for word in words}
         self._learn(wanted)
-        out: list[bytes | None] = []
-        for words in split:
-            try:
-                out.append(b"".join(map(known.__getitem__, words)) if words is not None else None)
-            except TypeError:  # a word whose ids depend on what stands around it
-                out.append(None)
-        for at, found in enumerate(out):
-            if found is None:
-                out[at] = self._plain([texts[at]])[0]
-        return out
+        found = [known[word] if ids is None else ids for word, ids in zip(distinct, found, strict=True)]
+        stops = np.cumsum([len(words or ()) for words in split], dtype=np.int64)
+        # A word whose ids depend on what stands around it.
+        unsure = np.flatnonzero(np.array([ids is None for ids in found], bool)[codes])
+        whole = {at for at, words in enumerate(split) if words is None} | set(np.searchsorted(stops, unsure, "right").tolist())
+        data, borders = _gathered([ids or b"" for ids in found], codes, stops)
+        return [self._plain([text])[0] if at in whole else data[borders[at] : borders[at + 1]] for at, text in enumerate(texts)]
 
     def _has_special(self, text: str) -> bool:
         """Whether a special token is in the text, or would be in its lower case, in which words are asked for."""
         return any(s in text or (s[:2] in text and s.lower() in text.lower()) for s in self.special)
 
-    def _learn(self, words: set[str]) -> None:
-        known, later, ask, plain = self.known, [], [], set()
+    def _learn(self, words: list[str]) -> None:
+        known, later, ask, runs, marks, told_apart = self.known, [], set(), set(), set(), self.word
         for word in words:
-            if word.isalpha() and word.isascii():
-                plain.add(word)
+            parts = told_apart(word)
+            if parts is None or not (self.bytewise or word.isascii()):
+                bare = word[1:] if word[:1] in ("\n", "\r") else word
+                if not bare or bare[0].isspace():
+                    known[word] = None
+                else:
+                    ask.add(word)
                 continue
-            bare = word[1:] if word[:1] in ("\n", "\r") else word
-            if not bare or bare[0].isspace():
-                known[word] = None
-            elif word[-1] in _MARKS and _plain_letters(word[:-1]):
-                later.append(word)
-            else:
-                ask.append(word)
-        cores = {word[:-1] for word in later}
-        short = {core for core in cores if core.isascii() and core not in known}
-        plain |= short
-        cores -= short
-        ask.extend(core for core in cores if core not in known and core not in words)
-        if later:
-            ask.extend(mark for mark in (f"\r{c}" for c in _MARKS) if mark not in known and mark not in words)
-        for low in range(0, len(ask), _BATCH):
-            part = ask[low : low + _BATCH]
+            head, run, mark = parts.groups()
+            mark = mark and "\r" + mark
+            # After a line end letters stand as they do at the start of a text.
+            core = "\r" + run if head else run
+            if core not in known:
+                runs.add(core)
+            if mark or head == "\n":
+                marks.add(mark)
+                later.append((word, head == "\n", core, mark))
+        ask.update(mark for mark in (*marks, "\r\n") if mark and mark not in known)
+        for part in batched(ask, _BATCH):
             known.update(zip(part, self._plain([self._written(word) for word in part]), strict=True))
-        runs = list(plain)
-        for low in range(0, len(runs), _BATCH):
-            part = runs[low : low + _BATCH]
-            # A space is this letter in a byte-level vocabulary; ASCII letters stand for themselves.
-            told = [word.lower() for word in part] if self.split is _bare else ["\u0120" + word for word in part]
-            known.update(zip(part, self._plain(told, self.merges), strict=True))
-        for word in later:
-            known[word] = known[word[:-1]] + known["\r" + word[-1]]
+        first, runs = [run for run in runs if run[0] == "\r"], [run for run in runs if run[0] != "\r"]
+        for part in batched(first, _BATCH):
+            known.update(zip(part, self._plain(self._spelled([run[1:] for run in part]), self.merges), strict=True))
+        for part in batched(runs, _BATCH):
+            known.update(zip(part, self._apart(self._spelled(part, self.split is _spaced)), strict=True))
+        for word, line_end, core, mark in later:
+            known[word] = (known["\r\n"] if line_end else b"") + known[core] + (known[mark] if mark else b"")
+
+    def _spelled(self, runs: Sequence[str], spaced: bool = False) -> list[str]:
+        """Runs of letters in the signs of the vocabulary, each after a space if asked for."""
+        told = " ".join(runs)
+        if self.split is _bare:
+            told = told.lower()
+        if self.bytewise and not told.isascii():
+            told = told.encode().decode("latin-1").translate(_SIGNS)
+        return [_SPACE + run for run in told.split(" ")] if spaced else told.split(" ")
+
+    def _apart(self, told: list[str]) -> list[bytes]:
+        """Ids of each spelled run, all encoded as one text."""
+        ids = np.array(self.merges.encode_batch_fast([" ".join(told)], add_special_tokens=False)[0].ids, "<u4")
+        at = np.flatnonzero(self.borders[ids])
+        if len(at) != len(told):  # a vocabulary without such an id for some run
+            return self._plain(told, self.merges)
+        cuts = (ID_BYTES * at).tolist()
+        cuts = [*cuts, ID_BYTES * len(ids)] if self.split is _spaced else [0, *(cut + ID_BYTES for cut in cuts)]
+        data = ids.tobytes()
+        return [data[low:high] for low, high in pairwise(cuts)]
 
     def _written(self, word: str) -> str:
         """The text that a remembered word stands for: after "\\r" as it is, after "\\n" with it, else after a space."""
@@ -116,9 +180,18 @@ class WordEncoder:
         return [array("I", e.ids).tobytes() for e in (library or self.library).encode_batch_fast(texts, add_special_tokens=False)]
 
 
-def _plain_letters(word: str) -> bool:
-    """Whether all are letters that normalising and lower case leave as letters."""
-    return word.isalpha() and max(word) < "\u0250" and "\u0130" not in word
+def _gathered(found: list[bytes], codes: np.ndarray, stops: np.ndarray) -> tuple[bytes, list[int]]:
+    """The ids of the words that `codes` names in `found`, and the borders of the texts, which end before the word of their stop."""
+    flat, sizes = np.frombuffer(b"".join(found), "<u4"), np.fromiter(map(len, found), np.int64, len(found)) // ID_BYTES
+    starts = np.cumsum(sizes) - sizes
+    data, ends = [], np.zeros(len(codes) + 1, np.int64)
+    for low in range(0, len(codes), _GATHERED):
+        part = codes[low : low + _GATHERED]
+        size = sizes[part]
+        end = np.cumsum(size)
+        ends[low + 1 : low + 1 + len(part)] = end + ends[low]
+        data.append(flat[np.repeat(starts[part] - (end - size), size) + np.arange(end[-1])].tobytes())
+    return b"".join(data), [0, *(ID_BYTES * ends[stops]).tolist()]
 
 
 def _spaced(text: str) -> list[str] | None:

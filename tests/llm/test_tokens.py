@@ -4,11 +4,13 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from roadpulse.llm import packing, token_counts, token_files
+from roadpulse.llm.common import runs_of_rows
 from roadpulse.llm.vocabulary import WordEncoder, tokenizer_path
 from roadpulse.session import work_folder
 
@@ -34,6 +36,45 @@ def test_encoder_matches_the_library(path):
         assert [np.frombuffer(b, "<u4").tolist() for b in coder.encode(texts)] == library_ids(path, texts)
 
 
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_every_letter_and_mark_matches_the_library(path):
+    letters = [chr(c) for c in range(0x250) if chr(c).isalpha()]
+    marks = [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
+    texts = [f"{a}{b}{a} {a}{m}\n{b}{a}{m}{n}\n{a}" for a, b, m, n in zip(letters * 3, letters[7:] + letters * 3, marks * 99, marks[5:] + marks * 99, strict=False)]
+    assert [np.frombuffer(b, "<u4").tolist() for b in WordEncoder(path).encode(texts)] == library_ids(path, texts)
+
+
+class Counting:
+    """A tokenizer that counts the texts it is asked for."""
+
+    def __init__(self, library):
+        self.library, self.asked = library, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.asked += len(texts)
+        return self.library.encode_batch_fast(texts, **options)
+
+
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_new_words_go_to_the_library_together(path):
+    draw = random.Random(5)
+    words = list({"".join(draw.choices("abcdeéß", k=9)) for _ in range(20000)})
+    texts = [" ".join(words[low : low + 100]) + draw.choice([".", " &&&", "%%%!"]) for low in range(0, len(words), 100)]
+    coder = WordEncoder(path)
+    coder.library, coder.merges = Counting(coder.library), Counting(coder.merges)
+    assert [np.frombuffer(b, "<u4").tolist() for b in coder.encode(texts)] == library_ids(path, texts)
+    # A first word is asked for by itself; 19,000 others were before.
+    assert coder.library.asked + coder.merges.asked < 1000
+
+
+def test_rows_are_dealt_by_their_bytes():
+    texts = ["", "a" * 5, "é" * 4, "", "b" * 40, "c", ""]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(texts)], ["id", "text"])
+    assert [part.column(0).to_pylist() for part in runs_of_rows(batch, 1, 10)] == [[0, 1, 2], [3, 4], [5, 6]]
+    assert [part.column(0).to_pylist() for part in runs_of_rows(batch.slice(2, 4), 1, 8)] == [[2], [3, 4], [5]]
+    assert not list(runs_of_rows(batch.slice(7), 1, 10))
+
+
 def test_compiled_counts_match_the_library():
     texts = [*odd_texts(4000, 2), "a" * 3000, "word, word. Word " * 5000, "\n" * 99, ""]
     for states in (50, token_counts.MAX_STATES):

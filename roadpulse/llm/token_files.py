@@ -46,10 +46,16 @@ _READ_BLOCKS, _READ_ROWS = 16, 4096
 # --------------------------------------------------------------------- format
 
 
+def _held(width: int) -> int:
+    """Bytes of the smallest unsigned integer that has so many bits."""
+    return 1 if width <= 8 else 2 if width <= 16 else 4
+
+
 def _pack(values: np.ndarray, width: int) -> bytes:
     if not width:
         return b""
-    bits = np.unpackbits(values.astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")[:, :width]
+    held = _held(width)
+    bits = np.unpackbits(values.astype(f"<u{held}").view(np.uint8), bitorder="little").reshape(-1, 8 * held)[:, :width]
     return np.packbits(bits, bitorder="little").tobytes()
 
 
@@ -57,9 +63,10 @@ def _unpack(data: bytes, count: int, width: int) -> np.ndarray:
     if not width:
         return np.zeros(count, np.uint32)
     bits = np.unpackbits(np.frombuffer(data, np.uint8), count=count * width, bitorder="little").reshape(count, width)
-    wide = np.zeros((count, 32), np.uint8)
+    held = _held(width)
+    wide = np.zeros((count, 8 * held), np.uint8)
     wide[:, :width] = bits
-    return np.packbits(wide, axis=1, bitorder="little").view("<u4").ravel()
+    return np.packbits(wide.ravel(), bitorder="little").view(f"<u{held}").astype(np.uint32)
 
 
 def pack_block(ids: np.ndarray, percentile: float = PERCENTILE) -> bytes:

@@ -122,6 +122,9 @@ class WordEncoder:
     def _learn(self, words: list[str]) -> None:
         known, later, ask, runs, marks, told_apart = self.known, [], set(), set(), set(), self.word
         for word in words:
+            if word.isalpha() and word.isascii():
+                runs.add(word)
+                continue
             parts = told_apart(word)
             if parts is None or not (self.bytewise or word.isascii()):
                 bare = word[1:] if word[:1] in ("\n", "\r") else word
@@ -190,7 +193,9 @@ def _gathered(found: list[bytes], codes: np.ndarray, stops: np.ndarray) -> tuple
         size = sizes[part]
         end = np.cumsum(size)
         ends[low + 1 : low + 1 + len(part)] = end + ends[low]
-        data.append(flat[np.repeat(starts[part] - (end - size), size) + np.arange(end[-1])].tobytes())
+        places = np.repeat(starts[part] - (end - size), size)
+        places += np.arange(len(places))
+        data.append(flat[places].tobytes())
     return b"".join(data), [0, *(ID_BYTES * ends[stops]).tolist()]
 
 

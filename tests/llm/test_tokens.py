@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from roadpulse.llm import packing, token_counts, token_files
+from roadpulse.llm import packing, token_counts, token_files, vocabulary
 from roadpulse.llm.common import runs_of_rows
 from roadpulse.llm.vocabulary import WordEncoder, tokenizer_path
 from roadpulse.session import work_folder
@@ -67,6 +67,15 @@ def test_new_words_go_to_the_library_together(path):
     assert coder.library.asked + coder.merges.asked < 1000
 
 
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_memory_of_words_starts_anew(path, monkeypatch):
+    monkeypatch.setattr(vocabulary, "MEMORY_WORDS", 40)
+    coder, texts = WordEncoder(path), [*odd_texts(300, 4), "the cat, the\nmat. The cat" * 3]
+    for low in range(0, len(texts), 7):
+        part = texts[low : low + 7]
+        assert [np.frombuffer(b, "<u4").tolist() for b in coder.encode(part)] == library_ids(path, part)
+
+
 def test_rows_are_dealt_by_their_bytes():
     texts = ["", "a" * 5, "é" * 4, "", "b" * 40, "c", ""]
     batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(texts)], ["id", "text"])

@@ -32,8 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from roadpulse.llm.common import column, load, text_or_empty
-from roadpulse.llm.vocabulary import encoder, tokenizer_path
+from roadpulse.llm.common import column, load, runs_of_rows, text_or_empty
+from roadpulse.llm.vocabulary import BATCH_BYTES, FEW_WORDS, encoder, tokenizer_path
 
 # Code points of a leaf; shorter texts are one leaf.
 LEAF = 8192
@@ -67,10 +67,12 @@ class TreeEncoder:
         steps = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
         if not suffix or not steps or steps[0].get("behavior") != "Removed" or not steps[0].get("invert"):
             raise ValueError(f"{path}: tree concatenation needs an end-of-word mark and words without white space")
-        self.words = encoder(path)
+        self.words = encoder(path, FEW_WORDS)
         self.library = self.words.library
+        # The model is the library's, not a copy.
+        self.scan = Tokenizer(self.library.model)
+        self.scan.pre_tokenizer = self.library.pre_tokenizer
         plain = spec | {"normalizer": None, "added_tokens": []}
-        self.scan = Tokenizer.from_str(json.dumps(plain))
         bare = plain | {"pre_tokenizer": steps[-1], "model": spec["model"] | {"end_of_word_suffix": None}}
         self.bare = Tokenizer.from_str(json.dumps(bare))
         size = max(spec["model"]["vocab"].values(), default=-1) + 1
@@ -293,9 +295,8 @@ def tree_encoder(path: str) -> TreeEncoder:
     return TreeEncoder(path)
 
 
-_BATCH = 512
 # Runs of sixteen leaves encoded at once.
-_RUNS = _BATCH // FAN_IN
+_RUNS = BATCH_BYTES // (FAN_IN * LEAF)
 # Code points that no text has.
 _LONGEST = 1 << 31
 
@@ -325,16 +326,15 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
     def whole(batches):
         tree = tree_encoder(path)
         for batch in batches:
-            for low in range(0, batch.num_rows, _BATCH):
-                part = batch.slice(low, _BATCH)
+            for part in runs_of_rows(batch, 1, BATCH_BYTES):
                 nodes = tree.words.encode(part.column(1).to_pylist())
                 yield emit(part.column(0), [array("I", ids) for ids in nodes])
 
     def cut(batches):
         tree = tree_encoder(path)
         for batch in batches:
-            for at, text in enumerate(batch.column(2).to_pylist()):
-                parts = tree.slices(text, leaf)
+            for at, text in enumerate(batch.column(2)):
+                parts = tree.slices(text.as_py(), leaf)
                 runs = [parts[low : low + FAN_IN] for low in range(0, len(parts), FAN_IN)]
                 for low in range(0, len(runs), _RUNS):
                     some = runs[low : low + _RUNS]

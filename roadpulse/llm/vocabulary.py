@@ -20,8 +20,8 @@ from itertools import batched, chain, pairwise
 import numpy as np
 import pyarrow as pa
 
-# Words remembered before the memory starts anew.
-MEMORY_WORDS = 1_000_000
+# Words remembered before the memory starts anew (some 150 bytes each), and by a caller that has less room.
+MEMORY_WORDS, FEW_WORDS = 1_000_000, 250_000
 ID_BYTES = 4
 # Text that callers should give at once, so that its words repeat and many are new together.
 BATCH_BYTES = 2 << 20
@@ -50,17 +50,17 @@ _SIGNS = byte_signs() | {ord(" "): " "}
 class WordEncoder:
     """Ids as little-endian unsigned 32-bit integers, exactly those the library gives for the whole text."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, words: int | None = None):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         self.split = self._splitter(spec)
-        # The merges alone, for runs of letters with a space between two.
-        apart = {"type": "CharDelimiterSplit", "delimiter": " "}
-        self.merges = Tokenizer.from_str(json.dumps(spec | {"normalizer": None, "pre_tokenizer": apart, "added_tokens": []}))
+        # The merges alone, for runs of letters with a space between two; the model is the library's, not a copy.
+        self.merges = Tokenizer(self.library.model)
+        self.merges.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
         self.bytewise = self._bytewise(spec)
         marks = _ANY_MARKS if self.split is _spaced or _OTHERS in spec["pre_tokenizer"]["pretokenizers"][0]["pattern"].get("Regex", "") else _MARKS
         # A word as it is remembered: what stands before it in place of a space, letters, marks up to the next white space.
@@ -68,6 +68,7 @@ class WordEncoder:
         self.borders = self._borders(spec)
         self.special = [t["content"] for t in spec.get("added_tokens", [])]
         self.known: dict[str, bytes | None] = {}
+        self.most = words
 
     @staticmethod
     def _splitter(spec: dict):
@@ -104,7 +105,7 @@ class WordEncoder:
         known = self.known
         found = list(map(known.get, distinct))
         wanted = [word for word, ids in zip(distinct, found, strict=True) if ids is None]
-        if len(known) + len(wanted) > MEMORY_WORDS:
+        if len(known) + len(wanted) > (self.most or MEMORY_WORDS):
             known.clear()
         self._learn(wanted)
         found = [known[word] if ids is None else ids for word, ids in zip(distinct, found, strict=True)]
@@ -224,9 +225,9 @@ def _bare(text: str) -> list[str] | None:
 
 
 @lru_cache(maxsize=2)
-def encoder(path: str) -> WordEncoder:
-    """One per worker process."""
-    return WordEncoder(path)
+def encoder(path: str, words: int | None = None) -> WordEncoder:
+    """One per worker process; `words` is how many it remembers, `MEMORY_WORDS` if not given."""
+    return WordEncoder(path, words)
 
 
 def tokenizer_path(name: str) -> str:

@@ -107,3 +107,16 @@ def test_given_table(spark, data, tree):
 def test_other_vocabularies_are_refused():
     with pytest.raises(ValueError):
         tree_bpe.TreeEncoder(tokenizer_path("byte_bpe_50k.json"))
+
+
+def test_few_words_are_remembered_and_models_are_shared(monkeypatch):
+    monkeypatch.setattr(tree_bpe, "FEW_WORDS", 300)
+    tree, draw = tree_bpe.TreeEncoder(PATH), random.Random(3)
+    for _ in range(40):
+        texts = [" ".join("".join(draw.choices("abcdefgh", k=6)) for _ in range(20)) for _ in range(5)]
+        assert [list(node.ids) for node in tree.leaves([(text, True) for text in texts])] == [tree.library.encode(text, add_special_tokens=False).ids for text in texts]
+        assert len(tree.words.known) <= 400
+    # What is set on a model that two tokenizers share is seen by both.
+    tree.library.model.unk_token = "a"
+    assert tree.scan.model.unk_token == tree.words.merges.model.unk_token == "a"
+    assert tree.bare.model.unk_token is None

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from roadpulse.llm import exact_dedup, mixing, near_texts, packing, quality
 from roadpulse.llm.common import column, cut_lineage, load
-from roadpulse.llm.vocabulary import tokenizer_path
+from roadpulse.llm.vocabulary import FEW_WORDS, tokenizer_path
 
 # Mixture: every source gets an equal share, and there are as many rows as go in.
 OTHER_WEIGHT, SCALE = 1.0, 1.0
@@ -83,7 +83,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     Null and empty texts have their end token alone; repeated rows are packed each; an empty table
     gives no piece. Only id and text are read.
     """
-    return packing.pack(docs, tokenizer_path("word_bpe_49k.json")).withColumnRenamed("id", "doc_id")
+    return packing.pack(docs, tokenizer_path("word_bpe_49k.json"), words=FEW_WORDS).withColumnRenamed("id", "doc_id")
 
 
 STAGES = [

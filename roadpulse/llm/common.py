@@ -39,8 +39,8 @@ def records(batch: pa.RecordBatch) -> Iterator[tuple]:
 
 
 def runs_of_rows(batch: pa.RecordBatch, texts: int, size: int) -> Iterator[pa.RecordBatch]:
-    """The batch in runs of rows: a column of texts holds less than `size` bytes in each, but for its last row."""
-    stops = np.cumsum(pc.binary_length(batch.column(texts)).to_numpy(zero_copy_only=False), dtype=np.int64)
+    """The batch in runs of rows: a column of texts holds less than `size` bytes in each, but for its last row. Null texts have none."""
+    stops = np.cumsum(pc.fill_null(pc.binary_length(batch.column(texts)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
     low = 0
     while low < batch.num_rows:
         before = stops[low - 1] if low else 0

@@ -24,13 +24,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from roadpulse.llm.common import column, load, records, text_or_empty, without
+from roadpulse.llm.common import column, load, records, runs_of_rows, text_or_empty, without
 
 # Bytes of distinct content that one table may hold.
 TABLE_BYTES = 48 << 20
 # Spill files made when a bucket doesn't fit.
 FAN_OUT = 16
 _ROW_BYTES = 200
+# Bytes of content that are rows at a time, on their way into a table and out of it.
+_BATCH_BYTES = 2 << 20
 
 
 class ContentTable:
@@ -114,7 +116,7 @@ def _order_key(value, payload: tuple) -> tuple:
     return (value is not None, value if value is not None else 0, repr(payload))
 
 
-def _packed(schema: pa.Schema, rows: Iterable[tuple], rows_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def _packed(schema: pa.Schema, rows: Iterable[tuple], rows_bytes: int = _BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     held, size = [], 0
     for row in rows:
         held.append(row)
@@ -130,6 +132,10 @@ def _batch(schema: pa.Schema, rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[tuple]:
+    return chain.from_iterable(map(records, runs_of_rows(batch, 0, _BATCH_BYTES)))
+
+
 def _near(id_place: int, bound: int, schema: pa.Schema) -> Callable:
     """Merge the copies that a task reads, in tables of bounded size."""
 
@@ -137,7 +143,7 @@ def _near(id_place: int, bound: int, schema: pa.Schema) -> Callable:
         def entries():
             table = ContentTable()
             for batch in batches:
-                for content, *payload in records(batch):
+                for content, *payload in _rows(batch):
                     payload = tuple(payload)
                     table.add(content, _code(content, 0), _order_key(payload[id_place], payload), payload, 1)
                     if table.bytes > bound:
@@ -155,7 +161,7 @@ def _final(id_place: int, bound: int, schema: pa.Schema) -> Callable:
         rows = (
             (content, _order_key(payload[id_place], tuple(payload)), tuple(payload), count)
             for batch in batches
-            for content, count, *payload in records(batch)
+            for content, count, *payload in _rows(batch)
         )
         found = ((content, count, hashlib.sha256(content).hexdigest(), *payload) for content, _, payload, count in merged(rows, bound))
         yield from _packed(schema, found)

@@ -80,8 +80,8 @@ def _fingerprinter(words: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             wides, codes, probes = [], [], []
-            for text in batch.column(2).to_pylist():
-                wide = wide_fingerprint(text, words)
+            for text in batch.column(2):
+                wide = wide_fingerprint(text.as_py(), words)
                 wides.append(wide)
                 families = np.frombuffer(wide, "<u4").astype(np.int64)
                 codes.append(families + (np.arange(FAMILIES) << FAMILY_BITS))
@@ -140,8 +140,8 @@ def _alike(words: int, similarity: float) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for a, b in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                a, b = shingles(a, words), shingles(b, words)
+            for a, b in zip(batch.column(2), batch.column(3), strict=True):
+                a, b = shingles(a.as_py(), words), shingles(b.as_py(), words)
                 both = len(np.intersect1d(a, b, assume_unique=True))
                 keep.append(both >= similarity * (len(a) + len(b) - both))
             keep = pa.array(keep, pa.bool_())

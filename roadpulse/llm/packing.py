@@ -157,11 +157,11 @@ def slots(histogram: dict[int, int], capacity: int = SEQUENCE, least_gap: int =
 # ------------------------------------------------------------------ documents
 
 
-def _tokenise(vocabulary: str, end_id: int, capacity: int) -> Callable:
+def _tokenise(vocabulary: str, end_id: int, capacity: int, words: int | None) -> Callable:
     """Ids of each document, and its place among those of this task with as long a remainder."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        end, encode = np.array([end_id], "<u4").tobytes(), encoder(vocabulary).encode
+        end, encode = np.array([end_id], "<u4").tobytes(), encoder(vocabulary, words).encode
         part, seen, whole = TaskContext.get().partitionId(), np.zeros(capacity, np.int64), 0
         for batch in batches:
             for rows in runs_of_rows(batch, 1, BATCH_BYTES):
@@ -221,6 +221,7 @@ def pack(
     end_id: int = END_ID,
     capacity: int = SEQUENCE,
     least_gap: int = LEAST_GAP,
+    words: int | None = None,
 ) -> DataFrame:
     """One row per piece: `id`, `start`, `length`, `ids` (u32), `ids_crc32`, `doc_tokens`, `sequence_id`, `offset`.
 
@@ -228,12 +229,12 @@ def pack(
     Null texts are empty and have just the end id. Rows with null or repeated ids
     are packed like any other, and a long text is cut into whole sequences. Only
     id and text are read, so other columns may have any name. An empty table gives
-    no piece.
+    no piece. `words` is how many words a task remembers at most, for memory only.
     """
     spark = docs.sparkSession
     slim = docs.select(F.col(id_col).cast("long").alias("id"), text_or_empty(text_col).alias("text"))
     schema = "id long, ids binary, doc_tokens long, part long, remainder long, place long, whole_before long"
-    tokens = cut_lineage(slim.mapInArrow(_tokenise(vocabulary, end_id, capacity), schema))
+    tokens = cut_lineage(slim.mapInArrow(_tokenise(vocabulary, end_id, capacity, words), schema))
     # Ranks: what earlier tasks have of a length, plus the place within the task.
     sizes = cut_lineage(tokens.groupBy("part", "remainder").agg(F.count(F.lit(1)).alias("n"), F.sum(F.floor(F.col("doc_tokens") / capacity)).alias("whole")))
     histogram = {r["remainder"]: r["n"] for r in sizes.filter("remainder > 0").groupBy("remainder").agg(F.sum("n").alias("n")).collect()}

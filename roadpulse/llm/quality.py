@@ -16,11 +16,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from roadpulse.llm.common import column, load, text_or_empty, without
+from roadpulse.llm.common import column, load, runs_of_rows, text_or_empty, without
 
 # Bound of the training sample, in rows, and lines of a training segment.
 TRAIN_DOCS = 4000
@@ -185,18 +186,6 @@ def score_texts(model: Model, texts: list[bytes]) -> np.ndarray:
 # ---------------------------------------------------------------------- Spark
 
 
-def _chunks(texts: list[bytes]) -> Iterator[list[bytes]]:
-    held, size = [], 0
-    for text in texts:
-        held.append(text)
-        size += len(text)
-        if size > _CHUNK_BYTES:
-            yield held
-            held, size = [], 0
-    if held:
-        yield held
-
-
 def _sampler(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Features of each training text, in segments."""
     for batch in batches:
@@ -235,12 +224,15 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
     return train(np.concatenate(parts) if parts else np.empty((0, width), np.float32), np.repeat(values, count), np.cumsum(count) - count, count)
 
 
-def _scorer(model: Model) -> Callable:
+def _scorer(model: Model, place: int, width: int) -> Callable:
+    """The first `width` columns with the score of the text at `place`, a few texts at a time."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            scores = [score_texts(model, part) for part in _chunks(batch.column(0).to_pylist())]
-            found = pa.array(np.concatenate(scores) if scores else np.empty(0), pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], found], [*batch.schema.names[1:], "__score"])
+            for rows in runs_of_rows(batch, place, _CHUNK_BYTES):
+                texts = pc.fill_null(rows.column(place).cast(pa.binary()), b"").to_pylist()
+                found = pa.array(score_texts(model, texts), pa.float64())
+                yield pa.RecordBatch.from_arrays([*rows.columns[:width], found], [*rows.schema.names[:width], "__score"])
 
     return run
 
@@ -252,9 +244,13 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """
     docs = without(docs, {"score"})
     names = docs.columns
-    frame = docs.select(text_or_empty(text_col).cast("binary").alias("__text"), *[column(c).alias(f"__{i}") for i, c in enumerate(names)])
-    schema = T.StructType([*frame.schema.fields[1:], T.StructField("__score", T.DoubleType())])
-    scored = frame.mapInArrow(_scorer(model), schema)
+    frame = docs.select(*[column(c).alias(f"__{i}") for i, c in enumerate(names)])
+    # A text goes to the task once: as the column that is kept, or beside it if that is no text.
+    place = next((i for i, field in enumerate(docs.schema.fields) if field.name == text_col and isinstance(field.dataType, T.StringType)), len(names))
+    if place == len(names):
+        frame = docs.select(*[column(c).alias(f"__{i}") for i, c in enumerate(names)], text_or_empty(text_col).cast("binary").alias("__text"))
+    schema = T.StructType([*frame.schema.fields[: len(names)], T.StructField("__score", T.DoubleType())])
+    scored = frame.mapInArrow(_scorer(model, place, len(names)), schema)
     return scored.select(*[F.col(f"__{i}").alias(c) for i, c in enumerate(names)], F.col("__score").alias("score"))
 
 

@@ -349,3 +349,18 @@ def test_hosts_agree(spark):
     assert (by_id[9], by_id[11], by_id[12]) == ("short", TEXT, "")
     assert by_id[10] == "a longer text that is not the article on this host"
     assert html.main_text(pages.limit(0)).isEmpty()
+
+
+def test_scored_texts_travel_once_and_a_few_at_a_time(spark):
+    width = 3 * len(quality._NAMES) + 3
+    model = quality.Model(np.zeros(width), np.ones(width), np.linspace(-1, 1, width), np.zeros((2, 2)), 0.25)
+    texts = ["Some words here.\nAnd more | of them", None, "", "é" * 50, "a" * 1_100_000, "b c " * 200_000]
+    want = quality.score_texts(model, [(text or "").encode() for text in texts])
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    scored = quality.score(df, model)
+    assert "__text" not in scored._jdf.queryExecution().analyzed().toString()
+    got = {r["doc_id"]: (r["text"], r["score"]) for r in scored.collect()}
+    assert got == {i: (text, pytest.approx(want[i])) for i, text in enumerate(texts)}
+    assert [r["score"] for r in quality.score(df.selectExpr("cast(7 as int) text").limit(1), model).collect()] == pytest.approx(quality.score_texts(model, [b"7"]))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(texts)], ["__0", "__1"])
+    assert [part.num_rows for part in quality._scorer(model, 1, 2)(iter([batch]))] == [5, 1]

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from roadpulse.functions.columns import tie
 from roadpulse.functions.ordered import keep_first
 from roadpulse.functions.quantiles import exact_quantiles
-from roadpulse.operators import linear
+from roadpulse.operators import forest, linear
 from roadpulse.session import cut_lineage
 
 LINEAR = ("ridge", "lasso", "linear")
@@ -73,17 +73,23 @@ def fit(df: DataFrame, kind: str, features: list[str], label: str = "traffic_vol
 
     Rows with a null feature or label don't train. Constant features are dropped before the
     fit: no tree can split by them, yet every row is counted under each of them, and they make
-    the normal equations singular. Trees train on as many parts as there are cores, because
-    each part sends a histogram of every node, whatever the number of its rows.
+    the normal equations singular. A forest with other parameters than those of `forest.fit`,
+    and boosted trees, are trained by Spark on as many parts as there are cores, because each
+    part sends a histogram of every node, whatever the number of its rows.
     """
     df = df.dropna(subset=[*features, label])
     size = df.agg(F.count(F.lit(1)).alias("rows"), F.stddev_samp(label).alias("spread")).first() if kind == "ridge" else None
     rows, spread = (size["rows"], size["spread"] or 1.0) if size else (0, 1.0)
     assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="error")
+    varying = VarianceThresholdSelector(featuresCol="features", outputCol="varying", varianceThreshold=0.0)
+    model = estimator(kind, rows, label, "varying", spread, **params)
+    if kind == "forest" and set(params) <= forest.PARAMS:
+        front = Pipeline(stages=[assembler, varying]).fit(df)
+        if kept := [features[i] for i in front.stages[-1].selectedFeatures]:
+            return PipelineModel([*front.stages, forest.fit(df, model, kept, label)])
     if kind not in LINEAR:
         df = df.coalesce(df.sparkSession.sparkContext.defaultParallelism)
-    varying = VarianceThresholdSelector(featuresCol="features", outputCol="varying", varianceThreshold=0.0)
-    return Pipeline(stages=[assembler, varying, estimator(kind, rows, label, "varying", spread, **params)]).fit(df)
+    return Pipeline(stages=[assembler, varying, model]).fit(df)
 
 
 def predict(model: PipelineModel, df: DataFrame, name: str, keys: list[str], label: str = "traffic_volume") -> DataFrame:

@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VarianceThresholdSelector, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -84,9 +84,12 @@ def fit(df: DataFrame, kind: str, features: list[str], label: str = "traffic_vol
     varying = VarianceThresholdSelector(featuresCol="features", outputCol="varying", varianceThreshold=0.0)
     model = estimator(kind, rows, label, "varying", spread, **params)
     if kind == "forest" and set(params) <= forest.PARAMS:
-        front = Pipeline(stages=[assembler, varying]).fit(df)
-        if kept := [features[i] for i in front.stages[-1].selectedFeatures]:
-            return PipelineModel([*front.stages, forest.fit(df, model, kept, label)])
+        size = forest.extent(df, features, label)
+        if kept := [c for c, (least, most) in zip(features, size.ends, strict=True) if size.rows and least < most]:
+            # The least and the greatest values tell which features vary.
+            ends = df.sparkSession.createDataFrame([tuple(map(float, x)) for x in zip(*size.ends, strict=True)], [f"f{i}" for i in range(len(features))])
+            chosen = varying.fit(VectorAssembler(inputCols=ends.columns, outputCol="features").transform(ends))
+            return PipelineModel([assembler, chosen, forest.fit(df, model, kept, label, size)])
     if kind not in LINEAR:
         df = df.coalesce(df.sparkSession.sparkContext.defaultParallelism)
     return Pipeline(stages=[assembler, varying, model]).fit(df)
@@ -97,10 +100,11 @@ def predict(model: PipelineModel, df: DataFrame, name: str, keys: list[str], lab
     needed = model_features(model)
     whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in needed])
     # Every row goes through the model, so the rows are read once; what it says of a row with a gap is dropped.
-    told = model.transform(df, {model.stages[0].handleInvalid: "keep"})
-    return told.select(
-        *keys, F.lit(name).alias("model_name"), F.col(label).cast("double").alias("actual"), F.when(whole, F.col("prediction")).alias("predicted")
-    )
+    if isinstance(model.stages[-1], RandomForestRegressionModel):
+        told, said = df, forest.prediction(df, model.stages[-1], [needed[i] for i in model.stages[1].selectedFeatures])
+    else:
+        told, said = model.transform(df, {model.stages[0].handleInvalid: "keep"}), F.col("prediction")
+    return told.select(*keys, F.lit(name).alias("model_name"), F.col(label).cast("double").alias("actual"), F.when(whole, said).alias("predicted"))
 
 
 def save(model: PipelineModel, path: str) -> None:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from roadpulse.session import cut_lineage, work_folder
@@ -44,8 +44,10 @@ RUN_ROWS = 65_536
 RUNS = 64
 # Joint bins of the features that are counted at once, for all nodes of a record.
 CELLS = 32_768
+# Rows that go down the trees together.
+STEP_ROWS = 4096
 # Nanoseconds of counting a row, and of a cell.
-_ROW_COST, _CELL_COST = 10, 6
+_ROW_COST, _CELL_COST = 10, 12
 # A gain below this share of the mean square is rounding.
 _ROUNDING = 1e-15
 _MARK = 255
@@ -106,17 +108,31 @@ class _Layout:
         return np.uint8 if max(self.sizes) <= 256 else np.uint32
 
 
-def fit(df: DataFrame, estimator: RandomForestRegressor, features: list[str], label: str) -> RandomForestRegressionModel:
+@dataclass
+class Extent:
+    """Rows, mean of the label, and least and greatest value of each feature."""
+
+    rows: int
+    mean: float
+    ends: list[tuple[float, float]]
+
+
+def extent(df: DataFrame, features: list[str], label: str) -> Extent:
+    ends = [f(F.col(c).cast("double")) for c in features for f in (F.min, F.max)]
+    rows, mean, *found = df.agg(F.count(F.lit(1)), F.avg(F.col(label).cast("double")), *ends).first()
+    return Extent(rows, mean, list(zip(found[::2], found[1::2], strict=True)))
+
+
+def fit(df: DataFrame, estimator: RandomForestRegressor, features: list[str], label: str, size: Extent) -> RandomForestRegressionModel:
     """The forest that `estimator` (all features at each split, other parameters among `PARAMS`) stands for.
 
     `features` are numeric columns without nulls or NaN; the model reads them as a vector in this order.
     """
     spark = df.sparkSession
     rows = df.select(*[F.col(c).cast("double").alias(f"f{i}") for i, c in enumerate(features)], F.col(label).cast("double").alias("y"))
-    size = rows.agg(F.count(F.lit(1)).alias("rows"), F.avg("y").alias("mean")).first()
     # Sums of whole labels stay exact.
-    center = float(round(size["mean"])) if math.isfinite(size["mean"]) else 0.0
-    cuts = _thresholds(rows, len(features), min(estimator.getMaxBins(), size["rows"]) - 1)
+    center = float(round(size.mean)) if math.isfinite(size.mean) else 0.0
+    cuts = _thresholds(rows, len(features), min(estimator.getMaxBins(), size.rows) - 1)
     layout = _Layout(
         [len(c) + 1 for c in cuts], estimator.getNumTrees(), estimator.getMaxDepth(), estimator.getMinInstancesPerNode(),
         estimator.getMinInfoGain(), estimator.getSeed() % 2**64, estimator.getBootstrap(),
@@ -246,7 +262,7 @@ def _dealt(blocks: DataFrame, cores: int) -> tuple[DataFrame, int]:
         n, p = heapq.heappop(loads)
         placed.append((r["id"], p))
         heapq.heappush(loads, (n + r["n"], p))
-    places = spark.createDataFrame(placed, "id long, part int")
+    places = spark.createDataFrame(pa.table(dict(zip(["id", "part"], map(list, zip(*placed, strict=True)), strict=True))))
     shared = blocks.join(F.broadcast(places), "id").withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
     slot = (F.col("part") * shares + F.col("share")).cast("int")
     return shared.repartitionById(parts * shares, slot).select("id", "share", F.lit(shares).alias("shares"), "bins", "labels"), parts
@@ -522,3 +538,38 @@ def _nodes(i: int, tree: _Tree, cuts: list[np.ndarray], center: float) -> pa.Tab
         ["id", "prediction", "impurity", "impurityStats", "rawCount", "gain", "leftChild", "rightChild", "split"],
     )
     return pa.table({"treeID": pa.array(np.full(len(at), i), pa.int32()), "nodeData": data})
+
+
+def prediction(df: DataFrame, model: RandomForestRegressionModel, features: list[str]) -> Column:
+    """What the model says of rows with these columns as its features: the same sums as its own, for many rows at a time."""
+    path = f"{work_folder(df.sparkSession)}/forest"
+    model.write().save(path)
+    table = df.sparkSession.read.parquet(f"{path}/data").select("treeID", "nodeData.*").toArrow().sort_by([("treeID", "ascending"), ("id", "ascending")])
+    tree, left, right, said = (table[c].to_numpy() for c in ("treeID", "leftChild", "rightChild", "prediction"))
+    first = np.searchsorted(tree, np.arange(tree[-1] + 1))
+    base, leaf = first.take(tree), left < 0
+    split = table["split"].combine_chunks()
+    # A leaf leads to itself.
+    by = np.where(leaf, 0, split.field("featureIndex").to_numpy(zero_copy_only=False)).astype(np.intp)
+    cut = np.full(len(by), np.inf)
+    cut[~leaf] = split.field("leftCategoriesOrThreshold").flatten().to_numpy()
+    own = np.arange(len(by))
+    children = np.stack([np.where(leaf, own, base + side) for side in (left, right)], axis=1).astype(np.intp).ravel()
+    depth, width, trees = model.getMaxDepth(), len(features), len(first)
+
+    @F.arrow_udf("double")
+    def told(values: pa.Array) -> pa.Array:
+        flat = values.flatten().to_numpy(zero_copy_only=False)
+        out = np.zeros(len(values))
+        for low in range(0, len(out), STEP_ROWS):
+            high = min(low + STEP_ROWS, len(out))
+            start = np.arange(low * width, high * width, width)
+            for root in first:
+                node = np.full(high - low, root)
+                for _ in range(depth):
+                    above = flat.take(start + by.take(node)) > cut.take(node)
+                    node = children.take(2 * node + above)
+                out[low:high] += said.take(node)
+        return pa.array(out / trees)
+
+    return told(F.array(*[F.col(c).cast("double") for c in features]))
